@@ -62,13 +62,16 @@ class Lake:
         return op.enrich_orders(self.stream_orders, self.fx.weather, self.fx.currency)
 
     # gold ----------------------------------------------------------------------------
+    # The dimensions only need dates and cities, which the cleaned orders carry 1:1
+    # (the enrichment joins are left joins on unique keys), so they are derived from
+    # the cleaned orders and the plan does not repeat the enrichment joins.
     @cached_property
     def dim_date(self) -> DataFrame:
-        return op.dim_date(self.fact)
+        return op.dim_date(self.orders)
 
     @cached_property
     def dim_location(self) -> DataFrame:
-        return op.dim_location(self.fact)
+        return op.dim_location(self.orders)
 
     @cached_property
     def dim_products(self) -> DataFrame:
