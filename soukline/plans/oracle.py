@@ -331,6 +331,13 @@ UNION ALL SELECT 'silver.fact_streaming_orders', count(*) FROM s_stream
 UNION ALL SELECT 'gold.dim_date', count(*) FROM g_dim_date
 UNION ALL SELECT 'gold.dim_location', count(*) FROM g_dim_location
 UNION ALL SELECT 'gold.fact_orders', count(*) FROM g_fact""",
+    "lakehouse_end_to_end": """
+SELECT p.category, CAST(round(sum(o.amount) * 0.001, 2) AS DECIMAL(38,2)) AS revenue_inr_thousands,
+  CAST(round(sum(CAST(round(o.amount * COALESCE(r.exchange_rate, CAST(0.012 AS DECIMAL(10,6))), 2)
+                      AS DECIMAL(18,2))), 2) AS DECIMAL(38,2)) AS revenue_usd
+FROM c_orders o JOIN c_products p ON o.product_id = p.product_id
+LEFT JOIN usd r ON o.order_date = r.rate_date
+GROUP BY p.category""",
     # streaming queries: their batch equivalents
     "stream_parse_append": "SELECT * FROM fx_stream_orders",
     "stream_restart_exactly_once": "SELECT * FROM fx_stream_orders",

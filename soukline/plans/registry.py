@@ -209,6 +209,22 @@ def q_layer_summary(spark, sf_dir):
         "gold.fact_orders": lake.gold_fact})
 
 
+def q_lakehouse_end_to_end(spark, sf_dir):
+    """CSV files -> bronze -> enrichment run -> silver -> gold -> revenue by category."""
+    from . import flows
+    lake = Lake(spark, sf_dir)
+    root = run_dir(spark, "e2e")
+    csv = {"customers": lake.fx.customers, "products": lake.fx.products,
+           "orders": lake.fx.orders.drop("source")}
+    dirs = {name: write_csv(df, f"{root}/landing/{name}") for name, df in csv.items()}
+    paths = flows.LakePaths(f"{root}/lake")
+    flows.ingest_csv(spark, paths, dirs, as_of=AS_OF_TS)
+    flows.bronze_to_silver(spark, paths, lake.fx.weather_docs, lake.fx.rate_docs)
+    flows.silver_to_gold(spark, paths, as_of=AS_OF_TS)
+    gold = flows.gold_tables(spark, paths)
+    return rp.revenue_by_category(gold["fact_orders"], gold["dim_products"])
+
+
 def _lake(fn: Callable[[Lake], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: fn(Lake(spark, sf_dir))
 
@@ -260,6 +276,7 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "geocode_first": _lake(lambda l: op.geocode_first(l.fx.geocode_docs)),
     "enrich_run": q_enrich_run,
     "layer_summary": q_layer_summary,
+    "lakehouse_end_to_end": q_lakehouse_end_to_end,
 }
 
 

@@ -62,6 +62,33 @@ def write_version(df: DataFrame, root: str, partition_by: list[str] | None = Non
     return path
 
 
+def merge_partitions(source: DataFrame, root: str, keys: list[str], partition_col: str,
+                     merge) -> int:
+    """Keyed merge into a partitioned fact table that rewrites only touched partitions.
+
+    ``root`` is a Parquet table partitioned by ``partition_col`` (a key's partition value
+    never changes, e.g. the month of an order). Only the partitions the source touches
+    are read - a semi join on the partition column, which Spark turns into partition
+    pruning - merged with ``merge(target_part, source, keys)``, materialized with a
+    reliable ``checkpoint()`` (the shared checkpoint folder; this also cuts the read of
+    the same files the write replaces) and written back with dynamic partition
+    overwrite. Untouched partitions are not read or written. Returns 1 if it wrote.
+    """
+    spark = source.sparkSession
+    fs, path, jvm = _fs(spark, root)
+    if not fs.exists(path):
+        # rebalance: AQE splits a hot partition value over several tasks/files and
+        # packs small ones together, instead of one task per value
+        source.hint("rebalance", partition_col).write.partitionBy(partition_col).parquet(root)
+        return 1
+    touched = source.select(partition_col).distinct()
+    target = spark.read.parquet(root).join(touched, partition_col, "left_semi")
+    merged = merge(target.select(*source.columns), source, keys).checkpoint(eager=True)
+    (merged.hint("rebalance", partition_col).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(root))
+    return 1
+
+
 def truncate(spark: SparkSession, root: str) -> str:
     """Empty the table keeping its schema (``limit(0)`` folds to an empty relation)."""
     return write_version(read_table(spark, root).limit(0), root)
