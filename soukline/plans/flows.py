@@ -43,7 +43,8 @@ class LakePaths:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
 
 
-def _with_month(df: DataFrame) -> DataFrame:
+def with_month(df: DataFrame) -> DataFrame:
+    """Add the month partition column of an order fact."""
     return df.withColumn(MONTH, F.date_format("order_date", "yyyy-MM"))
 
 
@@ -101,7 +102,7 @@ def bronze_to_silver(spark: SparkSession, lake: LakePaths, weather_docs: DataFra
     currency = read_table(spark, lake("bronze", "currency")).select(*CURRENCY.fieldNames())
     currency = op.broadcast_if_bounded(currency, MAX_BROADCAST_ROWS["currency"])
     fact = op.enrich_orders(op.clean_orders(orders), weather, currency)
-    merge_partitions(_with_month(fact), lake("silver", "fact_orders"), ["order_id"], MONTH,
+    merge_partitions(with_month(fact), lake("silver", "fact_orders"), ["order_id"], MONTH,
                      op.upsert)
 
 
@@ -130,7 +131,7 @@ def silver_to_gold(spark: SparkSession, lake: LakePaths, as_of=None) -> None:
     locs = op.broadcast_if_bounded(read_table(spark, lpath),
                                    MAX_BROADCAST_ROWS["dim_location"])
     gold = op.fact_orders_gold(fact, dates, locs)
-    merge_partitions(_with_month(gold), lake("gold", "fact_orders"), ["order_id"], MONTH,
+    merge_partitions(with_month(gold), lake("gold", "fact_orders"), ["order_id"], MONTH,
                      op.upsert)
 
 

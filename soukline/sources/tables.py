@@ -20,8 +20,8 @@ def _fs(spark: SparkSession, root: str):
     return path.getFileSystem(conf), path, jvm
 
 
-def versions(spark: SparkSession, root: str) -> list[int]:
-    """Committed version numbers, ascending."""
+def versions(spark: SparkSession, root: str, committed: bool = True) -> list[int]:
+    """Version numbers, ascending (only committed ones unless ``committed=False``)."""
     fs, path, jvm = _fs(spark, root)
     if not fs.exists(path):
         return []
@@ -29,7 +29,8 @@ def versions(spark: SparkSession, root: str) -> list[int]:
     for st in fs.listStatus(path):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith("v") and name[1:].isdigit():
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            if not committed or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(),
+                                                                         "_SUCCESS")):
                 out.append(int(name[1:]))
     return sorted(out)
 
@@ -53,7 +54,7 @@ def read_table_or_none(spark: SparkSession, root: str) -> DataFrame | None:
 def write_version(df: DataFrame, root: str, partition_by: list[str] | None = None) -> str:
     """Write ``df`` as the next version of the table at ``root``; returns its path."""
     spark = df.sparkSession
-    v = versions(spark, root)
+    v = versions(spark, root, committed=False)   # skip past folders of failed writes
     path = f"{root.rstrip('/')}/v{(v[-1] + 1 if v else 1):06d}"
     w = df.write.mode("errorifexists")
     if partition_by:

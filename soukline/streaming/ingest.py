@@ -23,7 +23,7 @@ from ..functions.timekeys import ts_lit
 from ..operators.keys import dedup_by_key
 from ..operators.merge import insert_only, upsert
 from ..schemas import STREAM_ORDER
-from ..sources.tables import read_table_or_none, write_version
+from ..sources.tables import merge_partitions, read_table_or_none, write_version
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -72,18 +72,29 @@ def _foreach(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: st
 
 
 def start_upsert(df: DataFrame, table_root: str, keys: Sequence[str], checkpoint: str,
-                 trigger: dict | None = None) -> StreamingQuery:
+                 trigger: dict | None = None,
+                 partition_col: str | None = None) -> StreamingQuery:
     """Each micro-batch: one row per key (deterministic), then upsert into the table.
 
-    The merged table is written as a new version; if the batch fails midway the old
-    version stays current and the batch is replayed from the checkpoint.
+    With ``partition_col`` the table is partitioned and only the partitions the batch
+    touches are read and rewritten (``merge_partitions``); without it the whole (small)
+    table is written as a new version. Either way a batch that fails midway leaves the
+    previous state readable and is replayed from the checkpoint; the upsert is
+    idempotent, so the replay gives the same table.
     """
     keys = list(keys)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = dedup_by_key(batch, keys)
-        write_version(upsert(read_table_or_none(spark, table_root), rows, keys), table_root)
+        rows = dedup_by_key(batch, keys).persist()   # read twice below
+        try:
+            if partition_col:
+                merge_partitions(rows, table_root, keys, partition_col, upsert)
+            else:
+                write_version(upsert(read_table_or_none(spark, table_root), rows, keys),
+                              table_root)
+        finally:
+            rows.unpersist()
 
     return _foreach(df, merge, checkpoint, trigger)
 

@@ -21,6 +21,7 @@ from ..operators.clean import align_stream_orders
 from ..operators.enrich import enrich_orders
 from ..operators.star import fact_live
 from ..plans.fixtures import Fixtures
+from ..plans.flows import MONTH, read_fact, with_month
 from ..plans.oracle import AS_OF_TS
 from ..schemas import STREAM_ORDER
 from ..session import ensure_conf, run_dir
@@ -75,8 +76,9 @@ def q_stream_enrich_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = enrich_orders(clean_order_stream(buffer_stream(spark, root)),
                            fx.weather, fx.currency)
     table = f"{root}/silver_fact_streaming_orders"
-    await_done(start_upsert(silver, table, ["order_id"], f"{root}/_checkpoints/silver"))
-    return read_table(spark, table)
+    await_done(start_upsert(with_month(silver), table, ["order_id"],
+                            f"{root}/_checkpoints/silver", partition_col=MONTH))
+    return read_fact(spark, table)
 
 
 def q_stream_live_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,8 +97,9 @@ def q_stream_live_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     live = fact_live(silver, dims["dim_products"], dims["dim_location"], dims["dim_date"],
                      as_of=AS_OF_TS)
     table = f"{root}/gold_fact_streaming_orders"
-    await_done(start_upsert(live, table, ["order_id"], f"{root}/_checkpoints/gold"))
-    return read_table(spark, table)
+    await_done(start_upsert(with_month(live), table, ["order_id"],
+                            f"{root}/_checkpoints/gold", partition_col=MONTH))
+    return read_fact(spark, table)
 
 
 def q_stream_merge_then_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
