@@ -17,6 +17,11 @@ from ..operators.enrich import weather_description
 from ..schemas import MONEY, RATE, SOURCE_BATCH
 
 
+# Schemas of the input files already read in this process: later scans pass them
+# instead of inferring them again from the Parquet footers.
+_FILE_SCHEMAS: dict[str, object] = {}
+
+
 class Fixtures:
     """Bronze-shaped fixture DataFrames over one scale-factor directory."""
 
@@ -25,9 +30,14 @@ class Fixtures:
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        """One scan relation per table (file listing and footer read happen once)."""
+        """One scan relation per table and fixture set."""
         if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            path = f"{self.sf_dir}/{name}.parquet"
+            known = _FILE_SCHEMAS.get(path)
+            df = (self.spark.read.schema(known) if known is not None
+                  else self.spark.read).parquet(path)
+            _FILE_SCHEMAS.setdefault(path, df.schema)
+            self._tables[name] = df
         return self._tables[name]
 
     # -- bronze batch ----------------------------------------------------------------

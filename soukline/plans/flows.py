@@ -43,9 +43,9 @@ class LakePaths:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
 
 
-def with_month(df: DataFrame) -> DataFrame:
-    """Add the month partition column of an order fact."""
-    return df.withColumn(MONTH, F.date_format("order_date", "yyyy-MM"))
+def with_month(df: DataFrame, col: str = "order_date") -> DataFrame:
+    """Add the month partition column of an order table (from a date or timestamp)."""
+    return df.withColumn(MONTH, F.date_format(col, "yyyy-MM"))
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:

@@ -64,16 +64,18 @@ def write_version(df: DataFrame, root: str, partition_by: list[str] | None = Non
 
 
 def merge_partitions(source: DataFrame, root: str, keys: list[str], partition_col: str,
-                     merge) -> int:
-    """Keyed merge into a partitioned fact table that rewrites only touched partitions.
-
-    ``root`` is a Parquet table partitioned by ``partition_col`` (a key's partition value
-    never changes, e.g. the month of an order). Only the partitions the source touches
-    are read - a semi join on the partition column, which Spark turns into partition
-    pruning - merged with ``merge(target_part, source, keys)``, materialized with a
-    reliable ``checkpoint()`` (the shared checkpoint folder; this also cuts the read of
-    the same files the write replaces) and written back with dynamic partition
-    overwrite. Untouched partitions are not read or written. Returns 1 if it wrote.
+                     merge, stable_keys: bool = False) -> int:
+    """Keyed merge into a partitioned table that rewrites only the partitions involved.
+
+    ``root`` is a Parquet table partitioned by ``partition_col``. The partitions to
+    rewrite are those of the source rows plus those that currently hold a source key
+    (found from the key and partition columns alone - a column-pruned scan; skipped with
+    ``stable_keys=True`` when a key can never change partition). Only those partitions
+    are read (semi join on the partition column: partition pruning) and merged with
+    ``merge(target_part, source, keys)``; the result is materialized with a reliable
+    ``checkpoint()`` in the shared checkpoint folder (which also cuts the read of the
+    files the write replaces) and written back with dynamic partition overwrite.
+    Untouched partitions are neither read nor written. Returns 1 if it wrote.
     """
     spark = source.sparkSession
     fs, path, jvm = _fs(spark, root)
@@ -82,14 +84,39 @@ def merge_partitions(source: DataFrame, root: str, keys: list[str], partition_co
         # packs small ones together, instead of one task per value
         source.hint("rebalance", partition_col).write.partitionBy(partition_col).parquet(root)
         return 1
-    touched = source.select(partition_col).distinct()
-    target = spark.read.parquet(root).join(touched, partition_col, "left_semi")
+    table = spark.read.parquet(root)
+    touched = source.select(partition_col)
+    if not stable_keys:
+        holding = (table.select(*keys, partition_col)
+                   .join(source.select(*keys), keys, "left_semi").select(partition_col))
+        touched = touched.unionByName(holding)
+    target = table.join(touched.distinct(), partition_col, "left_semi")
     merged = merge(target.select(*source.columns), source, keys).checkpoint(eager=True)
     (merged.hint("rebalance", partition_col).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(root))
     return 1
 
 
+def append_new_keys(source: DataFrame, root: str, keys: list[str],
+                    partition_col: str | None = None) -> int:
+    """Insert-only merge by appending: rows whose key the table lacks are appended.
+
+    Existing rows are never rewritten; the existence check reads only the key columns
+    of the table (column pruning). A replay after a committed append finds the keys and
+    appends nothing, so the operation is idempotent. Returns 1 if it wrote.
+    """
+    spark = source.sparkSession
+    fs, path, jvm = _fs(spark, root)
+    new = source
+    if fs.exists(path):
+        new = source.join(spark.read.parquet(root).select(*keys), keys, "left_anti")
+    w = new.write.mode("append")
+    if partition_col:
+        w = new.hint("rebalance", partition_col).write.mode("append").partitionBy(partition_col)
+    w.parquet(root)
+    return 1
+
+
 def truncate(spark: SparkSession, root: str) -> str:
     """Empty the table keeping its schema (``limit(0)`` folds to an empty relation)."""
     return write_version(read_table(spark, root).limit(0), root)

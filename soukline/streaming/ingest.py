@@ -23,7 +23,8 @@ from ..functions.timekeys import ts_lit
 from ..operators.keys import dedup_by_key
 from ..operators.merge import insert_only, upsert
 from ..schemas import STREAM_ORDER
-from ..sources.tables import merge_partitions, read_table_or_none, write_version
+from ..sources.tables import (append_new_keys, merge_partitions, read_table_or_none,
+                              write_version)
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -101,21 +102,32 @@ def start_upsert(df: DataFrame, table_root: str, keys: Sequence[str], checkpoint
 
 def start_insert_only(df: DataFrame, table_root: str, keys: Sequence[str],
                       checkpoint: str, trigger: dict | None = None,
-                      seen: list[int] | None = None) -> StreamingQuery:
+                      seen: list[int] | None = None,
+                      partition_col: str | None = None) -> StreamingQuery:
     """Each micro-batch: insert rows whose key the table does not have yet.
 
     Consumption through the checkpoint is the drain: a row is read once, and rows that
     arrive while a merge runs are picked up by the next batch instead of being lost to a
-    truncate. ``seen`` (optional) collects the row count of every batch.
+    truncate. ``seen`` (optional) collects the row count of every batch. With
+    ``partition_col`` the table is partitioned and new rows are appended
+    (``append_new_keys``): nothing already stored is rewritten.
     """
     keys = list(keys)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if seen is not None:
-            seen.append(batch.count())
-        target = read_table_or_none(spark, table_root)
-        write_version(insert_only(target, batch, keys), table_root)
+        rows = dedup_by_key(batch, keys).persist()
+        try:
+            if seen is not None:
+                seen.append(batch.count())
+            if partition_col:
+                append_new_keys(rows, table_root, keys, partition_col)
+            else:
+                target = read_table_or_none(spark, table_root)
+                write_version(insert_only(target, rows, keys, dedup_source=False),
+                              table_root)
+        finally:
+            rows.unpersist()
 
     return _foreach(df, merge, checkpoint, trigger)
 

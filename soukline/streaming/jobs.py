@@ -106,21 +106,24 @@ def q_stream_merge_then_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = run_dir(ensure_conf(spark), "stream-merge")
     fx = Fixtures(spark, sf_dir)
     buffer_path = land_buffer(fx, root)
+    # bronze orders: partitioned by order month, so a batch of stream orders checks and
+    # rewrites only the months it touches
     orders = f"{root}/bronze_orders"
-    first = write_version(fx.orders, orders)
-    aligned = align_stream_orders(buffer_stream(spark, root))
+    before = fx.orders.count()
+    fx.orders.transform(lambda d: with_month(d, "order_time")).write.partitionBy(MONTH) \
+        .parquet(orders)
+    aligned = with_month(align_stream_orders(buffer_stream(spark, root)), "order_time")
     ckpt = f"{root}/_checkpoints/merge"
-    await_done(start_insert_only(aligned, orders, ["order_id"], ckpt))
+    await_done(start_insert_only(aligned, orders, ["order_id"], ckpt, partition_col=MONTH))
     rerun: list[int] = []                 # a second run sees nothing: the buffer is drained
-    await_done(start_insert_only(aligned, orders, ["order_id"], ckpt, seen=rerun))
-    tagged = (spark.read.parquet(first).select(F.lit(1).alias("t"))
-              .unionByName(spark.read.parquet(buffer_path).select(F.lit(2).alias("t")))
-              .unionByName(read_table(spark, orders).select(F.lit(3).alias("t"))))
-    counts = tagged.agg(F.count_if(F.col("t") == 1).alias("batch_before"),
-                        F.count_if(F.col("t") == 2).alias("buffered"),
+    await_done(start_insert_only(aligned, orders, ["order_id"], ckpt, seen=rerun,
+                                 partition_col=MONTH))
+    tagged = (spark.read.parquet(buffer_path).select(F.lit(2).alias("t"))
+              .unionByName(read_fact(spark, orders).select(F.lit(3).alias("t"))))
+    counts = tagged.agg(F.count_if(F.col("t") == 2).alias("buffered"),
                         F.count_if(F.col("t") == 3).alias("after"))
-    return counts.select("batch_before", "buffered",
-                         (F.col("after") - F.col("batch_before")).alias("added"), "after",
+    return counts.select(F.lit(before).cast("bigint").alias("batch_before"), "buffered",
+                         (F.col("after") - F.lit(before)).alias("added"), "after",
                          F.lit(sum(rerun)).cast("bigint").alias("buffer_after"))
 
 
