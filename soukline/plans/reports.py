@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.timekeys import date_lit
 from ..schemas import TOTAL
 
 
@@ -18,14 +19,24 @@ def money_sum(c: str) -> Column:
     return F.round(F.sum(c), 2).cast(TOTAL)
 
 
+def on_day(df: DataFrame, as_of=None, col: str = "order_date") -> DataFrame:
+    """The "today" view: rows of day ``as_of``; ``None`` keeps every row.
+
+    The live tables are never cleared, so a KPI titled "today" needs this filter; with a
+    date-partitioned table it prunes to one partition.
+    """
+    return df if as_of is None else df.filter(F.col(col) == date_lit(as_of))
+
+
 def _orders_revenue(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("order_id").alias("orders"),
                                money_sum("amount_inr").alias("revenue_inr"))
 
 
 # -- live KPIs (gold live fact) -------------------------------------------------------
-def live_totals(live: DataFrame) -> DataFrame:
+def live_totals(live: DataFrame, as_of=None) -> DataFrame:
     """Q1: orders, INR and USD revenue, average order value."""
+    live = on_day(live, as_of)
     return live.agg(
         F.count("order_id").alias("total_orders"),
         money_sum("amount_inr").alias("revenue_inr"),
@@ -34,27 +45,31 @@ def live_totals(live: DataFrame) -> DataFrame:
         .alias("avg_order_value_inr"))
 
 
-def live_top_cities(live: DataFrame, k: int = 5) -> DataFrame:
+def live_top_cities(live: DataFrame, k: int = 5, as_of=None) -> DataFrame:
     """Q2: top-k cities by INR revenue (top-k is the feature)."""
+    live = on_day(live, as_of)
     return (_orders_revenue(live, "city")
             .orderBy(F.col("revenue_inr").desc_nulls_last(), F.col("city").asc_nulls_first())
             .limit(k))
 
 
-def live_by_category(live: DataFrame) -> DataFrame:
+def live_by_category(live: DataFrame, as_of=None) -> DataFrame:
     """Q3: orders and INR revenue per category, by revenue."""
+    live = on_day(live, as_of)
     return (_orders_revenue(live, "category")
             .orderBy(F.col("revenue_inr").desc_nulls_last(), "category"))
 
 
-def live_by_hour(live: DataFrame) -> DataFrame:
+def live_by_hour(live: DataFrame, as_of=None) -> DataFrame:
     """Q4: orders per hour of day."""
+    live = on_day(live, as_of)
     return (live.groupBy("order_hour").agg(F.count("order_id").alias("orders"))
             .orderBy("order_hour"))
 
 
-def live_by_weather(live: DataFrame) -> DataFrame:
+def live_by_weather(live: DataFrame, as_of=None) -> DataFrame:
     """Q5: orders and INR revenue per weather condition (NULL group kept)."""
+    live = on_day(live, as_of)
     return (_orders_revenue(live, "weather_condition")
             .orderBy(F.col("orders").desc(), "weather_condition"))
 
@@ -89,20 +104,23 @@ def last_dates(orders: DataFrame, k: int = 5) -> DataFrame:
 
 
 # -- silver streaming ----------------------------------------------------------------
-def top_cities_by_count(fact: DataFrame, k: int = 5) -> DataFrame:
+def top_cities_by_count(fact: DataFrame, k: int = 5, as_of=None) -> DataFrame:
     """Q10: top-k cities by order count."""
+    fact = on_day(fact, as_of)
     return (fact.groupBy("city").agg(F.count(F.lit(1)).alias("orders"))
             .orderBy(F.col("orders").desc(), F.col("city").asc_nulls_first()).limit(k))
 
 
-def live_revenue(fact: DataFrame) -> DataFrame:
+def live_revenue(fact: DataFrame, as_of=None) -> DataFrame:
     """Q11: INR and USD revenue so far."""
+    fact = on_day(fact, as_of)
     return fact.agg(money_sum("amount_inr").alias("total_inr"),
                     money_sum("amount_usd").alias("total_usd"))
 
 
-def weather_distribution(fact: DataFrame) -> DataFrame:
+def weather_distribution(fact: DataFrame, as_of=None) -> DataFrame:
     """Q12: orders per weather condition."""
+    fact = on_day(fact, as_of)
     return (fact.groupBy("weather_condition").agg(F.count(F.lit(1)).alias("orders"))
             .orderBy(F.col("orders").desc(), "weather_condition"))
 

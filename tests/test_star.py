@@ -32,3 +32,17 @@ def test_dim_location_keeps_existing_ids(spark):
     more = spark.createDataFrame([("Goa",), ("Agra",), ("Bhopal",)], "city string")
     second = {r.city: r.location_id for r in dim_location(more, existing=first).collect()}
     assert second == {"Agra": 1, "Pune": 2, "Bhopal": 3, "Goa": 4}
+
+
+def test_live_kpis_today_view(spark):
+    import decimal
+    from soukline.plans import reports as rp
+    live = spark.createDataFrame(
+        [(1, dt.date(2024, 1, 5), "Pune", decimal.Decimal("10.00"), decimal.Decimal("0.12")),
+         (2, dt.date(2024, 1, 6), "Goa", decimal.Decimal("30.00"), decimal.Decimal("0.36"))],
+        "order_id int, order_date date, city string, amount_inr decimal(18,2), "
+        "amount_usd decimal(18,2)")
+    assert rp.live_totals(live).first().total_orders == 2
+    today = rp.live_totals(live, as_of="2024-01-06").first()
+    assert (today.total_orders, str(today.revenue_inr)) == (1, "30.00")
+    assert [r.city for r in rp.live_top_cities(live, as_of="2024-01-05").collect()] == ["Pune"]
