@@ -55,8 +55,15 @@ def join_weather(orders: DataFrame, weather: DataFrame) -> DataFrame:
 
 
 def join_rate(orders: DataFrame, currency: DataFrame) -> DataFrame:
-    """orders LEFT JOIN the INR->USD rate of the order date; adds usd_exchange_rate."""
-    return orders.join(usd_rates(currency), "order_date", "left")
+    """orders LEFT JOIN the INR->USD rate of the order date; adds usd_exchange_rate.
+
+    The rate side is broadcast: the rate table is keyed on (base, target, rate_date),
+    so after the pair filter it holds at most one row per calendar day - its size is
+    bounded by the span of order dates (36,525 rows for a century), not by the number
+    of orders. Without the hint Spark cannot size a derived rate plan and shuffles the
+    whole order fact on order_date.
+    """
+    return orders.join(F.broadcast(usd_rates(currency)), "order_date", "left")
 
 
 def enrich_orders(orders: DataFrame, weather: DataFrame, currency: DataFrame) -> DataFrame:

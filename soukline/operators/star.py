@@ -47,9 +47,15 @@ def dim_products(products: DataFrame, as_of=None) -> DataFrame:
                            ts_lit(as_of).alias("updated_at"))
 
 
+def _dates(dates: DataFrame) -> DataFrame:
+    """Date dimension as a join side, broadcast: one row per calendar day (keyed on the
+    date), so it is bounded by the date span, not by the number of orders."""
+    return F.broadcast(dates.select(F.col("full_date").alias("order_date"), "date_id"))
+
+
 def fact_orders_gold(fact: DataFrame, dates: DataFrame, locations: DataFrame) -> DataFrame:
     """Silver fact LEFT JOIN date and location dimensions -> surrogate keys."""
-    d = dates.select(F.col("full_date").alias("order_date"), "date_id")
+    d = _dates(dates)
     loc = locations.select("city", "location_id")
     return (fact.join(d, "order_date", "left").join(loc, "city", "left")
             .select(*GOLD_FACT_COLUMNS))
@@ -60,7 +66,7 @@ def fact_live(fact: DataFrame, products: DataFrame, locations: DataFrame,
     """Live order fact: product, location and date attributes + ``processed_at``."""
     p = products.select("product_id", "product_name", "category")
     loc = locations.select("city", "location_id")
-    d = dates.select(F.col("full_date").alias("order_date"), "date_id")
+    d = _dates(dates)
     return (fact.join(p, "product_id", "left").join(loc, "city", "left")
             .join(d, "order_date", "left")
             .withColumn("processed_at", ts_lit(as_of))
