@@ -43,6 +43,29 @@ def build_session(master: str | None = None, app: str = "soukline",
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a large cluster run (pass to ``SparkSession.builder.config``).
+
+    * scan splits of ``target_partition_bytes`` (256 MB) - e.g. 100 TB -> ~400k tasks;
+    * the initial shuffle partition count is sized so one partition holds about the
+      target size of the scanned bytes (at least 3 waves of the cluster's cores); AQE
+      then coalesces small partitions to the advisory size and splits skewed ones;
+    * a partition counts as skewed above 4x the median and 1 GB.
+    """
+    parts = max(3 * total_cores, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        **RUNTIME_CONF,
+    }
+
+
 def ensure_conf(spark: SparkSession) -> SparkSession:
     """Apply the runtime confs to a session created elsewhere (idempotent)."""
     for k, v in RUNTIME_CONF.items():
