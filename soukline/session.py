@@ -48,12 +48,13 @@ def cluster_conf(input_bytes: int, total_cores: int,
     """Partition sizing for a large cluster run (pass to ``SparkSession.builder.config``).
 
     * scan splits of ``target_partition_bytes`` (256 MB) - e.g. 100 TB -> ~400k tasks;
-    * the initial shuffle partition count is sized so one partition holds about the
-      target size of the scanned bytes (at least 3 waves of the cluster's cores); AQE
-      then coalesces small partitions to the advisory size and splits skewed ones;
+    * the initial shuffle partition count is about one per GB of input, at least 3
+      waves of the cluster's cores and at most 65,536 (maps x reducers is the number of
+      shuffle blocks; beyond that the block metadata itself becomes the bottleneck);
+      AQE then coalesces small partitions to the advisory size and splits skewed ones;
     * a partition counts as skewed above 4x the median and 1 GB.
     """
-    parts = max(3 * total_cores, input_bytes // target_partition_bytes)
+    parts = min(65536, max(3 * total_cores, input_bytes // (1 << 30)))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(parts),
