@@ -43,6 +43,12 @@ def _avg_money(x: str) -> str:
             f"(2 * count({x})) AS DECIMAL(38,0)) * 0.01 AS DECIMAL(38,2))")
 
 
+def _payload_sql() -> str:
+    cols = ["customer_id", "product_id", "amount", "currency", "city", "order_time"]
+    return "concat_ws('|', " + ", ".join(
+        f"coalesce(CAST({c} AS VARCHAR), '<null>')" for c in cols) + ")"
+
+
 def _clean_customers(src: str) -> str:
     return f"""
 SELECT customer_id, name, {_email_mask('email')} AS email, {_phone_mask('phone')} AS phone,
@@ -283,12 +289,20 @@ GROUP BY city ORDER BY revenue_inr DESC NULLS LAST, city NULLS FIRST LIMIT 5""",
     "weather_distribution": "SELECT weather_condition, count(*) AS orders FROM s_stream "
                             "GROUP BY weather_condition",
     "merge_insert_only": "SELECT * FROM m_orders",
-    "merge_audit": """
+    "merge_audit": f"""
 SELECT (SELECT count(*) FROM fx_orders) AS batch_before,
   (SELECT count(*) FROM a_stream) AS stream_rows,
   (SELECT count(*) FROM (SELECT order_id FROM a_stream INTERSECT SELECT order_id FROM fx_orders) i) AS duplicate_ids,
   (SELECT count(*) FROM (SELECT order_id FROM a_stream EXCEPT SELECT order_id FROM fx_orders) e) AS new_ids,
-  (SELECT count(*) FROM m_orders) AS after""",
+  (SELECT count(*) FROM m_orders) AS after,
+  (SELECT count(*) FROM (
+     SELECT order_id, sum(b) AS nb, sum(s) AS ns, min(pb) AS lo_b, max(pb) AS hi_b,
+       min(ps) AS lo_s, max(ps) AS hi_s
+     FROM (SELECT order_id, 1 AS b, 0 AS s, {_payload_sql()} AS pb, NULL AS ps FROM fx_orders
+           UNION ALL
+           SELECT order_id, 0, 1, NULL, {_payload_sql()} FROM a_stream) t
+     GROUP BY order_id) g
+   WHERE nb > 0 AND ns > 0 AND (lo_b <> lo_s OR hi_b <> hi_s)) AS payload_conflicts""",
     "upsert_products": "SELECT * FROM u_products",
     "upsert_idempotent": "SELECT * FROM u_products",
     "upsert_composite_key": f"""

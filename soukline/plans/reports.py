@@ -134,27 +134,49 @@ def scd2_counts(dim: DataFrame) -> DataFrame:
 
 
 # -- audits ---------------------------------------------------------------------------
-def merge_audit(batch: DataFrame, stream: DataFrame, merged: DataFrame,
-                key: str = "order_id") -> DataFrame:
-    """Before / stream rows / duplicate ids / new ids / after, as one row.
+AUDIT_PAYLOAD = ["customer_id", "product_id", "amount", "currency", "city", "order_time"]
+
+
+def _payload(cols: list[str]) -> Column:
+    """A row's payload as one comparable string (NULL-safe, engine-independent text)."""
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("<null>"))
+                             for c in cols])
 
-    Duplicate and new ids are the ``INTERSECT`` and ``EXCEPT`` of the id sets. All five
-    numbers come from one plan: the three id columns are tagged, unioned, grouped by id
-    (one shuffle, partial counts on the map side) and summed - no join, no second pass.
+
+def merge_audit(batch: DataFrame, stream: DataFrame, merged: DataFrame,
+                key: str = "order_id", payload: list[str] | None = None) -> DataFrame:
+    """Before / stream rows / duplicate ids / new ids / after / payload conflicts.
+
+    Duplicate and new ids are the ``INTERSECT`` and ``EXCEPT`` of the id sets; a payload
+    conflict is a duplicate id whose stream payload differs from the stored one (an id
+    reused for another order - the insert-only merge skips it, so it is reported). All
+    numbers come from one plan: the three inputs are tagged, unioned, grouped by id
+    (one shuffle, partial aggregates on the map side) and summed - no join.
     """
-    tagged = (batch.select(key, F.lit(1).alias("_b"), F.lit(0).alias("_s"), F.lit(0).alias("_m"))
+    payload = payload or AUDIT_PAYLOAD
+    p = _payload(payload)
+    none = F.lit(None).cast("string")
+    tagged = (batch.select(key, F.lit(1).alias("_b"), F.lit(0).alias("_s"), F.lit(0).alias("_m"),
+                           p.alias("_pb"), none.alias("_ps"))
               .unionByName(stream.select(key, F.lit(0).alias("_b"), F.lit(1).alias("_s"),
-                                         F.lit(0).alias("_m")))
+                                         F.lit(0).alias("_m"), none.alias("_pb"),
+                                         p.alias("_ps")))
               .unionByName(merged.select(key, F.lit(0).alias("_b"), F.lit(0).alias("_s"),
-                                         F.lit(1).alias("_m"))))
-    per_id = tagged.groupBy(key).agg(F.sum("_b").alias("nb"), F.sum("_s").alias("ns"),
-                                     F.sum("_m").alias("nm"))
+                                         F.lit(1).alias("_m"), none.alias("_pb"),
+                                         none.alias("_ps"))))
+    per_id = tagged.groupBy(key).agg(
+        F.sum("_b").alias("nb"), F.sum("_s").alias("ns"), F.sum("_m").alias("nm"),
+        F.min("_pb").alias("lo_b"), F.max("_pb").alias("hi_b"),
+        F.min("_ps").alias("lo_s"), F.max("_ps").alias("hi_s"))
+    both = (F.col("nb") > 0) & (F.col("ns") > 0)
+    differs = (F.col("lo_b") != F.col("lo_s")) | (F.col("hi_b") != F.col("hi_s"))
     return per_id.agg(
         F.sum("nb").cast("bigint").alias("batch_before"),
         F.sum("ns").cast("bigint").alias("stream_rows"),
-        F.count_if((F.col("nb") > 0) & (F.col("ns") > 0)).alias("duplicate_ids"),
+        F.count_if(both).alias("duplicate_ids"),
         F.count_if((F.col("nb") == 0) & (F.col("ns") > 0)).alias("new_ids"),
-        F.sum("nm").cast("bigint").alias("after"))
+        F.sum("nm").cast("bigint").alias("after"),
+        F.count_if(both & differs).alias("payload_conflicts"))
 
 
 def layer_summary(tables: dict[str, DataFrame]) -> DataFrame:
