@@ -26,12 +26,29 @@ from .oracle import AS_OF_DATE, AS_OF_TS, SCD2_START
 
 
 class Lake:
-    """Lazily built bronze/silver/gold DataFrames over one fixture directory."""
+    """Lazily built bronze/silver/gold DataFrames over one fixture directory.
+
+    The DataFrames are immutable, lazy plans: building them costs driver time only
+    (each operation is analysed on the JVM), and executing one always runs its whole
+    lineage from the input tables. ``Lake.of`` therefore keeps one instance per session
+    and directory, so the queries share the plan building, not any data.
+    """
+
+    _shared: dict[tuple[int, str], "Lake"] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = ensure_conf(spark)
         self.fx = Fixtures(spark, sf_dir)
 
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "Lake":
+        key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+        lake = cls._shared.get(key)
+        if lake is None or lake.spark.sparkContext._jsc is None:
+            lake = cls._shared[key] = cls(spark, sf_dir)
+        ensure_conf(spark)
+        return lake
+
     # silver --------------------------------------------------------------------------
     @cached_property
     def customers(self) -> DataFrame:
@@ -109,18 +126,18 @@ class Lake:
 
 # -- query bodies ------------------------------------------------------------------
 def q_csv_roundtrip_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = Lake(spark, sf_dir)
+    lake = Lake.of(spark, sf_dir)
     path = write_csv(lake.fx.orders, run_dir(spark, "csv") + "/orders")
     return csv_scan(spark, path, infer=True)
 
 
 def q_bronze_orders_lineage(spark, sf_dir):
-    return with_lineage(Lake(spark, sf_dir).fx.orders.drop("source"), SOURCE_BATCH,
+    return with_lineage(Lake.of(spark, sf_dir).fx.orders.drop("source"), SOURCE_BATCH,
                         as_of=AS_OF_TS)
 
 
 def q_mask_pii_edge_cases(spark, sf_dir):
-    c = Lake(spark, sf_dir).fx.customers
+    c = Lake.of(spark, sf_dir).fx.customers
     e, p = F.col("email"), F.col("phone")
     def variant(name, email, phone):
         return F.struct(F.lit(name).alias("variant"), email.alias("email"),
@@ -144,7 +161,7 @@ def q_dedup_latest_lineitem(spark, sf_dir):
 
 
 def q_orders_weather_join(spark, sf_dir):
-    lake = Lake(spark, sf_dir)
+    lake = Lake.of(spark, sf_dir)
     return op.join_weather(lake.orders, lake.fx.weather).select(
         "order_id", "customer_id", "product_id", "amount", "currency", "city", "order_time",
         "order_date", "order_hour", "source", "temperature", "weather_condition",
@@ -152,7 +169,7 @@ def q_orders_weather_join(spark, sf_dir):
 
 
 def q_orders_currency_join(spark, sf_dir):
-    lake = Lake(spark, sf_dir)
+    lake = Lake.of(spark, sf_dir)
     return (op.join_rate(lake.orders, lake.fx.currency)
             .withColumns({"amount_inr": F.col("amount"),
                           "amount_usd": to_usd("amount", "usd_exchange_rate")})
@@ -162,7 +179,7 @@ def q_orders_currency_join(spark, sf_dir):
 
 
 def q_upsert_composite_key(spark, sf_dir):
-    lake = Lake(spark, sf_dir)
+    lake = Lake.of(spark, sf_dir)
     w = lake.stored_weather
     refresh = (w.filter(F.col("order_hour") % 6 == 0)
                .withColumn("temperature", F.col("temperature") + 0.5))
@@ -172,34 +189,34 @@ def q_upsert_composite_key(spark, sf_dir):
 
 
 def q_upsert_idempotent(spark, sf_dir):
-    lake = Lake(spark, sf_dir)
+    lake = Lake.of(spark, sf_dir)
     changes = op.clean_products(lake.fx.products_changes)
     return op.upsert(lake.upserted_products, changes, ["product_id"])
 
 
 def q_weather_filled(spark, sf_dir):
-    lake = Lake(spark, sf_dir)
+    lake = Lake.of(spark, sf_dir)
     pairs = (lake.fx.orders.select("city", F.to_date("order_time").alias("order_date"))
              .distinct())
     return op.fill_weather(pairs, lake.fx.weather_docs)
 
 
 def q_rate_filled(spark, sf_dir):
-    lake = Lake(spark, sf_dir)
+    lake = Lake.of(spark, sf_dir)
     dates = lake.fx.orders.select(F.to_date("order_time").alias("rate_date")).distinct()
     return op.fill_rates(dates, lake.fx.rate_docs).select(
         "base_currency", "target_currency", "rate_date", "exchange_rate", "is_fallback")
 
 
 def q_enrich_run(spark, sf_dir):
-    lake = Lake(spark, sf_dir)
+    lake = Lake.of(spark, sf_dir)
     stored = (lake.stored_weather.filter(F.dayofmonth("order_date") % 3 != 0)
               .withColumn("is_fallback", F.lit(False)))
     return op.enrich_weather(lake.fx.orders, stored, lake.fx.weather_docs)
 
 
 def q_layer_summary(spark, sf_dir):
-    lake = Lake(spark, sf_dir)
+    lake = Lake.of(spark, sf_dir)
     return rp.layer_summary({
         "bronze.orders": lake.fx.orders, "bronze.customers": lake.fx.customers,
         "bronze.products": lake.fx.products, "bronze.streaming_orders": lake.fx.stream_orders,
@@ -212,7 +229,7 @@ def q_layer_summary(spark, sf_dir):
 def q_lakehouse_end_to_end(spark, sf_dir):
     """CSV files -> bronze -> enrichment run -> silver -> gold -> revenue by category."""
     from . import flows
-    lake = Lake(spark, sf_dir)
+    lake = Lake.of(spark, sf_dir)
     root = run_dir(spark, "e2e")
     csv = {"customers": lake.fx.customers, "products": lake.fx.products,
            "orders": lake.fx.orders.drop("source")}
@@ -226,7 +243,7 @@ def q_lakehouse_end_to_end(spark, sf_dir):
 
 
 def _lake(fn: Callable[[Lake], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: fn(Lake(spark, sf_dir))
+    return lambda spark, sf_dir: fn(Lake.of(spark, sf_dir))
 
 
 BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -84,7 +84,7 @@ def q_stream_enrich_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_live_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..plans.registry import Lake
     root = run_dir(ensure_conf(spark), "stream-gold")
-    lake = Lake(spark, sf_dir)
+    lake = Lake.of(spark, sf_dir)
     # the gold dimensions are stored tables, written by the batch job before
     dims = {}
     for name, df in (("dim_products", lake.dim_products), ("dim_location", lake.dim_location),
