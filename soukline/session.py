@@ -21,7 +21,8 @@ RUNTIME_CONF = {
 
 
 def build_session(master: str | None = None, app: str = "soukline",
-                  shuffle_partitions: int | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None,
+                  event_log_dir: str | None = None) -> SparkSession:
     """Create (or reuse) a session with the settings the library expects.
 
     On a cluster ``master`` stays None and the launcher decides; locally it defaults
@@ -36,6 +37,9 @@ def build_session(master: str | None = None, app: str = "soukline",
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if event_log_dir:       # stage/task timings without the web UI
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", event_log_dir))
     for k, v in RUNTIME_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
