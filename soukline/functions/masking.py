@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 from ..schemas import PHONE_MASK, PHONE_VISIBLE_FROM, PHONE_VISIBLE_LEN
 
 
-def phone_mask(c: Column | str) -> Column:
+def phone_mask(c: Column | str, last4: bool = False) -> Column:
     """``'******' + characters 7..10`` of the number (``9876543210 -> ******3210``).
 
     Shorter numbers show what exists in that window (a 5-digit number gives
-    ``******``); NULL stays NULL.
+    ``******``); NULL stays NULL. ``last4=True`` shows the last four characters
+    instead, which is what the rule intends for numbers that are not 10 digits long
+    (a 12-digit number then ends in its real last four).
     """
-    s = F.col(c) if isinstance(c, str) else c
-    return F.concat(F.lit(PHONE_MASK),
-                    F.substring(s.cast("string"), PHONE_VISIBLE_FROM, PHONE_VISIBLE_LEN))
+    s = (F.col(c) if isinstance(c, str) else c).cast("string")
+    visible = (F.substring(s, -PHONE_VISIBLE_LEN, PHONE_VISIBLE_LEN) if last4
+               else F.substring(s, PHONE_VISIBLE_FROM, PHONE_VISIBLE_LEN))
+    return F.concat(F.lit(PHONE_MASK), visible)
 
 
 def email_mask(c: Column | str) -> Column:

@@ -1,5 +1,5 @@
 from .clean import (align_stream_orders, clean_customers, clean_orders, clean_products,
-                    clean_stream_orders)
+                    clean_stream_orders, normalize_text, stream_order_rejects)
 from .enrich import (enrich_orders, enrich_rates, enrich_weather, fill_rates, fill_weather,
                      flatten_hourly, gap_pairs, geocode_first, join_rate, join_weather,
                      rate_gaps, weather_coverage, weather_description, weather_gaps)

@@ -22,10 +22,10 @@ def clean_customers(df: DataFrame, mask: bool = True) -> DataFrame:
     """
     out = (df.select(
         F.col("customer_id").cast("int").alias("customer_id"),
-        F.trim(F.initcap(F.col("name"))).alias("name"),
+        normalize_text("name").alias("name"),
         F.trim(F.col("email")).alias("email"),
         F.col("phone").cast("string").alias("phone"),
-        F.trim(F.initcap(F.col("city"))).alias("city"),
+        normalize_text("city").alias("city"),
         F.trim(F.col("country")).alias("country"),
         F.to_date(F.col("signup_date")).alias("signup_date"))
         .filter(F.col("customer_id").isNotNull() & F.col("email").isNotNull()))
@@ -44,13 +44,31 @@ def clean_products(df: DataFrame) -> DataFrame:
     return dedup_by_key(out, ["product_id"])
 
 
-def clean_orders(df: DataFrame) -> DataFrame:
-    """Orders with ``order_date``/``order_hour``, an id, a positive amount; one per id."""
+def normalize_text(c: str):
+    """Title case, trimmed - the customer-city normaliser, reusable for orders."""
+    return F.trim(F.initcap(F.col(c)))
+
+
+def clean_orders(df: DataFrame, normalize_city: bool = False) -> DataFrame:
+    """Orders with ``order_date``/``order_hour``, an id, a positive amount; one per id.
+
+    The order city stays as landed by default (the weather store is keyed on it);
+    ``normalize_city=True`` applies the same normaliser as the customer city.
+    """
+    if normalize_city:
+        df = df.withColumn("city", normalize_text("city"))
     out = (with_time_keys(df, "order_time")
            .filter(F.col("order_id").isNotNull() & (F.col("amount") > 0)))
     return dedup_by_key(out, ["order_id"])
 
 
+def stream_order_rejects(buffer: DataFrame) -> DataFrame:
+    """Buffered stream rows whose timestamp text does not parse (they get a NULL
+    ``order_time`` instead of failing the job; this returns them for inspection)."""
+    return (buffer.withColumn("_ts", parse_ts("timestamp"))
+            .filter(F.col("_ts").isNull() & F.col("timestamp").isNotNull()).drop("_ts"))
+
+
 def align_stream_orders(df: DataFrame, source: str = SOURCE_STREAM) -> DataFrame:
     """Stream buffer rows -> the bronze order layout.
 

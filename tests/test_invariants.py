@@ -59,3 +59,18 @@ def test_left_joins_keep_every_order(spark):
     assert lake.fact.count() == n
     assert lake.gold_fact.count() == n
     assert lake.fact.select("order_id").distinct().count() == n
+
+
+def test_orders_are_inr_and_city_normaliser(spark):
+    lake = Lake(spark, SF_SMALL)
+    assert lake.orders.filter(F.col("currency") != "INR").isEmpty()
+    norm = op.clean_orders(lake.fx.orders, normalize_city=True)
+    cities = {r.city for r in norm.select("city").distinct().collect()}
+    assert cities == {c.strip().title() for c in
+                      (r.city for r in lake.orders.select("city").distinct().collect())}
+
+
+def test_stream_rejects(spark):
+    buf = spark.createDataFrame([(1, "2024-01-05 10:00:00"), (2, "yesterday"), (3, None)],
+                                "order_id int, timestamp string")
+    assert [r.order_id for r in op.stream_order_rejects(buf).collect()] == [2]

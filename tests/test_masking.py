@@ -41,3 +41,10 @@ def test_name_is_kept(spark):
     assert row["name"] == "Ankit Gupta"
     assert row["email"] == "a****@gmail.com"
     assert row["phone"] == "******3210"
+
+
+def test_phone_mask_last4_option(spark):
+    from soukline.functions import phone_mask
+    df = spark.createDataFrame([("919876543210",), ("9876543210",), (None,)], "phone string")
+    got = [r[0] for r in df.select(phone_mask("phone", last4=True)).collect()]
+    assert got == ["******3210", "******3210", None]
