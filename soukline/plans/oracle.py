@@ -322,6 +322,7 @@ FROM ({_fallback_hours('w_pairs')}) f""",
     "rate_gaps": "SELECT DISTINCT CAST(order_time AS DATE) AS rate_date FROM fx_orders "
                  "EXCEPT SELECT rate_date FROM usd",
     "hourly_flatten": "SELECT * FROM parsed_weather",
+    "landed_weather_documents": "SELECT * FROM parsed_weather",
     "weather_filled": "SELECT * FROM weather_filled",
     "rate_filled": """
 SELECT 'INR' AS base_currency, 'USD' AS target_currency, d.rate_date,

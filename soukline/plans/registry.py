@@ -208,6 +208,17 @@ def q_rate_filled(spark, sf_dir):
         "base_currency", "target_currency", "rate_date", "exchange_rate", "is_fallback")
 
 
+def q_landed_weather_documents(spark, sf_dir):
+    """S6 over files: documents landed as JSON Lines, scanned, flattened to hours."""
+    from pyspark.sql import types as T
+    from ..sources.files import document_scan, land_documents
+    lake = Lake.of(spark, sf_dir)
+    path = land_documents(lake.fx.weather_docs, run_dir(spark, "docs") + "/weather")
+    keys = T.StructType([T.StructField("city", T.StringType()),
+                         T.StructField("order_date", T.DateType())])
+    return op.flatten_hourly(document_scan(spark, path, keys))
+
+
 def q_enrich_run(spark, sf_dir):
     lake = Lake.of(spark, sf_dir)
     stored = (lake.stored_weather.filter(F.dayofmonth("order_date") % 3 != 0)
@@ -288,6 +299,7 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                                                                   l.stored_weather))),
     "rate_gaps": _lake(lambda l: op.rate_gaps(l.fx.orders, l.fx.currency)),
     "hourly_flatten": _lake(lambda l: op.flatten_hourly(l.fx.weather_docs)),
+    "landed_weather_documents": q_landed_weather_documents,
     "weather_filled": q_weather_filled,
     "rate_filled": q_rate_filled,
     "geocode_first": _lake(lambda l: op.geocode_first(l.fx.geocode_docs)),

@@ -34,3 +34,17 @@ def parquet_scan(spark: SparkSession, path: str,
 def json_scan(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Landed JSON documents with a declared schema (malformed fields -> NULL)."""
     return spark.read.schema(schema).json(path)
+
+
+def land_documents(docs: DataFrame, path: str) -> str:
+    """Land fetched documents as JSON Lines: one line per document with its keys and
+    the raw response text in ``payload`` (many documents per file, not one file each)."""
+    docs.write.mode("errorifexists").json(path)
+    return path
+
+
+def document_scan(spark: SparkSession, path: str, key_schema: StructType) -> DataFrame:
+    """Scan landed documents: declared key columns plus the raw ``payload`` text."""
+    from pyspark.sql.types import StringType, StructField
+    return json_scan(spark, path, StructType(list(key_schema.fields)
+                                             + [StructField("payload", StringType())]))
