@@ -180,7 +180,11 @@ class Fixtures:
     # -- landed payloads (what the HTTP calls would have returned) ------------------
     @cached_property
     def weather_docs(self) -> DataFrame:
-        """One JSON weather document per stored (city, date); 24-element arrays."""
+        """One JSON weather document per stored (city, date); 24-element arrays.
+
+        The ``collect_list`` gathers one (city, date) group: at most 24 rows, whatever
+        the data volume.
+        """
         w = self.weather
         g = w.groupBy("city", "order_date").agg(F.sort_array(F.collect_list(F.struct(
             "order_hour", "temperature", "weather_code", "wind_speed", "humidity"))).alias("h"))
