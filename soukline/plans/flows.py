@@ -66,20 +66,24 @@ def ingest_csv(spark: SparkSession, lake: LakePaths, csv_dirs: dict[str, str],
 
 
 def ingest_csv_incremental(spark: SparkSession, lake: LakePaths, name: str, csv_dir: str,
-                           checkpoint: str, as_of=None) -> str:
+                           checkpoint: str, as_of=None,
+                           max_files_per_trigger: int | None = None) -> str:
     """Incremental form of the CSV load for a growing landing folder.
 
     A file-source stream with the declared schema and ``availableNow``: each run reads
     only the files that arrived since the last run (the checkpoint remembers the rest)
     and appends them, with lineage columns, to ``<lake>/bronze/<name>_stream``. A rerun
-    after a failure replays exactly the uncommitted files. Returns the table folder
-    (read it with ``spark.read.parquet``).
+    after a failure replays exactly the uncommitted files. ``max_files_per_trigger``
+    bounds each micro-batch (a backlog is then processed in several batches). Returns
+    the table folder (read it with ``spark.read.parquet``).
     """
     from ..streaming.ingest import await_done, start_append
     schemas = {"customers": BRONZE_CUSTOMERS, "products": BRONZE_PRODUCTS,
                "orders": BRONZE_ORDERS}
-    src = (spark.readStream.schema(schemas[name]).option("header", True)
-           .option("mode", "PERMISSIVE").csv(csv_dir))
+    reader = spark.readStream.schema(schemas[name]).option("header", True)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    src = reader.option("mode", "PERMISSIVE").csv(csv_dir)
     path = lake("bronze", f"{name}_stream")
     await_done(start_append(with_lineage(src, SOURCE_BATCH, as_of), path, checkpoint))
     return path

@@ -44,9 +44,15 @@ def land_buffer(fx: Fixtures, root: str, as_of=None) -> str:
     return path
 
 
-def buffer_stream(spark: SparkSession, root: str) -> DataFrame:
-    """The buffer folder as a stream (reads the sink's committed-file log)."""
-    return spark.readStream.schema(BUFFER_SCHEMA).parquet(f"{root}/bronze_stream")
+def buffer_stream(spark: SparkSession, root: str,
+                  max_files_per_trigger: int | None = None) -> DataFrame:
+    """The buffer folder as a stream (reads the sink's committed-file log).
+
+    ``max_files_per_trigger`` bounds the size of each micro-batch."""
+    r = spark.readStream.schema(BUFFER_SCHEMA)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.parquet(f"{root}/bronze_stream")
 
 
 def clean_order_stream(buffer: DataFrame) -> DataFrame:

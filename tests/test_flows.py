@@ -80,7 +80,8 @@ def test_incremental_csv_ingest_reads_each_file_once(spark):
     assert spark.read.parquet(path).count() == first.count()
     # a second drop of files: only the new files are read
     orders.filter("order_id % 2 = 1").write.mode("append").option("header", True).csv(landing)
-    flows.ingest_csv_incremental(spark, lake, "orders", landing, ckpt, as_of=AS_OF)
+    flows.ingest_csv_incremental(spark, lake, "orders", landing, ckpt, as_of=AS_OF,
+                                 max_files_per_trigger=1)
     flows.ingest_csv_incremental(spark, lake, "orders", landing, ckpt, as_of=AS_OF)  # no-op
     got = spark.read.parquet(path)
     assert got.count() == orders.count()
