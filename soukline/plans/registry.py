@@ -137,8 +137,11 @@ def q_bronze_orders_lineage(spark, sf_dir):
 
 
 def q_mask_pii_edge_cases(spark, sf_dir):
+    """Masks over every customer row and four variants derived from it: no '@',
+    '@' first, one character before '@', empty / NULL; 5- and 12-digit phones."""
     c = Lake.of(spark, sf_dir).fx.customers
     e, p = F.col("email"), F.col("phone")
+
     def variant(name, email, phone):
         return F.struct(F.lit(name).alias("variant"), email.alias("email"),
                         phone.alias("phone"))
@@ -155,7 +158,7 @@ def q_mask_pii_edge_cases(spark, sf_dir):
 
 
 def q_dedup_latest_lineitem(spark, sf_dir):
-    li = Fixtures(ensure_conf(spark), sf_dir).table("lineitem")
+    li = Lake.of(spark, sf_dir).fx.table("lineitem")
     return op.dedup_by_key(li, ["l_orderkey", "l_linenumber"], order_by=["l_shipdate"],
                            keep="last")
 
