@@ -89,6 +89,17 @@ def ingest_csv_incremental(spark: SparkSession, lake: LakePaths, name: str, csv_
     return path
 
 
+def read_weather(spark: SparkSession, lake: LakePaths) -> DataFrame | None:
+    """The stored hourly weather (partitioned by order month), or None before the
+    first enrichment run."""
+    path = lake("bronze", "weather")
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return None
+    return spark.read.parquet(path)
+
+
 # -- enrichment run ----------------------------------------------------------------------
 def enrich_stores(spark: SparkSession, lake: LakePaths, orders: DataFrame,
                   weather_docs: DataFrame, rate_docs: DataFrame) -> dict[str, int]:
@@ -98,10 +109,14 @@ def enrich_stores(spark: SparkSession, lake: LakePaths, orders: DataFrame,
     its gap is not empty.
     """
     wpath, rpath = lake("bronze", "weather"), lake("bronze", "currency")
-    stored_w, stored_r = read_table_or_none(spark, wpath), read_table_or_none(spark, rpath)
+    stored_w, stored_r = read_weather(spark, lake), read_table_or_none(spark, rpath)
     written = {"weather": 0, "currency": 0}
-    if not op.weather_gaps(orders, stored_w).isEmpty():
-        write_version(op.enrich_weather(orders, stored_w, weather_docs), wpath)
+    gaps = op.weather_gaps(orders, stored_w)
+    if not gaps.isEmpty():
+        # the weather store is partitioned by month: only the gap months are written
+        filled = with_month(op.fill_weather(op.gap_pairs(gaps), weather_docs))
+        merge_partitions(filled, wpath, op.enrich.WEATHER_KEYS, MONTH, op.upsert,
+                         stable_keys=True)
         written["weather"] = 1
     if not op.rate_gaps(orders, stored_r).isEmpty():
         write_version(op.enrich_rates(orders, stored_r, rate_docs), rpath)
@@ -134,7 +149,8 @@ def bronze_to_silver(spark: SparkSession, lake: LakePaths, weather_docs: DataFra
         path = lake("silver", f"dim_{name}")
         write_version(op.upsert(read_table_or_none(spark, path), fresh, [key]), path)
 
-    weather = read_table(spark, lake("bronze", "weather")).select(*WEATHER.fieldNames())
+    # only the months being processed are read (partition pruning on the store)
+    weather = _months(read_weather(spark, lake), months).select(*WEATHER.fieldNames())
     currency = read_table(spark, lake("bronze", "currency")).select(*CURRENCY.fieldNames())
     currency = op.broadcast_if_bounded(currency, MAX_BROADCAST_ROWS["currency"])
     fact = op.enrich_orders(op.clean_orders(orders), weather, currency)
