@@ -74,3 +74,25 @@ def test_stream_rejects(spark):
     buf = spark.createDataFrame([(1, "2024-01-05 10:00:00"), (2, "yesterday"), (3, None)],
                                 "order_id int, timestamp string")
     assert [r.order_id for r in op.stream_order_rejects(buf).collect()] == [2]
+
+
+@FAST
+@given(rows=st.lists(st.tuples(st.integers(0, 5), st.integers(0, 3), st.text("ab", max_size=2)),
+                     min_size=1, max_size=40),
+       parts=st.integers(1, 7))
+def test_dedup_survivor_does_not_depend_on_partitioning(spark, rows, parts):
+    df = spark.createDataFrame(rows, "k int, v int, s string")
+    a = op.dedup_by_key(df.repartition(parts), ["k"], order_by=["v"], keep="last")
+    b = op.dedup_by_key(df.coalesce(1), ["k"], order_by=["v"], keep="last")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    want = {}
+    for k, v, s in rows:
+        want[k] = max(want.get(k, (v, s)), (v, s))
+    assert {r.k: (r.v, r.s) for r in a.collect()} == want
+
+
+def test_sequential_ids_many_partitions(spark):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).cast("string").alias("city"))
+    out = op.with_sequential_id(df.repartition(13), ["city"], "location_id")
+    rows = sorted((r.city, r.location_id) for r in out.collect())
+    assert [i for _, i in rows] == list(range(1, 5001))      # dense and in city order
