@@ -73,9 +73,13 @@ def _foreach(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: st
 
 
 def start_upsert(df: DataFrame, table_root: str, keys: Sequence[str], checkpoint: str,
-                 trigger: dict | None = None,
-                 partition_col: str | None = None) -> StreamingQuery:
-    """Each micro-batch: one row per key (deterministic), then upsert into the table.
+                 trigger: dict | None = None, partition_col: str | None = None,
+                 transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+    """Each micro-batch: ``transform``, one row per key (deterministic), then upsert.
+
+    Joins belong in ``transform``: it runs on the micro-batch as an ordinary batch
+    DataFrame, so adaptive execution applies to them (runtime broadcast, skew-join
+    splitting) - joins declared in the streaming plan itself run without it.
 
     With ``partition_col`` the table is partitioned and only the partitions the batch
     touches are read and rewritten (``merge_partitions``); without it the whole (small)
@@ -87,6 +91,8 @@ def start_upsert(df: DataFrame, table_root: str, keys: Sequence[str], checkpoint
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if transform is not None:
+            batch = transform(batch)
         rows = dedup_by_key(batch, keys).persist()   # read twice below
         try:
             if partition_col:

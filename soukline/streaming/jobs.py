@@ -1,8 +1,8 @@
 """Streaming jobs of the order flow, and their registered queries.
 
 bronze:  order messages --parse--> append into the buffer folder (checkpointed)
-silver:  buffer stream --clean, stream-static weather/rate joins--> foreachBatch upsert
-gold:    buffer stream --... + star joins with stored dims--> foreachBatch upsert
+silver:  buffer stream --clean--> foreachBatch: weather/rate joins, upsert
+gold:    buffer stream --clean--> foreachBatch: joins + star joins with stored dims, upsert
 merge:   buffer stream --foreachBatch insert-only--> bronze orders (checkpoint = drain)
 live:    buffer stream --dedup within watermark, complete-mode count--> snapshot table
 
@@ -79,11 +79,12 @@ def q_stream_enrich_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = run_dir(ensure_conf(spark), "stream-silver")
     fx = Fixtures(spark, sf_dir)
     land_buffer(fx, root)
-    silver = enrich_orders(clean_order_stream(buffer_stream(spark, root)),
-                           fx.weather, fx.currency)
     table = f"{root}/silver_fact_streaming_orders"
-    await_done(start_upsert(with_month(silver), table, ["order_id"],
-                            f"{root}/_checkpoints/silver", partition_col=MONTH))
+    # the stream plan stays stateless; the weather/rate joins run per micro-batch
+    await_done(start_upsert(
+        clean_order_stream(buffer_stream(spark, root)), table, ["order_id"],
+        f"{root}/_checkpoints/silver", partition_col=MONTH,
+        transform=lambda b: with_month(enrich_orders(b, fx.weather, fx.currency))))
     return read_fact(spark, table)
 
 
@@ -98,13 +99,16 @@ def q_stream_live_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         write_version(df, f"{root}/{name}")
         dims[name] = read_table(spark, f"{root}/{name}")
     land_buffer(lake.fx, root)
-    silver = enrich_orders(clean_order_stream(buffer_stream(spark, root)),
-                           lake.fx.weather, lake.fx.currency)
-    live = fact_live(silver, dims["dim_products"], dims["dim_location"], dims["dim_date"],
-                     as_of=AS_OF_TS)
+
+    def to_live(batch: DataFrame) -> DataFrame:
+        silver = enrich_orders(batch, lake.fx.weather, lake.fx.currency)
+        return with_month(fact_live(silver, dims["dim_products"], dims["dim_location"],
+                                    dims["dim_date"], as_of=AS_OF_TS))
+
     table = f"{root}/gold_fact_streaming_orders"
-    await_done(start_upsert(with_month(live), table, ["order_id"],
-                            f"{root}/_checkpoints/gold", partition_col=MONTH))
+    await_done(start_upsert(clean_order_stream(buffer_stream(spark, root)), table,
+                            ["order_id"], f"{root}/_checkpoints/gold", partition_col=MONTH,
+                            transform=to_live))
     return read_fact(spark, table)
 
 
