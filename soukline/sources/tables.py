@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import shared_dir
+
 
 def _fs(spark: SparkSession, root: str):
     jvm = spark.sparkContext._jvm
@@ -84,6 +86,7 @@ def merge_partitions(source: DataFrame, root: str, keys: list[str], partition_co
         # packs small ones together, instead of one task per value
         source.hint("rebalance", partition_col).write.partitionBy(partition_col).parquet(root)
         return 1
+    shared_dir(spark)            # checkpoint() below needs the shared checkpoint folder
     table = spark.read.parquet(root)
     touched = source.select(partition_col)
     if not stable_keys:
