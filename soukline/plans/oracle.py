@@ -340,6 +340,8 @@ UNION ALL SELECT 'bronze.customers', count(*) FROM fx_customers
 UNION ALL SELECT 'bronze.products', count(*) FROM fx_products
 UNION ALL SELECT 'bronze.streaming_orders', count(*) FROM fx_stream_orders
 UNION ALL SELECT 'silver.dim_customers', count(*) FROM c_customers
+UNION ALL SELECT 'silver.dim_customers.unmasked_pii', count(*) FROM c_customers
+  WHERE regexp_matches(email, '^[^*@]{2,}@') OR regexp_matches(phone, '^[0-9]{10}$')
 UNION ALL SELECT 'silver.dim_products', count(*) FROM c_products
 UNION ALL SELECT 'silver.fact_orders', count(*) FROM s_fact
 UNION ALL SELECT 'silver.fact_streaming_orders', count(*) FROM s_stream

@@ -234,7 +234,9 @@ def q_layer_summary(spark, sf_dir):
     return rp.layer_summary({
         "bronze.orders": lake.fx.orders, "bronze.customers": lake.fx.customers,
         "bronze.products": lake.fx.products, "bronze.streaming_orders": lake.fx.stream_orders,
-        "silver.dim_customers": lake.customers, "silver.dim_products": lake.products,
+        "silver.dim_customers": lake.customers,
+        "silver.dim_customers.unmasked_pii": rp.unmasked_pii(lake.customers),
+        "silver.dim_products": lake.products,
         "silver.fact_orders": lake.fact, "silver.fact_streaming_orders": lake.stream_fact,
         "gold.dim_date": lake.dim_date, "gold.dim_location": lake.dim_location,
         "gold.fact_orders": lake.gold_fact})

@@ -179,6 +179,16 @@ def merge_audit(batch: DataFrame, stream: DataFrame, merged: DataFrame,
         F.count_if(both & differs).alias("payload_conflicts"))
 
 
+# A silver email/phone that still looks raw: two visible characters before '@', or a
+# bare 10-digit number.
+RAW_EMAIL, RAW_PHONE = "^[^*@]{2,}@", "^[0-9]{10}$"
+
+
+def unmasked_pii(customers: DataFrame) -> DataFrame:
+    """Customer rows whose email or phone is not masked (the PII check; expect 0)."""
+    return customers.filter(F.col("email").rlike(RAW_EMAIL) | F.col("phone").rlike(RAW_PHONE))
+
+
 def layer_summary(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, row_count) for every named table, one union of aggregates."""
     parts = [df.agg(F.count(F.lit(1)).alias("row_count"))

@@ -96,3 +96,11 @@ def test_sequential_ids_many_partitions(spark):
     out = op.with_sequential_id(df.repartition(13), ["city"], "location_id")
     rows = sorted((r.city, r.location_id) for r in out.collect())
     assert [i for _, i in rows] == list(range(1, 5001))      # dense and in city order
+
+
+def test_pii_check_flags_raw_values(spark):
+    from soukline.plans import reports as rp
+    raw = spark.createDataFrame([("ankit@gmail.com", "******3210"), ("a****@gmail.com", "9876543210"),
+                                 ("a****@gmail.com", "******3210")], "email string, phone string")
+    assert rp.unmasked_pii(raw).count() == 2
+    assert rp.unmasked_pii(Lake(spark, SF_SMALL).customers).count() == 0
