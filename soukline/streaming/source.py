@@ -28,3 +28,29 @@ def order_messages(fx: Fixtures) -> DataFrame:
     orders = fx.stream_orders_from(event_stream(fx))
     body = F.to_json(F.struct(*[F.col(c) for c in orders.columns])).cast("binary")
     return orders.select(body.alias("body"))
+
+
+def kafka_messages(spark, bootstrap_servers: str, topic: str,
+                   starting_offsets: str = "latest", fail_on_data_loss: bool = False,
+                   options: dict[str, str] | None = None) -> DataFrame:
+    """Order messages from a Kafka-protocol endpoint as a ``body`` column.
+
+    ``options`` carries the security settings (``kafka.security.protocol``,
+    ``kafka.sasl.mechanism``, ``kafka.sasl.jaas.config``, timeouts) unchanged; secrets
+    are the caller's to supply. Needs the ``spark-sql-kafka`` package on the classpath.
+    """
+    reader = (spark.readStream.format("kafka")
+              .option("kafka.bootstrap.servers", bootstrap_servers)
+              .option("subscribe", topic)
+              .option("startingOffsets", starting_offsets)
+              .option("failOnDataLoss", str(fail_on_data_loss).lower()))
+    for k, v in (options or {}).items():
+        reader = reader.option(k, v)
+    try:
+        raw = reader.load()
+    except Exception as e:  # connector missing: say what to add
+        if "kafka" in str(e).lower():
+            raise RuntimeError("the Kafka source needs the spark-sql-kafka package "
+                               "(spark.jars.packages)") from e
+        raise
+    return raw.select(F.col("value").alias("body"))
