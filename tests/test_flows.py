@@ -111,3 +111,26 @@ def test_second_snapshot_builds_scd2_history_like_the_query(spark):
     want = entry.queries()["scd2_customers"](spark, SF_SMALL)
     norm = lambda df: sorted(map(str, df.select(*sorted(df.columns)).collect()))
     assert norm(got) == norm(want)
+
+
+def test_command_line_steps(spark):
+    import __spark_entry__ as entry
+    from soukline.plans import run
+    from soukline.sources.files import land_documents
+    fx = Fixtures(spark, SF_SMALL)
+    root = run_dir(spark, "cli")
+    dirs = {n: write_csv(df, f"{root}/landing/{n}") for n, df in
+            (("customers", fx.customers), ("products", fx.products),
+             ("orders", fx.orders.drop("source")))}
+    wdocs = land_documents(fx.weather_docs, f"{root}/landing/weather_docs")
+    rdocs = land_documents(fx.rate_docs, f"{root}/landing/rate_docs")
+    lake = f"{root}/lake"
+    run.main(["ingest", "--lake", lake, "--customers", dirs["customers"], "--products",
+              dirs["products"], "--orders", dirs["orders"], "--as-of", AS_OF], spark)
+    run.main(["silver", "--lake", lake, "--weather-docs", wdocs, "--rate-docs", rdocs], spark)
+    run.main(["gold", "--lake", lake, "--as-of", AS_OF], spark)
+    out = run.main(["report", "--lake", lake], spark)
+    want = entry.queries()["lakehouse_end_to_end"](spark, SF_SMALL).collect()
+    assert sorted((r["category"], str(r["revenue_inr_thousands"]), str(r["revenue_usd"]))
+                  for r in out["revenue_by_category"]) == \
+        sorted((r.category, str(r.revenue_inr_thousands), str(r.revenue_usd)) for r in want)
