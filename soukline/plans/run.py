@@ -13,7 +13,6 @@ order_date, payload; rates: rate_date, payload). On a cluster the session comes
 from __future__ import annotations
 
 import argparse
-import json
 
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
@@ -48,12 +47,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
                                document_scan(spark, a.rate_docs, RATE_KEYS), months=months)
     elif a.step == "gold":
         flows.silver_to_gold(spark, lake, as_of=a.as_of, months=months)
-    else:
+    else:                                  # console sink: print the small reports
         gold = flows.gold_tables(spark, lake)
-        out = {"revenue_by_category": [r.asDict() for r in rp.revenue_by_category(
-                   gold["fact_orders"], gold["dim_products"]).collect()],
-               "scd2_counts": rp.scd2_counts(gold["dim_customers"]).first().asDict()}
-        print(json.dumps(out, default=str))
+        out = {"revenue_by_category": rp.revenue_by_category(gold["fact_orders"],
+                                                             gold["dim_products"]),
+               "scd2_counts": rp.scd2_counts(gold["dim_customers"])}
+        for name, df in out.items():
+            print(name)
+            df.show(truncate=False)
         return out
     return {"step": a.step, "lake": a.lake}
 
