@@ -34,3 +34,12 @@ def test_library_has_no_collect_or_udf():
         text = p.read_text()
         for bad in (".collect()", "toPandas(", "@udf", "pandas_udf", ".rdd.", "localCheckpoint"):
             assert bad not in text, f"{bad} in {p}"
+
+
+@pytest.mark.parametrize("name", BATCH)
+def test_query_reads_the_given_tables(spark, name):
+    """Every query's plan scans the input directory (its work grows with the tables)."""
+    plan = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert any(f"Scan {fmt}" in plan for fmt in ("parquet", "json", "csv")), name
+    # the given tables, or files Spark derived from them in the shared folder
+    assert SF_SMALL.rstrip("/").split("/")[-1] in plan or "soukline" in plan, name
