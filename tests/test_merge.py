@@ -94,3 +94,15 @@ def test_scd2_null_incoming_city_is_not_a_change(spark):
     out = scd2(first, spark.createDataFrame([(1, "A", None)], CUST), as_of=D1)
     assert [(r.city, r.is_current) for r in out.collect()] == [("Pune", True)]
     assert out.first().start_date == dt.date(2024, 1, 1)
+
+
+def test_scd2_tracks_several_attributes(spark):
+    schema = "customer_id int, city string, email string"
+    first = scd2(None, spark.createDataFrame([(1, "Pune", "a@x"), (2, "Goa", "b@x")], schema),
+                 as_of=D0)
+    nxt = spark.createDataFrame([(1, "Pune", "a2@x"), (2, "Goa", "b@x")], schema)
+    city_only = scd2(first, nxt, as_of=D1)
+    assert city_only.count() == 2                       # email change ignored by default
+    both = scd2(first, nxt, as_of=D1, tracked=("city", "email"))
+    got = sorted((r.customer_id, r.email, r.is_current) for r in both.collect())
+    assert got == [(1, "a2@x", True), (1, "a@x", False), (2, "b@x", True)]
