@@ -6,8 +6,9 @@ from conftest import SF_SMALL
 from oracle_harness import compare, duck
 
 import __spark_entry__ as entry
+from soukline.plans import oracle, registry
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(registry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +17,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(oracle.oracle_sql()) == set(registry.queries())
+    assert set(entry.queries()) >= set(registry.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
