@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from soukline.llm import chat, exact_dedup, mixing, url_rules
+from soukline.llm import bpe, chat, exact_dedup, gam, lines_crf, mixing, url_rules
 from soukline.llm.common import table
 from soukline.session import ensure_conf
 
@@ -27,11 +27,26 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("chat", 256).alias("chat_sha256"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = lines_crf.fit(docs, table(spark, sf_dir, "labels"))
+    return lines_crf.judge(docs, model)
+
+
+def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gam.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"))
+
+
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), url_rules.rule_frame(spark))
 
 
-QUERIES = [op1_exact_dedup, op2_mix_sources, op3_chat_format, op10_url_rules]
+QUERIES = [op1_exact_dedup, op2_mix_sources, op3_chat_format, op5_quality_rules,
+           op7_quality_gam, op9_bpe, op10_url_rules]
 ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op2_mix_sources": mixing.ORACLE,
            "op3_chat_format": chat.ORACLE, "op10_url_rules": url_rules.ORACLE}
 
