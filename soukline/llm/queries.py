@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from soukline.llm import bpe, chat, exact_dedup, gam, lines_crf, mixing, url_rules
+from soukline.llm import (
+    bpe,
+    chat,
+    exact_dedup,
+    gam,
+    lines_crf,
+    minhash,
+    mixing,
+    url_rules,
+)
 from soukline.llm.common import table
 from soukline.session import ensure_conf
 
@@ -37,6 +46,10 @@ def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gam.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
@@ -46,7 +59,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = [op1_exact_dedup, op2_mix_sources, op3_chat_format, op5_quality_rules,
-           op7_quality_gam, op9_bpe, op10_url_rules]
+           op7_quality_gam, op8_minhash, op9_bpe, op10_url_rules]
 ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op2_mix_sources": mixing.ORACLE,
            "op3_chat_format": chat.ORACLE, "op10_url_rules": url_rules.ORACLE}
 
