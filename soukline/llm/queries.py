@@ -15,6 +15,7 @@ from soukline.llm import (
     lines_crf,
     minhash,
     mixing,
+    substring,
     url_rules,
 )
 from soukline.llm.common import table
@@ -36,6 +37,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("chat", 256).alias("chat_sha256"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = lines_crf.fit(docs, table(spark, sf_dir, "labels"))
@@ -58,8 +63,8 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), url_rules.rule_frame(spark))
 
 
-QUERIES = [op1_exact_dedup, op2_mix_sources, op3_chat_format, op5_quality_rules,
-           op7_quality_gam, op8_minhash, op9_bpe, op10_url_rules]
+QUERIES = [op1_exact_dedup, op2_mix_sources, op3_chat_format, op4_substring_dedup,
+           op5_quality_rules, op7_quality_gam, op8_minhash, op9_bpe, op10_url_rules]
 ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op2_mix_sources": mixing.ORACLE,
            "op3_chat_format": chat.ORACLE, "op10_url_rules": url_rules.ORACLE}
 
