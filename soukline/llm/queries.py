@@ -15,6 +15,7 @@ from soukline.llm import (
     lines_crf,
     minhash,
     mixing,
+    pitman_yor,
     substring,
     url_rules,
 )
@@ -47,6 +48,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines_crf.judge(docs, model)
 
 
+def op6_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gam.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -64,7 +69,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = [op1_exact_dedup, op2_mix_sources, op3_chat_format, op4_substring_dedup,
-           op5_quality_rules, op7_quality_gam, op8_minhash, op9_bpe, op10_url_rules]
+           op5_quality_rules, op6_pitman_yor, op7_quality_gam, op8_minhash, op9_bpe, op10_url_rules]
 ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op2_mix_sources": mixing.ORACLE,
            "op3_chat_format": chat.ORACLE, "op10_url_rules": url_rules.ORACLE}
 

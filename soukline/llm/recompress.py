@@ -62,15 +62,15 @@ class WordCutter:
             self.up = [_powers(b, size) for b in self.BASES]
             self.down = [_powers(pow(b, -1, 1 << 64), size) for b in self.BASES]
 
-    def cut(self, texts: list[bytes]) -> Words:
+    def cut(self, texts: list[bytes], lanes: int = 2) -> Words:
         data = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
         self._grown(len(data) + 1)
         word = ~self.space[data]
         edge = np.diff(word.astype(np.int8), prepend=0)
         begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         stops = np.cumsum([len(t) + 1 for t in texts])
-        name = np.empty((len(begin), 2), dtype=np.uint64)
-        for lane in range(2):
+        name = np.empty((len(begin), lanes), dtype=np.uint64)
+        for lane in range(lanes):
             total = np.zeros(len(data) + 1, dtype=np.uint64)
             np.cumsum(self.code[lane][data] * self.up[lane][:len(data)], out=total[1:])
             h = (total[end] - total[begin]) * self.down[lane][begin]
