@@ -145,6 +145,19 @@ def train(sequences: list[np.ndarray], labels: list[int], steps: int = 100,
     return theta[:-4].reshape(N_FEATURES, 2), theta[-4:].reshape(2, 2)
 
 
+def share_of_content(model, features: list, sizes: list[int]) -> float:
+    """Share of the words that stand in content lines; 1 without a model or a line."""
+    if model is None or not features:
+        return 1.0
+    path = viterbi(np.asarray(features) @ model[0], model[1])
+    return float(np.dot(path, sizes)) / sum(sizes)
+
+
+def base_failed(n_words, n_repeat_words):
+    """The counting rules, for numbers or columns."""
+    return (n_words < 10) | (100 * n_repeat_words > 20 * n_words)
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS):
     """Train on at most ``max_docs`` labelled documents; None without both classes."""
     sample = (labels.select(F.col("doc_id").cast("long").alias("doc_id"),
@@ -190,11 +203,7 @@ def judge(docs: DataFrame, model, content_share: float = CONTENT_SHARE) -> DataF
             for text in b.column("text").to_pylist():
                 base, features, sizes = describe(text)
                 counts.append(base)
-                if model is None or not features:
-                    shares.append(1.0)
-                    continue
-                path = viterbi(np.asarray(features) @ model[0], model[1])
-                shares.append(float(np.dot(path, sizes)) / sum(sizes))
+                shares.append(share_of_content(model, features, sizes))
             cols = [pa.array([c[i] for c in counts], pa.int64()) for i in range(5)]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), *cols, pa.array(shares, pa.float64())],
@@ -203,7 +212,7 @@ def judge(docs: DataFrame, model, content_share: float = CONTENT_SHARE) -> DataF
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        text_or_empty().alias("text")).mapInArrow(run, schema)
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
     return (rows.withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed")
                         & (F.col("content_share") >= content_share)))
@@ -215,11 +224,8 @@ def keep_quality(docs: DataFrame, model, content_share: float = CONTENT_SHARE) -
         for b in batches:
             keep = []
             for text in b.column("text").to_pylist():
-                (n, _, _, _, rep), features, sizes = describe(text or "")
-                ok = n >= 10 and 100 * rep <= 20 * n
-                if ok and model is not None and features:
-                    path = viterbi(np.asarray(features) @ model[0], model[1])
-                    ok = float(np.dot(path, sizes)) / sum(sizes) >= content_share
-                keep.append(bool(ok))
+                base, features, sizes = describe(text or "")
+                keep.append(not base_failed(base[0], base[4])
+                            and share_of_content(model, features, sizes) >= content_share)
             yield b.filter(pa.array(keep, pa.bool_()))
     return docs.mapInArrow(run, docs.schema)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from soukline.llm import (
     bpe,
     chat,
@@ -68,8 +69,13 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), url_rules.rule_frame(spark))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = [op1_exact_dedup, op2_mix_sources, op3_chat_format, op4_substring_dedup,
-           op5_quality_rules, op6_pitman_yor, op7_quality_gam, op8_minhash, op9_bpe, op10_url_rules]
+           op5_quality_rules, op6_pitman_yor, op7_quality_gam, op8_minhash,
+           op9_bpe, op10_url_rules, pipeline]
 ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op2_mix_sources": mixing.ORACLE,
            "op3_chat_format": chat.ORACLE, "op10_url_rules": url_rules.ORACLE}
 
