@@ -56,6 +56,7 @@ def cluster_conf(input_bytes: int, total_cores: int,
       waves of the cluster's cores and at most 65,536 (maps x reducers is the number of
       shuffle blocks; beyond that the block metadata itself becomes the bottleneck);
       AQE then coalesces small partitions to the advisory size and splits skewed ones;
+    The 65,536 cap is physical only: it changes the number of partitions, never the rows.
     * a partition counts as skewed above 4x the median and 1 GB.
     """
     parts = min(65536, max(3 * total_cores, input_bytes // (1 << 30)))
@@ -107,3 +108,15 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, tag: str) -> str:
     """A fresh, unique folder under the shared dir for one run of one job."""
     return f"{shared_dir(spark)}/soukline/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate files that nothing reads any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def saved(df, path: str):
+    """Write ``df`` once and read it back: later uses share the rows, not the work."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,8 +11,9 @@ merge command of a table format that is not available here.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import drop_dir, run_dir, saved
 
 
 def _fs(spark: SparkSession, root: str):
@@ -53,8 +54,13 @@ def read_table_or_none(spark: SparkSession, root: str) -> DataFrame | None:
     return read_table(spark, root) if table_exists(spark, root) else None
 
 
-def write_version(df: DataFrame, root: str, partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as the next version of the table at ``root``; returns its path."""
+def write_version(df: DataFrame, root: str, partition_by: list[str] | None = None,
+                  keep: int | None = None) -> str:
+    """Write ``df`` as the next version of the table at ``root``; returns its path.
+
+    ``keep`` deletes all but the newest versions (at least 2: a reader may still be on
+    the one before); without it every version stays.
+    """
     spark = df.sparkSession
     v = versions(spark, root, committed=False)   # skip past folders of failed writes
     path = f"{root.rstrip('/')}/v{(v[-1] + 1 if v else 1):06d}"
@@ -62,62 +68,105 @@ def write_version(df: DataFrame, root: str, partition_by: list[str] | None = Non
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    if keep is not None:
+        for old in versions(spark, root)[:-max(2, keep)]:
+            drop_dir(spark, f"{root.rstrip('/')}/v{old:06d}")
     return path
 
 
+def _exists(spark: SparkSession, root: str) -> bool:
+    fs, path, _ = _fs(spark, root)
+    return fs.exists(path)
+
+
+def _drop_partitions(values: DataFrame, root: str) -> None:
+    """Delete the folders of the given partition values (one row per partition)."""
+    spark, col = values.sparkSession, values.columns[0]
+    utils = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for row in values.toLocalIterator():
+        drop_dir(spark, f"{root.rstrip('/')}/{utils.getPartitionPathString(col, row[0])}")
+
+
 def merge_partitions(source: DataFrame, root: str, keys: list[str], partition_col: str,
                      merge, stable_keys: bool = False) -> int:
     """Keyed merge into a partitioned table that rewrites only the partitions involved.
 
-    ``root`` is a Parquet table partitioned by ``partition_col``. The partitions to
-    rewrite are those of the source rows plus those that currently hold a source key
-    (found from the key and partition columns alone - a column-pruned scan; skipped with
-    ``stable_keys=True`` when a key can never change partition). Only those partitions
-    are read (semi join on the partition column: partition pruning) and merged with
-    ``merge(target_part, source, keys)``; the result is materialized with a reliable
-    ``checkpoint()`` in the shared checkpoint folder (which also cuts the read of the
-    files the write replaces) and written back with dynamic partition overwrite.
-    Untouched partitions are neither read nor written. Returns 1 if it wrote.
+    ``root`` is a Parquet table partitioned by ``partition_col`` (NULL is a partition
+    like any other). The partitions to rewrite are those of the source rows plus those
+    that hold a source key now (found from the key and partition columns alone; skipped
+    with ``stable_keys=True`` when a key can never change partition). They are read and
+    merged with ``merge(target_part, source, keys)``; the result is first written to the
+    shared folder, then over the old partitions (dynamic partition overwrite), and
+    partitions that end up empty are deleted. The source and the result are computed
+    once. An empty source writes nothing; returns 1 if it wrote.
+
+    Partitions are replaced one after the other: a reader, or a crash, in between sees
+    some old and some new ones. The merge is idempotent, so running it again with the
+    same source (a streaming checkpoint replays the batch) completes the state.
     """
     spark = source.sparkSession
-    fs, path, jvm = _fs(spark, root)
-    if not fs.exists(path):
-        # rebalance: AQE splits a hot partition value over several tasks/files and
-        # packs small ones together, instead of one task per value
-        source.hint("rebalance", partition_col).write.partitionBy(partition_col).parquet(root)
+    work = run_dir(spark, "merge")
+    try:
+        source = saved(source, f"{work}/source")
+        if source.isEmpty():
+            return 0
+        if not _exists(spark, root):
+            # rebalance: AQE splits a hot partition value over several tasks/files and
+            # packs small ones together, instead of one task per value
+            (source.hint("rebalance", partition_col).write
+             .partitionBy(partition_col).parquet(root))
+            return 1
+        table = spark.read.schema(source.schema).parquet(root)
+        touched = source.select(partition_col)
+        if not stable_keys:
+            holding = (table.select(*keys, partition_col)
+                       .join(source.select(*keys), keys, "left_semi").select(partition_col))
+            touched = touched.unionByName(holding)
+        touched = saved(touched.distinct(), f"{work}/touched")
+        target = table.join(touched, partition_col, "left_semi")
+        none = F.col(partition_col).isNull()
+        if not touched.filter(none).isEmpty():
+            target = target.unionByName(table.filter(none))
+        merged = saved(merge(target.select(*source.columns), source, keys), f"{work}/merged")
+        (merged.hint("rebalance", partition_col).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(root))
+        left = merged.select(F.col(partition_col).alias("_left")).distinct()
+        emptied = touched.join(left, touched[partition_col].eqNullSafe(left["_left"]), "left_anti")
+        _drop_partitions(emptied, root)
         return 1
-    shared_dir(spark)            # checkpoint() below needs the shared checkpoint folder
-    table = spark.read.parquet(root)
-    touched = source.select(partition_col)
-    if not stable_keys:
-        holding = (table.select(*keys, partition_col)
-                   .join(source.select(*keys), keys, "left_semi").select(partition_col))
-        touched = touched.unionByName(holding)
-    target = table.join(touched.distinct(), partition_col, "left_semi")
-    merged = merge(target.select(*source.columns), source, keys).checkpoint(eager=True)
-    (merged.hint("rebalance", partition_col).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(root))
-    return 1
+    finally:
+        drop_dir(spark, work)
 
 
 def append_new_keys(source: DataFrame, root: str, keys: list[str],
-                    partition_col: str | None = None) -> int:
+                    partition_col: str | None = None, stable_keys: bool = False) -> int:
     """Insert-only merge by appending: rows whose key the table lacks are appended.
 
-    Existing rows are never rewritten; the existence check reads only the key columns
-    of the table (column pruning). A replay after a committed append finds the keys and
-    appends nothing, so the operation is idempotent. Returns 1 if it wrote.
+    Existing rows are never rewritten. The existence check reads the key columns of the
+    whole table, because a key may stand in any partition; with ``stable_keys=True`` (a
+    key never changes partition) it reads only the partitions of the source rows. A
+    replay after a committed append finds the keys and appends nothing, so the operation
+    is idempotent. An empty source writes nothing; returns 1 if it wrote.
     """
     spark = source.sparkSession
-    fs, path, jvm = _fs(spark, root)
     new = source
-    if fs.exists(path):
-        new = source.join(spark.read.parquet(root).select(*keys), keys, "left_anti")
-    w = new.write.mode("append")
-    if partition_col:
-        w = new.hint("rebalance", partition_col).write.mode("append").partitionBy(partition_col)
-    w.parquet(root)
-    return 1
+    if _exists(spark, root):
+        on = [*keys, partition_col] if stable_keys and partition_col else list(keys)
+        table = spark.read.schema(source.schema).parquet(root)
+        new = source.join(table.select(*on), on, "left_anti")
+    work = run_dir(spark, "append")
+    try:
+        new = saved(new, work)
+        if new.isEmpty():
+            return 0
+        if partition_col:
+            new.hint("rebalance", partition_col).write.mode("append") \
+                .partitionBy(partition_col).parquet(root)
+        else:
+            new.write.mode("append").parquet(root)
+        return 1
+    finally:
+        drop_dir(spark, work)
 
 
 def truncate(spark: SparkSession, root: str) -> str:

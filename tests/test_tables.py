@@ -47,3 +47,53 @@ def test_append_new_keys_is_idempotent(spark):
     append_new_keys(more, root, ["k"], "p")
     append_new_keys(more, root, ["k"], "p")      # replayed batch adds nothing
     assert _rows(spark, root) == [(1, "a", "2024-01"), (2, "b", "2024-02"), (3, "c", "2024-01")]
+
+
+def _merge(spark, root, rows):
+    return merge_partitions(spark.createDataFrame(rows, S), root, ["k"], "p", upsert)
+
+
+def test_lone_row_moves_and_its_old_partition_goes(spark):
+    root = run_dir(spark, "t-lone")
+    _merge(spark, root, [(1, "a", "2024-01"), (2, "b", "2024-02")])
+    _merge(spark, root, [(1, "a2", "2024-02")])
+    assert _rows(spark, root) == [(1, "a2", "2024-02"), (2, "b", "2024-02")]
+
+
+def test_null_partition_keeps_its_rows(spark):
+    root = run_dir(spark, "t-null")
+    _merge(spark, root, [(1, "a", "2024-01"), (2, "b", None)])
+    _merge(spark, root, [(3, "c", None), (1, "d", None)])
+    got = sorted((r.k, r.v, r.p) for r in spark.read.schema(S).parquet(root).collect())
+    assert got == [(1, "d", None), (2, "b", None), (3, "c", None)]
+    _merge(spark, root, [(2, "e", "2024-03"), (3, "f", "2024-03"), (1, "g", "2024-03")])
+    assert _rows(spark, root) == [(1, "g", "2024-03"), (2, "e", "2024-03"), (3, "f", "2024-03")]
+
+
+def test_empty_batches_write_nothing(spark):
+    root = run_dir(spark, "t-empty")
+    assert _merge(spark, root, []) == 0
+    assert append_new_keys(spark.createDataFrame([], S), root, ["k"], "p") == 0
+    assert _merge(spark, root, [(1, "a", "2024-01")]) == 1
+    assert _merge(spark, root, []) == 0
+    assert append_new_keys(spark.createDataFrame([(1, "z", "2024-01"), (5, "e", "2024-01")], S),
+                           root, ["k"], "p", stable_keys=True) == 1
+    assert _rows(spark, root) == [(1, "a", "2024-01"), (5, "e", "2024-01")]
+
+
+def test_merges_leave_no_intermediate_files(spark):
+    import os
+    from soukline.session import shared_dir
+    root = run_dir(spark, "t-clean")
+    base = shared_dir(spark).replace("file:", "") + "/soukline"
+    _merge(spark, root, [(1, "a", "2024-01")])
+    _merge(spark, root, [(1, "b", "2024-02")])
+    assert not [d for d in os.listdir(base) if d.startswith(("merge-", "append-"))]
+
+
+def test_old_versions_can_be_dropped(spark):
+    root = run_dir(spark, "t-keep")
+    for i in range(5):
+        write_version(spark.createDataFrame([(i, "a", "x")], S), root, keep=2)
+    assert versions(spark, root) == [4, 5]
+    assert read_table(spark, root).first().k == 4
