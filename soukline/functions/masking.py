@@ -9,7 +9,7 @@ from ..schemas import PHONE_MASK, PHONE_VISIBLE_FROM, PHONE_VISIBLE_LEN
 
 
 def phone_mask(c: Column | str, last4: bool = False) -> Column:
-    """``'******' + characters 7..10`` of the number (``9876543210 -> ******3210``).
+    """``'******' + characters 7..10`` of the number (``5550104477 -> ******4477``).
 
     Shorter numbers show what exists in that window (a 5-digit number gives
     ``******``); NULL stays NULL. ``last4=True`` shows the last four characters
@@ -25,7 +25,7 @@ def phone_mask(c: Column | str, last4: bool = False) -> Column:
 def email_mask(c: Column | str) -> Column:
     """First character, one ``*`` per hidden character, then everything from ``@``.
 
-    ``ankit.gupta123@gmail.com -> a*************@gmail.com``. A value with no ``@`` or
+    ``m.keller@post.example -> m*******@post.example``. A value with no ``@`` or
     with ``@`` first has no domain to keep and is starred over its whole length, so
     the local part never leaks. NULL stays NULL.
     """

@@ -3,8 +3,8 @@ from .clean import (align_stream_orders, clean_customers, clean_orders, clean_pr
 from .enrich import (enrich_orders, enrich_rates, enrich_weather, fill_rates, fill_weather,
                      flatten_hourly, gap_pairs, geocode_first, join_rate, join_weather,
                      rate_gaps, weather_coverage, weather_description, weather_gaps)
-from .keys import broadcast_if_bounded, dedup_by_key, with_sequential_id
-from .merge import assert_unique, insert_only, scd2, upsert
+from .keys import dedup_by_key, unique_or_error, with_sequential_id
+from .merge import insert_only, scd2, upsert, upsert_latest
 from .star import dim_date, dim_location, dim_products, fact_live, fact_orders_gold
 
 __all__ = [n for n in dir() if not n.startswith("_")]

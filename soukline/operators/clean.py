@@ -18,10 +18,11 @@ def clean_customers(df: DataFrame, mask: bool = True) -> DataFrame:
     """Typed, trimmed, title-cased customers; id and email required; one row per id.
 
     Filters run before the de-duplication so a NULL-email copy can never be the one
-    that survives and make the customer vanish.
+    that survives and make the customer vanish. Of several copies the one with the
+    fewest NULLs stays; ties go to the smallest row.
     """
     out = (df.select(
-        F.col("customer_id").cast("int").alias("customer_id"),
+        F.col("customer_id").cast("long").alias("customer_id"),
         normalize_text("name").alias("name"),
         F.trim(F.col("email")).alias("email"),
         F.col("phone").cast("string").alias("phone"),
@@ -29,14 +30,16 @@ def clean_customers(df: DataFrame, mask: bool = True) -> DataFrame:
         F.trim(F.col("country")).alias("country"),
         F.to_date(F.col("signup_date")).alias("signup_date"))
         .filter(F.col("customer_id").isNotNull() & F.col("email").isNotNull()))
-    out = dedup_by_key(out, ["customer_id"])
+    missing = sum((F.col(c).isNull().cast("int") for c in out.columns), F.lit(0))
+    out = dedup_by_key(out.withColumn("_missing", missing), ["customer_id"],
+                       order_by=["_missing"]).drop("_missing")
     return mask_all_pii(out) if mask else out
 
 
 def clean_products(df: DataFrame) -> DataFrame:
     """Typed, trimmed products with a positive price; one row per id."""
     out = (df.select(
-        F.col("product_id").cast("int").alias("product_id"),
+        F.col("product_id").cast("long").alias("product_id"),
         F.trim(F.col("product_name")).alias("product_name"),
         F.trim(F.col("category")).alias("category"),
         F.col("price").cast(MONEY).alias("price"))
@@ -50,7 +53,8 @@ def normalize_text(c: str):
 
 
 def clean_orders(df: DataFrame, normalize_city: bool = False) -> DataFrame:
-    """Orders with ``order_date``/``order_hour``, an id, a positive amount; one per id.
+    """Orders with ``order_date``/``order_hour``, an id, a positive amount; one per id
+    (the newest by ``order_time``, ties to the largest row).
 
     The order city stays as landed by default (the weather store is keyed on it);
     ``normalize_city=True`` applies the same normaliser as the customer city.
@@ -59,7 +63,7 @@ def clean_orders(df: DataFrame, normalize_city: bool = False) -> DataFrame:
         df = df.withColumn("city", normalize_text("city"))
     out = (with_time_keys(df, "order_time")
            .filter(F.col("order_id").isNotNull() & (F.col("amount") > 0)))
-    return dedup_by_key(out, ["order_id"])
+    return dedup_by_key(out, ["order_id"], order_by=["order_time"], keep="last")
 
 
 def stream_order_rejects(buffer: DataFrame) -> DataFrame:
@@ -69,14 +73,16 @@ def stream_order_rejects(buffer: DataFrame) -> DataFrame:
             .filter(F.col("_ts").isNull() & F.col("timestamp").isNotNull()).drop("_ts"))
 
 
-def align_stream_orders(df: DataFrame, source: str = SOURCE_STREAM) -> DataFrame:
+def align_stream_orders(df: DataFrame, source: str = SOURCE_STREAM,
+                        keep: tuple[str, ...] = ()) -> DataFrame:
     """Stream buffer rows -> the bronze order layout.
 
     ``timestamp`` text becomes a TIMESTAMP ``order_time`` (unparseable text -> NULL
-    rather than failing the job) and the rows are tagged with ``source``.
+    rather than failing the job) and the rows are tagged with ``source``. ``keep``: further
+    columns to carry along.
     """
     cols = {"order_time": parse_ts("timestamp"), "source": F.lit(source)}
-    return df.withColumns(cols).select(*ORDER_COLUMNS)
+    return df.withColumns(cols).select(*ORDER_COLUMNS, *keep)
 
 
 def clean_stream_orders(df: DataFrame) -> DataFrame:

@@ -38,14 +38,15 @@ def weather_description(code: Column | str) -> Column:
 def usd_rates(currency: DataFrame) -> DataFrame:
     """The INR->USD rows only, as (order_date, usd_exchange_rate).
 
-    Filtering the pair first keeps the date join one-to-one even when the stored table
-    holds other currency pairs.
+    Filtering the pair and keeping one rate per day (the largest) keeps the date join
+    one-to-one even when the stored table holds other pairs or repeats a day.
     """
     return (currency
             .filter((F.col("base_currency") == BASE_CURRENCY)
                     & (F.col("target_currency") == TARGET_CURRENCY))
             .select(F.col("rate_date").alias("order_date"),
-                    F.col("exchange_rate").cast(RATE).alias("usd_exchange_rate")))
+                    F.col("exchange_rate").cast(RATE).alias("usd_exchange_rate"))
+            .groupBy("order_date").agg(F.max("usd_exchange_rate").alias("usd_exchange_rate")))
 
 
 # -- order enrichment (left joins keep every order) ---------------------------------
@@ -57,13 +58,10 @@ def join_weather(orders: DataFrame, weather: DataFrame) -> DataFrame:
 def join_rate(orders: DataFrame, currency: DataFrame) -> DataFrame:
     """orders LEFT JOIN the INR->USD rate of the order date; adds usd_exchange_rate.
 
-    The rate side is broadcast: the rate table is keyed on (base, target, rate_date),
-    so after the pair filter it holds at most one row per calendar day - its size is
-    bounded by the span of order dates (36,525 rows for a century), not by the number
-    of orders. Without the hint Spark cannot size a derived rate plan and shuffles the
-    whole order fact on order_date.
+    No hint: a stored rate table has a known size, and Spark broadcasts it below
+    ``spark.sql.autoBroadcastJoinThreshold``.
     """
-    return orders.join(F.broadcast(usd_rates(currency)), "order_date", "left")
+    return orders.join(usd_rates(currency), "order_date", "left")
 
 
 def enrich_orders(orders: DataFrame, weather: DataFrame, currency: DataFrame) -> DataFrame:
@@ -84,11 +82,14 @@ def weather_coverage(fact: DataFrame) -> DataFrame:
 
 # -- gap detection --------------------------------------------------------------------
 def weather_gaps(orders: DataFrame, stored: DataFrame | None) -> DataFrame:
-    """Distinct (city, order_date, order_hour) the orders need that are not stored."""
-    need = with_time_keys(orders, "order_time").select(*WEATHER_KEYS).distinct()
+    """Distinct (city, order_date, order_hour) the orders need that are not stored.
+
+    An order without a city or a time needs nothing: no document could ever fill it.
+    """
+    need = with_time_keys(orders, "order_time").select(*WEATHER_KEYS).dropna().distinct()
     if stored is None:
         return need
-    return need.subtract(stored.select(*WEATHER_KEYS))
+    return need.join(stored.select(*WEATHER_KEYS), WEATHER_KEYS, "left_anti")
 
 
 def gap_pairs(gaps: DataFrame) -> DataFrame:
@@ -99,11 +100,11 @@ def gap_pairs(gaps: DataFrame) -> DataFrame:
 def rate_gaps(orders: DataFrame, stored: DataFrame | None) -> DataFrame:
     """Order dates with no stored INR->USD rate, as ``rate_date``."""
     need = (with_time_keys(orders, "order_time")
-            .select(F.col("order_date").alias("rate_date")).distinct())
+            .select(F.col("order_date").alias("rate_date")).dropna().distinct())
     if stored is None:
         return need
     have = usd_rates(stored).select(F.col("order_date").alias("rate_date"))
-    return need.subtract(have)
+    return need.join(have, "rate_date", "left_anti")
 
 
 # -- payload parsing --------------------------------------------------------------------

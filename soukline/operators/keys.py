@@ -1,4 +1,4 @@
-"""Key helpers: deterministic de-duplication, sequential surrogate ids, guarded broadcast."""
+"""Key helpers: deterministic de-duplication, sequential surrogate ids, uniqueness."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import run_dir, saved
+
 
 def dedup_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (),
                  keep: str = "first") -> DataFrame:
@@ -32,13 +34,16 @@ def with_sequential_id(df: DataFrame, order_cols: Sequence[str], id_col: str,
                        start=1) -> DataFrame:
     """Add ``id_col`` = start, start+1, ... in ``order_cols`` order, without one big task.
 
-    Rows are range-partitioned on the ordering, numbered inside each range partition,
-    and shifted by the running size of the partitions before it. Only the per-partition
-    counts (one row per partition) meet in a single task. ``start`` is an int or a
-    one-row DataFrame column expression result already collected by the caller.
+    The rows are range-partitioned on the ordering and written once with their partition
+    number to the shared folder; both the sizes of the partitions and the ids come from
+    those files. (Two range partitionings of one frame may sample different bounds.)
+    Rows are numbered inside each range partition and shifted by the running size of the
+    partitions before it; only those sizes, one row per partition, meet in one task.
+    Rows with equal ``order_cols`` are numbered in an arbitrary order.
     """
-    order_cols = list(order_cols)
-    ranged = df.repartitionByRange(*order_cols).withColumn("_part", F.spark_partition_id())
+    spark, order_cols = df.sparkSession, list(order_cols)
+    ranged = saved(df.repartitionByRange(*order_cols)
+                   .withColumn("_part", F.spark_partition_id()), run_dir(spark, "ids"))
     local = ranged.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_part").orderBy(*order_cols)))
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
@@ -48,17 +53,19 @@ def with_sequential_id(df: DataFrame, order_cols: Sequence[str], id_col: str,
     # offsets has one row per shuffle partition: a bounded broadcast
     out = local.join(F.broadcast(offsets), "_part")
     return (out.withColumn(id_col, (F.col("_offset") + F.col("_local") + F.lit(start) - 1)
-                           .cast("int"))
+                           .cast("long"))
             .drop("_part", "_local", "_offset"))
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only when the side is proven to hold at most ``max_rows`` rows.
-
-    The proof is ``limit(max_rows + 1).count()`` - a job that stops reading after
-    ``max_rows + 1`` rows. Beyond the bound the DataFrame is returned as is and Spark
-    (with AQE) plans a shuffle join. Meant for stored dimension tables, where the check
-    costs one short scan.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def unique_or_error(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` unchanged; the plan raises when a key (no part NULL) occurs twice."""
+    keys = list(keys)
+    complete = F.lit(True)
+    for k in keys:
+        complete = complete & F.col(k).isNotNull()
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    message = f"more than one source row for a key of {keys}"
+    checked = (df.filter(complete).withColumn("_n", n)
+               .filter(F.when(F.col("_n") > 1, F.raise_error(F.lit(message)).cast("boolean"))
+                       .otherwise(True)).drop("_n"))
+    return checked.unionByName(df.filter(~complete))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timekeys import date_lit
-from .keys import dedup_by_key
+from .keys import dedup_by_key, unique_or_error
 
 
 def _same_columns(target: DataFrame, source: DataFrame) -> None:
@@ -42,10 +42,10 @@ def insert_only(target: DataFrame | None, source: DataFrame, keys: Sequence[str]
 def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Matched target rows are replaced by the source row; the rest is inserted.
 
-    The source must be unique on ``keys`` (the cleaning operators guarantee it; use
-    :func:`assert_unique` to check a foreign source).
+    A source with two rows for one key is an error, raised when the plan runs.
     """
     keys = list(keys)
+    source = unique_or_error(source, keys)
     if target is None:
         return source
     _same_columns(target, source)
@@ -53,13 +53,15 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) ->
     return kept.unionByName(source)
 
 
-def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Raise if any key occurs twice (one aggregate job; returns ``df`` unchanged)."""
-    keys = list(keys)
-    dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    if not dup.isEmpty():
-        raise ValueError(f"source is not unique on {keys}")
-    return df
+def upsert_latest(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
+                  order_by: Sequence[str] = ()) -> DataFrame:
+    """Of all rows of a key, stored or incoming, the latest by ``order_by`` stays.
+
+    Ties go to the largest row. The rule doesn't depend on which rows arrive together,
+    so any cutting of a stream into batches, and any replay, gives the same table.
+    """
+    rows = source if target is None else target.unionByName(source)
+    return dedup_by_key(rows, keys, order_by=order_by, keep="last")
 
 
 def scd2(existing: DataFrame | None, incoming: DataFrame, key: str = "customer_id",
@@ -74,9 +76,11 @@ def scd2(existing: DataFrame | None, incoming: DataFrame, key: str = "customer_i
     * other attribute changes neither version nor update; keys missing from the
       incoming snapshot stay current; rerunning with the same snapshot is a no-op.
 
-    History rows pass through untouched. The incoming snapshot must be unique on key.
+    History rows pass through untouched. Two incoming rows for one key are an error,
+    raised when the plan runs.
     """
     d = date_lit(as_of)
+    incoming = unique_or_error(incoming, [key])
     attrs = [c for c in incoming.columns]
     if existing is None:
         return incoming.select(*attrs, d.alias("start_date"),

@@ -1,4 +1,9 @@
-"""Gold star schema: date, location and product dimensions and the order facts."""
+"""Gold star schema: date, location and product dimensions and the order facts.
+
+The fact joins carry no broadcast hints: the dimensions are stored tables, so Spark
+knows their size in bytes and broadcasts those below
+``spark.sql.autoBroadcastJoinThreshold``; larger ones are shuffled.
+"""
 
 from __future__ import annotations
 
@@ -11,13 +16,22 @@ from ..schemas import DEFAULT_COUNTRY, GOLD_FACT_COLUMNS, LIVE_FACT_COLUMNS
 from .keys import with_sequential_id
 
 
+MAX_DAYS = 200 * 366      # a longer span of order dates means a wrong date, not history
+
+
 def dim_date(orders: DataFrame, date_col: str = "order_date") -> DataFrame:
     """One row per day from the first to the last order date (13 attributes).
 
     min and max come from one aggregate; the day list is generated from that single
-    row with ``sequence`` - no value goes through the driver. No orders, no rows.
+    row with ``sequence`` - no value goes through the driver. No orders, no rows. Dates
+    more than ``MAX_DAYS`` apart are an error, raised when the plan runs.
     """
-    bounds = orders.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
+    span = F.datediff(F.max(date_col), F.min(date_col))
+    bounds = (orders.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"),
+                         span.alias("days"))
+              .filter(F.when(F.col("days") > MAX_DAYS, F.raise_error(F.lit(
+                  f"order dates are more than {MAX_DAYS} days apart")).cast("boolean"))
+                  .otherwise(True)))
     days = bounds.select(
         F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("d"))
     return days.select(*date_attributes("d"))
@@ -48,9 +62,8 @@ def dim_products(products: DataFrame, as_of=None) -> DataFrame:
 
 
 def _dates(dates: DataFrame) -> DataFrame:
-    """Date dimension as a join side, broadcast: one row per calendar day (keyed on the
-    date), so it is bounded by the date span, not by the number of orders."""
-    return F.broadcast(dates.select(F.col("full_date").alias("order_date"), "date_id"))
+    """Date dimension as a join side (stored, so Spark knows its size)."""
+    return dates.select(F.col("full_date").alias("order_date"), "date_id")
 
 
 def fact_orders_gold(fact: DataFrame, dates: DataFrame, locations: DataFrame) -> DataFrame:

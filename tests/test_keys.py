@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
-from soukline.operators import broadcast_if_bounded, dedup_by_key, with_sequential_id
+import pytest
+from soukline.operators import dedup_by_key, unique_or_error, with_sequential_id
 
 
 def test_dedup_hot_key_is_deterministic(spark):
@@ -30,9 +31,27 @@ def test_sequential_id_dense_and_ordered(spark):
     assert sorted(r.location_id for r in shifted.collect()) == list(range(11, 18))
 
 
-def test_broadcast_if_bounded(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    j = spark.range(100).join(broadcast_if_bounded(small, 100), "id")
-    assert "BroadcastHashJoin" in j._jdf.queryExecution().executedPlan().toString()
-    assert broadcast_if_bounded(big, 100) is big
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_sequential_id_of_wide_rows(spark, reuse):
+    # two columns and many rows: sizes and ids must come from one range partitioning
+    n = 300_000
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        df = spark.range(n).select((F.col("id") * 7919 % 1000).alias("a"), F.col("id").alias("b"),
+                                   F.repeat(F.lit("x"), 40).alias("c"))
+        out = with_sequential_id(df.repartition(16), ["a", "b"], "rank")
+        got = out.agg(F.count("*").alias("n"), F.countDistinct("rank").alias("d"),
+                      F.min("rank").alias("lo"), F.max("rank").alias("hi")).first()
+        assert tuple(got) == (n, n, 1, n)
+        one = out.filter("a = 500").agg(F.min("rank"), F.max("rank"), F.count("*")).first()
+        assert one[1] - one[0] + 1 == one[2]
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+def test_unique_or_error(spark):
+    ok = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (None, "d")], "k int, v string")
+    assert unique_or_error(ok, ["k"]).count() == 4
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    with pytest.raises(Exception, match="more than one source row"):
+        unique_or_error(twice, ["k"]).collect()

@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from soukline.operators import assert_unique, insert_only, scd2, upsert
+from soukline.operators import insert_only, scd2, upsert, upsert_latest
 
 SCHEMA = "k int, v string"
 
@@ -34,11 +34,20 @@ def test_upsert_rejects_different_columns(spark):
         upsert(t, s, ["k"])
 
 
-def test_assert_unique(spark):
-    ok = spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA)
-    assert assert_unique(ok, ["k"]) is ok
-    with pytest.raises(ValueError):
-        assert_unique(spark.createDataFrame([(1, "a"), (1, "b")], SCHEMA), ["k"])
+def test_duplicate_source_keys_raise(spark):
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], SCHEMA)
+    target = spark.createDataFrame([(1, "z")], SCHEMA)
+    with pytest.raises(Exception, match="more than one source row"):
+        upsert(target, twice, ["k"]).collect()
+
+
+def test_upsert_latest_does_not_depend_on_batches(spark):
+    rows = [(1, "a"), (1, "c"), (2, "x"), (1, "b"), (2, "w")]
+    one = upsert_latest(None, spark.createDataFrame(rows, SCHEMA), ["k"])
+    many = None
+    for r in rows:
+        many = upsert_latest(many, spark.createDataFrame([r], SCHEMA), ["k"])
+    assert sorted(one.collect()) == sorted(many.collect()) == [(1, "c"), (2, "x")]
 
 
 def test_insert_only(spark):
