@@ -17,11 +17,6 @@ from ..operators.enrich import weather_description
 from ..schemas import MONEY, RATE, SOURCE_BATCH
 
 
-# Schemas of the input files already read in this process: later scans pass them
-# instead of inferring them again from the Parquet footers.
-_FILE_SCHEMAS: dict[str, object] = {}
-
-
 class Fixtures:
     """Bronze-shaped fixture DataFrames over one scale-factor directory."""
 
@@ -32,12 +27,7 @@ class Fixtures:
     def table(self, name: str) -> DataFrame:
         """One scan relation per table and fixture set."""
         if name not in self._tables:
-            path = f"{self.sf_dir}/{name}.parquet"
-            known = _FILE_SCHEMAS.get(path)
-            df = (self.spark.read.schema(known) if known is not None
-                  else self.spark.read).parquet(path)
-            _FILE_SCHEMAS.setdefault(path, df.schema)
-            self._tables[name] = df
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._tables[name]
 
     # -- bronze batch ----------------------------------------------------------------
@@ -52,9 +42,9 @@ class Fixtures:
         amt = F.col("o_totalprice").cast(MONEY)
         return (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
                 .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-                .select(k.cast("int").alias("order_id"),
-                        F.col("o_custkey").cast("int").alias("customer_id"),
-                        (k % 200).cast("int").alias("product_id"),
+                .select(k.cast("long").alias("order_id"),
+                        F.col("o_custkey").cast("long").alias("customer_id"),
+                        (k % 200).cast("long").alias("product_id"),
                         F.when(k % 97 == 0, -amt).otherwise(amt).alias("amount"),
                         F.lit("INR").alias("currency"),
                         F.col("n_name").alias("city"),
@@ -75,9 +65,9 @@ class Fixtures:
         e = events.filter(F.col("event_type") == "purchase")
         return (e.join(c, F.col("user_id") == F.col("c_custkey"))
                 .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-                .select((F.col("event_id") * 2).cast("int").alias("order_id"),
-                        F.col("user_id").cast("int").alias("customer_id"),
-                        (F.col("event_id") % 200).cast("int").alias("product_id"),
+                .select((F.col("event_id") * 2).cast("long").alias("order_id"),
+                        F.col("user_id").cast("long").alias("customer_id"),
+                        (F.col("event_id") % 200).cast("long").alias("product_id"),
                         F.col("value").cast(MONEY).alias("amount"),
                         F.lit("INR").alias("currency"),
                         F.col("n_name").alias("city"),
@@ -94,7 +84,7 @@ class Fixtures:
         return (c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
                 .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
                 .withColumn("copy", F.explode(copies))
-                .select(k.cast("int").alias("customer_id"),
+                .select(k.cast("long").alias("customer_id"),
                         F.expr("concat('  ', lower(replace(c_name, '#', ' ')), ' ')")
                         .alias("name"),
                         F.when(k % 41 == 0, F.lit(None).cast("string"))
@@ -112,19 +102,19 @@ class Fixtures:
         k = F.col("p_partkey")
         price = F.col("p_retailprice").cast(MONEY)
         return self.table("part").select(
-            k.cast("int").alias("product_id"),
+            k.cast("long").alias("product_id"),
             F.concat(F.lit(" "), F.col("p_name"), F.lit(" ")).alias("product_name"),
             F.col("p_type").alias("category"),
             F.when(k % 50 == 0, F.lit(0).cast(MONEY)).otherwise(price).alias("price"))
 
     @cached_property
     def products_changes(self) -> DataFrame:
-        """fx_products_changes: new prices for every third id plus new ids."""
+        """fx_products_changes: new prices for every third id plus new (negative) ids."""
         p = self.products
         changed = p.filter(F.col("product_id") % 3 == 0).withColumn(
             "price", F.round(F.col("price") * F.lit(1.1).cast("decimal(2,1)"), 2).cast(MONEY))
         added = p.filter(F.col("product_id") % 5 == 0).withColumn(
-            "product_id", F.col("product_id") + 1000000)
+            "product_id", -F.col("product_id") - 1)
         return changed.unionByName(added)
 
     @cached_property
@@ -135,7 +125,7 @@ class Fixtures:
             "name": F.when(k % 11 == 0, F.concat("name", F.lit("x"))).otherwise(F.col("name")),
             "city": F.when(k % 19 == 0, F.lit(None).cast("string"))
                      .when(k % 7 == 0, F.lit("moved")).otherwise(F.col("city"))})
-        new = c.filter(k % 17 == 0).withColumn("customer_id", k + 1000000)
+        new = c.filter(k % 17 == 0).withColumn("customer_id", -k - 1)
         return nxt.unionByName(new)
 
     # -- enrichment stores ------------------------------------------------------------
@@ -149,14 +139,11 @@ class Fixtures:
     def weather(self) -> DataFrame:
         """fx_weather: 24 hourly rows per (city, date) except days divisible by 7."""
         n = self.table("nation").select("n_nationkey", "n_name")
-        hours = (self.table("orders").select((F.col("o_orderkey") % 24).cast("int")
-                                             .alias("order_hour")).distinct())
         day, h, nk = F.dayofmonth("order_date"), F.col("order_hour"), F.col("n_nationkey")
         code = ((nk * 7 + day * 3 + h) % 100).cast("int")
         return (self._order_dates().join(n, F.col("city") == F.col("n_name"))
                 .filter(day % 7 != 0)
                 .withColumn("order_hour", F.explode(F.sequence(F.lit(0), F.lit(23))))
-                .join(hours, "order_hour", "left_semi")
                 .select("city", "order_date", "order_hour",
                         ((nk * 3 + day + h) % 40).cast("double").alias("temperature"),
                         code.alias("weather_code"),
@@ -218,28 +205,28 @@ class Fixtures:
 # ---------------------------------------------------------------------------------
 FIXTURE_SQL = {
     "fx_orders": """
-SELECT CAST(o.o_orderkey AS INT) AS order_id, CAST(o.o_custkey AS INT) AS customer_id,
-  CAST(o.o_orderkey % 200 AS INT) AS product_id,
+SELECT CAST(o.o_orderkey AS BIGINT) AS order_id, CAST(o.o_custkey AS BIGINT) AS customer_id,
+  CAST(o.o_orderkey % 200 AS BIGINT) AS product_id,
   CASE WHEN o.o_orderkey % 97 = 0 THEN -CAST(o.o_totalprice AS DECIMAL(18,2)) ELSE CAST(o.o_totalprice AS DECIMAL(18,2)) END AS amount,
   'INR' AS currency, n.n_name AS city,
   CAST(concat(CAST(CAST(o.o_orderdate AS DATE) AS STRING), ' ', lpad(CAST(o.o_orderkey % 24 AS STRING), 2, '0'), ':15:00') AS TIMESTAMP) AS order_time,
   'batch_csv' AS source
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey""",
     "fx_stream_orders": """
-SELECT CAST(e.event_id * 2 AS INT) AS order_id, CAST(e.user_id AS INT) AS customer_id,
-  CAST(e.event_id % 200 AS INT) AS product_id, CAST(e.value AS DECIMAL(18,2)) AS amount,
+SELECT CAST(e.event_id * 2 AS BIGINT) AS order_id, CAST(e.user_id AS BIGINT) AS customer_id,
+  CAST(e.event_id % 200 AS BIGINT) AS product_id, CAST(e.value AS DECIMAL(18,2)) AS amount,
   'INR' AS currency, n.n_name AS city, substr(CAST(e.ts AS STRING), 1, 19) AS timestamp
 FROM events e JOIN customer c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
 WHERE e.event_type = 'purchase'""",
     "fx_customers": """
-SELECT CAST(c.c_custkey AS INT) AS customer_id, concat('  ', lower(replace(c.c_name, '#', ' ')), ' ') AS name,
+SELECT CAST(c.c_custkey AS BIGINT) AS customer_id, concat('  ', lower(replace(c.c_name, '#', ' ')), ' ') AS name,
   CASE WHEN c.c_custkey % 41 = 0 THEN NULL ELSE concat('user', CAST(c.c_custkey AS STRING), '@example.com') END AS email,
   CAST(9000000000 + c.c_custkey AS STRING) AS phone, concat(lower(n.n_name), ' ') AS city, r.r_name AS country,
   CAST('2020-01-01' AS DATE) + CAST(c.c_custkey % 365 AS INT) AS signup_date
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
 JOIN (SELECT 0 AS copy UNION ALL SELECT 1) d ON d.copy = 0 OR c.c_custkey % 10 = 0""",
     "fx_products": """
-SELECT CAST(p_partkey AS INT) AS product_id, concat(' ', p_name, ' ') AS product_name, p_type AS category,
+SELECT CAST(p_partkey AS BIGINT) AS product_id, concat(' ', p_name, ' ') AS product_name, p_type AS category,
   CASE WHEN p_partkey % 50 = 0 THEN CAST(0 AS DECIMAL(18,2)) ELSE CAST(p_retailprice AS DECIMAL(18,2)) END AS price
 FROM part""",
     "fx_wmo": """
@@ -257,7 +244,7 @@ SELECT p.city AS city, p.order_date AS order_date, h.order_hour AS order_hour,
 FROM (SELECT DISTINCT city, CAST(order_time AS DATE) AS order_date FROM fx_orders
       UNION SELECT DISTINCT city, CAST(CAST(timestamp AS TIMESTAMP) AS DATE) FROM fx_stream_orders) p
 JOIN nation n ON p.city = n.n_name
-CROSS JOIN (SELECT DISTINCT CAST(o_orderkey % 24 AS INT) AS order_hour FROM orders) h
+CROSS JOIN (SELECT CAST(unnest(range(24)) AS INT) AS order_hour) h
 LEFT JOIN fx_wmo w ON w.code = (n.n_nationkey * 7 + day(p.order_date) * 3 + h.order_hour) % 100
 WHERE day(p.order_date) % 7 <> 0""",
     "fx_currency": """
@@ -268,10 +255,10 @@ FROM (SELECT DISTINCT CAST(order_time AS DATE) AS order_date FROM fx_orders
 WHERE day(p.order_date) % 10 <> 0""",
     "fx_products_changes": """
 SELECT product_id, product_name, category, CAST(round(price * 1.1, 2) AS DECIMAL(18,2)) AS price FROM fx_products WHERE product_id % 3 = 0
-UNION ALL SELECT product_id + 1000000, product_name, category, price FROM fx_products WHERE product_id % 5 = 0""",
+UNION ALL SELECT -product_id - 1, product_name, category, price FROM fx_products WHERE product_id % 5 = 0""",
     "fx_customers_next": """
 SELECT customer_id, CASE WHEN customer_id % 11 = 0 THEN concat(name, 'x') ELSE name END AS name, email, phone,
   CASE WHEN customer_id % 19 = 0 THEN NULL WHEN customer_id % 7 = 0 THEN 'moved' ELSE city END AS city, country, signup_date
 FROM fx_customers WHERE customer_id % 13 <> 0
-UNION ALL SELECT customer_id + 1000000, name, email, phone, city, country, signup_date FROM fx_customers WHERE customer_id % 17 = 0""",
+UNION ALL SELECT -customer_id - 1, name, email, phone, city, country, signup_date FROM fx_customers WHERE customer_id % 17 = 0""",
 }

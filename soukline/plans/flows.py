@@ -6,9 +6,13 @@ copy-on-write versions; the two order facts are Parquet tables partitioned by or
 month and merged partition by partition (``merge_partitions``), so a run that brings
 one day of orders rewrites one month, not the whole history.
 
-Joins against stored dimensions broadcast them only after ``broadcast_if_bounded``
-has proven their row count; above the bound Spark plans a shuffle join (with AQE skew
-splitting) instead.
+All tables are stored, so Spark knows their size in bytes and broadcasts a join side only
+below ``spark.sql.autoBroadcastJoinThreshold``; above, it plans a shuffle join (with AQE
+skew splitting). Bronze orders, the weather store and the facts are partitioned by order
+month: a run over some months reads and rewrites these partitions alone.
+
+The stream jobs work on the same lake: ``merge_stream_orders`` adds the buffered orders to
+bronze, ``stream_to_silver`` keeps the enriched stream fact, ``silver_to_live`` the live one.
 """
 
 from __future__ import annotations
@@ -19,18 +23,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as op
-from ..functions.timekeys import with_lineage
-from ..schemas import (BRONZE_CUSTOMERS, BRONZE_ORDERS, BRONZE_PRODUCTS, CURRENCY,
+from ..functions.timekeys import ts_lit, with_lineage
+from ..schemas import (BRONZE_CUSTOMERS, BRONZE_ORDERS, BRONZE_PRODUCTS, BUFFER_SCHEMA, CURRENCY,
                        SOURCE_BATCH, WEATHER)
 from ..session import ensure_conf
 from ..sources.files import csv_scan
-from ..sources.tables import (merge_partitions, read_table, read_table_or_none,
-                              write_version)
+from ..sources.tables import (append_new_keys, merge_partitions, read_table,
+                              read_table_or_none, write_version)
 
-# Row bounds under which a stored dimension is broadcast (a day per row for 270
-# years; cities; products of a large catalogue).
-MAX_BROADCAST_ROWS = {"dim_date": 100_000, "dim_location": 1_000_000,
-                      "dim_products": 2_000_000, "currency": 100_000}
 MONTH = "order_month"
 
 
@@ -56,13 +56,19 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
 # -- 01: CSV -> bronze ------------------------------------------------------------------
 def ingest_csv(spark: SparkSession, lake: LakePaths, csv_dirs: dict[str, str],
                as_of=None) -> None:
-    """Declared-schema CSV scans + lineage columns -> a new version of each bronze table."""
+    """Declared-schema CSV scans + lineage columns -> the bronze tables.
+
+    Customers and products become a new version; orders are appended, by month, to those
+    already there (stream orders among them), a known order id being skipped.
+    """
     ensure_conf(spark)
-    schemas = {"customers": BRONZE_CUSTOMERS, "products": BRONZE_PRODUCTS,
-               "orders": BRONZE_ORDERS}
-    for name, schema in schemas.items():
+    for name, schema in (("customers", BRONZE_CUSTOMERS), ("products", BRONZE_PRODUCTS)):
         df = with_lineage(csv_scan(spark, csv_dirs[name], schema=schema), SOURCE_BATCH, as_of)
         write_version(df, lake("bronze", name))
+    orders = with_lineage(csv_scan(spark, csv_dirs["orders"], schema=BRONZE_ORDERS),
+                          SOURCE_BATCH, as_of)
+    append_new_keys(with_month(orders, "order_time"), lake("bronze", "orders"), ["order_id"],
+                    MONTH)
 
 
 def ingest_csv_incremental(spark: SparkSession, lake: LakePaths, name: str, csv_dir: str,
@@ -102,24 +108,30 @@ def read_weather(spark: SparkSession, lake: LakePaths) -> DataFrame | None:
 
 # -- enrichment run ----------------------------------------------------------------------
 def enrich_stores(spark: SparkSession, lake: LakePaths, orders: DataFrame,
-                  weather_docs: DataFrame, rate_docs: DataFrame) -> dict[str, int]:
+                  weather_docs: DataFrame, rate_docs: DataFrame, as_of=None,
+                  months: list[str] | None = None) -> dict[str, int]:
     """Fill the stored weather and rate tables for whatever the orders still miss.
 
-    The gap checks run every time (cheap anti joins); a store is rewritten only when
-    its gap is not empty.
+    The gap checks run every time (cheap anti joins, on the given months of the store); a
+    store is rewritten only when its gap is not empty. New rows carry ``fetched_at``.
     """
     wpath, rpath = lake("bronze", "weather"), lake("bronze", "currency")
     stored_w, stored_r = read_weather(spark, lake), read_table_or_none(spark, rpath)
+    if stored_w is not None:
+        stored_w = _months(stored_w, months)
     written = {"weather": 0, "currency": 0}
     gaps = op.weather_gaps(orders, stored_w)
     if not gaps.isEmpty():
         # the weather store is partitioned by month: only the gap months are written
-        filled = with_month(op.fill_weather(op.gap_pairs(gaps), weather_docs))
+        filled = with_month(op.fill_weather(op.gap_pairs(gaps), weather_docs)).withColumn(
+            "fetched_at", ts_lit(as_of))
         merge_partitions(filled, wpath, op.enrich.WEATHER_KEYS, MONTH, op.upsert,
                          stable_keys=True)
         written["weather"] = 1
     if not op.rate_gaps(orders, stored_r).isEmpty():
-        write_version(op.enrich_rates(orders, stored_r, rate_docs), rpath)
+        filled = op.fill_rates(op.rate_gaps(orders, stored_r), rate_docs).withColumn(
+            "fetched_at", ts_lit(as_of))
+        write_version(op.upsert(stored_r, filled, op.enrich.RATE_KEYS), rpath)
         written["currency"] = 1
     return written
 
@@ -131,7 +143,8 @@ def _months(df: DataFrame, months: list[str] | None, col: str = MONTH) -> DataFr
 
 
 def bronze_to_silver(spark: SparkSession, lake: LakePaths, weather_docs: DataFrame,
-                     rate_docs: DataFrame, months: list[str] | None = None) -> None:
+                     rate_docs: DataFrame, months: list[str] | None = None,
+                     as_of=None) -> None:
     """Silver dimensions and the enriched order fact.
 
     ``months`` (e.g. ``["2024-01"]``) makes the run incremental: only orders of those
@@ -139,9 +152,9 @@ def bronze_to_silver(spark: SparkSession, lake: LakePaths, weather_docs: DataFra
     rewritten. ``None`` reprocesses every order (the first run, or a backfill).
     """
     ensure_conf(spark)
-    orders = read_table(spark, lake("bronze", "orders")).drop("ingested_at")
-    orders = _months(with_month(orders, "order_time"), months).drop(MONTH)
-    enrich_stores(spark, lake, orders, weather_docs, rate_docs)
+    orders = _months(spark.read.parquet(lake("bronze", "orders")), months)
+    orders = orders.drop("ingested_at", MONTH)
+    enrich_stores(spark, lake, orders, weather_docs, rate_docs, as_of, months)
 
     for name, cleaner, key in (("customers", op.clean_customers, "customer_id"),
                                ("products", op.clean_products, "product_id")):
@@ -152,7 +165,6 @@ def bronze_to_silver(spark: SparkSession, lake: LakePaths, weather_docs: DataFra
     # only the months being processed are read (partition pruning on the store)
     weather = _months(read_weather(spark, lake), months).select(*WEATHER.fieldNames())
     currency = read_table(spark, lake("bronze", "currency")).select(*CURRENCY.fieldNames())
-    currency = op.broadcast_if_bounded(currency, MAX_BROADCAST_ROWS["currency"])
     fact = op.enrich_orders(op.clean_orders(orders), weather, currency)
     merge_partitions(with_month(fact), lake("silver", "fact_orders"), ["order_id"], MONTH,
                      op.upsert)
@@ -182,14 +194,77 @@ def silver_to_gold(spark: SparkSession, lake: LakePaths, as_of=None,
     write_version(op.scd2(read_table_or_none(spark, cpath), customers, as_of=as_of_date),
                   cpath)
 
-    dates = op.broadcast_if_bounded(read_table(spark, dpath), MAX_BROADCAST_ROWS["dim_date"])
-    locs = op.broadcast_if_bounded(read_table(spark, lpath),
-                                   MAX_BROADCAST_ROWS["dim_location"])
+    dates, locs = read_table(spark, dpath), read_table(spark, lpath)
     gold = op.fact_orders_gold(fact, dates, locs)
     merge_partitions(with_month(gold), lake("gold", "fact_orders"), ["order_id"], MONTH,
                      op.upsert)
 
 
+# -- stream orders on the same lake ---------------------------------------------------------
+def buffer_stream(spark: SparkSession, lake: LakePaths,
+                  max_files_per_trigger: int | None = None) -> DataFrame:
+    """The buffer table of parsed stream orders as a stream (bounded batches on request)."""
+    r = spark.readStream.schema(BUFFER_SCHEMA)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.parquet(lake("bronze", "streaming_orders"))
+
+
+def land_messages(spark: SparkSession, lake: LakePaths, messages: DataFrame,
+                  as_of=None) -> None:
+    """Order messages (``body``) -> the buffer table, those cleaning drops -> a side table."""
+    from ..streaming.ingest import await_done, parse_orders, rejected_messages, start_append
+    for name, df in (("streaming_orders", parse_orders(messages, as_of=as_of)),
+                     ("streaming_rejects", rejected_messages(messages, as_of=as_of))):
+        await_done(start_append(df, lake("bronze", name), lake("_checkpoints", name)))
+
+
+def merge_stream_orders(spark: SparkSession, lake: LakePaths,
+                        max_files_per_trigger: int | None = None) -> None:
+    """Buffered stream orders with a new id -> bronze orders; the checkpoint is the drain."""
+    from ..streaming.ingest import await_done, start_insert_only
+    ensure_conf(spark)
+    rows = op.align_stream_orders(buffer_stream(spark, lake, max_files_per_trigger),
+                                  keep=("ingested_at",))
+    await_done(start_insert_only(with_month(rows, "order_time"), lake("bronze", "orders"),
+                                 ["order_id"], lake("_checkpoints", "merge_orders"),
+                                 partition_col=MONTH))
+
+
+def stream_to_silver(spark: SparkSession, lake: LakePaths, weather_docs: DataFrame,
+                     rate_docs: DataFrame, as_of=None,
+                     max_files_per_trigger: int | None = None) -> None:
+    """Buffered stream orders -> the enriched stream fact; each batch first fills what the
+    weather and rate stores miss for its orders."""
+    from ..streaming.ingest import await_done, start_upsert
+    ensure_conf(spark)
+
+    def enrich(batch: DataFrame) -> DataFrame:
+        orders = op.clean_orders(op.align_stream_orders(batch))
+        enrich_stores(batch.sparkSession, lake, orders, weather_docs, rate_docs, as_of)
+        weather = read_weather(spark, lake).select(*WEATHER.fieldNames())
+        currency = read_table(spark, lake("bronze", "currency")).select(*CURRENCY.fieldNames())
+        return with_month(op.enrich_orders(orders, weather, currency))
+
+    await_done(start_upsert(buffer_stream(spark, lake, max_files_per_trigger),
+                            lake("silver", "fact_streaming_orders"), ["order_id"],
+                            lake("_checkpoints", "silver_stream"), partition_col=MONTH,
+                            transform=enrich, order_by=["order_time"]))
+
+
+def silver_to_live(spark: SparkSession, lake: LakePaths, as_of=None,
+                   months: list[str] | None = None) -> None:
+    """The stored stream fact + the gold dimensions -> the live fact (of some months)."""
+    ensure_conf(spark)
+    fact = _months(spark.read.parquet(lake("silver", "fact_streaming_orders")), months)
+    dims = {n: read_table(spark, lake("gold", n))
+            for n in ("dim_products", "dim_location", "dim_date")}
+    live = op.fact_live(fact.drop(MONTH), dims["dim_products"], dims["dim_location"],
+                        dims["dim_date"], as_of=as_of)
+    merge_partitions(with_month(live), lake("gold", "fact_streaming_orders"), ["order_id"],
+                     MONTH, op.upsert)
+
+
 def gold_tables(spark: SparkSession, lake: LakePaths) -> dict[str, DataFrame]:
     """The gold star schema as DataFrames (for reports and dashboards)."""
     out = {n: read_table(spark, lake("gold", n))

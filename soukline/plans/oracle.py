@@ -16,6 +16,7 @@ from .fixtures import FIXTURE_SQL
 AS_OF_TS = "2024-02-01 00:00:00"
 AS_OF_DATE = "2024-02-01"
 SCD2_START = "2024-01-01"
+KPI_DAY = "2024-01-10"
 
 
 def _initcap(x: str) -> str:
@@ -53,10 +54,12 @@ def _clean_customers(src: str) -> str:
     return f"""
 SELECT customer_id, name, {_email_mask('email')} AS email, {_phone_mask('phone')} AS phone,
   city, country, signup_date
-FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY name NULLS FIRST,
+FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY
+        (name IS NULL)::INT + (email IS NULL)::INT + (phone IS NULL)::INT + (city IS NULL)::INT
+        + (country IS NULL)::INT + (signup_date IS NULL)::INT, name NULLS FIRST,
         email NULLS FIRST, phone NULLS FIRST, city NULLS FIRST, country NULLS FIRST,
         signup_date NULLS FIRST) AS rn
-      FROM (SELECT CAST(customer_id AS INT) AS customer_id, trim({_initcap('lower(name)')}) AS name,
+      FROM (SELECT CAST(customer_id AS BIGINT) AS customer_id, trim({_initcap('lower(name)')}) AS name,
               trim(email) AS email, CAST(phone AS VARCHAR) AS phone,
               trim({_initcap('lower(city)')}) AS city, trim(country) AS country,
               CAST(signup_date AS DATE) AS signup_date FROM {src}) t
@@ -64,12 +67,22 @@ FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY name NULLS
 WHERE rn = 1"""
 
 
+def with_gaps_sql() -> str:
+    """Customers beside copies of themselves with missing fields, cleaned."""
+    source = """(SELECT * FROM fx_customers
+      UNION ALL SELECT customer_id, CAST(NULL AS VARCHAR), email, phone, CAST(NULL AS VARCHAR),
+        country, signup_date FROM fx_customers WHERE customer_id % 2 = 0
+      UNION ALL SELECT customer_id, name, email, CAST(NULL AS VARCHAR), city, country,
+        CAST(NULL AS DATE) FROM fx_customers WHERE customer_id % 3 = 0)"""
+    return _clean_customers(source)
+
+
 def _clean_products(src: str) -> str:
     return f"""
 SELECT product_id, product_name, category, price
 FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY product_name NULLS FIRST,
         category NULLS FIRST, price NULLS FIRST) AS rn
-      FROM (SELECT CAST(product_id AS INT) AS product_id, trim(product_name) AS product_name,
+      FROM (SELECT CAST(product_id AS BIGINT) AS product_id, trim(product_name) AS product_name,
               trim(category) AS category, CAST(price AS DECIMAL(18,2)) AS price FROM {src}) t
       WHERE product_id IS NOT NULL AND price > 0) u
 WHERE rn = 1"""
@@ -79,9 +92,9 @@ def _clean_orders(src: str) -> str:
     return f"""
 SELECT order_id, customer_id, product_id, amount, currency, city, order_time, source,
   order_date, order_hour
-FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY customer_id NULLS FIRST,
-        product_id NULLS FIRST, amount NULLS FIRST, currency NULLS FIRST, city NULLS FIRST,
-        order_time NULLS FIRST, source NULLS FIRST) AS rn
+FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY order_time DESC NULLS LAST,
+        customer_id DESC NULLS LAST, product_id DESC NULLS LAST, amount DESC NULLS LAST,
+        currency DESC NULLS LAST, city DESC NULLS LAST, source DESC NULLS LAST) AS rn
       FROM (SELECT *, CAST(order_time AS DATE) AS order_date,
               CAST(hour(order_time) AS INT) AS order_hour FROM {src}) t
       WHERE order_id IS NOT NULL AND amount > 0) u
@@ -135,7 +148,7 @@ SELECT CAST(strftime(d, '%Y%m%d') AS INT) AS date_id, d AS full_date,
 FROM (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d
       FROM (SELECT min(order_date) AS lo, max(order_date) AS hi FROM s_fact) b) t""",
     "g_dim_location": """
-SELECT CAST(row_number() OVER (ORDER BY city NULLS FIRST) AS INT) AS location_id, city,
+SELECT CAST(row_number() OVER (ORDER BY city NULLS FIRST) AS BIGINT) AS location_id, city,
   'India' AS country
 FROM (SELECT DISTINCT city FROM s_fact) t""",
     "g_dim_products": f"""
@@ -216,12 +229,15 @@ def with_ctes(select: str) -> str:
             if name in CTE and name not in need:
                 need.add(name)
                 todo.append(CTE[name])
-    parts = [f"{n} AS ({CTE[n]}\n)" for n in CTE if n in need]
+    # materialised: several statements use the large facts more than once
+    parts = [f"{n} AS MATERIALIZED ({CTE[n]}\n)" for n in CTE if n in need]
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + select
 
 
 _SELECTS: dict[str, str] = {
-    "csv_roundtrip_infer": "SELECT order_id, customer_id, product_id, CAST(amount AS DOUBLE) AS amount, "
+    "csv_roundtrip_infer": "SELECT CAST(order_id AS INT) AS order_id, "
+                           "CAST(customer_id AS INT) AS customer_id, "
+                           "CAST(product_id AS INT) AS product_id, CAST(amount AS DOUBLE) AS amount, "
                            "currency, city, order_time, source FROM fx_orders",
     "bronze_orders_lineage": f"SELECT order_id, customer_id, product_id, amount, currency, city, "
                              f"order_time, TIMESTAMP '{AS_OF_TS}' AS ingested_at, "
@@ -355,7 +371,49 @@ SELECT p.category, CAST(round(sum(o.amount) * 0.001, 2) AS DECIMAL(38,2)) AS rev
 FROM c_orders o JOIN c_products p ON o.product_id = p.product_id
 LEFT JOIN usd r ON o.order_date = r.rate_date
 GROUP BY p.category""",
+    "live_totals_on_day": f"""
+SELECT count(order_id) AS total_orders, {_money('sum(amount_inr)')} AS revenue_inr,
+  {_money('sum(amount_usd)')} AS revenue_usd, {_avg_money('amount_inr')} AS avg_order_value_inr
+FROM g_live WHERE order_date = DATE '{KPI_DAY}'""",
+    "layer_samples": """
+SELECT * FROM (SELECT 'silver.dim_customers' AS table_name, customer_id AS id, name AS label
+  FROM c_customers ORDER BY customer_id LIMIT 5)
+UNION ALL SELECT * FROM (SELECT 'silver.dim_products', product_id, product_name
+  FROM c_products ORDER BY product_id LIMIT 5)
+UNION ALL SELECT * FROM (SELECT 'silver.fact_orders', order_id, city
+  FROM s_fact ORDER BY order_id LIMIT 5)""",
+    "number_lineitems": """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate,
+  row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
+                     l_shipdate) AS line_id
+FROM lineitem""",
+    "dedup_incomplete_customers": with_gaps_sql(),
+    "merge_into_existing": """
+SELECT order_id, amount, strftime(order_time, '%Y-%m') AS order_month FROM fx_orders
+WHERE order_id % 3 <> 0
+UNION ALL SELECT order_id, CAST(amount + 1 AS DECIMAL(18,2)), CASE WHEN order_id % 5 <> 0
+  THEN strftime(order_time + INTERVAL 31 DAY, '%Y-%m') END
+FROM fx_orders WHERE order_id % 3 = 0
+UNION ALL SELECT -order_id - 1, amount, CASE WHEN order_id % 2 = 0 THEN '1900-01' END
+FROM fx_orders WHERE order_id % 7 = 0""",
     # streaming queries: their batch equivalents
+    "stream_upsert_batches": """
+SELECT order_id, customer_id, product_id, amount, currency, city, order_time, source
+FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY order_time DESC) AS rn
+      FROM (SELECT * FROM a_stream
+            UNION ALL SELECT order_id, customer_id, product_id, amount + 5, currency, city,
+              order_time + INTERVAL 40 DAY, source FROM a_stream WHERE order_id % 6 = 0
+            UNION ALL SELECT order_id, customer_id, product_id, amount + 9, currency, city,
+              order_time - INTERVAL 40 DAY, source FROM a_stream WHERE order_id % 10 = 0) u) r
+WHERE rn = 1""",
+    "stream_rejects": "SELECT 'broken ' || order_id AS body, 'no order id' AS reason "
+                      "FROM fx_stream_orders WHERE order_id % 50 = 0",
+    "lake_stream_end_to_end": f"""
+SELECT count(order_id) AS total_orders, {_money('sum(amount)')} AS revenue_inr,
+  {_money('sum(usd)')} AS revenue_usd, {_avg_money('amount')} AS avg_order_value_inr
+FROM (SELECT o.*, CAST(round(o.amount * COALESCE(r.exchange_rate, CAST(0.012 AS DECIMAL(10,6))), 2)
+                       AS DECIMAL(18,2)) AS usd
+      FROM c_stream o LEFT JOIN usd r ON o.order_date = r.rate_date) t""",
     "stream_parse_append": "SELECT * FROM fx_stream_orders",
     "stream_restart_exactly_once": "SELECT * FROM fx_stream_orders",
     "stream_enrich_upsert": "SELECT * FROM s_stream",

@@ -18,36 +18,45 @@ from .. import operators as op
 from ..functions.masking import mask_all_pii
 from ..functions.timekeys import to_usd, with_lineage
 from ..schemas import SOURCE_BATCH
-from ..session import ensure_conf, run_dir
+from ..session import ensure_conf, run_dir, saved
 from ..sources.files import csv_scan, write_csv
+from ..sources.tables import merge_partitions
 from . import reports as rp
 from .fixtures import Fixtures
-from .oracle import AS_OF_DATE, AS_OF_TS, SCD2_START
+from .oracle import AS_OF_DATE, AS_OF_TS, KPI_DAY, SCD2_START
 
 
 class Lake:
     """Lazily built bronze/silver/gold DataFrames over one fixture directory.
 
-    The DataFrames are immutable, lazy plans: building them costs driver time only
-    (each operation is analysed on the JVM), and executing one always runs its whole
-    lineage from the input tables. ``Lake.of`` therefore keeps one instance per session
-    and directory, so the queries share the plan building, not any data.
+    The facts are lazy plans. The lookup stores and the dimensions are what they are in
+    the lake, stored tables: the first use of one writes it to a fresh folder, and Spark
+    then knows its size when it plans a join. Every query builds its own ``Lake``.
     """
 
-    _shared: dict[tuple[int, str], "Lake"] = {}
-
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = ensure_conf(spark)
         self.fx = Fixtures(spark, sf_dir)
+        self.root = run_dir(spark, "query")
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Lake":
-        key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
-        lake = cls._shared.get(key)
-        if lake is None or lake.spark.sparkContext._jsc is None:
-            lake = cls._shared[key] = cls(spark, sf_dir)
-        ensure_conf(spark)
-        return lake
+        return cls(spark, sf_dir)
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        return saved(df, f"{self.root}/{name}")
+
+    @cached_property
+    def weather(self) -> DataFrame:
+        return self.stored(self.fx.weather, "weather")
+
+    @cached_property
+    def currency(self) -> DataFrame:
+        return self.stored(self.fx.currency, "currency")
+
+    @cached_property
+    def weather_docs(self) -> DataFrame:
+        return self.stored(self.fx.weather_docs, "weather_docs")
 
     # silver --------------------------------------------------------------------------
     @cached_property
@@ -72,11 +81,11 @@ class Lake:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return op.enrich_orders(self.orders, self.fx.weather, self.fx.currency)
+        return op.enrich_orders(self.orders, self.weather, self.currency)
 
     @cached_property
     def stream_fact(self) -> DataFrame:
-        return op.enrich_orders(self.stream_orders, self.fx.weather, self.fx.currency)
+        return op.enrich_orders(self.stream_orders, self.weather, self.currency)
 
     # gold ----------------------------------------------------------------------------
     # The dimensions only need dates and cities, which the cleaned orders carry 1:1
@@ -84,15 +93,15 @@ class Lake:
     # the cleaned orders and the plan does not repeat the enrichment joins.
     @cached_property
     def dim_date(self) -> DataFrame:
-        return op.dim_date(self.orders)
+        return self.stored(op.dim_date(self.orders), "dim_date")
 
     @cached_property
     def dim_location(self) -> DataFrame:
-        return op.dim_location(self.orders)
+        return self.stored(op.dim_location(self.orders), "dim_location")
 
     @cached_property
     def dim_products(self) -> DataFrame:
-        return op.dim_products(self.products, as_of=AS_OF_TS)
+        return self.stored(op.dim_products(self.products, as_of=AS_OF_TS), "dim_products")
 
     @cached_property
     def gold_fact(self) -> DataFrame:
@@ -121,7 +130,7 @@ class Lake:
 
     @cached_property
     def stored_weather(self) -> DataFrame:
-        return self.fx.weather.select(*op.enrich.WEATHER_COLUMNS)
+        return self.weather.select(*op.enrich.WEATHER_COLUMNS)
 
 
 # -- query bodies ------------------------------------------------------------------
@@ -165,7 +174,7 @@ def q_dedup_latest_lineitem(spark, sf_dir):
 
 def q_orders_weather_join(spark, sf_dir):
     lake = Lake.of(spark, sf_dir)
-    return op.join_weather(lake.orders, lake.fx.weather).select(
+    return op.join_weather(lake.orders, lake.weather).select(
         "order_id", "customer_id", "product_id", "amount", "currency", "city", "order_time",
         "order_date", "order_hour", "source", "temperature", "weather_condition",
         "wind_speed", "humidity")
@@ -173,7 +182,7 @@ def q_orders_weather_join(spark, sf_dir):
 
 def q_orders_currency_join(spark, sf_dir):
     lake = Lake.of(spark, sf_dir)
-    return (op.join_rate(lake.orders, lake.fx.currency)
+    return (op.join_rate(lake.orders, lake.currency)
             .withColumns({"amount_inr": F.col("amount"),
                           "amount_usd": to_usd("amount", "usd_exchange_rate")})
             .select("order_id", "customer_id", "product_id", "amount_inr", "amount_usd",
@@ -187,7 +196,7 @@ def q_upsert_composite_key(spark, sf_dir):
     refresh = (w.filter(F.col("order_hour") % 6 == 0)
                .withColumn("temperature", F.col("temperature") + 0.5))
     pairs = op.gap_pairs(op.weather_gaps(lake.fx.orders, w))
-    fill = op.fill_weather(pairs, lake.fx.weather_docs).select(*op.enrich.WEATHER_COLUMNS)
+    fill = op.fill_weather(pairs, lake.weather_docs).select(*op.enrich.WEATHER_COLUMNS)
     return op.upsert(w, refresh.unionByName(fill), op.enrich.WEATHER_KEYS)
 
 
@@ -201,7 +210,7 @@ def q_weather_filled(spark, sf_dir):
     lake = Lake.of(spark, sf_dir)
     pairs = (lake.fx.orders.select("city", F.to_date("order_time").alias("order_date"))
              .distinct())
-    return op.fill_weather(pairs, lake.fx.weather_docs)
+    return op.fill_weather(pairs, lake.weather_docs)
 
 
 def q_rate_filled(spark, sf_dir):
@@ -226,20 +235,81 @@ def q_enrich_run(spark, sf_dir):
     lake = Lake.of(spark, sf_dir)
     stored = (lake.stored_weather.filter(F.dayofmonth("order_date") % 3 != 0)
               .withColumn("is_fallback", F.lit(False)))
-    return op.enrich_weather(lake.fx.orders, stored, lake.fx.weather_docs)
+    return op.enrich_weather(lake.fx.orders, stored, lake.weather_docs)
 
 
 def q_layer_summary(spark, sf_dir):
+    """Row counts of the stored layers: every table is written once, then counted."""
+    lake = Lake.of(spark, sf_dir)
+    bronze = {n: lake.stored(df, f"bronze/{n}") for n, df in (
+        ("orders", lake.fx.orders), ("customers", lake.fx.customers),
+        ("products", lake.fx.products), ("streaming_orders", lake.fx.stream_orders))}
+    enrich = lambda orders: op.enrich_orders(orders, lake.weather, lake.currency)
+    silver = {n: lake.stored(df, f"silver/{n}") for n, df in (
+        ("dim_customers", op.clean_customers(bronze["customers"])),
+        ("dim_products", op.clean_products(bronze["products"])),
+        ("fact_orders", enrich(op.clean_orders(bronze["orders"]))),
+        ("fact_streaming_orders", enrich(op.clean_stream_orders(bronze["streaming_orders"]))))}
+    gold = {n: lake.stored(df, f"gold/{n}") for n, df in (
+        ("dim_date", op.dim_date(silver["fact_orders"])),
+        ("dim_location", op.dim_location(silver["fact_orders"])))}
+    gold["fact_orders"] = lake.stored(op.fact_orders_gold(
+        silver["fact_orders"], gold["dim_date"], gold["dim_location"]), "gold/fact_orders")
+    tables = {f"{layer}.{n}": df for layer, part in (
+        ("bronze", bronze), ("silver", silver), ("gold", gold)) for n, df in part.items()}
+    tables["silver.dim_customers.unmasked_pii"] = rp.unmasked_pii(silver["dim_customers"])
+    return rp.layer_summary(tables)
+
+
+def q_layer_samples(spark, sf_dir):
+    lake = Lake.of(spark, sf_dir)
+    return rp.layer_samples({"silver.dim_customers": (lake.customers, "customer_id", "name"),
+                             "silver.dim_products": (lake.products, "product_id", "product_name"),
+                             "silver.fact_orders": (lake.fact, "order_id", "city")})
+
+
+def q_merge_audit(spark, sf_dir):
+    lake = Lake.of(spark, sf_dir)
+    after = lake.stored(lake.merged_orders, "merged")
+    return rp.merge_audit(lake.fx.orders, lake.stream_aligned, after)
+
+
+def q_number_lineitems(spark, sf_dir):
+    cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"]
+    rows = Lake.of(spark, sf_dir).fx.table("lineitem").select(*cols)
+    return op.with_sequential_id(rows, cols, "line_id")
+
+
+def q_dedup_incomplete_customers(spark, sf_dir):
+    """Copies with missing fields beside full ones: the fullest copy of an id stays."""
+    c, none = Lake.of(spark, sf_dir).fx.customers, F.lit(None)
+    some = c.filter("customer_id % 2 = 0").withColumns(
+        {x: none.cast("string") for x in ("name", "city")})
+    more = c.filter("customer_id % 3 = 0").withColumns(
+        {"phone": none.cast("string"), "signup_date": none.cast("date")})
+    return op.clean_customers(c.unionByName(some).unionByName(more))
+
+
+def q_merge_into_existing(spark, sf_dir):
+    """A first load, a batch that moves rows to other months and to none, an empty batch."""
     lake = Lake.of(spark, sf_dir)
-    return rp.layer_summary({
-        "bronze.orders": lake.fx.orders, "bronze.customers": lake.fx.customers,
-        "bronze.products": lake.fx.products, "bronze.streaming_orders": lake.fx.stream_orders,
-        "silver.dim_customers": lake.customers,
-        "silver.dim_customers.unmasked_pii": rp.unmasked_pii(lake.customers),
-        "silver.dim_products": lake.products,
-        "silver.fact_orders": lake.fact, "silver.fact_streaming_orders": lake.stream_fact,
-        "gold.dim_date": lake.dim_date, "gold.dim_location": lake.dim_location,
-        "gold.fact_orders": lake.gold_fact})
+    root, month = f"{lake.root}/merged", "order_month"
+    rows = lake.fx.orders.select("order_id", "amount", F.date_format(
+        "order_time", "yyyy-MM").alias(month), "order_time")
+    later = F.date_format(F.expr("order_time + INTERVAL '31' DAY"), "yyyy-MM")
+    moved = rows.filter("order_id % 3 = 0").withColumns({
+        "amount": (F.col("amount") + 1).cast(rows.schema["amount"].dataType),
+        month: F.when(F.col("order_id") % 5 != 0, later)})
+    new = rows.filter("order_id % 7 = 0").withColumns({
+        "order_id": -F.col("order_id") - 1,
+        month: F.when(F.col("order_id") % 2 == 0, F.lit("1900-01"))})
+    merge = lambda df: merge_partitions(
+        df.select("order_id", "amount", month), root, ["order_id"], month, op.upsert)
+    merge(rows.filter("false"))
+    merge(rows)
+    merge(moved.unionByName(new))
+    merge(rows.filter("false"))
+    return spark.read.schema(f"order_id long, amount decimal(18,2), {month} string").parquet(root)
 
 
 def q_lakehouse_end_to_end(spark, sf_dir):
@@ -292,8 +362,12 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "live_revenue": _lake(lambda l: rp.live_revenue(l.stream_fact)),
     "weather_distribution": _lake(lambda l: rp.weather_distribution(l.stream_fact)),
     "merge_insert_only": _lake(lambda l: l.merged_orders),
-    "merge_audit": _lake(lambda l: rp.merge_audit(l.fx.orders, l.stream_aligned,
-                                                  l.merged_orders)),
+    "merge_audit": q_merge_audit,
+    "merge_into_existing": q_merge_into_existing,
+    "number_lineitems": q_number_lineitems,
+    "dedup_incomplete_customers": q_dedup_incomplete_customers,
+    "live_totals_on_day": _lake(lambda l: rp.live_totals(l.live, as_of=KPI_DAY)),
+    "layer_samples": q_layer_samples,
     "upsert_products": _lake(lambda l: l.upserted_products),
     "upsert_composite_key": q_upsert_composite_key,
     "upsert_idempotent": q_upsert_idempotent,
@@ -302,7 +376,7 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "weather_gaps": _lake(lambda l: op.weather_gaps(l.fx.orders, l.stored_weather)),
     "weather_pairs": _lake(lambda l: op.gap_pairs(op.weather_gaps(l.fx.orders,
                                                                   l.stored_weather))),
-    "rate_gaps": _lake(lambda l: op.rate_gaps(l.fx.orders, l.fx.currency)),
+    "rate_gaps": _lake(lambda l: op.rate_gaps(l.fx.orders, l.currency)),
     "hourly_flatten": _lake(lambda l: op.flatten_hourly(l.fx.weather_docs)),
     "landed_weather_documents": q_landed_weather_documents,
     "weather_filled": q_weather_filled,
@@ -315,10 +389,5 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    out = dict(BATCH_QUERIES)
-    try:
-        from ..streaming.jobs import STREAM_QUERIES
-        out.update(STREAM_QUERIES)
-    except ImportError:
-        pass
-    return out
+    from ..streaming.jobs import STREAM_QUERIES
+    return {**BATCH_QUERIES, **STREAM_QUERIES}

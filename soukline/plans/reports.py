@@ -143,40 +143,36 @@ def _payload(cols: list[str]) -> Column:
                              for c in cols])
 
 
-def merge_audit(batch: DataFrame, stream: DataFrame, merged: DataFrame,
+def merge_audit(batch: DataFrame, stream: DataFrame, after: DataFrame,
                 key: str = "order_id", payload: list[str] | None = None) -> DataFrame:
     """Before / stream rows / duplicate ids / new ids / after / payload conflicts.
 
     Duplicate and new ids are the ``INTERSECT`` and ``EXCEPT`` of the id sets; a payload
     conflict is a duplicate id whose stream payload differs from the stored one (an id
-    reused for another order - the insert-only merge skips it, so it is reported). All
-    numbers come from one plan: the three inputs are tagged, unioned, grouped by id
-    (one shuffle, partial aggregates on the map side) and summed - no join.
+    reused for another order - the insert-only merge skips it, so it is reported).
+    ``after`` is the stored result, of which only the rows are counted. Ids alone decide
+    which rows can conflict; the payload travels only for ids that the stream has.
     """
-    payload = payload or AUDIT_PAYLOAD
-    p = _payload(payload)
-    none = F.lit(None).cast("string")
-    tagged = (batch.select(key, F.lit(1).alias("_b"), F.lit(0).alias("_s"), F.lit(0).alias("_m"),
-                           p.alias("_pb"), none.alias("_ps"))
-              .unionByName(stream.select(key, F.lit(0).alias("_b"), F.lit(1).alias("_s"),
-                                         F.lit(0).alias("_m"), none.alias("_pb"),
-                                         p.alias("_ps")))
-              .unionByName(merged.select(key, F.lit(0).alias("_b"), F.lit(0).alias("_s"),
-                                         F.lit(1).alias("_m"), none.alias("_pb"),
-                                         none.alias("_ps"))))
-    per_id = tagged.groupBy(key).agg(
-        F.sum("_b").alias("nb"), F.sum("_s").alias("ns"), F.sum("_m").alias("nm"),
-        F.min("_pb").alias("lo_b"), F.max("_pb").alias("hi_b"),
-        F.min("_ps").alias("lo_s"), F.max("_ps").alias("hi_s"))
-    both = (F.col("nb") > 0) & (F.col("ns") > 0)
+    p = _payload(payload or AUDIT_PAYLOAD)
+    ids = stream.select(key).distinct()
+    shared = batch.join(ids, key, "left_semi").select(key, p.alias("_p")).groupBy(key).agg(
+        F.min("_p").alias("lo_b"), F.max("_p").alias("hi_b"))
+    sent = stream.select(key, p.alias("_p")).groupBy(key).agg(
+        F.count(F.lit(1)).alias("ns"), F.min("_p").alias("lo_s"), F.max("_p").alias("hi_s"))
+    met = sent.join(shared, key, "left")
+    both = F.col("lo_b").isNotNull()
     differs = (F.col("lo_b") != F.col("lo_s")) | (F.col("hi_b") != F.col("hi_s"))
-    return per_id.agg(
-        F.sum("nb").cast("bigint").alias("batch_before"),
-        F.sum("ns").cast("bigint").alias("stream_rows"),
-        F.count_if(both).alias("duplicate_ids"),
-        F.count_if((F.col("nb") == 0) & (F.col("ns") > 0)).alias("new_ids"),
-        F.sum("nm").cast("bigint").alias("after"),
-        F.count_if(both & differs).alias("payload_conflicts"))
+    counts = met.agg(F.coalesce(F.sum("ns"), F.lit(0)).cast("bigint").alias("stream_rows"),
+                     F.count_if(both).alias("duplicate_ids"),
+                     F.count_if(~both).alias("new_ids"),
+                     F.count_if(both & differs).alias("payload_conflicts"))
+    # three one-row aggregates side by side, joined on a constant key
+    one = F.lit(1).alias("_k")
+    rows = lambda df, name: df.agg(F.count(F.lit(1)).alias(name)).select(one, name)
+    return (rows(batch, "batch_before").join(counts.select(one, "*"), "_k")
+            .join(rows(after, "after"), "_k")
+            .select("batch_before", "stream_rows", "duplicate_ids", "new_ids", "after",
+                    "payload_conflicts"))
 
 
 # A silver email/phone that still looks raw: two visible characters before '@', or a
@@ -198,3 +194,16 @@ def layer_summary(tables: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def layer_samples(tables: dict[str, tuple[DataFrame, str, str]], n: int = 5) -> DataFrame:
+    """The ``n`` rows with the smallest ids of every table: ``table_name, id, label``.
+
+    ``tables`` maps a name to (table, id column, label column)."""
+    out = None
+    for name, (df, key, label) in tables.items():
+        part = (df.orderBy(key).limit(n)
+                .select(F.lit(name).alias("table_name"), F.col(key).cast("long").alias("id"),
+                        F.col(label).alias("label")))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -48,21 +48,23 @@ def _s(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 
 # Bronze -------------------------------------------------------------------------
-BRONZE_CUSTOMERS = _s(("customer_id", T.IntegerType()), ("name", T.StringType()),
+BRONZE_CUSTOMERS = _s(("customer_id", T.LongType()), ("name", T.StringType()),
                       ("email", T.StringType()), ("phone", T.StringType()),
                       ("city", T.StringType()), ("country", T.StringType()),
                       ("signup_date", T.DateType()))
-BRONZE_PRODUCTS = _s(("product_id", T.IntegerType()), ("product_name", T.StringType()),
+BRONZE_PRODUCTS = _s(("product_id", T.LongType()), ("product_name", T.StringType()),
                      ("category", T.StringType()), ("price", MONEY))
-BRONZE_ORDERS = _s(("order_id", T.IntegerType()), ("customer_id", T.IntegerType()),
-                   ("product_id", T.IntegerType()), ("amount", MONEY),
+BRONZE_ORDERS = _s(("order_id", T.LongType()), ("customer_id", T.LongType()),
+                   ("product_id", T.LongType()), ("amount", MONEY),
                    ("currency", T.StringType()), ("city", T.StringType()),
                    ("order_time", T.TimestampType()))
 # JSON body of one stream message (all fields nullable; malformed -> NULL).
-STREAM_ORDER = _s(("order_id", T.IntegerType()), ("customer_id", T.IntegerType()),
-                  ("product_id", T.IntegerType()), ("amount", MONEY),
+STREAM_ORDER = _s(("order_id", T.LongType()), ("customer_id", T.LongType()),
+                  ("product_id", T.LongType()), ("amount", MONEY),
                   ("currency", T.StringType()), ("city", T.StringType()),
                   ("timestamp", T.StringType()))
+BUFFER_SCHEMA = T.StructType([*STREAM_ORDER.fields,
+                              T.StructField("ingested_at", T.TimestampType(), True)])
 WEATHER = _s(("city", T.StringType()), ("order_date", T.DateType()),
              ("order_hour", T.IntegerType()), ("temperature", T.DoubleType()),
              ("weather_condition", T.StringType()), ("wind_speed", T.DoubleType()),
@@ -80,7 +82,7 @@ RATE_DOC = T.StructType([T.StructField("rates", _s(("USD", RATE)))])
 GEOCODE_DOC = T.StructType([T.StructField("results", T.ArrayType(_s(
     ("latitude", T.DoubleType()), ("longitude", T.DoubleType()))))])
 
-# Silver / gold column orders ------------------------------------------------------
+# Silver / gold column orders (fixed: the result schemas) ------------------------------------------------------
 SILVER_FACT_COLUMNS = [
     "order_id", "customer_id", "product_id", "amount_inr", "amount_usd", "currency",
     "city", "order_time", "order_date", "order_hour", "source", "temperature",

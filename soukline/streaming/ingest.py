@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.timekeys import ts_lit
+from ..functions.timekeys import parse_ts, ts_lit
 from ..operators.keys import dedup_by_key
-from ..operators.merge import insert_only, upsert
+from ..operators.merge import insert_only, upsert_latest
 from ..schemas import STREAM_ORDER
 from ..sources.tables import (append_new_keys, merge_partitions, read_table_or_none,
                               write_version)
@@ -32,21 +32,34 @@ AVAILABLE_NOW = {"availableNow": True}
 def parse_orders(raw: DataFrame, payload_col: str = "body", as_of=None) -> DataFrame:
     """Decode the message body (binary -> text -> JSON struct -> columns).
 
-    A malformed body gives an all-NULL row and a bad field gives a NULL field; the row
-    is kept, so nothing is silently dropped at ingestion (the cleaning step filters).
+    A malformed body gives an all-NULL row and a bad field gives a NULL field; the
+    cleaning step filters such rows, and ``rejected_messages`` keeps their bodies.
     """
     data = F.from_json(F.col(payload_col).cast("string"), STREAM_ORDER)
     return (raw.select(data.alias("data")).select("data.*")
             .withColumn("ingested_at", ts_lit(as_of)))
 
 
+def rejected_messages(raw: DataFrame, payload_col: str = "body", as_of=None) -> DataFrame:
+    """The messages that cleaning would drop, with body and reason (a side table)."""
+    body = F.col(payload_col).cast("string")
+    d = F.from_json(body, STREAM_ORDER)
+    reason = (F.when(d["order_id"].isNull(), "no order id")
+              .when(d["amount"].isNull(), "no amount")
+              .when(d["amount"] <= 0, "amount not positive")
+              .when(parse_ts(d["timestamp"]).isNull(), "no order time"))
+    return (raw.select(body.alias("body"), reason.alias("reason"))
+            .filter(F.col("reason").isNotNull()).withColumn("ingested_at", ts_lit(as_of)))
+
+
 def _trigger(writer, trigger: dict | None):
     return writer.trigger(**(trigger or AVAILABLE_NOW))
 
 
-def await_done(q: StreamingQuery, timeout_s: int = 600) -> StreamingQuery:
-    """Wait for an availableNow query; stop and raise if it does not finish in time."""
-    finished = q.awaitTermination(timeout_s)
+def await_done(q: StreamingQuery, timeout_s: int | None = None) -> StreamingQuery:
+    """Wait for an availableNow query, however long its backlog; with ``timeout_s``, stop
+    and raise if it does not finish in time."""
+    finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination() or True
     if not finished:
         q.stop()
         raise TimeoutError(f"streaming query {q.name or q.id} did not finish")
@@ -72,20 +85,31 @@ def _foreach(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: st
     return _trigger(w, trigger).start()
 
 
+def start_batches(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
+                  trigger: dict | None = None) -> StreamingQuery:
+    """Run ``fn(batch, batch_id)`` on every micro-batch; it must be safe to replay."""
+    return _foreach(df, fn, checkpoint, trigger)
+
+
 def start_upsert(df: DataFrame, table_root: str, keys: Sequence[str], checkpoint: str,
                  trigger: dict | None = None, partition_col: str | None = None,
-                 transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
-    """Each micro-batch: ``transform``, one row per key (deterministic), then upsert.
+                 transform: Callable[[DataFrame], DataFrame] | None = None,
+                 order_by: Sequence[str] = (), keep: int = 3) -> StreamingQuery:
+    """Each micro-batch: ``transform``, then upsert; the latest row of a key stays.
+
+    Latest is by ``order_by``, ties to the largest row - among stored and new rows alike
+    (``upsert_latest``), so the result does not depend on how the stream is cut into
+    batches, nor on late or replayed rows.
 
     Joins belong in ``transform``: it runs on the micro-batch as an ordinary batch
     DataFrame, so adaptive execution applies to them (runtime broadcast, skew-join
     splitting) - joins declared in the streaming plan itself run without it.
 
     With ``partition_col`` the table is partitioned and only the partitions the batch
-    touches are read and rewritten (``merge_partitions``); without it the whole (small)
-    table is written as a new version. Either way a batch that fails midway leaves the
-    previous state readable and is replayed from the checkpoint; the upsert is
-    idempotent, so the replay gives the same table.
+    touches are read and rewritten (``merge_partitions``, which replaces them one by one);
+    without it the whole (small) table is written as a new version, of which the newest
+    ``keep`` stay. A batch that fails midway is replayed from the checkpoint; the upsert
+    is idempotent, so the replay gives the same table.
     """
     keys = list(keys)
 
@@ -93,15 +117,16 @@ def start_upsert(df: DataFrame, table_root: str, keys: Sequence[str], checkpoint
         spark = batch.sparkSession
         if transform is not None:
             batch = transform(batch)
-        rows = dedup_by_key(batch, keys).persist()   # read twice below
-        try:
-            if partition_col:
-                merge_partitions(rows, table_root, keys, partition_col, upsert)
-            else:
-                write_version(upsert(read_table_or_none(spark, table_root), rows, keys),
-                              table_root)
-        finally:
-            rows.unpersist()
+        rows = dedup_by_key(batch, keys, order_by=order_by, keep="last")
+
+        def latest(target, source, keys):
+            return upsert_latest(target, source, keys, order_by)
+
+        if partition_col:
+            merge_partitions(rows, table_root, keys, partition_col, latest)
+        else:
+            write_version(latest(read_table_or_none(spark, table_root), rows, keys),
+                          table_root, keep=keep)
 
     return _foreach(df, merge, checkpoint, trigger)
 
@@ -109,7 +134,7 @@ def start_upsert(df: DataFrame, table_root: str, keys: Sequence[str], checkpoint
 def start_insert_only(df: DataFrame, table_root: str, keys: Sequence[str],
                       checkpoint: str, trigger: dict | None = None,
                       seen: list[int] | None = None,
-                      partition_col: str | None = None) -> StreamingQuery:
+                      partition_col: str | None = None, keep: int = 3) -> StreamingQuery:
     """Each micro-batch: insert rows whose key the table does not have yet.
 
     Consumption through the checkpoint is the drain: a row is read once, and rows that
@@ -131,7 +156,7 @@ def start_insert_only(df: DataFrame, table_root: str, keys: Sequence[str],
             else:
                 target = read_table_or_none(spark, table_root)
                 write_version(insert_only(target, rows, keys, dedup_source=False),
-                              table_root)
+                              table_root, keep=keep)
         finally:
             rows.unpersist()
 
@@ -139,9 +164,10 @@ def start_insert_only(df: DataFrame, table_root: str, keys: Sequence[str],
 
 
 def start_snapshot(agg: DataFrame, table_root: str, checkpoint: str,
-                   trigger: dict | None = None) -> StreamingQuery:
-    """Complete-mode aggregate: every batch writes the whole (small) result table."""
+                   trigger: dict | None = None, keep: int = 3) -> StreamingQuery:
+    """Complete-mode aggregate: every batch writes the whole (small) result table; the
+    newest ``keep`` versions stay."""
     def snap(batch: DataFrame, batch_id: int) -> None:
-        write_version(batch, table_root)
+        write_version(batch, table_root, keep=keep)
 
     return _foreach(agg, snap, checkpoint, trigger, mode="complete")

@@ -4,7 +4,7 @@ bronze:  order messages --parse--> append into the buffer folder (checkpointed)
 silver:  buffer stream --clean--> foreachBatch: weather/rate joins, upsert
 gold:    buffer stream --clean--> foreachBatch: joins + star joins with stored dims, upsert
 merge:   buffer stream --foreachBatch insert-only--> bronze orders (checkpoint = drain)
-live:    buffer stream --dedup within watermark, complete-mode count--> snapshot table
+live:    buffer stream --foreachBatch insert-only--> order store --count--> snapshot table
 
 Each registered query runs ``availableNow`` in a fresh folder under the session's shared
 checkpoint directory and returns a batch read of what the job wrote.
@@ -14,24 +14,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.timekeys import with_time_keys
 from ..operators.clean import align_stream_orders
 from ..operators.enrich import enrich_orders
 from ..operators.star import fact_live
 from ..plans.fixtures import Fixtures
-from ..plans.flows import MONTH, read_fact, with_month
+from ..operators.keys import dedup_by_key
+from ..operators.merge import upsert
+from ..plans.flows import LakePaths, MONTH, land_messages, read_fact, with_month
 from ..plans.oracle import AS_OF_TS
-from ..schemas import STREAM_ORDER
-from ..session import ensure_conf, run_dir
-from ..sources.tables import read_table, write_version
-from .ingest import (await_done, parse_orders, start_append, start_insert_only,
-                     start_snapshot, start_upsert)
-from .source import order_messages
-
-BUFFER_SCHEMA = T.StructType(STREAM_ORDER.fields
-                             + [T.StructField("ingested_at", T.TimestampType(), True)])
+from ..schemas import BUFFER_SCHEMA, STREAM_ORDER
+from ..session import ensure_conf, run_dir, saved
+from ..sources.tables import append_new_keys, merge_partitions, read_table, write_version
+from .ingest import (await_done, parse_orders, start_append, start_batches, start_insert_only,
+                     start_upsert)
+from .source import event_stream, order_messages
+
 BUFFER_COLUMNS = [f.name for f in STREAM_ORDER.fields]
 
 
@@ -80,35 +79,31 @@ def q_stream_enrich_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixtures(spark, sf_dir)
     land_buffer(fx, root)
     table = f"{root}/silver_fact_streaming_orders"
+    weather, currency = (saved(df, f"{root}/{name}") for name, df in (
+        ("weather", fx.weather), ("currency", fx.currency)))
     # the stream plan stays stateless; the weather/rate joins run per micro-batch
     await_done(start_upsert(
         clean_order_stream(buffer_stream(spark, root)), table, ["order_id"],
-        f"{root}/_checkpoints/silver", partition_col=MONTH,
-        transform=lambda b: with_month(enrich_orders(b, fx.weather, fx.currency))))
+        f"{root}/_checkpoints/silver", partition_col=MONTH, order_by=["order_time"],
+        transform=lambda b: with_month(enrich_orders(b, weather, currency))))
     return read_fact(spark, table)
 
 
 def q_stream_live_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buffer -> stored silver stream fact -> live fact, with stored dimensions."""
     from ..plans.registry import Lake
     root = run_dir(ensure_conf(spark), "stream-gold")
     lake = Lake.of(spark, sf_dir)
-    # the gold dimensions are stored tables, written by the batch job before
-    dims = {}
-    for name, df in (("dim_products", lake.dim_products), ("dim_location", lake.dim_location),
-                     ("dim_date", lake.dim_date)):
-        write_version(df, f"{root}/{name}")
-        dims[name] = read_table(spark, f"{root}/{name}")
     land_buffer(lake.fx, root)
-
-    def to_live(batch: DataFrame) -> DataFrame:
-        silver = enrich_orders(batch, lake.fx.weather, lake.fx.currency)
-        return with_month(fact_live(silver, dims["dim_products"], dims["dim_location"],
-                                    dims["dim_date"], as_of=AS_OF_TS))
-
+    silver = f"{root}/silver_fact_streaming_orders"
+    await_done(start_upsert(
+        clean_order_stream(buffer_stream(spark, root)), silver, ["order_id"],
+        f"{root}/_checkpoints/silver", partition_col=MONTH, order_by=["order_time"],
+        transform=lambda b: with_month(enrich_orders(b, lake.weather, lake.currency))))
+    live = fact_live(read_fact(spark, silver), lake.dim_products, lake.dim_location,
+                     lake.dim_date, as_of=AS_OF_TS)
     table = f"{root}/gold_fact_streaming_orders"
-    await_done(start_upsert(clean_order_stream(buffer_stream(spark, root)), table,
-                            ["order_id"], f"{root}/_checkpoints/gold", partition_col=MONTH,
-                            transform=to_live))
+    merge_partitions(with_month(live), table, ["order_id"], MONTH, upsert)
     return read_fact(spark, table)
 
 
@@ -116,8 +111,8 @@ def q_stream_merge_then_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = run_dir(ensure_conf(spark), "stream-merge")
     fx = Fixtures(spark, sf_dir)
     buffer_path = land_buffer(fx, root)
-    # bronze orders: partitioned by order month, so a batch of stream orders checks and
-    # rewrites only the months it touches
+    # bronze orders: partitioned by order month; a batch checks its keys against the key
+    # column of all months and appends the new ones, rewriting nothing
     orders = f"{root}/bronze_orders"
     before = fx.orders.count()
     fx.orders.transform(lambda d: with_month(d, "order_time")).write.partitionBy(MONTH) \
@@ -137,16 +132,90 @@ def q_stream_merge_then_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(sum(rerun)).cast("bigint").alias("buffer_after"))
 
 
+def live_by_hour(spark: SparkSession, buffer: DataFrame, root: str) -> DataFrame:
+    """Orders per hour over everything the stream has brought, however late.
+
+    Every batch adds its new order ids to a store (insert-only, by month, so a replay or a
+    repeated message adds nothing) and rewrites the small result; no watermark drops rows.
+    """
+    store, table = f"{root}/live_orders", f"{root}/live_by_hour"
+
+    def update(batch: DataFrame, batch_id: int) -> None:
+        rows = dedup_by_key(with_month(batch.select("order_id", "order_date", "order_hour")),
+                            ["order_id"])
+        append_new_keys(rows.drop("order_date"), store, ["order_id"], MONTH)
+        counts = (spark.read.schema(f"order_id long, order_hour int, {MONTH} string")
+                  .parquet(store).groupBy("order_hour")
+                  .agg(F.count(F.lit(1)).alias("orders")))
+        write_version(counts, table, keep=3)
+
+    await_done(start_batches(buffer, update, f"{root}/_checkpoints/hourly"))
+    return read_table(spark, table)
+
+
 def q_stream_live_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = run_dir(ensure_conf(spark), "stream-hourly")
-    land_buffer(Fixtures(spark, sf_dir), root)
-    orders = (clean_order_stream(buffer_stream(spark, root))
-              .withWatermark("order_time", "1 day")
-              .dropDuplicatesWithinWatermark(["order_id"]))
-    agg = orders.groupBy("order_hour").agg(F.count(F.lit(1)).alias("orders"))
-    table = f"{root}/live_by_hour"
-    await_done(start_snapshot(agg, table, f"{root}/_checkpoints/hourly"))
-    return read_table(spark, table)
+    fx = Fixtures(spark, sf_dir)
+    # three files, so three micro-batches whose order times overlap
+    rows = fx.stream_orders.withColumn("ingested_at", F.lit(AS_OF_TS).cast("timestamp"))
+    rows.repartition(3, "order_id").write.parquet(f"{root}/bronze_stream")
+    return live_by_hour(spark, clean_order_stream(buffer_stream(spark, root, 1)), root)
+
+
+def q_stream_upsert_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates and late rows over several micro-batches: the newest of an id stays."""
+    root = run_dir(ensure_conf(spark), "stream-batches")
+    rows = align_stream_orders(Fixtures(spark, sf_dir).stream_orders)
+
+    def moved(part: DataFrame, amount: int, days: int) -> DataFrame:
+        return part.withColumns({
+            "amount": (F.col("amount") + amount).cast(rows.schema["amount"].dataType),
+            "order_time": F.expr(f"order_time + INTERVAL '{days}' DAY")})
+
+    updates = moved(rows.filter("order_id % 6 = 0"), 5, 40)
+    late = moved(rows.filter("order_id % 10 = 0"), 9, -40)
+    every = rows.unionByName(updates).unionByName(late)
+    every.repartition(3).write.parquet(f"{root}/landing")
+    stream = (spark.readStream.schema(every.schema).option("maxFilesPerTrigger", 1)
+              .parquet(f"{root}/landing"))
+    table = f"{root}/orders"
+    await_done(start_upsert(stream, table, ["order_id"], f"{root}/_checkpoints/orders",
+                            partition_col=MONTH, order_by=["order_time"],
+                            transform=lambda b: with_month(b, "order_time")))
+    return read_fact(spark, table)
+
+
+def q_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that don't parse: their bodies and the reason, in the side table."""
+    root = run_dir(ensure_conf(spark), "stream-rejects")
+    fx = Fixtures(spark, sf_dir)
+    orders = fx.stream_orders_from(event_stream(fx))
+    body = F.when(F.col("order_id") % 50 == 0,
+                  F.concat(F.lit("broken "), F.col("order_id").cast("string"))).otherwise(
+        F.to_json(F.struct(*[F.col(c) for c in orders.columns])))
+    lake = LakePaths(root)
+    land_messages(spark, lake, orders.select(body.cast("binary").alias("body")), AS_OF_TS)
+    return spark.read.parquet(lake("bronze", "streaming_rejects")).select("body", "reason")
+
+
+def q_lake_stream_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files and messages through every job of one lake, to the live KPIs."""
+    from ..plans import flows, reports
+    from ..sources.files import write_csv
+    root = run_dir(ensure_conf(spark), "lake")
+    fx, lake = Fixtures(spark, sf_dir), LakePaths(f"{root}/lake")
+    csv = {"customers": fx.customers, "products": fx.products, "orders": fx.orders.drop("source")}
+    dirs = {name: write_csv(df, f"{root}/landing/{name}") for name, df in csv.items()}
+    weather_docs, rate_docs = (saved(df, f"{root}/docs/{name}") for name, df in (
+        ("weather", fx.weather_docs), ("rates", fx.rate_docs)))
+    flows.ingest_csv(spark, lake, dirs, as_of=AS_OF_TS)
+    flows.land_messages(spark, lake, order_messages(fx), AS_OF_TS)
+    flows.merge_stream_orders(spark, lake)
+    flows.bronze_to_silver(spark, lake, weather_docs, rate_docs, as_of=AS_OF_TS)
+    flows.silver_to_gold(spark, lake, as_of=AS_OF_TS)
+    flows.stream_to_silver(spark, lake, weather_docs, rate_docs, as_of=AS_OF_TS)
+    flows.silver_to_live(spark, lake, as_of=AS_OF_TS)
+    return reports.live_totals(read_fact(spark, lake("gold", "fact_streaming_orders")))
 
 
 STREAM_QUERIES = {
@@ -156,4 +225,7 @@ STREAM_QUERIES = {
     "stream_live_fact": q_stream_live_fact,
     "stream_merge_then_drain": q_stream_merge_then_drain,
     "stream_live_by_hour": q_stream_live_by_hour,
+    "stream_upsert_batches": q_stream_upsert_batches,
+    "stream_rejects": q_stream_rejects,
+    "lake_stream_end_to_end": q_lake_stream_end_to_end,
 }

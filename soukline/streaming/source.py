@@ -16,16 +16,15 @@ from ..plans.fixtures import Fixtures
 
 
 def event_stream(fx: Fixtures) -> DataFrame:
-    """The events Parquet file as a stream (schema taken from the file footer)."""
+    """The events table, a Parquet file or a folder of part files, as a stream (schema
+    taken from the file footers). A stream takes a single file only by a glob."""
     schema = fx.table("events").schema
-    return (fx.spark.readStream.schema(schema)
-            .option("pathGlobFilter", "events.parquet")
-            .parquet(fx.sf_dir))
+    return fx.spark.readStream.schema(schema).parquet(f"{fx.sf_dir}/events.parque[t]")
 
 
-def order_messages(fx: Fixtures) -> DataFrame:
+def order_messages(fx: Fixtures, orders: DataFrame | None = None) -> DataFrame:
     """Streaming order messages: ``body`` = JSON bytes of one order."""
-    orders = fx.stream_orders_from(event_stream(fx))
+    orders = fx.stream_orders_from(event_stream(fx)) if orders is None else orders
     body = F.to_json(F.struct(*[F.col(c) for c in orders.columns])).cast("binary")
     return orders.select(body.alias("body"))
 

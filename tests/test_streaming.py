@@ -10,7 +10,8 @@ def test_malformed_bodies(spark):
     out = parse_orders(raw.select(F.col("s").cast("binary").alias("body")), as_of="2024-02-01")
     got = [(r.order_id, r.city, str(r.amount) if r.amount is not None else None)
            for r in out.collect()]
-    assert got == [(None, None, None), (None, "A", None), (None, None, None), (7, None, "12.50")]
+    assert got == [(None, None, None), (None, "A", None), (99999999999, None, None),
+                   (7, None, "12.50")]
     assert out.count() == 4            # rows are kept, fields become NULL
 
 
@@ -47,3 +48,36 @@ def test_replayed_duplicates_and_processing_time_trigger(spark):
     q2 = start_upsert(parsed, f"{root}/orders", ["order_id"], f"{root}/ckpt")
     await_done(q2, 120)
     assert read_table(spark, f"{root}/orders").count() == 3
+
+
+def test_rejected_messages_keep_their_body(spark):
+    from soukline.streaming import rejected_messages
+    raw = spark.createDataFrame(
+        [("bad",), ('{"order_id":1,"amount":-2,"timestamp":"2024-01-01 10:00:00"}',),
+         ('{"order_id":2,"amount":3,"timestamp":"soon"}',),
+         ('{"order_id":3,"amount":3,"timestamp":"2024-01-01 10:00:00"}',)], "body string")
+    got = {r.body[:16]: r.reason for r in rejected_messages(raw).collect()}
+    assert got == {"bad": "no order id", '{"order_id":1,"a': "amount not positive",
+                   '{"order_id":2,"a': "no order time"}
+
+
+def test_ids_above_two_to_the_31(spark):
+    from soukline.operators import clean_orders, align_stream_orders
+    raw = spark.createDataFrame([('{"order_id":3000000000,"customer_id":5000000000,'
+                                  '"product_id":1,"amount":2.5,"currency":"INR","city":"Pune",'
+                                  '"timestamp":"2024-01-01 10:00:00"}',)], "body string")
+    row = clean_orders(align_stream_orders(parse_orders(raw))).first()
+    assert (row.order_id, row.customer_id) == (3_000_000_000, 5_000_000_000)
+
+
+def test_events_as_a_folder_of_files(spark, tmp_path):
+    from soukline.plans.fixtures import Fixtures
+    from soukline.streaming.jobs import land_buffer
+    from conftest import SF_SMALL
+    for t in ("customer", "nation"):
+        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    fx = Fixtures(spark, str(tmp_path))
+    path = land_buffer(fx, str(tmp_path / "out"))
+    assert spark.read.parquet(path).count() == fx.stream_orders.count() > 0
