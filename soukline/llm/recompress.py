@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-K0, K1 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+KEYS = K0, K1 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -25,7 +25,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Words:
-    """The words of a batch of texts: byte range, document and 128-bit name of each."""
+    """The words of a batch of texts: byte range, document and 64-bit name of each."""
     data: np.ndarray        # all bytes, a line feed after each text
     begin: np.ndarray
     end: np.ndarray
@@ -37,44 +37,44 @@ class Words:
         return np.searchsorted(self.doc, np.arange(n_docs + 1))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+class Powers:
+    """Powers of an odd base and of its inverse modulo 2^64, grown on demand."""
+
+    def __init__(self, base: int):
+        self.bases = (base, pow(base, -1, 1 << 64))
+        self.up = self.down = np.empty(0, dtype=np.uint64)
+
+    def sums(self, x: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Polynomial hashes of the stretches ``x[begin:end]``."""
+        if len(self.up) < len(x) + 1:
+            self.up, self.down = (
+                np.multiply.accumulate(np.concatenate(
+                    [np.ones(1, np.uint64), np.full(len(x), b, dtype=np.uint64)]))
+                for b in self.bases)
+        total = np.zeros(len(x) + 1, dtype=np.uint64)
+        np.cumsum(x * self.up[:len(x)], out=total[1:])
+        return (total[end] - total[begin]) * self.down[begin]
 
 
 class WordCutter:
     """Cuts texts into words ``[^\\x20\\x09-\\x0D]+`` and names them by polynomial
     hashes of their bytes, on whole batches at a time."""
 
-    BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-
     def __init__(self):
         rng = np.random.default_rng(20_260_102)
-        self.code = rng.integers(0, 1 << 64, (2, 256), dtype=np.uint64)
+        self.code = rng.integers(0, 1 << 64, 256, dtype=np.uint64)
         self.space = np.zeros(256, dtype=bool)
         self.space[[0x20, *range(0x09, 0x0E)]] = True
-        self.up, self.down = [], []
+        self.powers = Powers(0x9E3779B97F4A7C15)
 
-    def _grown(self, n: int) -> None:
-        if not self.up or len(self.up[0]) < n:
-            size = max(n, 1 << 20)
-            self.up = [_powers(b, size) for b in self.BASES]
-            self.down = [_powers(pow(b, -1, 1 << 64), size) for b in self.BASES]
-
-    def cut(self, texts: list[bytes], lanes: int = 2) -> Words:
+    def cut(self, texts: list[bytes]) -> Words:
         data = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
-        self._grown(len(data) + 1)
         word = ~self.space[data]
         edge = np.diff(word.astype(np.int8), prepend=0)
         begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         stops = np.cumsum([len(t) + 1 for t in texts])
-        name = np.empty((len(begin), lanes), dtype=np.uint64)
-        for lane in range(lanes):
-            total = np.zeros(len(data) + 1, dtype=np.uint64)
-            np.cumsum(self.code[lane][data] * self.up[lane][:len(data)], out=total[1:])
-            h = (total[end] - total[begin]) * self.down[lane][begin]
-            name[:, lane] = mix(h + (end - begin).astype(np.uint64) * K0)
+        h = self.powers.sums(self.code[data], begin, end)
+        name = mix(h + (end - begin).astype(np.uint64) * K0)
         return Words(data, begin, end, np.searchsorted(stops, begin, side="right"), name)
 
 
@@ -82,8 +82,8 @@ class WordCutter:
 class Parse:
     """Symbols of a batch of documents after some rounds.
 
-    ``name`` (symbols x 2), ``start`` and ``doc`` (first word and document of a symbol);
-    ``first[p]`` / ``last[p]``: the outermost symbols that a stretch starting / ending at
+    ``name`` (symbols x lanes of 64 bits), ``start`` and ``doc`` (first word and document of
+    a symbol); ``first[p]`` / ``last[p]``: the outermost symbols that a stretch starting / ending at
     word p is sure to share with its copies.
     """
     name: np.ndarray
@@ -122,8 +122,8 @@ def run_round(p: Parse) -> Parse:
     name = p.name.copy()
     many = length > 1
     at = heads[many]
-    name[at, 0] = mix(p.name[at, 0] * K0 + length[many])
-    name[at, 1] = mix(p.name[at, 1] * K1 + length[many])
+    for lane, k in zip(range(name.shape[1]), KEYS):
+        name[at, lane] = mix(p.name[at, lane] * k + length[many])
     if p.first is None:
         return _rewritten(p, head, name, None, None)
     run = np.cumsum(head) - 1
@@ -142,8 +142,8 @@ def pair_round(p: Parse, level: int) -> Parse:
     tail[1:] = ~right[:-1] & right[1:] & (p.doc[1:] == p.doc[:-1])
     name = p.name.copy()
     at = np.flatnonzero(tail)
-    name[at - 1, 0] = mix(p.name[at - 1, 0] * K0 + p.name[at, 0])
-    name[at - 1, 1] = mix(p.name[at - 1, 1] * K1 + p.name[at, 1])
+    for lane, k in zip(range(name.shape[1]), KEYS):
+        name[at - 1, lane] = mix(p.name[at - 1, lane] * k + p.name[at, lane])
     if p.first is None:
         return _rewritten(p, ~tail, name, None, None)
     edge = np.append(right, False)
@@ -152,21 +152,44 @@ def pair_round(p: Parse, level: int) -> Parse:
     return _rewritten(p, ~tail, name, np.minimum(first, n), last)
 
 
+def lanes(name: np.ndarray, n: int) -> np.ndarray:
+    """``n`` lanes of symbol names from 64-bit word names."""
+    return np.column_stack([name if i == 0 else mix(name + KEYS[i]) for i in range(n)])
+
+
 def parse(name: np.ndarray, doc: np.ndarray, rounds: int, cores: bool = True) -> Parse:
-    """All rounds; without ``cores`` the sure symbols of stretches are not followed."""
+    """All rounds over names of any number of lanes; without ``cores`` the sure symbols of
+    stretches are not followed."""
     p = run_round(parse_words(name, doc, cores))
     for level in range(1, rounds + 1):
         p = pair_round(p, level)
     return p
 
 
-def window_names(name: np.ndarray, width: int) -> np.ndarray:
-    """128-bit names of all windows of ``width`` words (also those across documents)."""
-    n = len(name) - width + 1
-    if n <= 0:
-        return np.empty((0, 2), dtype=np.uint64)
-    out = np.full((n, 2), width, dtype=np.uint64)
-    for i in range(width):
-        out[:, 0] = mix(out[:, 0] * K0 + name[i:n + i, 0])
-        out[:, 1] = mix(out[:, 1] * K1 + name[i:n + i, 1])
+WINDOW_POWERS = tuple(Powers(b) for b in (0xD1342543DE82EF95, 0xAF251AF3B0F025B5))
+
+
+def window_names(name: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """128-bit names of the windows of ``width`` words that start at ``at``."""
+    out = np.empty((len(at), 2), dtype=np.uint64)
+    for lane, powers in enumerate(WINDOW_POWERS):
+        out[:, lane] = mix(powers.sums(mix(name + KEYS[lane]), at, at + width))
     return out
+
+
+def keys(p: Parse, n_words: int) -> np.ndarray:
+    """Span and name of every symbol in 64 bits; symbols of more words are larger."""
+    span = np.diff(np.append(p.start, n_words)).astype(np.uint64)
+    return (np.minimum(span, np.uint64(1023)) << np.uint64(54)) | (p.name[:, 0] >> np.uint64(10))
+
+
+def rarest(key: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The largest key of the symbols first .. last of every stretch."""
+    size = last - first + 1
+    best = np.zeros(len(size), dtype=np.uint64)
+    table, width = key, 1               # maxima of all stretches of 1, 2, 4, .. symbols
+    while len(size) and width <= size.max():
+        mine = np.flatnonzero((size >= width) & (size < 2 * width))
+        best[mine] = np.maximum(table[first[mine]], table[last[mine] - width + 1])
+        table, width = np.maximum(table[:-width], table[width:]), 2 * width
+    return best

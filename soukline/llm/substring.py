@@ -8,8 +8,8 @@ same document, earlier start) has its words removed; windows are judged on the i
    consecutive symbols whose first occurrences are consecutive too form a stretch that
    is known to repeat, and its windows are settled without being looked at singly.
 2. *What can repeat.* Of every window not settled, the symbols after ``MID`` rounds that do
-   not depend on its surroundings must all occur again if the window does. Windows with
-   a symbol that occurs once are settled as unique.
+   not depend on its surroundings occur again if the window does. One of them is looked
+   up, the one with the most words: windows for which it occurs only once are unique.
 3. *The rest* - the first occurrences, the borders of long repeats and windows with no
    sure symbol - are matched by the 128-bit name of the window itself.
 
@@ -28,11 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from soukline.llm import recompress as rc
-from soukline.llm.common import drop_stored, stored, text_or_empty
+from soukline.llm.common import drop_stored, map_arrow, stored, text_or_empty
 
 WINDOW = 20
 HIGH, MID = 11, 4
-BATCH_BYTES = 3 << 20
+BATCH_BYTES = 2 << 20
 NO_ID = (1 << 63) - 1
 
 
@@ -78,7 +78,7 @@ def _high_symbols(batches):
     for batch in batches:
         for part, texts in _slices(batch):
             w = cutter.cut(texts)
-            p = rc.parse(w.name, w.doc, HIGH, cores=False)
+            p = rc.parse(rc.lanes(w.name, 2), w.doc, HIGH, cores=False)
             bounds = w.doc_bounds(len(texts))
             span = np.diff(np.append(p.start, len(w.doc)))
             ids, prints = _numbers(part.column("did"))[p.doc], _numbers(part.column("print"))[p.doc]
@@ -138,44 +138,69 @@ def _windows(w: rc.Words, p: rc.Parse, settled, bounds):
     return at, p.first[at], p.last[at + WINDOW - 1]
 
 
+def _open_keys(w: rc.Words, settled, bounds):
+    """Starts of the windows not settled, the key of the rarest sure symbol of each (0
+    where no symbol is sure), and the parse."""
+    p = rc.parse(rc.lanes(w.name, 1), w.doc, MID)
+    at, first, last = _windows(w, p, settled, bounds)
+    key = np.zeros(len(at), dtype=np.uint64)
+    sure = first <= last
+    key[sure] = rc.rarest(rc.keys(p, len(w.doc)), first[sure], last[sure])
+    return at, key, p
+
+
+def _in_doc(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """One number for a key in a document of the batch."""
+    return rc.mix(key ^ rc.mix(doc.astype(np.uint64) + rc.K1))
+
+
+def _among(x: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Which ``x`` are among the sorted ``found``."""
+    if not len(found):
+        return np.zeros(len(x), dtype=bool)
+    return found[np.minimum(np.searchsorted(found, x), len(found) - 1)] == x
+
+
 def _mid_symbols(batches):
+    """(key, document) of the symbols that decide about the windows not settled."""
     cutter = rc.WordCutter()
     for batch in batches:
         for part, texts in _slices(batch):
             w = cutter.cut(texts)
-            p = rc.parse(w.name, w.doc, MID)
-            bounds = w.doc_bounds(len(texts))
-            _, first, last = _windows(w, p, _settled(part), bounds)
-            sure = first <= last
-            cover = np.zeros(len(p.doc) + 1, dtype=np.int64)
-            np.add.at(cover, first[sure], 1)
-            np.add.at(cover, last[sure] + 1, -1)
-            used = np.flatnonzero(np.cumsum(cover[:-1]) > 0)
-            doc = p.doc[used]
+            at, key, p = _open_keys(w, _settled(part), w.doc_bounds(len(texts)))
+            at, key = at[key > 0], key[key > 0]
+            doc = w.doc[at]
+            order = np.lexsort((key, doc))
+            key, doc = key[order], doc[order]
+            new = np.ones(len(key), dtype=bool)
+            new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
+            key, doc = key[new], doc[new]
+            # a document that has a key at two places has it twice by itself
+            every = np.sort(_in_doc(rc.keys(p, len(w.doc)), p.doc))
+            twice = _among(_in_doc(key, doc), every[1:][every[1:] == every[:-1]])
+            doc = pa.array(doc)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(p.name[used, 0].view(np.int64)), part.column("did").take(pa.array(doc)),
-                 part.column("print").take(pa.array(doc)),
-                 pa.array(p.start[used] - bounds[doc], pa.int32())],
-                names=["n0", "did", "print", "at"])
-
-
-class _Kept:
-    """Final numbers of documents from the words that are removed."""
-
-    @staticmethod
-    def digest(w: rc.Words, removed: np.ndarray, lo: int, hi: int) -> str:
-        kept = np.flatnonzero(~removed[lo:hi]) + lo
-        if len(kept) == 0:
-            return hashlib.sha256(b"").hexdigest()
-        a, b = w.begin[kept[0]], w.end[kept[-1]]
-        inside = np.zeros(b - a + 1, dtype=np.int8)
-        inside[w.begin[kept] - a] = 1
-        inside[w.end[kept] - a] -= 1
-        mask = np.cumsum(inside[:-1]).astype(bool)
-        data = w.data[a:b].copy()
-        tail = w.end[kept[:-1]] - a            # the space after each kept word
-        mask[tail], data[tail] = True, 0x20
-        return hashlib.sha256(data[mask].tobytes()).hexdigest()
+                [pa.array(key.view(np.int64)), part.column("did").take(doc),
+                 part.column("print").take(doc), pa.array(twice)],
+                names=["n0", "did", "print", "twice"])
+
+
+def _digests(w: rc.Words, gone: np.ndarray, bounds: np.ndarray) -> list[str]:
+    """SHA-256 of every document's kept words, joined by one blank."""
+    kept = np.flatnonzero(~gone)
+    edge = np.zeros(len(w.data) + 1, dtype=np.int8)
+    edge[w.begin[kept]] = 1
+    edge[w.end[kept]] -= 1
+    mask, data = np.cumsum(edge[:-1], dtype=np.int8).astype(bool), w.data.copy()
+    lead = kept[1:][w.doc[kept[1:]] == w.doc[kept[:-1]]]    # all but a document's first
+    blank = w.begin[lead] - 1                               # the space before the word
+    mask[blank], data[blank] = True, 0x20
+    out = data[mask].tobytes()
+    size = np.append(0, np.cumsum(mask))
+    starts = np.append(w.begin, len(w.data))[np.minimum(bounds, len(w.begin))]
+    # a document's bytes run from its first word to the next document's first word
+    cut = size[starts].tolist()
+    return [hashlib.sha256(out[a:b]).hexdigest() for a, b in zip(cut, cut[1:])]
 
 
 def _candidates(batches):
@@ -184,22 +209,14 @@ def _candidates(batches):
     for batch in batches:
         for part, texts in _slices(batch):
             w = cutter.cut(texts)
-            p = rc.parse(w.name, w.doc, MID)
             bounds, settled = w.doc_bounds(len(texts)), _settled(part)
-            at, first, last = _windows(w, p, settled, bounds)
-            shared = np.zeros(len(p.doc), dtype=bool)
-            symbol_at = np.full(len(w.doc), -1, dtype=np.int64)
-            symbol_at[p.start] = np.arange(len(p.doc))
+            at, key, _ = _open_keys(w, settled, bounds)
             col = part.column("shared")
             sizes = col.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(int)
-            where = np.repeat(bounds[:-1], sizes) + _numbers(col.flatten())
-            shared[symbol_at[where]] = True
-            lone = np.append(0, np.cumsum(~shared))
-            sure = first <= last
-            alone = np.zeros(len(at), dtype=bool)
-            alone[sure] = lone[last[sure] + 1] > lone[first[sure]]
-            at = at[~alone]
-            names = rc.window_names(w.name, WINDOW)[at]
+            shared = np.sort(_in_doc(_numbers(col.flatten()).view(np.uint64),
+                                     np.repeat(np.arange(len(texts)), sizes)))
+            at = at[(key == 0) | _among(_in_doc(key, w.doc[at]), shared)]
+            names = rc.window_names(w.name, at, WINDOW)
             ids, prints = _numbers(part.column("did")), _numbers(part.column("print"))
             # equal windows met in this batch: all but the first are settled now
             doc = w.doc[at]
@@ -223,12 +240,13 @@ def _candidates(batches):
                 for a, b in ranges:
                     gone[bounds[d] + a:bounds[d] + b] = True
             cut = np.searchsorted(doc, np.arange(len(texts) + 1))
+            digest = _digests(w, gone, bounds)
             rows = []
             for d in range(len(texts)):
                 lo, hi = int(bounds[d]), int(bounds[d + 1])
                 a, b = cut[d], cut[d + 1]
                 if a == b:
-                    rows.append((hi - lo, int(gone[lo:hi].sum()), _Kept.digest(w, gone, lo, hi),
+                    rows.append((hi - lo, int(gone[lo:hi].sum()), digest[d],
                                  None, None, None, None))
                 else:
                     rows.append((hi - lo, None, None, texts[d],
@@ -272,7 +290,7 @@ def _finished(batches):
             w = cutter.cut(texts)
             bounds = w.doc_bounds(len(texts))
             gone = np.zeros(len(w.doc), dtype=bool)
-            counts, digests = [], []
+            counts = []
             for d, (bits, later) in enumerate(zip(part.column("gone").to_pylist(),
                                                   part.column("later").to_pylist())):
                 lo_, hi = int(bounds[d]), int(bounds[d + 1])
@@ -281,17 +299,20 @@ def _finished(batches):
                 for a in later or []:
                     gone[lo_ + a:lo_ + a + WINDOW] = True
                 counts.append(int(gone[lo_:hi].sum()))
-                digests.append(_Kept.digest(w, gone, lo_, hi))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("n_words"), pa.array(counts, pa.int64()),
-                 pa.array(digests, pa.string())],
+                 pa.array(_digests(w, gone, bounds), pa.string())],
                 names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
 def _later(rows: DataFrame, names: list[str], values: list[str]) -> DataFrame:
-    """Occurrences that are not the first of their name: ``values`` and ``first``."""
-    first = (rows.groupBy(*names).agg(F.min("code").alias("first"), F.max("code").alias("end"))
-             .filter("first != end").select(*names, "first"))
+    """Occurrences that are not the first of their name: ``values`` and ``first``.
+
+    The first occurrences are stored, so that the join has a plain shuffle on both sides,
+    which adaptive execution can split where one name has very many occurrences."""
+    first = stored(rows.groupBy(*names)
+                   .agg(F.min("code").alias("first"), F.max("code").alias("end"))
+                   .filter("first != end").select(*names, "first"), "substring-first")
     return rows.join(first, names).filter("code != first").select(*values, "first")
 
 
@@ -311,31 +332,33 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("did"),
                         F.xxhash64(text).alias("print"), text.alias("text"))
-    high = stored(keyed.mapInArrow(
-        _high_symbols, "n0 long, n1 long, code decimal(38,0), did long, print long,"
-                       " at int, span int"), "substring-high")
+    named = "n0 long, n1 long, code decimal(38,0), did long, print long, at int"
+    high = stored(map_arrow(keyed, _high_symbols, f"{named}, span int"), "substring-high")
     repeats = stored(_later(high, ["n0", "n1"], [*key, "at", "span"]).groupBy(*key).agg(
         F.collect_list(F.struct("at", "span", "first")).alias("repeats")), "substring-repeats")
     drop_stored(high)
     marked = keyed.join(repeats, key, "left")
-    mid = stored(marked.mapInArrow(_mid_symbols, "n0 long, did long, print long, at int"),
-                 "substring-mid")
-    again = mid.groupBy("n0").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("n0")
+    mid = stored(map_arrow(marked, _mid_symbols,
+                           "n0 long, did long, print long, twice boolean"), "substring-mid")
+    again = stored(mid.groupBy("n0")
+                   .agg(F.sum(F.when(F.col("twice"), 2).otherwise(1)).alias("n"))
+                   .filter("n > 1").select("n0"), "substring-again")
     shared = stored(mid.join(again, "n0").groupBy(*key).agg(
-        F.collect_list("at").alias("shared")), "substring-shared")
+        F.collect_list("n0").alias("shared")), "substring-shared")
     drop_stored(mid)
-    rows = stored(marked.join(shared, key, "left").mapInArrow(
-        _candidates, "doc_id long, did long, print long, n_words long, n_removed long,"
-                     " kept_sha256 string, words binary, gone binary, starts binary,"
-                     " names binary"), "substring-rows")
+    rows = stored(map_arrow(
+        marked.join(shared, key, "left"), _candidates,
+        "doc_id long, did long, print long, n_words long, n_removed long, kept_sha256 string,"
+        " words binary, gone binary, starts binary, names binary"), "substring-rows")
     drop_stored(shared)
     drop_stored(repeats)
     open_ = rows.filter("starts IS NOT NULL")
-    windows = open_.select(*key, "starts", "names").mapInArrow(
-        _flat_windows, "n0 long, n1 long, code decimal(38,0), did long, print long, at int")
-    later = stored(_later(stored(windows, "substring-windows"), ["n0", "n1"], [*key, "at"])
-                   .groupBy(*key).agg(F.collect_set("at").alias("later")), "substring-later")
+    windows = stored(map_arrow(open_.select(*key, "starts", "names"), _flat_windows, named),
+                     "substring-windows")
+    later = stored(_later(windows, ["n0", "n1"], [*key, "at"]).groupBy(*key).agg(
+        F.collect_set("at").alias("later")), "substring-later")
+    drop_stored(windows)
     out = ["doc_id", "n_words", "n_removed", "kept_sha256"]
-    ends = open_.join(later, key, "left").mapInArrow(
-        _finished, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    ends = map_arrow(open_.join(later, key, "left"), _finished,
+                     "doc_id long, n_words long, n_removed long, kept_sha256 string")
     return rows.filter("starts IS NULL").select(*out).unionByName(ends)
