@@ -11,8 +11,9 @@ from soukline.llm.common import drop_stored, stored
 def _large_star(edges: DataFrame) -> DataFrame:
     """Connect every larger neighbour of a vertex to the vertex's smallest neighbour."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select(
-        "u", F.least("u", "m").alias("m"))
+    # stored: a vertex with very many neighbours can then be split in the join
+    least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select(
+        "u", F.least("u", "m").alias("m")), "components-least")
     return (both.filter("v > u").join(least, "u")
             .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct())
 

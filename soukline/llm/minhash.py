@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from soukline.llm.common import stored, text_or_empty
+from soukline.llm.common import map_arrow, stored, text_or_empty
 from soukline.llm.components import components
 
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -134,17 +134,18 @@ def signatures(docs: DataFrame) -> DataFrame:
                  pa.array(d2, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
                 names=["doc_id", "n_shingles", "d1", "d2", "bands"])
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                        text_or_empty().alias("text"))
-            .mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long,"
-                             " bands array<long>"))
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                                 text_or_empty().alias("text")),
+                     run, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>")
 
 
 def candidate_clusters(reps: DataFrame) -> DataFrame:
     """``vertex, component`` over representatives that share a band key."""
     keyed = reps.select("doc_id", F.explode("bands").alias("key"))
-    first = (keyed.groupBy("key").agg(F.min("doc_id").alias("v"), F.max("doc_id").alias("w"))
-             .filter("v != w").select("key", "v"))
+    # stored: the join then has a plain shuffle on both sides, which can be split
+    first = stored(keyed.groupBy("key")
+                   .agg(F.min("doc_id").alias("v"), F.max("doc_id").alias("w"))
+                   .filter("v != w").select("key", "v"), "minhash-buckets")
     return components(keyed.join(first, "key").select(F.col("doc_id").alias("u"), "v"))
 
 
@@ -215,7 +216,7 @@ def confirmed_links(docs: DataFrame, reps: DataFrame, clusters: DataFrame) -> Da
                  pa.array(sig, pa.binary())],
                 names=[*keep, "shingles", "signature"]).filter(pa.array(mine, pa.bool_()))
 
-    sets = texts.mapInArrow(run, "doc_id long, component long, blocks long, block long,"
+    sets = map_arrow(texts, run, "doc_id long, component long, blocks long, block long,"
                                  " shingles binary, signature binary")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     dealt = (sets.withColumn("other", other)
