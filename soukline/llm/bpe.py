@@ -23,13 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from soukline.llm.common import text_or_empty
+from soukline.llm.common import map_arrow, text_or_empty
 
 WORDS = re.compile(r"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
 # white space other than \t-\r and the blank; such texts are cut with more care
 OTHER_SPACE = re.compile(r"[^\S\t-\r ]")
 SAFE_CUT = re.compile(r"(?<=\S)(?=[\t-\r ])")
-TABLE_ENTRIES = 800_000     # of one task's word table; beyond, it starts anew (memory only)
+TABLE_ENTRIES = 600_000     # of one task's word table; beyond, it starts anew (memory only)
 
 
 def split_words(text: str) -> list[str]:
@@ -183,7 +183,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None, text: str = "text",
                 yield pa.RecordBatch.from_arrays(
                     [kept.column(c) for c in rest] + [col], names=[*rest, out])
 
-    return src.mapInArrow(run, schema)
+    return map_arrow(src, run, schema)
 
 
 def _parts(sizes: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
@@ -242,7 +242,7 @@ def decode(encoded: DataFrame, vocabulary: str | None = None, ids: str = "ids",
                     [part.column(c) for c in rest] + [pa.array(out_, pa.string())],
                     names=[*rest, out])
 
-    return encoded.select(*rest).mapInArrow(run, schema)
+    return map_arrow(encoded.select(*rest), run, schema)
 
 
 def digests(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:

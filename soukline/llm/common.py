@@ -12,6 +12,9 @@ SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -23,6 +26,8 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     and every later use reads the same rows.
     """
     path = run_dir(df.sparkSession, tag)
+    # the rows are stored, so the shuffle files of this execution are not needed after it
+    df.sparkSession.conf.set(SHUFFLE_CLEANUP, "true")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -37,6 +42,17 @@ def drop_stored(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+# rows of one batch that Python gets: texts may be long, and a worker holds several batches
+ARROW_ROWS = 1000
+
+
+def map_arrow(df: DataFrame, run, schema, rows: int = ARROW_ROWS) -> DataFrame:
+    """``df.mapInArrow`` in batches of at most ``rows`` rows, which bounds the memory of
+    the workers (the setting holds for the session from here on)."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return df.mapInArrow(run, schema)
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

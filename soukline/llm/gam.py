@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from soukline.llm.common import WORD, stored, text_or_empty
+from soukline.llm.common import WORD, map_arrow, stored, text_or_empty
 
 WORDS = re.compile(WORD)
 MARKS = re.compile(r"[#*$%&|<>{}\[\]\\^~_=+@]")
@@ -183,8 +183,8 @@ def described(docs: DataFrame) -> DataFrame:
                 [b.column("doc_id"), *(pa.array(x[:, j]) for j in range(x.shape[1]))],
                 names=["doc_id", *FEATURES])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       text_or_empty().alias("text")).mapInArrow(run, schema)
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                                 text_or_empty().alias("text")), run, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS,
@@ -216,6 +216,6 @@ def classify(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS,
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s)],
                                              names=["doc_id", "score"])
 
-    scored = rows.mapInArrow(run, "doc_id long, score double")
+    scored = map_arrow(rows, run, "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id"), parts, part).alias("held_out"),
                          "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from soukline.llm.common import WORD, text_or_empty
+from soukline.llm.common import WORD, map_arrow, text_or_empty
 
 WORDS = re.compile(WORD)
 SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -164,8 +164,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS):
                             F.col("quality").cast("long").alias("quality"))
               .dropna().dropDuplicates(["doc_id"])
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).join(
-        F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                        text_or_empty().alias("text"))
+            .join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]))
 
     def run(batches):
         for b in batches:
@@ -177,7 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS):
                 [b.column("doc_id"), b.column("quality"), pa.array(out, pa.binary())],
                 names=["doc_id", "quality", "features"])
 
-    found = rows.mapInArrow(run, "doc_id long, quality long, features binary").toArrow()
+    found = map_arrow(rows, run, "doc_id long, quality long, features binary").toArrow()
     data = sorted(zip(*(found.column(c).to_pylist() for c in found.column_names)))
     data = [(q, np.frombuffer(f, dtype=np.float32).reshape(-1, N_FEATURES).astype(float))
             for _, q, f in data if f]
@@ -210,8 +211,8 @@ def judge(docs: DataFrame, model, content_share: float = CONTENT_SHARE) -> DataF
                 names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                        "n_repeat_words", "content_share"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       text_or_empty().alias("text")).mapInArrow(run, schema)
+    rows = map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                                 text_or_empty().alias("text")), run, schema)
     failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
     return (rows.withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed")
@@ -228,4 +229,4 @@ def keep_quality(docs: DataFrame, model, content_share: float = CONTENT_SHARE) -
                 keep.append(not base_failed(base[0], base[4])
                             and share_of_content(model, features, sizes) >= content_share)
             yield b.filter(pa.array(keep, pa.bool_()))
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)

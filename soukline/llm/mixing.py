@@ -129,7 +129,9 @@ def mix(docs: DataFrame, block_words: int = 64, buckets: int = 1024, max_epochs:
              .withColumn("words", F.least(F.col("end"), (F.col("block") + 1) * block_words)
                          - F.greatest(F.col("begin"), F.col("block") * block_words)))
     out = ["doc_id", "source", "size", "source_size", "target", "ord", "start"]
-    read = taken.join(schedule(targets, block_words), ["ord", "block"]).select(
+    # the size of exploded rows is not estimated right: without the hint, the schedule,
+    # which grows with the input, can be taken for a small side and be broadcast
+    read = taken.join(schedule(targets, block_words).hint("merge"), ["ord", "block"]).select(
         *out, "slot", "block", "words")
     unread = (placed.filter((F.col("size") == 0) | (F.col("start") >= F.col("quota")))
               .select(*out, F.lit(None).cast("long").alias("slot"),
@@ -153,7 +155,7 @@ def mixed_documents(docs: DataFrame, **params) -> DataFrame:
     """The documents of the mix: each repeated as often as the mix reads it, to the
     nearest whole number (only the last document of a source's quota is read in part)."""
     reads = (taken_words(docs, **params).groupBy("doc_id")
-             .agg((F.sum("taken") / F.sum("size")).alias("__times"))
+             .agg(F.try_divide(F.sum("taken"), F.sum("size")).alias("__times"))
              .select(F.col("doc_id").alias("__id"), F.round("__times").cast("int").alias("__n"))
              .filter("__n > 0"))
     return (docs.join(reads, docs["doc_id"].eqNullSafe(reads["__id"]))
@@ -163,7 +165,8 @@ def mixed_documents(docs: DataFrame, **params) -> DataFrame:
 
 ORACLE = r"""
 WITH d AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+  SELECT doc_id, source,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
          ('0x' || substr(md5('mix|' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS place
   FROM documents),
 s AS (
