@@ -29,7 +29,7 @@ WORDS = re.compile(r"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
 # white space other than \t-\r and the blank; such texts are cut with more care
 OTHER_SPACE = re.compile(r"[^\S\t-\r ]")
 SAFE_CUT = re.compile(r"(?<=\S)(?=[\t-\r ])")
-TABLE_ENTRIES = 600_000     # of one task's word table; beyond, it starts anew (memory only)
+TABLE_ENTRIES = 200_000     # of one task's word table; beyond, it starts anew (memory only)
 
 
 def split_words(text: str) -> list[str]:
@@ -88,7 +88,7 @@ class WordTable:
     JOINED = 2_000      # words encoded in one call
 
     def __init__(self, vocabulary: str):
-        self.tok, spec = _tokenizer(vocabulary), json.loads(vocabulary)
+        spec, self.vocabulary, self.tok = json.loads(vocabulary), vocabulary, None
         self.ranked = _ranked(spec, pieces(vocabulary))
         # a special token cuts a text, so words joined by it are encoded one by one
         self.cut = next(((t["content"], t["id"]) for t in spec["added_tokens"]), None)
@@ -121,6 +121,8 @@ class WordTable:
             ends = np.append(np.flatnonzero(ids == self.cut[1]), len(ids))
             first = np.append(0, ends[:-1] + 1)
             self._append(part, ids, first, ends - first)
+        if other and self.tok is None:      # made when a word needs it: it is large
+            self.tok = _tokenizer(self.vocabulary)
         for lo in range(0, len(other), self.JOINED):
             part = other[lo:lo + self.JOINED]
             found = [e.ids for e in self.tok.encode_batch(part, add_special_tokens=False)]
