@@ -198,6 +198,58 @@ def test_probabilities_of_a_context_sum_to_one(spark):
         assert abs(total - 1) < 1e-9
 
 
+def _probability(state, m, context, name):
+    """Of a word in a context, from the stored pairs, words and contexts."""
+    for r in state.collect():
+        s = pitman_yor._State.of(r.asDict())
+        dish = np.flatnonzero((np.repeat(s.names, s.sizes) == name) & (s.contexts == context))
+        if len(dish):
+            return s.score[dish[0]] / pitman_yor.SAMPLES
+    parent = m["unseen"]
+    for r in m["owned"].filter(F.col("kind") == pitman_yor.WORD).collect():
+        i = np.flatnonzero(np.frombuffer(r["names"], np.uint64) == name)
+        if len(i):
+            parent = (np.frombuffer(r["samples"]).reshape(-1, pitman_yor.SAMPLES)[i[0]]
+                      / m["norms"] + m["unseen"])
+    return (m["weights"][:, context] * parent).mean()
+
+
+@pytest.mark.parametrize("spread", [False, True])
+def test_the_context_is_the_whole_word_before(spark, spread):
+    texts = ["xa p ya q", "xa p xa p", "ya q ya q", "p xa p ya", "q ya q xa"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 4)],
+                                 "doc_id long, text string")
+    name = dict(zip(["xa", "ya", "p", "q"], recompress.WordCutter().cut(
+        [b"xa ya p q"]).name))
+    deal = pitman_yor.Deal(7, list(name.values()), [7] * 4) if spread else None
+    state, m = pitman_yor.train(docs, 7, deal)
+    p = lambda c, w: _probability(state, m, c, w)
+    # both words end in the same byte, but are different contexts
+    assert p(name["xa"], name["p"]) > 3 * p(name["xa"], name["q"])
+    assert p(name["ya"], name["q"]) > 3 * p(name["ya"], name["p"])
+    for c in (pitman_yor.START, *name.values()):
+        total = sum(p(c, w) for w in (pitman_yor.END, *name.values(), 99))     # 99: unknown
+        assert abs(total - 1) < 1e-9
+    customers = {k: int(n) for r in m["owned"].collect() if r["kind"] == pitman_yor.CONTEXT
+                 for k, n in zip(np.frombuffer(r["names"], np.uint64).tolist(),
+                                 np.frombuffer(r["counts"], np.int64))}
+    assert customers == dict.fromkeys(
+        [pitman_yor.START, *(int(name[w]) for w in ("xa", "ya", "p", "q"))], 20)
+
+
+def test_frequent_words_spread_over_buckets_score_alike(spark, monkeypatch):
+    monkeypatch.setattr(pitman_yor, "CHUNK_BYTES", 20_000)
+    docs = messy.documents(spark, messy.repeated())
+    sums = []
+    for part in (pitman_yor.PART, 20):
+        monkeypatch.setattr(pitman_yor, "PART", part)
+        monkeypatch.setattr(pitman_yor, "SAMPLE", 1)
+        sums.append({(str(r.doc_id), r.n_tokens, r.n_known, round(r.base_score, 6)): r.score
+                     for r in pitman_yor.score_texts(docs).collect()})
+    assert sums[0].keys() == sums[1].keys()
+    assert all(abs(sums[1][k] / v - 1) < 0.02 for k, v in sums[0].items())
+
+
 def test_seating_bounds_and_mean():
     rng = np.random.default_rng(0)
     n = np.array([1, 2, 50, 1000, 10 ** 6] * 400)
