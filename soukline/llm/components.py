@@ -34,7 +34,7 @@ def _print(edges: DataFrame) -> tuple[int, int]:
 def components(edges: DataFrame) -> DataFrame:
     """``vertex, component``: the smallest vertex reachable, for every vertex of an edge.
 
-    ``edges`` has the columns ``u, v`` (long, not null). Each round is two aggregations
+    ``edges`` has the columns ``u, v`` (of one ordered type, not null). Each round is two aggregations
     and joins over the edges, so a vertex with many edges is never gathered; the edges
     become stars after a number of rounds logarithmic in the component size, however long
     its paths. Only an edge count and a checksum reach the driver.

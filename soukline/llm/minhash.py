@@ -2,7 +2,8 @@
 
 1. Each document becomes the set of its hashed word shingles, and gets a digest of the set
    and ``BANDS`` band keys of ``ROWS`` minima each. Documents with equal sets form a
-   class; only its representative (smallest doc_id) goes on.
+   class; only its representative (smallest doc_id) goes on. A class without any id goes on
+   under a vertex from its digest, which is larger than every doc_id.
 2. Representatives that share a band key are candidates. Every member of a bucket is
    linked to the bucket's smallest member, never to all others, and the components of
    these links are the candidate clusters: a pair that shares a key is in one cluster.
@@ -23,7 +24,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from soukline.llm.common import map_arrow, stored, text_or_empty
@@ -36,6 +37,8 @@ BANDS, ROWS, BITS = 32, 8, 2
 MARGIN = 0.15
 BLOCK = 384
 WORD_TABLE = 500_000        # of one task's word hashes; beyond, it starts anew
+VERTEX = "decimal(20,0)"    # doc_ids as they are; from 2^63 on classes without an id
+SET = ["n_shingles", "d1", "d2"]
 
 
 class WordHash(dict):
@@ -114,8 +117,14 @@ def estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (1.0 - differ / (BANDS * ROWS) - chance) / (1.0 - chance)
 
 
+def _sha() -> Column:
+    """Digest of the text of a row without an id (null with one)."""
+    return F.when(F.col("doc_id").cast("long").isNull(), F.sha2(text_or_empty(), 256))
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, d1, d2, bands`` of every row (d1, d2: digest of the set)."""
+    """``doc_id, n_shingles, d1, d2, bands, sha`` of every row (d1, d2: digest of the set;
+    sha: digest of the text, of rows without an id)."""
     def run(batches):
         table, family = WordHash(), _family()
         for b in batches:
@@ -131,27 +140,28 @@ def signatures(docs: DataFrame) -> DataFrame:
                 keys.append(band_keys(minima(s, family)).tolist() if len(s) else [])
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(sizes, pa.int64()), pa.array(d1, pa.int64()),
-                 pa.array(d2, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "d1", "d2", "bands"])
+                 pa.array(d2, pa.int64()), pa.array(keys, pa.list_(pa.int64())), b.column("sha")],
+                names=["doc_id", "n_shingles", "d1", "d2", "bands", "sha"])
 
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                                 text_or_empty().alias("text")),
-                     run, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>")
+                                 text_or_empty().alias("text"), _sha().alias("sha")),
+                     run, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>,"
+                          " sha string")
 
 
 def candidate_clusters(reps: DataFrame) -> DataFrame:
     """``vertex, component`` over representatives that share a band key."""
-    keyed = reps.select("doc_id", F.explode("bands").alias("key"))
+    keyed = reps.select("vertex", F.explode("bands").alias("key"))
     # stored: the join then has a plain shuffle on both sides, which can be split
     first = stored(keyed.groupBy("key")
-                   .agg(F.min("doc_id").alias("v"), F.max("doc_id").alias("w"))
+                   .agg(F.min("vertex").alias("v"), F.max("vertex").alias("w"))
                    .filter("v != w").select("key", "v"), "minhash-buckets")
-    return components(keyed.join(first, "key").select(F.col("doc_id").alias("u"), "v"))
+    return components(keyed.join(first, "key").select(F.col("vertex").alias("u"), "v"))
 
 
 def _links(table: pa.Table) -> pa.Table:
     """Confirmed links between the two blocks of a task: a spanning forest."""
-    ids = table.column("doc_id").to_pylist()
+    ids = table.column("vertex").to_pylist()
     block = np.asarray(table.column("block").to_pylist())
     sets = [np.frombuffer(s, dtype=np.uint64) for s in table.column("shingles").to_pylist()]
     sig = np.stack([np.frombuffer(s, dtype=np.uint64)
@@ -184,8 +194,9 @@ def _links(table: pa.Table) -> pa.Table:
         if 100 * shared >= PERCENT * (len(sets[a]) + len(sets[b]) - shared):
             root[ra] = rb
             out.append((ids[a], ids[b]))
-    return pa.table({"u": pa.array([a for a, _ in out], pa.int64()),
-                     "v": pa.array([b for _, b in out], pa.int64())})
+    kind = pa.decimal128(20, 0)
+    return pa.table({"u": pa.array([a for a, _ in out], kind),
+                     "v": pa.array([b for _, b in out], kind)})
 
 
 def confirmed_links(docs: DataFrame, reps: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -193,15 +204,19 @@ def confirmed_links(docs: DataFrame, reps: DataFrame, clusters: DataFrame) -> Da
     sizes = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("m"))
     members = (clusters.join(sizes, "component")
                .withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("long"))
-               .select(F.col("vertex").alias("doc_id"), "component", "blocks",
+               .select("vertex", "component", "blocks",
                        F.pmod(F.xxhash64("vertex"), F.col("blocks")).alias("block"))
-               .join(reps.select("doc_id", "d1", "d2"), "doc_id"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                        text_or_empty().alias("text")).join(members, "doc_id")
+               .join(reps.select("vertex", "doc_id", "d1", "d2", "sha"), "vertex"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       text_or_empty().alias("text"), _sha().alias("sha"))
+    texts = (rows.drop("sha").join(members.drop("sha"), "doc_id")
+             .unionByName(rows.filter("doc_id is null").drop("doc_id")
+                          .join(members.filter("doc_id is null").drop("doc_id"), "sha")
+                          .dropDuplicates(["vertex"]).drop("sha"), allowMissingColumns=True))
 
     def run(batches):
         table, family = WordHash(), _family()
-        keep = ["doc_id", "component", "blocks", "block"]
+        keep = ["vertex", "component", "blocks", "block"]
         for b in batches:
             mine, found, sig = [], [], []
             for text, d1, d2 in zip(*(b.column(c).to_pylist() for c in ("text", "d1", "d2"))):
@@ -216,49 +231,81 @@ def confirmed_links(docs: DataFrame, reps: DataFrame, clusters: DataFrame) -> Da
                  pa.array(sig, pa.binary())],
                 names=[*keep, "shingles", "signature"]).filter(pa.array(mine, pa.bool_()))
 
-    sets = map_arrow(texts, run, "doc_id long, component long, blocks long, block long,"
-                                 " shingles binary, signature binary")
+    sets = map_arrow(texts, run, f"vertex {VERTEX}, component {VERTEX}, blocks long,"
+                                 " block long, shingles binary, signature binary")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     dealt = (sets.withColumn("other", other)
              .withColumn("low", F.least("block", "other"))
              .withColumn("high", F.greatest("block", "other")))
-    return (dealt.select("component", "low", "high", "doc_id", "block", "shingles", "signature")
-            .groupBy("component", "low", "high").applyInArrow(_links, "u long, v long"))
+    return (dealt.select("component", "low", "high", "vertex", "block", "shingles", "signature")
+            .groupBy("component", "low", "high").applyInArrow(_links, f"u {VERTEX}, v {VERTEX}"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Class of every row: ``doc_id, n_shingles, component_id, kept``.
+def classified(docs: DataFrame) -> DataFrame:
+    """Class of every row: ``doc_id, n_shingles, component_id, kept, sha``.
 
     A document's set are its distinct 5-word shingles (A-Z lower-cased), with fewer words
     the whole sequence; documents are linked when 100 * intersection >= 85 * union, and
     ``component_id`` is the smallest doc_id reachable.
 
     Defined cases: null or empty text has no shingles and links with nothing; rows that
-    repeat a doc_id are linked through it; a null doc_id ranks after all others and, when
-    no equal set has an id, stays in no component (null); extra columns are ignored.
+    repeat a doc_id are linked through it; rows without a doc_id take part in links and rank
+    after all others. A component none of whose rows has an id gets a null ``component_id``
+    and exactly one kept row, a row without id and without shingles is kept. Extra columns
+    are ignored. Classes without an id count as the same when 64 bits of their digests agree.
     """
     rows = stored(signatures(docs), "minhash-signatures")
     full = rows.filter("n_shingles > 0")
-    key = ["n_shingles", "d1", "d2"]
-    classes = full.groupBy(*key).agg(F.min("doc_id").alias("rep"))
-    reps = (full.join(classes.select(F.col("rep").alias("doc_id"), *key),
-                      ["doc_id", *key], "left_semi").dropDuplicates(["doc_id", *key]))
+    beyond = (F.col("d1").cast(VERTEX) + F.expr("18446744073709551616BD")).cast(VERTEX)
+    classes = (full.groupBy(*SET).agg(F.min("doc_id").alias("rep"))
+               .withColumn("vertex", F.coalesce(F.col("rep").cast(VERTEX), beyond)))
+    reps = (full.join(classes.select(F.col("rep").alias("doc_id"), *SET, "vertex"),
+                      ["doc_id", *SET]).dropDuplicates(["doc_id", *SET])
+            # equal sets have equal bands: any text stands for a class without an id
+            .unionByName(full.filter("doc_id is null").join(
+                classes.filter("rep is null").select(*SET, "vertex"), SET)
+                .dropDuplicates(["vertex"])))
     # a doc_id given to several texts stands for all of them
     reps = stored(reps, "minhash-reps")
     clusters = stored(candidate_clusters(reps), "minhash-clusters")
     links = stored(confirmed_links(docs, reps, clusters), "minhash-links")
-    found = components(links).select(F.col("vertex").alias("rep"), "component")
-    named = classes.join(found, "rep", "left").select(
-        *key, F.coalesce("component", "rep").alias("component_id"))
-    out = ["doc_id", "n_shingles", "component_id"]
-    return (full.join(named, key).select(*out)
+    least = F.coalesce("component", "vertex")
+    named = classes.join(components(links), "vertex", "left").select(
+        *SET, F.when(least < F.expr("9223372036854775808BD"), least).cast("long").alias("component_id"),
+        (least == F.col("vertex")).alias("leads"))
+    out = ["doc_id", "n_shingles", "component_id", "kept"]
+    own = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+    # rows without an id and with equal texts are counted, and told apart by number only
+    texts = full.filter("doc_id is null").groupBy(*SET, "sha").agg(F.count(F.lit(1)).alias("n"))
+    first = texts.groupBy(*SET).agg(F.min("sha").alias("first"))
+    copies = (texts.join(first, SET).join(named, SET)
+              .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+              .withColumn("kept", F.col("component_id").isNull() & F.col("leads")
+                          & (F.col("sha") == F.col("first")) & (F.col("copy") == 1)))
+    return (full.filter("doc_id is not null").join(named, SET).withColumn("kept", own)
+            .select(*out)
+            .unionByName(copies.withColumn("doc_id", F.lit(None).cast("long")).select(
+                *out[:3], "kept", "sha"), allowMissingColumns=True)
             .unionByName(rows.filter("n_shingles = 0")
-                         .withColumn("component_id", F.col("doc_id")).select(*out))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"),
-                                           F.lit(False))))
+                         .withColumn("component_id", F.col("doc_id"))
+                         .withColumn("kept", F.lit(True)).select(*out, "sha"),
+                         allowMissingColumns=True))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """Class of every row: ``doc_id, n_shingles, component_id, kept`` (see :func:`classified`)."""
+    return classified(docs).drop("sha")
 
 
 def keep_distinct(docs: DataFrame) -> DataFrame:
-    """One document of each component, with all its columns."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__id"))
-    return docs.join(kept, docs["doc_id"] == kept["__id"], "left_semi")
+    """One document of each component, with all its columns, also when it has no id."""
+    kept = stored(classified(docs).filter("kept"), "minhash-kept")
+    ids = kept.select(F.col("doc_id").alias("__id"))
+    named = docs.join(ids, docs["doc_id"] == ids["__id"], "left_semi")
+    nameless = docs.filter(F.col("doc_id").cast("long").isNull()).withColumn("__sha", _sha())
+    one = kept.filter("doc_id is null and n_shingles > 0").select(F.col("sha").alias("__sha"))
+    blank = kept.filter("doc_id is null and n_shingles = 0").select(F.col("sha").alias("__sha"))
+    return (named
+            .unionByName(nameless.join(one, "__sha", "left_semi").dropDuplicates(["__sha"])
+                         .select(*docs.columns))
+            .unionByName(nameless.join(blank, "__sha", "left_semi").select(*docs.columns)))

@@ -84,6 +84,31 @@ def test_near_duplicates_repeated_rows(spark):
     assert minhash.keep_distinct(docs).columns == docs.columns
 
 
+def _without_ids():
+    """Rows (doc_id, text): copies and near copies with and without an id."""
+    def words(tag, n=80, *changed):
+        return " ".join(f"{tag}{i}x" if i in changed else f"{tag}{i}" for i in range(n))
+    return [(None, words("solo")),                                      # alone
+            (None, words("pair")), (None, words("pair", 81)),           # only near copies
+            (None, words("same")), (None, words("same")), (None, words("same").upper()),
+            (5, words("mixed")), (None, words("mixed", 81)),            # one has an id
+            # 8 and 9 are linked only through the row between them
+            (8, words("chain", 80)), (None, words("chain", 90)), (9, words("chain", 100)),
+            (None, None), (None, ""), (7, "")]
+
+
+def test_rows_without_an_id_are_linked_and_one_is_kept(spark):
+    docs = spark.createDataFrame(_without_ids(), "doc_id long, text string")
+    got = minhash.near_duplicates(docs).collect()
+    assert len(got) == docs.count()
+    assert {r.doc_id: r.component_id for r in got if r.doc_id} == {5: 5, 7: 7, 8: 8, 9: 8}
+    kept = sorted(((r.doc_id, (r.text or "")[:4].lower())
+                   for r in minhash.keep_distinct(docs).collect()), key=str)
+    assert kept == sorted([(None, "solo"), (None, "pair"), (None, "same"), (5, "mixe"),
+                           (8, "chai"), (None, ""), (None, ""), (7, "")], key=str)
+    assert sum(r.kept for r in got) == len(kept)
+
+
 def test_large_clusters_are_cut_into_blocks(spark, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", 5)
     docs = messy.documents(spark)

@@ -73,3 +73,13 @@ def test_run_is_the_chain_of_stages(spark):
     got = corpus_pipeline.run(spark, SMALL).collect()
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     assert sorted(got) == sorted(stages(spark, docs, SMALL)[-1][1].collect())
+
+
+def test_near_dedup_keeps_documents_without_an_id(spark):
+    rows = messy.rows()
+    lone = [(None, messy.sentences(messy.random.Random(i), 200, 10 ** 6), *rows[6][2:])
+            for i in (1, 2)]
+    docs = messy.documents(spark, [*lone, lone[0], (None, *rows[6][1:])])
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    got = [r.text for r in stage(spark, docs, SMALL).collect() if r.doc_id is None]
+    assert sorted(got) == sorted(r[1] for r in lone)
