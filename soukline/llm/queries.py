@@ -13,10 +13,13 @@ from soukline.llm import (
     chat,
     exact_dedup,
     gam,
+    hard_negatives,
     lines_crf,
     minhash,
     mixing,
+    page_text,
     pitman_yor,
+    runs,
     substring,
     url_rules,
 )
@@ -69,15 +72,30 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), url_rules.rule_frame(spark))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.embedding_rows(table(spark, sf_dir, "embeddings"))
+    return hard_negatives.hard_negatives(rows, F.col("id") % 100 == 0)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.page_texts(table(spark, sf_dir, "pages"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = [op1_exact_dedup, op2_mix_sources, op3_chat_format, op4_substring_dedup,
            op5_quality_rules, op6_pitman_yor, op7_quality_gam, op8_minhash,
-           op9_bpe, op10_url_rules, pipeline]
+           op9_bpe, op10_url_rules, op11_hard_negatives, op12_periodic_runs,
+           op13_page_text, pipeline]
 ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op2_mix_sources": mixing.ORACLE,
-           "op3_chat_format": chat.ORACLE, "op10_url_rules": url_rules.ORACLE}
+           "op3_chat_format": chat.ORACLE, "op10_url_rules": url_rules.ORACLE,
+           "op11_hard_negatives": hard_negatives.ORACLE, "op13_page_text": page_text.ORACLE}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
