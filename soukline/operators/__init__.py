@@ -4,7 +4,7 @@ from .enrich import (enrich_orders, enrich_rates, enrich_weather, fill_rates, fi
                      flatten_hourly, gap_pairs, geocode_first, join_rate, join_weather,
                      rate_gaps, weather_coverage, weather_description, weather_gaps)
 from .keys import dedup_by_key, unique_or_error, with_sequential_id
-from .merge import insert_only, scd2, upsert, upsert_latest
+from .merge import insert_only, replace_keys, scd2, scd2_versions, upsert, upsert_latest
 from .star import dim_date, dim_location, dim_products, fact_live, fact_orders_gold
 
 __all__ = [n for n in dir() if not n.startswith("_")]

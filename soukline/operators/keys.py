@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import run_dir, saved
@@ -57,15 +57,32 @@ def with_sequential_id(df: DataFrame, order_cols: Sequence[str], id_col: str,
             .drop("_part", "_local", "_offset"))
 
 
+def complete_key(keys: Sequence[str]) -> Column:
+    """Whether no part of a row's key is NULL (NULL keys never match)."""
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    return whole
+
+
+def key_salt(df: DataFrame, keys: Sequence[str]) -> Column:
+    """0 for complete keys, a hash of the row for others: rows without a key, which match
+    nothing, are spread over all tasks instead of meeting in the task of NULL."""
+    return F.when(complete_key(keys), F.lit(0).cast("long")).otherwise(
+        F.xxhash64(*[F.col(c) for c in df.columns]))
+
+
+def one_per_key(n: Column, keys: Sequence[str]) -> Column:
+    """True; raises when the plan runs if ``n`` source rows of a key are more than one."""
+    message = f"more than one source row for a key of {list(keys)}"
+    return F.when(n > 1, F.raise_error(F.lit(message)).cast("boolean")).otherwise(True)
+
+
 def unique_or_error(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``df`` unchanged; the plan raises when a key (no part NULL) occurs twice."""
+    """``df`` unchanged, in one pass; the plan raises when a key (no part NULL) occurs twice.
+    Rows with an incomplete key may repeat."""
     keys = list(keys)
-    complete = F.lit(True)
-    for k in keys:
-        complete = complete & F.col(k).isNotNull()
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    message = f"more than one source row for a key of {keys}"
-    checked = (df.filter(complete).withColumn("_n", n)
-               .filter(F.when(F.col("_n") > 1, F.raise_error(F.lit(message)).cast("boolean"))
-                       .otherwise(True)).drop("_n"))
-    return checked.unionByName(df.filter(~complete))
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys, "_salt"))
+    rows = df.withColumn("_salt", key_salt(df, keys)).withColumn("_n", n)
+    return rows.filter(one_per_key(F.when(complete_key(keys), F.col("_n")), keys)).select(
+        *df.columns)

@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timekeys import date_lit
-from .keys import dedup_by_key, unique_or_error
+from .keys import complete_key, dedup_by_key, key_salt, one_per_key, unique_or_error
 
 
 def _same_columns(target: DataFrame, source: DataFrame) -> None:
@@ -39,18 +39,43 @@ def insert_only(target: DataFrame | None, source: DataFrame, keys: Sequence[str]
     return target.unionByName(new)
 
 
+def _keyed_union(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of both sides with ``_source`` (1 or 0) and ``_sources``, the number of source
+    rows of their key: both sides are planned once, moved once by key and sorted once."""
+    rows = (target.withColumn("_source", F.lit(0))
+            .unionByName(source.withColumn("_source", F.lit(1))))
+    rows = rows.withColumn("_salt", key_salt(target, keys))
+    per_key = Window.partitionBy(*keys, "_salt")
+    return rows.withColumn("_sources", F.when(complete_key(keys),
+                                              F.sum("_source").over(per_key)).otherwise(0))
+
+
 def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Matched target rows are replaced by the source row; the rest is inserted.
 
-    A source with two rows for one key is an error, raised when the plan runs.
+    One pass: target and source rows meet in one shuffle by key, which also counts the
+    source rows of a key; two for one key are an error, raised when the plan runs.
     """
     keys = list(keys)
-    source = unique_or_error(source, keys)
+    if target is None:
+        return unique_or_error(source, keys)
+    _same_columns(target, source)
+    rows = _keyed_union(target, source, keys)
+    stays = (F.col("_source") == 1) | (F.col("_sources") == 0)
+    return rows.filter(stays & one_per_key(F.col("_sources"), keys)).select(*target.columns)
+
+
+def replace_keys(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key the source has go; all source rows come, copies too.
+
+    For landing tables: a delivery replaces what an earlier one said about its keys, and
+    cleaning decides about copies within one delivery."""
     if target is None:
         return source
     _same_columns(target, source)
-    kept = target.join(source.select(*keys), keys, "left_anti")
-    return kept.unionByName(source)
+    rows = _keyed_union(target, source, list(keys))
+    return rows.filter((F.col("_source") == 1) | (F.col("_sources") == 0)).select(
+        *target.columns)
 
 
 def upsert_latest(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
@@ -66,7 +91,7 @@ def upsert_latest(target: DataFrame | None, source: DataFrame, keys: Sequence[st
 
 def scd2(existing: DataFrame | None, incoming: DataFrame, key: str = "customer_id",
          as_of=None, tracked: Sequence[str] = ("city",)) -> DataFrame:
-    """Slowly changing dimension, type 2, in one full outer join.
+    """Slowly changing dimension, type 2, in one full outer join of the current rows.
 
     * a current row whose tracked attribute differs from the incoming row
       (``current.city != incoming.city``, three-valued: NULL on either side is not a
@@ -79,20 +104,40 @@ def scd2(existing: DataFrame | None, incoming: DataFrame, key: str = "customer_i
     History rows pass through untouched. Two incoming rows for one key are an error,
     raised when the plan runs.
     """
-    d = date_lit(as_of)
-    incoming = unique_or_error(incoming, [key])
-    attrs = [c for c in incoming.columns]
     if existing is None:
-        return incoming.select(*attrs, d.alias("start_date"),
-                               F.lit(None).cast("date").alias("end_date"),
-                               F.lit(True).alias("is_current"))
-    out_cols = attrs + ["start_date", "end_date", "is_current"]
-    types = dict(existing.dtypes)
+        return _first_versions(unique_or_error(incoming, [key]), as_of)
     is_cur = F.coalesce(F.col("is_current"), F.lit(False))
-    history = existing.filter(~is_cur).select(*out_cols)
-    cur = existing.filter(is_cur).withColumn("_e", F.lit(True)).alias("e")
-    inc = incoming.withColumn("_n", F.lit(True)).alias("n")
-    j = cur.join(inc, F.col(f"e.{key}") == F.col(f"n.{key}"), "full_outer")
+    history = existing.filter(~is_cur).select(*incoming.columns, *VERSION_COLUMNS)
+    return history.unionByName(scd2_versions(existing.filter(is_cur), incoming, key, as_of,
+                                             tracked))
+
+
+VERSION_COLUMNS = ["start_date", "end_date", "is_current"]
+
+
+def _first_versions(incoming: DataFrame, as_of) -> DataFrame:
+    return incoming.select(*incoming.columns, date_lit(as_of).alias("start_date"),
+                           F.lit(None).cast("date").alias("end_date"),
+                           F.lit(True).alias("is_current"))
+
+
+def scd2_versions(current: DataFrame, incoming: DataFrame, key: str = "customer_id",
+                  as_of=None, tracked: Sequence[str] = ("city",)) -> DataFrame:
+    """What becomes of the current rows, given a snapshot: those that stay, those closed on
+    ``as_of`` and the new versions (see :func:`scd2`). History is not needed for it.
+
+    Both sides are planned once and shuffled once by key; the same shuffle counts the
+    incoming rows of a key.
+    """
+    d = date_lit(as_of)
+    attrs, types = list(incoming.columns), dict(current.dtypes)
+    n = F.count(F.lit(1)).over(Window.partitionBy(key, "_salt"))
+    inc = (incoming.withColumn("_salt", key_salt(incoming, [key])).withColumn("_n", n)
+           .filter(one_per_key(F.when(complete_key([key]), F.col("_n")), [key])).alias("n"))
+    cur = (current.withColumn("_salt", key_salt(current, [key])).withColumn("_e", F.lit(True))
+           .alias("e"))
+    j = cur.join(inc, (F.col(f"e.{key}") == F.col(f"n.{key}"))
+                 & (F.col("e._salt") == F.col("n._salt")), "full_outer")
 
     e_here, n_here = F.col("e._e").isNotNull(), F.col("n._n").isNotNull()
     changed = F.lit(False)
@@ -108,5 +153,4 @@ def scd2(existing: DataFrame | None, incoming: DataFrame, key: str = "customer_i
                        d.alias("start_date"), F.lit(None).cast("date").alias("end_date"),
                        F.lit(True).alias("is_current"))
     rows = F.array(F.when(e_here, old_row), F.when(n_here & (~e_here | changed), new_row))
-    versions = j.select(F.inline(F.filter(rows, lambda r: r.isNotNull())))
-    return history.unionByName(versions)
+    return j.select(F.inline(F.filter(rows, lambda r: r.isNotNull())))

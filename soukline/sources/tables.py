@@ -74,11 +74,72 @@ def write_version(df: DataFrame, root: str, partition_by: list[str] | None = Non
     return path
 
 
-def _exists(spark: SparkSession, root: str) -> bool:
+def path_exists(spark: SparkSession, root: str) -> bool:
     fs, path, _ = _fs(spark, root)
     return fs.exists(path)
 
 
+# -- partitioned tables: which partitions a source touches --------------------------------
+# up to this many partition values become a pushed IN list; more go through a semi join
+PUSHED_VALUES = 1000
+
+
+def in_partitions(table: DataFrame, partition_col: str, values: DataFrame) -> DataFrame:
+    """The rows of ``table`` in the given partitions (one row of ``values`` each, NULL too).
+
+    The values become literals, so that the scan lists and reads only those folders
+    (``PartitionFilters`` in the plan). A source that touches more than ``PUSHED_VALUES``
+    partitions is joined instead, which reads the table whole: it rewrites most of it."""
+    found = [r[0] for r in values.limit(PUSHED_VALUES + 1).toLocalIterator()]
+    if len(found) > PUSHED_VALUES:
+        some = values.select(F.col(values.columns[0]).alias("_value"))
+        return table.join(some, table[partition_col].eqNullSafe(some["_value"]), "left_semi")
+    col = F.col(partition_col)
+    some = [v for v in found if v is not None]
+    wanted = col.isin(some) if some else F.lit(False)
+    return table.filter(wanted | col.isNull() if None in found else wanted)
+
+
+def near_keys(table: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """``table`` between the smallest and the largest source value of the first key.
+
+    The two values are literals, so they reach the Parquet scan (``PushedFilters``): files
+    are written sorted by key, and a file or row group whose key range lies outside is
+    not read. Ids that grow with time make a batch's range narrow. A source key that is
+    NULL matches nothing and needs no row."""
+    key = keys[0]
+    lo, hi = source.agg(F.min(key), F.max(key)).first()
+    if lo is None:
+        return table.filter(F.lit(False))
+    return table.filter(F.col(key).between(F.lit(lo), F.lit(hi)))
+
+
+def touched_partitions(table: DataFrame, source: DataFrame, keys: list[str],
+                       partition_col: str, stable_keys: bool = False) -> DataFrame:
+    """Distinct partition values of the source rows and of stored rows with their keys."""
+    touched = source.select(partition_col)
+    if not stable_keys:
+        stored = near_keys(table.select(*keys, partition_col), source, keys)
+        touched = touched.unionByName(
+            stored.join(source.select(*keys), keys, "left_semi").select(partition_col))
+    return touched.distinct()
+
+
+def _sorted_write(df: DataFrame, keys: list[str], partition_col: str):
+    """A writer of files sorted by key, so that their key statistics are narrow.
+
+    Rebalance: AQE splits a hot partition value over several tasks and files and packs
+    small ones together, instead of one task per value."""
+    return (df.hint("rebalance", partition_col).sortWithinPartitions(partition_col, *keys)
+            .write.partitionBy(partition_col))
+
+
+# -- replacing partitions so that a crash loses nothing ------------------------------------
+def _pending(root: str) -> str:
+    # a leading underscore hides the folder from readers of the table
+    return f"{root.rstrip('/')}/_pending"
+
+
 def _drop_partitions(values: DataFrame, root: str) -> None:
     """Delete the folders of the given partition values (one row per partition)."""
     spark, col = values.sparkSession, values.columns[0]
@@ -87,52 +148,68 @@ def _drop_partitions(values: DataFrame, root: str) -> None:
         drop_dir(spark, f"{root.rstrip('/')}/{utils.getPartitionPathString(col, row[0])}")
 
 
+def stage_partitions(merged: DataFrame, touched: DataFrame, root: str) -> None:
+    """Keep the new contents of the touched partitions beside the table, complete, before
+    any of its folders changes (``touched`` last: its ``_SUCCESS`` seals the stage)."""
+    merged.write.parquet(f"{_pending(root)}/merged")
+    touched.write.parquet(f"{_pending(root)}/touched")
+
+
+def finish_pending(spark: SparkSession, root: str, keys: list[str], partition_col: str) -> bool:
+    """Put a sealed stage in place of the partitions it covers; True if there was one.
+
+    Every step can be repeated, so a merge that died anywhere is completed by the next one
+    (or by calling this). A stage that was never sealed had not changed the table and is
+    dropped. One writer per table at a time, as for any file table without a log."""
+    stage = _pending(root)
+    if not path_exists(spark, stage):
+        return False
+    sealed = path_exists(spark, f"{stage}/touched/_SUCCESS")
+    if sealed:
+        merged = spark.read.parquet(f"{stage}/merged")
+        touched = spark.read.parquet(f"{stage}/touched")
+        (_sorted_write(merged, keys, partition_col).mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").parquet(root))
+        left = merged.select(F.col(partition_col).alias("_left")).distinct()
+        emptied = touched.join(left, touched[partition_col].eqNullSafe(left["_left"]),
+                               "left_anti")
+        _drop_partitions(emptied, root)
+    drop_dir(spark, stage)
+    return sealed
+
+
 def merge_partitions(source: DataFrame, root: str, keys: list[str], partition_col: str,
                      merge, stable_keys: bool = False) -> int:
-    """Keyed merge into a partitioned table that rewrites only the partitions involved.
+    """Keyed merge into a partitioned table that reads and rewrites only what it must.
 
     ``root`` is a Parquet table partitioned by ``partition_col`` (NULL is a partition
     like any other). The partitions to rewrite are those of the source rows plus those
-    that hold a source key now (found from the key and partition columns alone; skipped
-    with ``stable_keys=True`` when a key can never change partition). They are read and
-    merged with ``merge(target_part, source, keys)``; the result is first written to the
-    shared folder, then over the old partitions (dynamic partition overwrite), and
-    partitions that end up empty are deleted. The source and the result are computed
-    once. An empty source writes nothing; returns 1 if it wrote.
-
-    Partitions are replaced one after the other: a reader, or a crash, in between sees
-    some old and some new ones. The merge is idempotent, so running it again with the
-    same source (a streaming checkpoint replays the batch) completes the state.
+    that hold a source key now (found in the key and partition columns of the files whose
+    key range meets the source's, see :func:`near_keys`; skipped with ``stable_keys=True``
+    when a key can never change partition). Only they are read (:func:`in_partitions`) and
+    merged with ``merge(target_part, source, keys)``. The source is computed once. An
+    empty source writes nothing; returns 1 if it wrote.
+
+    The result is first kept whole beside the table, then put in place partition by
+    partition. A reader in between sees some old and some new partitions; after a crash
+    the next merge first completes the one that died (:func:`finish_pending`).
     """
     spark = source.sparkSession
     work = run_dir(spark, "merge")
     try:
+        finish_pending(spark, root, keys, partition_col)
         source = saved(source, f"{work}/source")
         if source.isEmpty():
             return 0
-        if not _exists(spark, root):
-            # rebalance: AQE splits a hot partition value over several tasks/files and
-            # packs small ones together, instead of one task per value
-            (source.hint("rebalance", partition_col).write
-             .partitionBy(partition_col).parquet(root))
+        if not path_exists(spark, root):
+            _sorted_write(source, keys, partition_col).parquet(root)
             return 1
         table = spark.read.schema(source.schema).parquet(root)
-        touched = source.select(partition_col)
-        if not stable_keys:
-            holding = (table.select(*keys, partition_col)
-                       .join(source.select(*keys), keys, "left_semi").select(partition_col))
-            touched = touched.unionByName(holding)
-        touched = saved(touched.distinct(), f"{work}/touched")
-        target = table.join(touched, partition_col, "left_semi")
-        none = F.col(partition_col).isNull()
-        if not touched.filter(none).isEmpty():
-            target = target.unionByName(table.filter(none))
-        merged = saved(merge(target.select(*source.columns), source, keys), f"{work}/merged")
-        (merged.hint("rebalance", partition_col).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(root))
-        left = merged.select(F.col(partition_col).alias("_left")).distinct()
-        emptied = touched.join(left, touched[partition_col].eqNullSafe(left["_left"]), "left_anti")
-        _drop_partitions(emptied, root)
+        touched = saved(touched_partitions(table, source, keys, partition_col, stable_keys),
+                        f"{work}/touched")
+        target = in_partitions(table, partition_col, touched)
+        stage_partitions(merge(target.select(*source.columns), source, keys), touched, root)
+        finish_pending(spark, root, keys, partition_col)
         return 1
     finally:
         drop_dir(spark, work)
@@ -143,27 +220,29 @@ def append_new_keys(source: DataFrame, root: str, keys: list[str],
     """Insert-only merge by appending: rows whose key the table lacks are appended.
 
     Existing rows are never rewritten. The existence check reads the key columns of the
-    whole table, because a key may stand in any partition; with ``stable_keys=True`` (a
-    key never changes partition) it reads only the partitions of the source rows. A
-    replay after a committed append finds the keys and appends nothing, so the operation
-    is idempotent. An empty source writes nothing; returns 1 if it wrote.
+    files whose key range meets the source's, in any partition; with ``stable_keys=True``
+    (a key never changes partition) only in the partitions of the source rows. A replay
+    after a committed append finds the keys and appends nothing, so the operation is
+    idempotent. An empty source writes nothing; returns 1 if it wrote.
     """
     spark = source.sparkSession
-    new = source
-    if _exists(spark, root):
-        on = [*keys, partition_col] if stable_keys and partition_col else list(keys)
-        table = spark.read.schema(source.schema).parquet(root)
-        new = source.join(table.select(*on), on, "left_anti")
     work = run_dir(spark, "append")
     try:
-        new = saved(new, work)
+        new = source
+        if path_exists(spark, root):
+            source = saved(source, f"{work}/source")
+            table = near_keys(spark.read.schema(source.schema).parquet(root), source, keys)
+            if stable_keys and partition_col:
+                table = in_partitions(table, partition_col,
+                                      source.select(partition_col).distinct())
+            new = source.join(table.select(*keys), keys, "left_anti")
+        new = saved(new, f"{work}/new")
         if new.isEmpty():
             return 0
         if partition_col:
-            new.hint("rebalance", partition_col).write.mode("append") \
-                .partitionBy(partition_col).parquet(root)
+            _sorted_write(new, keys, partition_col).mode("append").parquet(root)
         else:
-            new.write.mode("append").parquet(root)
+            new.sortWithinPartitions(*keys).write.mode("append").parquet(root)
         return 1
     finally:
         drop_dir(spark, work)
