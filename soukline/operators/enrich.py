@@ -81,20 +81,50 @@ def weather_coverage(fact: DataFrame) -> DataFrame:
 
 
 # -- gap detection --------------------------------------------------------------------
-def weather_gaps(orders: DataFrame, stored: DataFrame | None) -> DataFrame:
-    """Distinct (city, order_date, order_hour) the orders need that are not stored.
+PAIR = ["city", "order_date"]
+ALL_HOURS = (1 << HOURS_PER_DOCUMENT) - 1
 
-    An order without a city or a time needs nothing: no document could ever fill it.
-    """
-    need = with_time_keys(orders, "order_time").select(*WEATHER_KEYS).dropna().distinct()
-    if stored is None:
+
+def hours_by_pair(rows: DataFrame) -> DataFrame:
+    """One row per (city, order_date): ``hours``, a 24-bit mask of the hours that occur.
+
+    A bitwise-or aggregate: a pair with millions of orders is folded to one number inside
+    each scan task before anything is shuffled."""
+    return (rows.select(*WEATHER_KEYS).dropna().groupBy(*PAIR)
+            .agg(F.bit_or(F.expr("shiftleft(1, order_hour)")).alias("hours")))
+
+
+def missing_hours(orders: DataFrame, coverage: DataFrame | None) -> DataFrame:
+    """(city, order_date, hours): hours the orders need that ``coverage`` lacks, as masks.
+
+    ``coverage`` holds a mask per stored pair (:func:`hours_by_pair` of the store, kept
+    beside it): the check joins one row per pair, a 24th of the store's rows, and reads no
+    hour of the store. An order without a city or a time needs nothing."""
+    need = hours_by_pair(with_time_keys(orders, "order_time"))
+    if coverage is None:
         return need
-    return need.join(stored.select(*WEATHER_KEYS), WEATHER_KEYS, "left_anti")
+    have = coverage.select(*PAIR, F.col("hours").alias("_have"))
+    gap = F.col("hours").bitwiseAND(F.bitwise_not(F.coalesce("_have", F.lit(0))))
+    return (need.join(have, PAIR, "left").withColumn("hours", gap)
+            .filter(F.col("hours") != 0).select(*PAIR, "hours"))
+
+
+def weather_gaps(orders: DataFrame, stored: DataFrame | None = None,
+                 coverage: DataFrame | None = None) -> DataFrame:
+    """Distinct (city, order_date, order_hour) the orders need that are not stored.
+
+    Give ``coverage`` where the store has one; without it the masks are taken from all
+    stored hours."""
+    if coverage is None and stored is not None:
+        coverage = hours_by_pair(stored)
+    gap = missing_hours(orders, coverage)
+    bits = F.filter(_hours(), lambda h: F.getbit("hours", h) == 1)
+    return gap.select(*PAIR, F.explode(bits).alias("order_hour"))
 
 
 def gap_pairs(gaps: DataFrame) -> DataFrame:
-    """Hour gaps -> the (city, order_date) documents to fetch (all 24 hours each)."""
-    return gaps.select("city", "order_date").distinct()
+    """Gaps -> the (city, order_date) documents to fetch (all 24 hours each)."""
+    return gaps.select(*PAIR).distinct()
 
 
 def rate_gaps(orders: DataFrame, stored: DataFrame | None) -> DataFrame:
@@ -190,13 +220,16 @@ def geocode_first(docs: DataFrame, payload_col: str = "payload") -> DataFrame:
 
 
 # -- one enrichment run -------------------------------------------------------------
-def enrich_weather(orders: DataFrame, stored: DataFrame | None, docs: DataFrame) -> DataFrame:
+def enrich_weather(orders: DataFrame, stored: DataFrame | None, docs: DataFrame,
+                   coverage: DataFrame | None = None) -> DataFrame:
     """Gap -> fetch list -> parse/fallback -> keyed merge into the stored weather.
 
     ``stored`` carries ``is_fallback``; the result is the new stored table. An empty
     gap is a no-op merge, so the run can always be executed.
     """
-    filled = fill_weather(gap_pairs(weather_gaps(orders, stored)), docs)
+    if coverage is None and stored is not None:
+        coverage = hours_by_pair(stored)
+    filled = fill_weather(gap_pairs(missing_hours(orders, coverage)), docs)
     return upsert(stored, filled, WEATHER_KEYS)
 
 

@@ -39,6 +39,28 @@ def insert_only(target: DataFrame | None, source: DataFrame, keys: Sequence[str]
     return target.unionByName(new)
 
 
+def insert_first(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
+                 order_by: Sequence[str] = ()) -> DataFrame:
+    """Insert-only merge that does not depend on which rows arrive together.
+
+    Of all rows of a key the first by ``order_by`` stays (without it: the smallest row; NULL
+    comes first): a target row, unless the source has an earlier one. Feeding rows at once
+    or in any parts gives the same table. Target rows of one key that tie all stay.
+    """
+    keys, src = list(keys), dedup_by_key(source, keys, order_by=order_by)
+    if target is None:
+        return src
+    _same_columns(target, src)
+    order = F.struct(*[F.col(c) for c in order_by or [c for c in src.columns if c not in keys]])
+    per_key = Window.partitionBy(*keys)
+    first = [F.min(F.when(F.col("_source") == side, order)).over(per_key) for side in (0, 1)]
+    rows = (target.withColumn("_source", F.lit(0))
+            .unionByName(src.withColumn("_source", F.lit(1)))
+            .withColumns({"_stored": first[0], "_sent": first[1]}))
+    wins = F.col("_stored").isNull() | F.coalesce(F.col("_sent") < F.col("_stored"), F.lit(False))
+    return rows.filter((F.col("_source") == 1) == wins).select(*target.columns)
+
+
 def _keyed_union(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of both sides with ``_source`` (1 or 0) and ``_sources``, the number of source
     rows of their key: both sides are planned once, moved once by key and sorted once."""
@@ -105,7 +127,7 @@ def scd2(existing: DataFrame | None, incoming: DataFrame, key: str = "customer_i
     raised when the plan runs.
     """
     if existing is None:
-        return _first_versions(unique_or_error(incoming, [key]), as_of)
+        return first_versions(unique_or_error(incoming, [key]), as_of)
     is_cur = F.coalesce(F.col("is_current"), F.lit(False))
     history = existing.filter(~is_cur).select(*incoming.columns, *VERSION_COLUMNS)
     return history.unionByName(scd2_versions(existing.filter(is_cur), incoming, key, as_of,
@@ -115,7 +137,8 @@ def scd2(existing: DataFrame | None, incoming: DataFrame, key: str = "customer_i
 VERSION_COLUMNS = ["start_date", "end_date", "is_current"]
 
 
-def _first_versions(incoming: DataFrame, as_of) -> DataFrame:
+def first_versions(incoming: DataFrame, as_of=None) -> DataFrame:
+    """Every row as a current version that starts on ``as_of``."""
     return incoming.select(*incoming.columns, date_lit(as_of).alias("start_date"),
                            F.lit(None).cast("date").alias("end_date"),
                            F.lit(True).alias("is_current"))
@@ -129,6 +152,19 @@ def scd2_versions(current: DataFrame, incoming: DataFrame, key: str = "customer_
     Both sides are planned once and shuffled once by key; the same shuffle counts the
     incoming rows of a key.
     """
+    return _scd2_rows(current, incoming, key, as_of, tracked).drop("_new")
+
+
+def scd2_changes(current: DataFrame, incoming: DataFrame, key: str = "customer_id",
+                 as_of=None, tracked: Sequence[str] = ("city",)) -> DataFrame:
+    """Only the rows of :func:`scd2_versions` that are not in ``current`` as they are: those
+    closed (``is_current`` false) and those added."""
+    rows = _scd2_rows(current, incoming, key, as_of, tracked)
+    return rows.filter(F.col("_new") | ~F.col("is_current")).drop("_new")
+
+
+def _scd2_rows(current: DataFrame, incoming: DataFrame, key: str, as_of,
+               tracked: Sequence[str]) -> DataFrame:
     d = date_lit(as_of)
     attrs, types = list(incoming.columns), dict(current.dtypes)
     n = F.count(F.lit(1)).over(Window.partitionBy(key, "_salt"))
@@ -148,9 +184,9 @@ def scd2_versions(current: DataFrame, incoming: DataFrame, key: str = "customer_
                        F.col("e.start_date").alias("start_date"),
                        F.when(changed, d).otherwise(F.col("e.end_date")).alias("end_date"),
                        F.when(changed, F.lit(False)).otherwise(F.col("e.is_current"))
-                       .alias("is_current"))
+                       .alias("is_current"), F.lit(False).alias("_new"))
     new_row = F.struct(*[F.col(f"n.{c}").cast(types[c]).alias(c) for c in attrs],
                        d.alias("start_date"), F.lit(None).cast("date").alias("end_date"),
-                       F.lit(True).alias("is_current"))
+                       F.lit(True).alias("is_current"), F.lit(True).alias("_new"))
     rows = F.array(F.when(e_here, old_row), F.when(n_here & (~e_here | changed), new_row))
     return j.select(F.inline(F.filter(rows, lambda r: r.isNotNull())))

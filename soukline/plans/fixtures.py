@@ -8,13 +8,20 @@ Spark side replaces the SQL's two small cross joins with generators (``explode``
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.enrich import weather_description
 from ..schemas import MONEY, RATE, SOURCE_BATCH
+from ..session import run_dir
+from ..sources.tables import path_exists
+
+
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
 
 
 class Fixtures:
@@ -25,9 +32,13 @@ class Fixtures:
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        """One scan relation per table and fixture set."""
+        """One scan relation per table and fixture set; footers are read once a session."""
         if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            path = f"{self.sf_dir}/{name}.parquet"
+            key = (self.spark.sparkContext.applicationId, path)
+            if key not in _SCHEMAS:
+                _SCHEMAS[key] = self.spark.read.parquet(path).schema
+            self._tables[name] = self.spark.read.schema(_SCHEMAS[key]).parquet(path)
         return self._tables[name]
 
     # -- bronze batch ----------------------------------------------------------------
@@ -200,6 +211,38 @@ class Fixtures:
                         .alias("payload"))
 
 
+class LandedFixtures(Fixtures):
+    """The same tables, each written to the shared folder on first use and read from there,
+    as a lake has them. Later users in the session read the files; plans over them are
+    their own."""
+
+    def land(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _LANDED or not path_exists(self.spark, _LANDED[key][0]):
+            path = run_dir(self.spark, f"landed-{name.replace('/', '-')}")
+            df = build()
+            df.write.parquet(path)
+            _LANDED[key] = (path, df.schema)
+        path, schema = _LANDED[key]
+        return self.spark.read.schema(schema).parquet(path)
+
+    def _landed(name: str) -> cached_property:  # noqa: N805
+        return cached_property(lambda self: self.land(
+            name, lambda: getattr(Fixtures, name).func(self)))
+
+    orders = _landed("orders")
+    stream_orders = _landed("stream_orders")
+    customers = _landed("customers")
+    products = _landed("products")
+    weather = _landed("weather")
+    currency = _landed("currency")
+    weather_docs = _landed("weather_docs")
+    rate_docs = _landed("rate_docs")
+
+
+_LANDED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+
+
 # ---------------------------------------------------------------------------------
 # The same fixtures as SQL text (valid in DuckDB; the oracle side).
 # ---------------------------------------------------------------------------------

@@ -25,10 +25,11 @@ from pyspark.sql import functions as F
 from .. import operators as op
 from ..functions.timekeys import ts_lit, with_lineage
 from ..schemas import (BRONZE_CUSTOMERS, BRONZE_ORDERS, BRONZE_PRODUCTS, BUFFER_SCHEMA, CURRENCY,
-                       SOURCE_BATCH, WEATHER)
-from ..session import ensure_conf
-from ..sources.files import csv_scan
-from ..sources.tables import (append_new_keys, merge_partitions, read_table,
+                       MESSAGE, MESSAGE_ORDER, SOURCE_BATCH, WEATHER)
+from ..session import drop_dir, ensure_conf, run_dir, saved
+from ..sources.files import csv_scan_checked
+from ..sources.history import merge_history, read_history
+from ..sources.tables import (PUSHED_VALUES, merge_partitions, path_exists, read_table,
                               read_table_or_none, write_version)
 
 MONTH = "order_month"
@@ -58,17 +59,34 @@ def ingest_csv(spark: SparkSession, lake: LakePaths, csv_dirs: dict[str, str],
                as_of=None) -> None:
     """Declared-schema CSV scans + lineage columns -> the bronze tables.
 
-    Customers and products become a new version; orders are appended, by month, to those
-    already there (stream orders among them), a known order id being skipped.
+    Customers and products become a new version. Orders go into the table by month: an
+    order landed again, with a new amount, say, replaces what was stored for its id;
+    orders that the files do not name (stream orders among them) stay. Lines that do not
+    fit the schema go to ``bronze/<name>_rejects`` as they are.
     """
     ensure_conf(spark)
-    for name, schema in (("customers", BRONZE_CUSTOMERS), ("products", BRONZE_PRODUCTS)):
-        df = with_lineage(csv_scan(spark, csv_dirs[name], schema=schema), SOURCE_BATCH, as_of)
-        write_version(df, lake("bronze", name))
-    orders = with_lineage(csv_scan(spark, csv_dirs["orders"], schema=BRONZE_ORDERS),
-                          SOURCE_BATCH, as_of)
-    append_new_keys(with_month(orders, "order_time"), lake("bronze", "orders"), ["order_id"],
-                    MONTH)
+    for name, schema in CSV_SCHEMAS.items():
+        rows, rejects = csv_scan_checked(spark, csv_dirs[name], schema)
+        write_version(rejects.withColumn("ingested_at", ts_lit(as_of)),
+                      lake("bronze", f"{name}_rejects"), keep=KEEP)
+        rows = with_lineage(rows, SOURCE_BATCH, as_of)
+        if name == "orders":
+            merge_partitions(_landed_orders(rows), lake("bronze", "orders"), ["order_id"],
+                             MONTH, op.replace_keys)
+        else:
+            write_version(rows, lake("bronze", name), keep=KEEP)
+
+
+KEEP = 5        # newest versions of a small table that stay
+CSV_SCHEMAS = {"customers": BRONZE_CUSTOMERS, "products": BRONZE_PRODUCTS,
+               "orders": BRONZE_ORDERS}
+CSV_KEYS = {"customers": ["customer_id"], "products": ["product_id"], "orders": ["order_id"]}
+
+
+def _landed_orders(rows: DataFrame) -> DataFrame:
+    """Batch orders in the layout of the bronze table: they never were in the queue."""
+    return with_month(rows.withColumns({f.name: F.lit(None).cast(f.dataType)
+                                        for f in MESSAGE.fields}), "order_time")
 
 
 def ingest_csv_incremental(spark: SparkSession, lake: LakePaths, name: str, csv_dir: str,
@@ -84,9 +102,7 @@ def ingest_csv_incremental(spark: SparkSession, lake: LakePaths, name: str, csv_
     the table folder (read it with ``spark.read.parquet``).
     """
     from ..streaming.ingest import await_done, start_append
-    schemas = {"customers": BRONZE_CUSTOMERS, "products": BRONZE_PRODUCTS,
-               "orders": BRONZE_ORDERS}
-    reader = spark.readStream.schema(schemas[name]).option("header", True)
+    reader = spark.readStream.schema(CSV_SCHEMAS[name]).option("header", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.option("mode", "PERMISSIVE").csv(csv_dir)
@@ -95,45 +111,87 @@ def ingest_csv_incremental(spark: SparkSession, lake: LakePaths, name: str, csv_
     return path
 
 
+def merge_landed(spark: SparkSession, lake: LakePaths, name: str, checkpoint: str,
+                 max_files_per_trigger: int | None = None) -> None:
+    """The rows :func:`ingest_csv_incremental` has landed since the last run -> the bronze
+    table that silver reads: a row landed again replaces the stored one of its key.
+
+    Each batch reads only its new files; orders rewrite only the months they touch."""
+    from ..streaming.ingest import await_done, start_batches
+    ensure_conf(spark)
+    path = lake("bronze", f"{name}_stream")
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    root, keys = lake("bronze", name), CSV_KEYS[name]
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        if name == "orders":
+            merge_partitions(_landed_orders(batch), root, keys, MONTH, op.replace_keys)
+        else:
+            stored = read_table_or_none(batch.sparkSession, root)
+            write_version(op.replace_keys(stored, batch, keys), root, keep=KEEP)
+
+    await_done(start_batches(reader.parquet(path), merge, checkpoint))
+
+
 def read_weather(spark: SparkSession, lake: LakePaths) -> DataFrame | None:
     """The stored hourly weather (partitioned by order month), or None before the
     first enrichment run."""
     path = lake("bronze", "weather")
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
-        return None
-    return spark.read.parquet(path)
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
 # -- enrichment run ----------------------------------------------------------------------
+def weather_coverage_table(spark: SparkSession, lake: LakePaths) -> DataFrame | None:
+    """The mask of stored hours per (city, date), kept beside the weather store (taken from
+    the store once, if a lake has none yet); None before the first enrichment run."""
+    path = lake("bronze", "weather_coverage")
+    if not path_exists(spark, path):
+        stored = read_weather(spark, lake)
+        if stored is None:
+            return None
+        merge_partitions(with_month(op.hours_by_pair(stored)), path, op.enrich.PAIR, MONTH,
+                         op.upsert, stable_keys=True)
+    return spark.read.parquet(path)
+
+
 def enrich_stores(spark: SparkSession, lake: LakePaths, orders: DataFrame,
                   weather_docs: DataFrame, rate_docs: DataFrame, as_of=None,
                   months: list[str] | None = None) -> dict[str, int]:
     """Fill the stored weather and rate tables for whatever the orders still miss.
 
-    The gap checks run every time (cheap anti joins, on the given months of the store); a
-    store is rewritten only when its gap is not empty. New rows carry ``fetched_at``.
+    The gap checks run every time, once: the gap is kept in a file. Weather is checked
+    against the masks of the given months, not against the hours of the store. A store is
+    rewritten only when its gap is not empty, its masks after it: a run that dies between
+    the two fetches the same documents again. New rows carry ``fetched_at``.
     """
     wpath, rpath = lake("bronze", "weather"), lake("bronze", "currency")
-    stored_w, stored_r = read_weather(spark, lake), read_table_or_none(spark, rpath)
-    if stored_w is not None:
-        stored_w = _months(stored_w, months)
+    coverage, stored_r = weather_coverage_table(spark, lake), read_table_or_none(spark, rpath)
+    if coverage is not None:
+        coverage = _months(coverage, months)
     written = {"weather": 0, "currency": 0}
-    gaps = op.weather_gaps(orders, stored_w)
-    if not gaps.isEmpty():
-        # the weather store is partitioned by month: only the gap months are written
-        filled = with_month(op.fill_weather(op.gap_pairs(gaps), weather_docs)).withColumn(
-            "fetched_at", ts_lit(as_of))
-        merge_partitions(filled, wpath, op.enrich.WEATHER_KEYS, MONTH, op.upsert,
-                         stable_keys=True)
-        written["weather"] = 1
-    if not op.rate_gaps(orders, stored_r).isEmpty():
-        filled = op.fill_rates(op.rate_gaps(orders, stored_r), rate_docs).withColumn(
-            "fetched_at", ts_lit(as_of))
-        write_version(op.upsert(stored_r, filled, op.enrich.RATE_KEYS), rpath)
-        written["currency"] = 1
-    return written
+    work = run_dir(spark, "gaps")
+    try:
+        pairs = saved(op.gap_pairs(op.missing_hours(orders, coverage)), f"{work}/weather")
+        if not pairs.isEmpty():
+            # the weather store is partitioned by month: only the gap months are written
+            filled = with_month(op.fill_weather(pairs, weather_docs)).withColumn(
+                "fetched_at", ts_lit(as_of))
+            merge_partitions(filled, wpath, op.enrich.WEATHER_KEYS, MONTH, op.upsert,
+                             stable_keys=True)
+            masks = with_month(pairs.withColumn("hours", F.lit(op.enrich.ALL_HOURS)))
+            merge_partitions(masks, lake("bronze", "weather_coverage"), op.enrich.PAIR, MONTH,
+                             op.upsert, stable_keys=True)
+            written["weather"] = 1
+        dates = saved(op.rate_gaps(orders, stored_r), f"{work}/rates")
+        if not dates.isEmpty():
+            filled = op.fill_rates(dates, rate_docs).withColumn("fetched_at", ts_lit(as_of))
+            write_version(op.upsert(stored_r, filled, op.enrich.RATE_KEYS), rpath, keep=KEEP)
+            written["currency"] = 1
+        return written
+    finally:
+        drop_dir(spark, work)
 
 
 # -- 04: bronze -> silver -----------------------------------------------------------------
@@ -142,6 +200,14 @@ def _months(df: DataFrame, months: list[str] | None, col: str = MONTH) -> DataFr
     return df if months is None else df.filter(F.col(col).isin(list(months)))
 
 
+def months_of(orders: DataFrame, col: str = "order_date") -> list[str] | None:
+    """The order months of a batch, for filters that prune; None (everything) if there are
+    more than a list of literals should hold."""
+    months = with_month(orders.select(col), col).select(MONTH).dropna().distinct()
+    found = [r[0] for r in months.limit(PUSHED_VALUES + 1).toLocalIterator()]
+    return found if len(found) <= PUSHED_VALUES else None
+
+
 def bronze_to_silver(spark: SparkSession, lake: LakePaths, weather_docs: DataFrame,
                      rate_docs: DataFrame, months: list[str] | None = None,
                      as_of=None) -> None:
@@ -153,14 +219,14 @@ def bronze_to_silver(spark: SparkSession, lake: LakePaths, weather_docs: DataFra
     """
     ensure_conf(spark)
     orders = _months(spark.read.parquet(lake("bronze", "orders")), months)
-    orders = orders.drop("ingested_at", MONTH)
+    orders = orders.drop("ingested_at", *MESSAGE_ORDER, MONTH)
     enrich_stores(spark, lake, orders, weather_docs, rate_docs, as_of, months)
 
     for name, cleaner, key in (("customers", op.clean_customers, "customer_id"),
                                ("products", op.clean_products, "product_id")):
         fresh = cleaner(read_table(spark, lake("bronze", name)))
         path = lake("silver", f"dim_{name}")
-        write_version(op.upsert(read_table_or_none(spark, path), fresh, [key]), path)
+        write_version(op.upsert(read_table_or_none(spark, path), fresh, [key]), path, keep=KEEP)
 
     # only the months being processed are read (partition pruning on the store)
     weather = _months(read_weather(spark, lake), months).select(*WEATHER.fieldNames())
@@ -180,19 +246,20 @@ def silver_to_gold(spark: SparkSession, lake: LakePaths, as_of=None,
 
     dpath = lake("gold", "dim_date")
     write_version(op.upsert(read_table_or_none(spark, dpath), op.dim_date(fact), ["date_id"]),
-                  dpath)
+                  dpath, keep=KEEP)
     lpath = lake("gold", "dim_location")
-    write_version(op.dim_location(fact, existing=read_table_or_none(spark, lpath)), lpath)
+    write_version(op.dim_location(fact, existing=read_table_or_none(spark, lpath)), lpath,
+                  keep=KEEP)
 
     ppath = lake("gold", "dim_products")
     products = op.dim_products(read_table(spark, lake("silver", "dim_products")), as_of=as_of)
-    write_version(op.upsert(read_table_or_none(spark, ppath), products, ["product_id"]), ppath)
+    write_version(op.upsert(read_table_or_none(spark, ppath), products, ["product_id"]), ppath,
+                  keep=KEEP)
 
     cpath = lake("gold", "dim_customers")
     customers = read_table(spark, lake("silver", "dim_customers"))
     as_of_date = None if as_of is None else str(as_of)[:10]
-    write_version(op.scd2(read_table_or_none(spark, cpath), customers, as_of=as_of_date),
-                  cpath)
+    merge_history(customers, cpath, "customer_id", as_of_date)
 
     dates, locs = read_table(spark, dpath), read_table(spark, lpath)
     gold = op.fact_orders_gold(fact, dates, locs)
@@ -221,28 +288,34 @@ def land_messages(spark: SparkSession, lake: LakePaths, messages: DataFrame,
 
 def merge_stream_orders(spark: SparkSession, lake: LakePaths,
                         max_files_per_trigger: int | None = None) -> None:
-    """Buffered stream orders with a new id -> bronze orders; the checkpoint is the drain."""
+    """Buffered stream orders with a new id -> bronze orders; the checkpoint is the drain.
+    Of several messages for an id the first in the queue counts, however they arrive."""
     from ..streaming.ingest import await_done, start_insert_only
     ensure_conf(spark)
     rows = op.align_stream_orders(buffer_stream(spark, lake, max_files_per_trigger),
-                                  keep=("ingested_at",))
+                                  keep=("ingested_at", *MESSAGE_ORDER))
     await_done(start_insert_only(with_month(rows, "order_time"), lake("bronze", "orders"),
                                  ["order_id"], lake("_checkpoints", "merge_orders"),
-                                 partition_col=MONTH))
+                                 partition_col=MONTH, order_by=MESSAGE_ORDER))
 
 
 def stream_to_silver(spark: SparkSession, lake: LakePaths, weather_docs: DataFrame,
                      rate_docs: DataFrame, as_of=None,
                      max_files_per_trigger: int | None = None) -> None:
     """Buffered stream orders -> the enriched stream fact; each batch first fills what the
-    weather and rate stores miss for its orders."""
+    weather and rate stores miss for its orders, and reads only the months it needs."""
     from ..streaming.ingest import await_done, start_upsert
     ensure_conf(spark)
 
     def enrich(batch: DataFrame) -> DataFrame:
         orders = op.clean_orders(op.align_stream_orders(batch))
-        enrich_stores(batch.sparkSession, lake, orders, weather_docs, rate_docs, as_of)
-        weather = read_weather(spark, lake).select(*WEATHER.fieldNames())
+        # only the stores' partitions of the batch's months are read
+        months = months_of(orders)
+        enrich_stores(batch.sparkSession, lake, orders, weather_docs, rate_docs, as_of, months)
+        weather = read_weather(spark, lake)
+        if weather is None:             # a batch without a usable order needs none
+            weather = spark.createDataFrame([], WEATHER).withColumn(MONTH, F.lit(""))
+        weather = _months(weather, months).select(*WEATHER.fieldNames())
         currency = read_table(spark, lake("bronze", "currency")).select(*CURRENCY.fieldNames())
         return with_month(op.enrich_orders(orders, weather, currency))
 
@@ -268,7 +341,8 @@ def silver_to_live(spark: SparkSession, lake: LakePaths, as_of=None,
 def gold_tables(spark: SparkSession, lake: LakePaths) -> dict[str, DataFrame]:
     """The gold star schema as DataFrames (for reports and dashboards)."""
     out = {n: read_table(spark, lake("gold", n))
-           for n in ("dim_date", "dim_location", "dim_products", "dim_customers")}
+           for n in ("dim_date", "dim_location", "dim_products")}
+    out["dim_customers"] = read_history(spark, lake("gold", "dim_customers"))
     out["fact_orders"] = read_fact(spark, lake("gold", "fact_orders"))
     return out
 

@@ -135,6 +135,9 @@ CTE.update({
                 "TRY_CAST(timestamp AS TIMESTAMP) AS order_time, 'streaming' AS source "
                 "FROM fx_stream_orders",
     "c_stream": _clean_orders("a_stream"),
+    "q_stream": "SELECT *, TRY_CAST(timestamp AS TIMESTAMP) + INTERVAL 1 SECOND AS enqueued_at, "
+                "CAST((order_id // 2) % 4 AS INT) AS message_partition, "
+                "(order_id // 2) // 4 AS message_offset FROM fx_stream_orders",
     "s_fact": _silver_fact("c_orders"),
     "s_stream": _silver_fact("c_stream"),
     "g_dim_date": """
@@ -371,6 +374,40 @@ SELECT p.category, CAST(round(sum(o.amount) * 0.001, 2) AS DECIMAL(38,2)) AS rev
 FROM c_orders o JOIN c_products p ON o.product_id = p.product_id
 LEFT JOIN usd r ON o.order_date = r.rate_date
 GROUP BY p.category""",
+    "live_kpi_refresh": f"""
+SELECT 'totals' AS kpi, CAST(NULL AS VARCHAR) AS key, count(order_id) AS orders,
+  {_money('sum(amount_inr)')} AS revenue_inr, {_money('sum(amount_usd)')} AS revenue_usd,
+  {_avg_money('amount_inr')} AS avg_order_value_inr FROM g_live
+UNION ALL SELECT * FROM (SELECT 'top_cities', city, count(order_id), {_money('sum(amount_inr)')} AS r,
+  {_money('sum(amount_usd)')}, {_avg_money('amount_inr')}
+  FROM g_live GROUP BY city ORDER BY r DESC NULLS LAST, city NULLS FIRST LIMIT 5)
+UNION ALL SELECT 'by_category', category, count(order_id), {_money('sum(amount_inr)')},
+  {_money('sum(amount_usd)')}, {_avg_money('amount_inr')} FROM g_live GROUP BY category
+UNION ALL SELECT 'by_hour', CAST(order_hour AS VARCHAR), count(order_id), {_money('sum(amount_inr)')},
+  {_money('sum(amount_usd)')}, {_avg_money('amount_inr')} FROM g_live GROUP BY order_hour
+UNION ALL SELECT 'by_weather', weather_condition, count(order_id), {_money('sum(amount_inr)')},
+  {_money('sum(amount_usd)')}, {_avg_money('amount_inr')} FROM g_live GROUP BY weather_condition""",
+    "csv_rejects": """
+SELECT concat_ws(',', order_id, customer_id, product_id,
+    CASE WHEN order_id % 50 = 0 THEN 'none' ELSE CAST(amount AS VARCHAR) END,
+    CASE WHEN order_id % 50 <> 2 THEN concat_ws(',', currency, city,
+      strftime(order_time, '%Y-%m-%d %H:%M:%S'), CASE WHEN order_id % 50 = 1 THEN 'more' END) END)
+    AS line, CAST(1 AS BIGINT) AS n, CAST(NULL AS DECIMAL(38,2)) AS amount
+FROM fx_orders WHERE order_id % 50 IN (0, 1, 2)
+UNION ALL SELECT 'rows that fit', count(*), CAST(sum(amount) AS DECIMAL(38,2))
+FROM fx_orders WHERE order_id % 50 NOT IN (0, 1, 2)""",
+    "scd2_stored_history": "SELECT * FROM scd2_result",
+    "orders_landed_again": """
+SELECT order_id, CASE WHEN order_id % 3 = 0 THEN CAST(amount + 1 AS DECIMAL(18,2)) ELSE amount END AS amount,
+  CASE WHEN order_id % 3 = 0 THEN order_time + INTERVAL 40 DAY ELSE order_time END AS order_time,
+  source, CAST(NULL AS INT) AS message_partition,
+  strftime(CASE WHEN order_id % 3 = 0 THEN order_time + INTERVAL 40 DAY ELSE order_time END, '%Y-%m')
+    AS order_month
+FROM fx_orders
+UNION ALL
+SELECT order_id, amount, TRY_CAST(timestamp AS TIMESTAMP), 'streaming', message_partition,
+  strftime(TRY_CAST(timestamp AS TIMESTAMP), '%Y-%m')
+FROM q_stream s WHERE NOT EXISTS (SELECT 1 FROM fx_orders b WHERE b.order_id = s.order_id)""",
     "live_totals_on_day": f"""
 SELECT count(order_id) AS total_orders, {_money('sum(amount_inr)')} AS revenue_inr,
   {_money('sum(amount_usd)')} AS revenue_usd, {_avg_money('amount_inr')} AS avg_order_value_inr
@@ -406,16 +443,34 @@ FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY order_time DES
             UNION ALL SELECT order_id, customer_id, product_id, amount + 9, currency, city,
               order_time - INTERVAL 40 DAY, source FROM a_stream WHERE order_id % 10 = 0) u) r
 WHERE rn = 1""",
-    "stream_rejects": "SELECT 'broken ' || order_id AS body, 'no order id' AS reason "
-                      "FROM fx_stream_orders WHERE order_id % 50 = 0",
+    "stream_rejects": "SELECT 'broken ' || order_id AS body, 'no order id' AS reason, "
+                      "message_partition, message_offset FROM q_stream WHERE order_id % 50 = 0",
     "lake_stream_end_to_end": f"""
 SELECT count(order_id) AS total_orders, {_money('sum(amount)')} AS revenue_inr,
   {_money('sum(usd)')} AS revenue_usd, {_avg_money('amount')} AS avg_order_value_inr
 FROM (SELECT o.*, CAST(round(o.amount * COALESCE(r.exchange_rate, CAST(0.012 AS DECIMAL(10,6))), 2)
                        AS DECIMAL(18,2)) AS usd
       FROM c_stream o LEFT JOIN usd r ON o.order_date = r.rate_date) t""",
-    "stream_parse_append": "SELECT * FROM fx_stream_orders",
-    "stream_restart_exactly_once": "SELECT * FROM fx_stream_orders",
+    "stream_parse_append": "SELECT * FROM q_stream",
+    "stream_restart_exactly_once": "SELECT * FROM q_stream",
+    "stream_first_message_wins": """
+SELECT c.cut, t.* FROM (VALUES ('one'), ('many')) AS c(cut), (
+  SELECT order_id, customer_id, amount, city, order_time, source,
+    CAST(NULL AS TIMESTAMP) AS enqueued_at, CAST(NULL AS INT) AS message_partition
+  FROM fx_orders WHERE order_id % 8 = 0
+  UNION ALL
+  SELECT order_id, customer_id, amount, city, TRY_CAST(timestamp AS TIMESTAMP), 'streaming',
+    enqueued_at, message_partition
+  FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY enqueued_at) AS rn
+        FROM (SELECT * FROM q_stream
+              UNION ALL SELECT order_id, customer_id, product_id, amount + 5, currency, city,
+                timestamp, enqueued_at + INTERVAL 30 MINUTE, 9, message_offset
+              FROM q_stream WHERE order_id % 6 = 0
+              UNION ALL SELECT order_id, customer_id, product_id, amount + 9, currency, city,
+                timestamp, enqueued_at - INTERVAL 30 MINUTE, 9, message_offset
+              FROM q_stream WHERE order_id % 10 = 0) u) r
+  WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM fx_orders b
+    WHERE b.order_id = r.order_id AND b.order_id % 8 = 0)) t""",
     "stream_enrich_upsert": "SELECT * FROM s_stream",
     "stream_live_fact": "SELECT * FROM g_live",
     "stream_live_by_hour": "SELECT order_hour, count(*) AS orders FROM c_stream GROUP BY order_hour",

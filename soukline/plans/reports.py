@@ -8,7 +8,7 @@ the result does not depend on partitioning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timekeys import date_lit
@@ -74,6 +74,44 @@ def live_by_weather(live: DataFrame, as_of=None) -> DataFrame:
             .orderBy(F.col("orders").desc(), "weather_condition"))
 
 
+KPI_SETS = {"totals": [], "top_cities": ["city"], "by_category": ["category"],
+            "by_hour": ["order_hour"], "by_weather": ["weather_condition"]}
+
+
+def kpi_refresh(live: DataFrame, k: int = 5, as_of=None) -> DataFrame:
+    """Q1-Q5 in one pass over the live fact: ``kpi, key, orders, revenue_inr, revenue_usd,
+    avg_order_value_inr``.
+
+    One scan feeds all five through GROUPING SETS; each row is folded into the groups of its
+    task before anything is shuffled. ``key`` is the group as text (NULL for the totals, and
+    for orders without the attribute); only the first ``k`` cities by revenue are listed.
+    An empty fact has no rows.
+    """
+    live = on_day(live, as_of)
+    dims = [c for cols in KPI_SETS.values() for c in cols]
+    sets = live.groupingSets([[F.col(c) for c in cols] for cols in KPI_SETS.values()],
+                             *[F.col(c) for c in dims])
+    rows = sets.agg(
+        F.grouping_id().alias("_set"), F.count("order_id").alias("orders"),
+        money_sum("amount_inr").alias("revenue_inr"), money_sum("amount_usd").alias("revenue_usd"),
+        F.round(F.sum("amount_inr") / F.count("amount_inr"), 2).cast(TOTAL)
+        .alias("avg_order_value_inr"))
+    # a bit of grouping_id says that a dimension is not grouped by, the first one highest
+    name, key = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for kpi, cols in KPI_SETS.items():
+        code = sum(1 << (len(dims) - 1 - i) for i, c in enumerate(dims) if c not in cols)
+        name = F.when(F.col("_set") == code, kpi).otherwise(name)
+        if cols:
+            key = F.when(F.col("_set") == code, F.col(cols[0]).cast("string")).otherwise(key)
+    place = F.row_number().over(Window.partitionBy("kpi").orderBy(
+        F.col("revenue_inr").desc_nulls_last(), F.col("key").asc_nulls_first()))
+    # the window ranks groups, not orders: a row per city, category, hour and condition
+    return (rows.select(name.alias("kpi"), key.alias("key"), "orders", "revenue_inr",
+                        "revenue_usd", "avg_order_value_inr")
+            .withColumn("_place", place)
+            .filter((F.col("kpi") != "top_cities") | (F.col("_place") <= k)).drop("_place"))
+
+
 # -- gold ---------------------------------------------------------------------------
 def revenue_by_category(fact: DataFrame, products: DataFrame) -> DataFrame:
     """Q6: fact INNER JOIN product dim; INR revenue in thousands and USD revenue."""

@@ -63,7 +63,11 @@ STREAM_ORDER = _s(("order_id", T.LongType()), ("customer_id", T.LongType()),
                   ("product_id", T.LongType()), ("amount", MONEY),
                   ("currency", T.StringType()), ("city", T.StringType()),
                   ("timestamp", T.StringType()))
-BUFFER_SCHEMA = T.StructType([*STREAM_ORDER.fields,
+# Where and when a message was queued; in this order messages of a key are first or later.
+MESSAGE = _s(("enqueued_at", T.TimestampType()), ("message_partition", T.IntegerType()),
+             ("message_offset", T.LongType()))
+MESSAGE_ORDER = MESSAGE.fieldNames()
+BUFFER_SCHEMA = T.StructType([*STREAM_ORDER.fields, *MESSAGE.fields,
                               T.StructField("ingested_at", T.TimestampType(), True)])
 WEATHER = _s(("city", T.StringType()), ("order_date", T.DateType()),
              ("order_hour", T.IntegerType()), ("temperature", T.DoubleType()),

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.keys import dedup_by_key
+from ..operators.merge import replace_keys
 from ..session import drop_dir, run_dir, saved
 
 
@@ -105,13 +107,12 @@ def near_keys(table: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame
 
     The two values are literals, so they reach the Parquet scan (``PushedFilters``): files
     are written sorted by key, and a file or row group whose key range lies outside is
-    not read. Ids that grow with time make a batch's range narrow. A source key that is
-    NULL matches nothing and needs no row."""
-    key = keys[0]
-    lo, hi = source.agg(F.min(key), F.max(key)).first()
-    if lo is None:
-        return table.filter(F.lit(False))
-    return table.filter(F.col(key).between(F.lit(lo), F.lit(hi)))
+    not read. Ids that grow with time make a batch's range narrow. Rows without the key
+    are among them if the source has such rows."""
+    key = F.col(keys[0])
+    lo, hi, none = source.agg(F.min(key), F.max(key), F.bool_or(key.isNull())).first()
+    near = F.lit(False) if lo is None else key.between(F.lit(lo), F.lit(hi))
+    return table.filter(near | key.isNull() if none else near)
 
 
 def touched_partitions(table: DataFrame, source: DataFrame, keys: list[str],
@@ -235,7 +236,10 @@ def append_new_keys(source: DataFrame, root: str, keys: list[str],
             if stable_keys and partition_col:
                 table = in_partitions(table, partition_col,
                                       source.select(partition_col).distinct())
-            new = source.join(table.select(*keys), keys, "left_anti")
+            # a row without key that stands there already is not sent again either
+            ids = table.select(*[F.col(k).alias(f"_{k}") for k in keys])
+            new = source.join(ids, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys],
+                              "left_anti")
         new = saved(new, f"{work}/new")
         if new.isEmpty():
             return 0
@@ -248,6 +252,59 @@ def append_new_keys(source: DataFrame, root: str, keys: list[str],
         drop_dir(spark, work)
 
 
+def first_changes(source: DataFrame, root: str, keys: list[str],
+                  order_by: list[str] | None = None) -> DataFrame:
+    """The source rows that an insert-only merge takes in, with ``_old``, the stored row
+    that gives way to them (NULL for a new key).
+
+    Of all rows of a key, stored or sent, the first by ``order_by`` stays (without it: the
+    smallest; NULL, a row that never was in the queue, comes first). Only stored rows in
+    the key range of the source are read. A row without key matches a stored one without.
+    """
+    spark = source.sparkSession
+    rows = dedup_by_key(source, keys, order_by=order_by or [])
+    kind = f"struct<{', '.join(f'`{f.name}`: {f.dataType.simpleString()}' for f in rows.schema)}>"
+    if not path_exists(spark, root):
+        return rows.withColumn("_old", F.lit(None).cast(kind))
+    table = near_keys(spark.read.schema(rows.schema).parquet(root), rows, keys)
+    ids = rows.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    stored = dedup_by_key(table.join(ids, on, "left_semi"), keys, order_by=order_by or [])
+    old = stored.select(*[F.col(k).alias(f"_{k}") for k in keys],
+                        F.struct(*rows.columns).alias("_old"))
+    order = order_by or [c for c in rows.columns if c not in keys]
+    earlier = (F.struct(*[F.col(c) for c in order])
+               < F.struct(*[F.col(f"_old.{c}").alias(c) for c in order]))
+    return (rows.join(old, on, "left").filter(F.col("_old").isNull() | earlier)
+            .select(*rows.columns, "_old"))
+
+
+def apply_first(changes: DataFrame, root: str, keys: list[str], partition_col: str) -> int:
+    """Put the rows of :func:`first_changes` (stored ones) into the table: new keys are
+    appended, unless an earlier try has; rows that give way are replaced."""
+    rows = changes.drop("_old")
+    wrote = append_new_keys(rows.filter(changes["_old"].isNull()), root, keys, partition_col)
+    return wrote | merge_partitions(rows.filter(changes["_old"].isNotNull()), root, keys,
+                                    partition_col, replace_keys)
+
+
+def insert_first_keys(source: DataFrame, root: str, keys: list[str], partition_col: str,
+                      order_by: list[str] | None = None) -> int:
+    """Insert-only merge into a partitioned table, independent of which rows arrive
+    together (:func:`first_changes`). Returns 1 if it wrote."""
+    spark = source.sparkSession
+    work = run_dir(spark, "first")
+    try:
+        finish_pending(spark, root, keys, partition_col)
+        source = saved(source, f"{work}/source")
+        if source.isEmpty():
+            return 0
+        changes = saved(first_changes(source, root, keys, order_by), f"{work}/changes")
+        return apply_first(changes, root, keys, partition_col)
+    finally:
+        drop_dir(spark, work)
+
+
 def truncate(spark: SparkSession, root: str) -> str:
     """Empty the table keeping its schema (``limit(0)`` folds to an empty relation)."""
     return write_version(read_table(spark, root).limit(0), root)

@@ -15,15 +15,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.timekeys import parse_ts, ts_lit
 from ..operators.keys import dedup_by_key
-from ..operators.merge import insert_only, upsert_latest
-from ..schemas import STREAM_ORDER
-from ..sources.tables import (append_new_keys, merge_partitions, read_table_or_none,
+from ..operators.merge import insert_first, upsert_latest
+from ..schemas import MESSAGE, MESSAGE_ORDER, STREAM_ORDER
+from ..sources.tables import (insert_first_keys, merge_partitions, read_table_or_none,
                               write_version)
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -33,11 +33,18 @@ def parse_orders(raw: DataFrame, payload_col: str = "body", as_of=None) -> DataF
     """Decode the message body (binary -> text -> JSON struct -> columns).
 
     A malformed body gives an all-NULL row and a bad field gives a NULL field; the
-    cleaning step filters such rows, and ``rejected_messages`` keeps their bodies.
+    cleaning step filters such rows, and ``rejected_messages`` keeps their bodies. The
+    queue's time, partition and offset ride along (NULL where the source has none): they
+    say which message of an order id came first.
     """
     data = F.from_json(F.col(payload_col).cast("string"), STREAM_ORDER)
-    return (raw.select(data.alias("data")).select("data.*")
-            .withColumn("ingested_at", ts_lit(as_of)))
+    return (raw.select(data.alias("data"), *_message(raw))
+            .select("data.*", *MESSAGE_ORDER).withColumn("ingested_at", ts_lit(as_of)))
+
+
+def _message(raw: DataFrame) -> list[Column]:
+    return [(F.col(f.name) if f.name in raw.columns else F.lit(None)).cast(f.dataType)
+            .alias(f.name) for f in MESSAGE.fields]
 
 
 def rejected_messages(raw: DataFrame, payload_col: str = "body", as_of=None) -> DataFrame:
@@ -48,7 +55,7 @@ def rejected_messages(raw: DataFrame, payload_col: str = "body", as_of=None) ->
               .when(d["amount"].isNull(), "no amount")
               .when(d["amount"] <= 0, "amount not positive")
               .when(parse_ts(d["timestamp"]).isNull(), "no order time"))
-    return (raw.select(body.alias("body"), reason.alias("reason"))
+    return (raw.select(body.alias("body"), reason.alias("reason"), *_message(raw))
             .filter(F.col("reason").isNotNull()).withColumn("ingested_at", ts_lit(as_of)))
 
 
@@ -134,31 +141,34 @@ def start_upsert(df: DataFrame, table_root: str, keys: Sequence[str], checkpoint
 def start_insert_only(df: DataFrame, table_root: str, keys: Sequence[str],
                       checkpoint: str, trigger: dict | None = None,
                       seen: list[int] | None = None,
-                      partition_col: str | None = None, keep: int = 3) -> StreamingQuery:
+                      partition_col: str | None = None, keep: int = 3,
+                      order_by: Sequence[str] = ()) -> StreamingQuery:
     """Each micro-batch: insert rows whose key the table does not have yet.
 
+    Of all rows ever sent for a key the first by ``order_by`` stays (without it: the
+    smallest), and rows that were in the table before the stream, which have no place in
+    the queue (NULL), stay before all. So the result does not depend on how the stream is
+    cut into batches: where a later batch brings an earlier message of a stored key
+    (another partition of the queue was slower), the stored row gives way to it. Pass the
+    queue's order (``schemas.MESSAGE_ORDER``) to have the first message win.
+
     Consumption through the checkpoint is the drain: a row is read once, and rows that
     arrive while a merge runs are picked up by the next batch instead of being lost to a
     truncate. ``seen`` (optional) collects the row count of every batch. With
     ``partition_col`` the table is partitioned and new rows are appended
-    (``append_new_keys``): nothing already stored is rewritten.
+    (``insert_first_keys``); only partitions of rows that give way are rewritten.
     """
-    keys = list(keys)
+    keys, order_by = list(keys), list(order_by)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = dedup_by_key(batch, keys).persist()
-        try:
-            if seen is not None:
-                seen.append(batch.count())
-            if partition_col:
-                append_new_keys(rows, table_root, keys, partition_col)
-            else:
-                target = read_table_or_none(spark, table_root)
-                write_version(insert_only(target, rows, keys, dedup_source=False),
-                              table_root, keep=keep)
-        finally:
-            rows.unpersist()
+        if seen is not None:
+            seen.append(batch.count())
+        if partition_col:
+            insert_first_keys(batch, table_root, keys, partition_col, order_by)
+        else:
+            target = read_table_or_none(spark, table_root)
+            write_version(insert_first(target, batch, keys, order_by), table_root, keep=keep)
 
     return _foreach(df, merge, checkpoint, trigger)
 

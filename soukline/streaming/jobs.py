@@ -4,7 +4,7 @@ bronze:  order messages --parse--> append into the buffer folder (checkpointed)
 silver:  buffer stream --clean--> foreachBatch: weather/rate joins, upsert
 gold:    buffer stream --clean--> foreachBatch: joins + star joins with stored dims, upsert
 merge:   buffer stream --foreachBatch insert-only--> bronze orders (checkpoint = drain)
-live:    buffer stream --foreachBatch insert-only--> order store --count--> snapshot table
+live:    buffer stream --foreachBatch insert-only--> order store --differences--> totals
 
 Each registered query runs ``availableNow`` in a fresh folder under the session's shared
 checkpoint directory and returns a batch read of what the job wrote.
@@ -12,6 +12,8 @@ checkpoint directory and returns a batch read of what the job wrote.
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,19 +21,19 @@ from ..functions.timekeys import with_time_keys
 from ..operators.clean import align_stream_orders
 from ..operators.enrich import enrich_orders
 from ..operators.star import fact_live
-from ..plans.fixtures import Fixtures
-from ..operators.keys import dedup_by_key
+from ..plans.fixtures import Fixtures, LandedFixtures
 from ..operators.merge import upsert
 from ..plans.flows import LakePaths, MONTH, land_messages, read_fact, with_month
 from ..plans.oracle import AS_OF_TS
-from ..schemas import BUFFER_SCHEMA, STREAM_ORDER
-from ..session import ensure_conf, run_dir, saved
-from ..sources.tables import append_new_keys, merge_partitions, read_table, write_version
+from ..schemas import BUFFER_SCHEMA, MESSAGE, MESSAGE_ORDER, STREAM_ORDER
+from ..session import drop_dir, ensure_conf, run_dir, saved
+from ..sources.tables import (apply_first, first_changes, merge_partitions, path_exists,
+                              read_table, read_table_or_none, write_version)
 from .ingest import (await_done, parse_orders, start_append, start_batches, start_insert_only,
                      start_upsert)
-from .source import event_stream, order_messages
+from .source import as_messages, event_stream, order_messages
 
-BUFFER_COLUMNS = [f.name for f in STREAM_ORDER.fields]
+BUFFER_COLUMNS = [*STREAM_ORDER.fieldNames(), *MESSAGE_ORDER]
 
 
 def land_buffer(fx: Fixtures, root: str, as_of=None) -> str:
@@ -56,7 +58,7 @@ def buffer_stream(spark: SparkSession, root: str,
 
 def clean_order_stream(buffer: DataFrame) -> DataFrame:
     """Stateless cleaning on the stream; the key de-duplication happens per batch."""
-    return (with_time_keys(align_stream_orders(buffer), "order_time")
+    return (with_time_keys(align_stream_orders(buffer, keep=tuple(MESSAGE_ORDER)), "order_time")
             .filter(F.col("order_id").isNotNull() & (F.col("amount") > 0)))
 
 
@@ -76,11 +78,10 @@ def q_stream_restart_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def q_stream_enrich_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = run_dir(ensure_conf(spark), "stream-silver")
-    fx = Fixtures(spark, sf_dir)
+    fx = LandedFixtures(spark, sf_dir)
     land_buffer(fx, root)
     table = f"{root}/silver_fact_streaming_orders"
-    weather, currency = (saved(df, f"{root}/{name}") for name, df in (
-        ("weather", fx.weather), ("currency", fx.currency)))
+    weather, currency = fx.weather, fx.currency
     # the stream plan stays stateless; the weather/rate joins run per micro-batch
     await_done(start_upsert(
         clean_order_stream(buffer_stream(spark, root)), table, ["order_id"],
@@ -115,14 +116,16 @@ def q_stream_merge_then_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
     # column of all months and appends the new ones, rewriting nothing
     orders = f"{root}/bronze_orders"
     before = fx.orders.count()
-    fx.orders.transform(lambda d: with_month(d, "order_time")).write.partitionBy(MONTH) \
-        .parquet(orders)
-    aligned = with_month(align_stream_orders(buffer_stream(spark, root)), "order_time")
+    never_queued = {f.name: F.lit(None).cast(f.dataType) for f in MESSAGE.fields}
+    batch = with_month(fx.orders.withColumns(never_queued), "order_time")
+    batch.write.partitionBy(MONTH).parquet(orders)
+    aligned = with_month(align_stream_orders(buffer_stream(spark, root),
+                                             keep=tuple(MESSAGE_ORDER)), "order_time")
     ckpt = f"{root}/_checkpoints/merge"
-    await_done(start_insert_only(aligned, orders, ["order_id"], ckpt, partition_col=MONTH))
+    how = {"partition_col": MONTH, "order_by": MESSAGE_ORDER}
+    await_done(start_insert_only(aligned, orders, ["order_id"], ckpt, **how))
     rerun: list[int] = []                 # a second run sees nothing: the buffer is drained
-    await_done(start_insert_only(aligned, orders, ["order_id"], ckpt, seen=rerun,
-                                 partition_col=MONTH))
+    await_done(start_insert_only(aligned, orders, ["order_id"], ckpt, seen=rerun, **how))
     tagged = (spark.read.parquet(buffer_path).select(F.lit(2).alias("t"))
               .unionByName(read_fact(spark, orders).select(F.lit(3).alias("t"))))
     counts = tagged.agg(F.count_if(F.col("t") == 2).alias("buffered"),
@@ -132,36 +135,99 @@ def q_stream_merge_then_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(sum(rerun)).cast("bigint").alias("buffer_after"))
 
 
-def live_by_hour(spark: SparkSession, buffer: DataFrame, root: str) -> DataFrame:
-    """Orders per hour over everything the stream has brought, however late.
+def _last_batch(totals: DataFrame | None) -> int:
+    row = totals.agg(F.max("last_batch")).first() if totals is not None else None
+    return -1 if row is None or row[0] is None else row[0]
 
-    Every batch adds its new order ids to a store (insert-only, by month, so a replay or a
-    repeated message adds nothing) and rewrites the small result; no watermark drops rows.
+
+def live_by_hour(spark: SparkSession, buffer: DataFrame, root: str) -> DataFrame:
+    """Orders per hour over everything the stream has brought, however late, kept up by
+    the difference each batch makes.
+
+    A batch's orders that are new, or earlier in the queue than the stored message of
+    their id, go into a store (by month; only its key range near the batch's is read).
+    New orders count one more for their hour, a message that gave way one less for its
+    own; these differences are added to the stored totals, a row per hour, which carry
+    the number of the last batch. A replay finds its changes where the first try left
+    them and adds them to the totals once. No watermark drops rows.
     """
     store, table = f"{root}/live_orders", f"{root}/live_by_hour"
 
     def update(batch: DataFrame, batch_id: int) -> None:
-        rows = dedup_by_key(with_month(batch.select("order_id", "order_date", "order_hour")),
-                            ["order_id"])
-        append_new_keys(rows.drop("order_date"), store, ["order_id"], MONTH)
-        counts = (spark.read.schema(f"order_id long, order_hour int, {MONTH} string")
-                  .parquet(store).groupBy("order_hour")
-                  .agg(F.count(F.lit(1)).alias("orders")))
-        write_version(counts, table, keep=3)
+        totals = read_table_or_none(spark, table)
+        if _last_batch(totals) >= batch_id:         # counted; the store was changed before
+            return
+        kept = f"{root}/_changes/{batch_id}"
+        if not path_exists(spark, f"{kept}/_SUCCESS"):
+            rows = with_month(batch.select("order_id", "order_date", "order_hour",
+                                           *MESSAGE_ORDER)).drop("order_date")
+            changes = first_changes(saved(rows, f"{root}/_rows/{batch_id}-{uuid4().hex}"),
+                                    store, ["order_id"], MESSAGE_ORDER)
+            changes.write.mode("overwrite").parquet(kept)
+        changes = spark.read.parquet(kept)
+        apply_first(changes, store, ["order_id"], MONTH)
+        more = changes.select("order_hour", F.lit(1).cast("long").alias("orders"))
+        less = changes.filter("_old IS NOT NULL").select(
+            F.col("_old.order_hour").alias("order_hour"), F.lit(-1).cast("long").alias("orders"))
+        parts = more.unionByName(less)
+        if totals is not None:
+            parts = parts.unionByName(totals.select("order_hour", "orders"))
+        write_version(parts.groupBy("order_hour").agg(F.sum("orders").alias("orders"))
+                      .withColumn("last_batch", F.lit(batch_id).cast("long")), table, keep=3)
+        for used in ("_changes", "_rows"):
+            drop_dir(spark, f"{root}/{used}")
 
     await_done(start_batches(buffer, update, f"{root}/_checkpoints/hourly"))
-    return read_table(spark, table)
+    return read_table(spark, table).filter("orders > 0").select("order_hour", "orders")
 
 
 def q_stream_live_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = run_dir(ensure_conf(spark), "stream-hourly")
     fx = Fixtures(spark, sf_dir)
     # three files, so three micro-batches whose order times overlap
-    rows = fx.stream_orders.withColumn("ingested_at", F.lit(AS_OF_TS).cast("timestamp"))
+    rows = parse_orders(as_messages(fx.stream_orders), as_of=AS_OF_TS)
     rows.repartition(3, "order_id").write.parquet(f"{root}/bronze_stream")
     return live_by_hour(spark, clean_order_stream(buffer_stream(spark, root, 1)), root)
 
 
+def q_stream_first_message_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that disagree about an order id, some queued earlier in another partition:
+    the table after one batch and after many, beside batch orders that stay as they are."""
+    root = run_dir(ensure_conf(spark), "stream-first")
+    fx = Fixtures(spark, sf_dir)
+    sent = as_messages(fx.stream_orders)
+    message = parse_orders(sent, as_of=AS_OF_TS)
+
+    def again(part: DataFrame, amount: int, minutes: int) -> DataFrame:
+        """Another message for the same ids, queued ``minutes`` later in a partition of its own."""
+        return part.withColumns({
+            "amount": (F.col("amount") + amount).cast(message.schema["amount"].dataType),
+            "enqueued_at": F.expr(f"enqueued_at + INTERVAL '{minutes}' MINUTE"),
+            "message_partition": F.lit(9)})
+
+    every = (message.unionByName(again(message.filter("order_id % 6 = 0"), 5, 30))
+             .unionByName(again(message.filter("order_id % 10 = 0"), 9, -30)))
+    every = saved(every, f"{root}/messages")
+    before = fx.orders.filter("order_id % 8 = 0").withColumns(
+        {f.name: F.lit(None).cast(f.dataType) for f in MESSAGE.fields})
+    out = None
+    for cut, files in (("one", 1), ("many", 4)):
+        every.repartition(files, F.xxhash64("order_id", "amount")).write.parquet(
+            f"{root}/{cut}/bronze_stream")
+        orders = f"{root}/{cut}/orders"
+        with_month(before, "order_time").write.partitionBy(MONTH).parquet(orders)
+        rows = align_stream_orders(buffer_stream(spark, f"{root}/{cut}", 1),
+                                   keep=tuple(MESSAGE_ORDER))
+        await_done(start_insert_only(with_month(rows, "order_time"), orders, ["order_id"],
+                                     f"{root}/{cut}/checkpoint", partition_col=MONTH,
+                                     order_by=MESSAGE_ORDER))
+        part = read_fact(spark, orders).select(
+            F.lit(cut).alias("cut"), "order_id", "customer_id", "amount", "city", "order_time",
+            "source", "enqueued_at", "message_partition")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def q_stream_upsert_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Updates and late rows over several micro-batches: the newest of an id stays."""
     root = run_dir(ensure_conf(spark), "stream-batches")
@@ -189,13 +255,13 @@ def q_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages that don't parse: their bodies and the reason, in the side table."""
     root = run_dir(ensure_conf(spark), "stream-rejects")
     fx = Fixtures(spark, sf_dir)
-    orders = fx.stream_orders_from(event_stream(fx))
-    body = F.when(F.col("order_id") % 50 == 0,
-                  F.concat(F.lit("broken "), F.col("order_id").cast("string"))).otherwise(
-        F.to_json(F.struct(*[F.col(c) for c in orders.columns])))
+    sent = as_messages(fx.stream_orders_from(event_stream(fx)))
+    order = F.get_json_object(F.col("body").cast("string"), "$.order_id")
+    body = F.when(order.cast("long") % 50 == 0, F.concat(F.lit("broken "), order).cast("binary"))
     lake = LakePaths(root)
-    land_messages(spark, lake, orders.select(body.cast("binary").alias("body")), AS_OF_TS)
-    return spark.read.parquet(lake("bronze", "streaming_rejects")).select("body", "reason")
+    land_messages(spark, lake, sent.withColumn("body", F.coalesce(body, "body")), AS_OF_TS)
+    return spark.read.parquet(lake("bronze", "streaming_rejects")).select(
+        "body", "reason", "message_partition", "message_offset")
 
 
 def q_lake_stream_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,11 +269,10 @@ def q_lake_stream_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..plans import flows, reports
     from ..sources.files import write_csv
     root = run_dir(ensure_conf(spark), "lake")
-    fx, lake = Fixtures(spark, sf_dir), LakePaths(f"{root}/lake")
+    fx, lake = LandedFixtures(spark, sf_dir), LakePaths(f"{root}/lake")
     csv = {"customers": fx.customers, "products": fx.products, "orders": fx.orders.drop("source")}
     dirs = {name: write_csv(df, f"{root}/landing/{name}") for name, df in csv.items()}
-    weather_docs, rate_docs = (saved(df, f"{root}/docs/{name}") for name, df in (
-        ("weather", fx.weather_docs), ("rates", fx.rate_docs)))
+    weather_docs, rate_docs = fx.weather_docs, fx.rate_docs
     flows.ingest_csv(spark, lake, dirs, as_of=AS_OF_TS)
     flows.land_messages(spark, lake, order_messages(fx), AS_OF_TS)
     flows.merge_stream_orders(spark, lake)
@@ -227,5 +292,6 @@ STREAM_QUERIES = {
     "stream_live_by_hour": q_stream_live_by_hour,
     "stream_upsert_batches": q_stream_upsert_batches,
     "stream_rejects": q_stream_rejects,
+    "stream_first_message_wins": q_stream_first_message_wins,
     "lake_stream_end_to_end": q_lake_stream_end_to_end,
 }

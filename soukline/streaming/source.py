@@ -22,17 +22,33 @@ def event_stream(fx: Fixtures) -> DataFrame:
     return fx.spark.readStream.schema(schema).parquet(f"{fx.sf_dir}/events.parque[t]")
 
 
-def order_messages(fx: Fixtures, orders: DataFrame | None = None) -> DataFrame:
-    """Streaming order messages: ``body`` = JSON bytes of one order."""
-    orders = fx.stream_orders_from(event_stream(fx)) if orders is None else orders
+PARTITIONS = 4      # of the replayed queue
+
+
+def as_messages(orders: DataFrame) -> DataFrame:
+    """Orders as queue messages: ``body`` (JSON bytes) and where and when it was queued.
+
+    The replayed queue deals event ids round robin over its partitions and takes each
+    order in one second after its time."""
+    event = F.expr("order_id div 2")
     body = F.to_json(F.struct(*[F.col(c) for c in orders.columns])).cast("binary")
-    return orders.select(body.alias("body"))
+    return orders.select(
+        body.alias("body"),
+        F.expr("try_to_timestamp(timestamp) + INTERVAL '1' SECOND").alias("enqueued_at"),
+        F.pmod(event, F.lit(PARTITIONS)).cast("int").alias("message_partition"),
+        F.expr(f"order_id div 2 div {PARTITIONS}").alias("message_offset"))
+
+
+def order_messages(fx: Fixtures) -> DataFrame:
+    """Streaming order messages of the replayed events."""
+    return as_messages(fx.stream_orders_from(event_stream(fx)))
 
 
 def kafka_messages(spark, bootstrap_servers: str, topic: str,
                    starting_offsets: str = "latest", fail_on_data_loss: bool = False,
                    options: dict[str, str] | None = None) -> DataFrame:
-    """Order messages from a Kafka-protocol endpoint as a ``body`` column.
+    """Order messages from a Kafka-protocol endpoint: ``body`` and the columns of
+    ``schemas.MESSAGE`` (time, partition and offset of the queue).
 
     ``options`` carries the security settings (``kafka.security.protocol``,
     ``kafka.sasl.mechanism``, ``kafka.sasl.jaas.config``, timeouts) unchanged; secrets
@@ -52,4 +68,6 @@ def kafka_messages(spark, bootstrap_servers: str, topic: str,
             raise RuntimeError("the Kafka source needs the spark-sql-kafka package "
                                "(spark.jars.packages)") from e
         raise
-    return raw.select(F.col("value").alias("body"))
+    return raw.select(F.col("value").alias("body"), F.col("timestamp").alias("enqueued_at"),
+                      F.col("partition").alias("message_partition"),
+                      F.col("offset").alias("message_offset"))

@@ -66,3 +66,21 @@ def test_geocode_first_and_codes(spark):
     codes = spark.createDataFrame([(0,), (99,), (7,), (None,)], "c int")
     out = [r[0] for r in codes.select(weather_description("c")).collect()]
     assert out == ["Clear Sky", "Thunderstorm with Hail", "Unknown", "Unknown"]
+
+
+def test_coverage_masks_find_the_same_gaps(spark):
+    import datetime as dt
+    from soukline.operators import hours_by_pair, missing_hours, weather_gaps
+    day = dt.datetime(2024, 1, 5)
+    orders = spark.createDataFrame(
+        [("Pune", day + dt.timedelta(hours=h)) for h in (0, 0, 5, 23, 24)]
+        + [("Goa", day), (None, day), ("Agra", None)], "city string, order_time timestamp")
+    stored = spark.createDataFrame(
+        [("Pune", day.date(), h) for h in (0, 5, 7)], "city string, order_date date, order_hour int")
+    want = {("Pune", day.date(), 23), ("Pune", day.date() + dt.timedelta(days=1), 0),
+            ("Goa", day.date(), 0)}
+    masks = hours_by_pair(stored)
+    assert masks.first().hours == 1 << 0 | 1 << 5 | 1 << 7
+    for got in (weather_gaps(orders, stored), weather_gaps(orders, coverage=masks)):
+        assert set(map(tuple, got.collect())) == want
+    assert missing_hours(orders, None).count() == 3

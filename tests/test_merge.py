@@ -115,3 +115,39 @@ def test_scd2_tracks_several_attributes(spark):
     both = scd2(first, nxt, as_of=D1, tracked=("city", "email"))
     got = sorted((r.customer_id, r.email, r.is_current) for r in both.collect())
     assert got == [(1, "a2@x", True), (1, "a@x", False), (2, "b@x", True)]
+
+
+def test_source_is_planned_once(spark, tmp_path):
+    path = str(tmp_path / "src")
+    spark.createDataFrame([(1, "a", "Pune")], CUST).write.parquet(path)
+    src = spark.read.parquet(path).filter("name <> 'x'")
+    target = spark.createDataFrame([(1, "b", "Goa")], CUST)
+    scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count(
+        "FileScan parquet")
+    assert scans(upsert(target, src, ["customer_id"])) == 1
+    assert scans(upsert(None, src, ["customer_id"])) == 1
+    assert scans(scd2(None, src, as_of=D0)) == 1
+    assert scans(scd2(scd2(None, target, as_of=D0), src, as_of=D1)) == 1
+
+
+def test_rows_without_key_are_spread(spark):
+    """Rows that match nothing must not meet in one task because their key is NULL."""
+    n = 20_000
+    src = spark.range(n).selectExpr("CAST(NULL AS INT) AS k", "CAST(id AS STRING) AS v")
+    target = spark.createDataFrame([(1, "a")], SCHEMA)
+    out = upsert(target, src, ["k"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r[1] for r in out.selectExpr("spark_partition_id() AS p").groupBy("p").count()
+                 .collect()]
+        assert sum(sizes) == n + 1 and max(sizes) < n / 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_replace_keys_keeps_copies_of_a_delivery(spark):
+    from soukline.operators import replace_keys
+    t = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "n")], SCHEMA)
+    s = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z"), (None, "m")], SCHEMA)
+    assert set(map(tuple, replace_keys(t, s, ["k"]).collect())) == {
+        (1, "x"), (1, "y"), (2, "c"), (3, "z"), (None, "n"), (None, "m")}
