@@ -34,6 +34,8 @@ def build_session(master: str | None = None, app: str = "soukline",
     builder = (builder
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
+               # a stack trace for every column expression costs more than analysis itself
+               .config("spark.python.sql.dataFrameDebugging.enabled", "false")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
