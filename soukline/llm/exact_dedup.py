@@ -77,14 +77,23 @@ def exact_dedup(docs: DataFrame, salts: int = 16) -> DataFrame:
 
 
 def keep_exact(docs: DataFrame, salts: int = 16) -> DataFrame:
-    """The surviving rows with all their columns (the order of columns is kept)."""
+    """The surviving rows with all their columns (the order of columns is kept).
+
+    One row per distinct normalised text: the longest original, then the smallest doc_id
+    (null last). Rows that tie in both differ in white space or in other columns; the one
+    with the smallest hash of the row stays, so reruns agree. Null texts count as empty;
+    very long texts are compared whole; an empty table stays empty.
+    """
     kept = (exact_dedup(docs, salts).filter("kept")
             .select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")))
-    rows = docs.withColumn("__key", F.sha2(F.translate(text_or_empty(), SPACES, ""), 256))
+    text = text_or_empty()
+    rows = docs.withColumn("__key", F.sha2(F.translate(text, SPACES, ""), 256))
     same = rows["doc_id"].eqNullSafe(kept["__id"]) & (rows["__key"] == kept["__sha"])
-    # rows that repeat a surviving doc_id and text are one document
-    return (rows.join(kept, same, "left_semi")
-            .dropDuplicates(["doc_id", "__key"]).select(*docs.columns))
+    # of the rows that share the survivor's id and text: the longest, then by hash
+    cols = [F.col(c) for c in docs.columns]
+    first = F.min_by(F.struct(*cols), F.struct(-F.length(text), F.xxhash64(*cols)))
+    return (rows.join(kept, same, "left_semi").groupBy("__key").agg(first.alias("__row"))
+            .select("__row.*"))
 
 
 ORACLE = r"""

@@ -196,14 +196,18 @@ def classify(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS,
 
     Defined cases: null and empty texts have zero features and get a score; a null
     doc_id is not held out and never a training row; of several labels of a document the
-    smallest counts; without labels every score is 0.5; extra columns are ignored.
+    smallest counts, and of several texts of a labelled id the one with the smallest
+    features is learnt from; very long texts are read whole; without labels, or from an
+    empty table, every score is 0.5; extra columns are ignored.
     """
     rows = stored(described(docs), "gam-features")
     known = (labels.select("doc_id", "quality").dropna()
              .filter(~held_out(F.col("doc_id"), parts, part))
              .groupBy("doc_id").agg(F.min("quality").alias("quality"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
-    sample = (rows.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"])
+    # of several texts of one id the one with the smallest features is learnt from
+    sample = (rows.join(F.broadcast(known), "doc_id").groupBy("doc_id", "quality")
+              .agg(F.min(F.struct(*FEATURES)).alias("f")).select("doc_id", "quality", "f.*")
               .orderBy("doc_id").toArrow())
     y = sample.column("quality").to_numpy().astype(float)
     x = np.column_stack([sample.column(f).to_numpy() for f in FEATURES]) if len(y) else None

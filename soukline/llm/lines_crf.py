@@ -6,8 +6,9 @@ least ``CONTENT_SHARE`` of its words stand in content lines.
 
 The field is trained here by maximum likelihood (forward-backward gradients) on a bounded
 sample: at most ``TRAIN_DOCS`` labelled documents, those with the smallest hash of their
-id, every line carrying its document's quality label. Only their line features reach the
-driver. Scoring reads every line of every document.
+id, every line carrying its document's quality label; long ones are learnt from in
+stretches over their whole length (see :func:`fit`). Only their line features reach the
+driver. Scoring reads every line of every document, however long.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ WORDS = re.compile(WORD)
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 END = (".", "!", "?", ":", ";", '"', "'", ")", "”", "»")
 TRAIN_DOCS = 2_000
-TRAIN_LINES = 60           # of one document; the sample is bounded, scoring is not
+STRETCH_LINES, STRETCHES = 60, 64   # of one training document; scoring has no bound
 CONTENT_SHARE = 0.5
 N_FEATURES = 8
 
@@ -158,25 +159,44 @@ def base_failed(n_words, n_repeat_words):
     return (n_words < 10) | (100 * n_repeat_words > 20 * n_words)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS):
-    """Train on at most ``max_docs`` labelled documents; None without both classes."""
+def stretches(lines: list, stretch_lines: int, max_stretches: int) -> list:
+    """A document's lines as consecutive stretches; of more than ``max_stretches`` those
+    at evenly spread places, from the first to the last line."""
+    n = -(-len(lines) // stretch_lines)
+    places = range(n) if n <= max_stretches else \
+        sorted({round(i * (n - 1) / (max_stretches - 1)) for i in range(max_stretches)})
+    return [lines[k * stretch_lines:(k + 1) * stretch_lines] for k in places]
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS,
+        stretch_lines: int = STRETCH_LINES, max_stretches: int = STRETCHES):
+    """Train on at most ``max_docs`` labelled documents; None without both classes.
+
+    A document is learnt from in stretches of ``stretch_lines`` lines over its whole
+    length, at most ``max_stretches`` of them (3,840 lines as set), which bounds the
+    sample. Of several labels of a doc_id the smallest counts, of several texts the one
+    with the smallest hash; null ids and labels are left out.
+    """
     sample = (labels.select(F.col("doc_id").cast("long").alias("doc_id"),
                             F.col("quality").cast("long").alias("quality"))
-              .dropna().dropDuplicates(["doc_id"])
+              .dropna().groupBy("doc_id").agg(F.min("quality").alias("quality"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs))
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         text_or_empty().alias("text"))
-            .join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]))
+            .join(F.broadcast(sample), "doc_id").groupBy("doc_id", "quality")
+            .agg(F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text")))
 
     def run(batches):
         for b in batches:
-            out = []
-            for text in b.column("text").to_pylist():
-                f = describe(text)[1][:TRAIN_LINES]
-                out.append(np.asarray(f, dtype=np.float32).tobytes())
+            ids, kinds, out = [], [], []
+            for i, q, text in zip(*(b.column(c).to_pylist() for c in ("doc_id", "quality", "text"))):
+                for part in stretches(describe(text)[1], stretch_lines, max_stretches):
+                    ids.append(i)
+                    kinds.append(q)
+                    out.append(np.asarray(part, dtype=np.float32).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("quality"), pa.array(out, pa.binary())],
-                names=["doc_id", "quality", "features"])
+                [pa.array(ids, pa.int64()), pa.array(kinds, pa.int64()),
+                 pa.array(out, pa.binary())], names=["doc_id", "quality", "features"])
 
     found = map_arrow(rows, run, "doc_id long, quality long, features binary").toArrow()
     data = sorted(zip(*(found.column(c).to_pylist() for c in found.column_names)))

@@ -249,7 +249,8 @@ def classified(docs: DataFrame) -> DataFrame:
     ``component_id`` is the smallest doc_id reachable.
 
     Defined cases: null or empty text has no shingles and links with nothing; rows that
-    repeat a doc_id are linked through it; rows without a doc_id take part in links and rank
+    repeat a doc_id are documents of their own, linked by their texts only (each gets the
+    component of its text, so an id can stand in two); rows without a doc_id take part in links and rank
     after all others. A component none of whose rows has an id gets a null ``component_id``
     and exactly one kept row, a row without id and without shingles is kept. Extra columns
     are ignored. Classes without an id count as the same when 64 bits of their digests agree.
@@ -265,7 +266,6 @@ def classified(docs: DataFrame) -> DataFrame:
             .unionByName(full.filter("doc_id is null").join(
                 classes.filter("rep is null").select(*SET, "vertex"), SET)
                 .dropDuplicates(["vertex"])))
-    # a doc_id given to several texts stands for all of them
     reps = stored(reps, "minhash-reps")
     clusters = stored(candidate_clusters(reps), "minhash-clusters")
     links = stored(confirmed_links(docs, reps, clusters), "minhash-links")

@@ -87,7 +87,7 @@ def schedule(targets: DataFrame, block_words: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, block_words: int = 64, buckets: int = 1024, max_epochs: int = 3,
-        seed: str = "mix") -> DataFrame:
+        seed: str = "mix", carry: tuple[str, ...] = ()) -> DataFrame:
     """Blocks of the mix: one row per document and block that it has words in.
 
     Returns ``doc_id, source, size, source_size, target, slot, block, words`` (``slot``
@@ -96,12 +96,14 @@ def mix(docs: DataFrame, block_words: int = 64, buckets: int = 1024, max_epochs:
 
     Defined cases: null text has no words and is never taken; a null source is a source
     of its own, after all others; a null doc_id is an id like any other; rows that repeat
-    a doc_id are separate stretches of the stream; an empty table gives no rows.
+    a doc_id are separate stretches of the stream; an empty table gives no rows. ``carry``
+    names further columns of ``docs`` that the blocks shall have, with ``ord`` and ``start``
+    (source and place of the document's words in its stream).
     """
     order = F.conv(F.substring(F.md5(F.concat_ws(
         "|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))), 1, 15),
         16, 10).cast("long")
-    sized = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    sized = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *carry)
                    .withColumn("place", order)
                    .withColumn("bucket", F.floor(F.col("place") / ((1 << 60) // buckets))),
                    "mix-sizes")
@@ -111,11 +113,11 @@ def mix(docs: DataFrame, block_words: int = 64, buckets: int = 1024, max_epochs:
                .select("ord", "bucket", "source_size", "target", "quota",
                        parts["source"].alias("name"),
                        _before("words", ["ord"], ["bucket"]).alias("offset")))
-    within = _before("size", ["source", "bucket"], ["place", "doc_id", "size"])
+    within = _before("size", ["source", "bucket"], ["place", "doc_id", "size", *carry])
     placed = sized.withColumn("within", within)
     placed = (placed.join(offsets, placed["source"].eqNullSafe(offsets["name"])
                           & (placed["bucket"] == offsets["bucket"]))
-              .select("doc_id", "source", "size", "ord", "source_size", "target", "quota",
+              .select("doc_id", "source", "size", *carry, "ord", "source_size", "target", "quota",
                       (F.col("offset") + F.col("within")).alias("start")))
     # every reading of the stream that the quota reaches
     epoch = F.sequence(F.lit(0).cast("long"), F.lit(max_epochs - 1).cast("long"))
@@ -128,7 +130,7 @@ def mix(docs: DataFrame, block_words: int = 64, buckets: int = 1024, max_epochs:
                  F.floor((F.col("end") - 1) / block_words))))
              .withColumn("words", F.least(F.col("end"), (F.col("block") + 1) * block_words)
                          - F.greatest(F.col("begin"), F.col("block") * block_words)))
-    out = ["doc_id", "source", "size", "source_size", "target", "ord", "start"]
+    out = ["doc_id", "source", "size", *carry, "source_size", "target", "ord", "start"]
     # the size of exploded rows is not estimated right: without the hint, the schedule,
     # which grows with the input, can be taken for a small side and be broadcast
     read = taken.join(schedule(targets, block_words).hint("merge"), ["ord", "block"]).select(
@@ -153,14 +155,33 @@ def taken_words(docs: DataFrame, **params) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, **params) -> DataFrame:
     """The documents of the mix: each repeated as often as the mix reads it, to the
-    nearest whole number (only the last document of a source's quota is read in part)."""
-    reads = (taken_words(docs, **params).groupBy("doc_id")
-             .agg(F.try_divide(F.sum("taken"), F.sum("size")).alias("__times"))
-             .select(F.col("doc_id").alias("__id"), F.round("__times").cast("int").alias("__n"))
-             .filter("__n > 0"))
-    return (docs.join(reads, docs["doc_id"].eqNullSafe(reads["__id"]))
+    nearest whole number (only the last document of a source's quota is read in part). A
+    source with a target is never left without a document: its first one stays at least
+    once, however small a part of it is read.
+
+    Every row has its own count, also where rows share a doc_id or have none: rows are
+    told apart by a 128-bit hash of all their columns, and rows that are equal throughout
+    share their counts out among themselves. Null and empty texts are never taken; very
+    long texts are repeated or left whole; an empty table stays empty.
+    """
+    cols = [F.col(c) for c in docs.columns]
+    key = ["__p", "__q"]
+    rows = docs.withColumns({"__p": F.xxhash64(*cols), "__q": F.xxhash64(F.lit(1), *cols)})
+    times = F.round(F.sum("words") / F.col("size")).cast("long")
+    reads = (mix(rows, carry=tuple(key), **params).filter("words > 0")
+             .groupBy(*key, "size", "ord", "start").agg(times.alias("n"))
+             .withColumn("n", F.when(F.col("start") == 0, F.greatest("n", F.lit(1)))
+                         .otherwise(F.col("n")))
+             .groupBy(*key).agg(F.sum("n").alias("__n")).filter("__n > 0"))
+    alike = Window.partitionBy(*key)
+    place = F.row_number().over(alike.orderBy("__n"))
+    copies = (F.floor(F.col("__n") / F.col("__rows"))
+              + F.when(F.col("__place") <= F.col("__n") % F.col("__rows"), 1).otherwise(0))
+    return (rows.join(reads, key)
+            .withColumns({"__rows": F.count(F.lit(1)).over(alike), "__place": place})
+            .withColumn("__n", copies.cast("int")).filter("__n > 0")
             .withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__n"))))
-            .select(*[docs[c] for c in docs.columns]))
+            .select(*docs.columns))
 
 
 ORACLE = r"""
