@@ -205,36 +205,53 @@ def _bucket(table: pa.Table) -> pa.Table:
                                _unpacked(table.column("counts"), np.int64))
     first = np.flatnonzero(np.append(True, name[1:] != name[:-1]))
     sizes = np.diff(np.append(first, len(name)))
-    state = _State(table.column("bucket")[0].as_py(), name[first], sizes, context, n,
-                   np.ones(len(n), np.int64), np.zeros(len(n)), np.empty((len(first), 0)))
+    state = _State(table.column("bucket")[0].as_py(), name[first], sizes,
+                   *np.unique(context, return_inverse=True), n, np.ones(len(n), np.int64),
+                   np.zeros(len(n)), np.empty((len(first), 0)))
     return pa.Table.from_batches([state.row([n.sum(), (n == 1).sum(), (n == 2).sum()])])
 
 
 class _State:
-    """The pairs of a bucket: words, dishes (contexts, counts, tables) and sums so far."""
+    """The pairs of a bucket: words, dishes (contexts, counts, tables) and sums so far.
 
-    KINDS = (np.uint64, np.int32, np.uint64, np.int64, np.int64, np.float64, np.float64)
-    COLUMNS = ("names", "sizes", "contexts", "counts", "tables", "score", "parent")
+    Stored, a dish has the rank of its context among the bucket's (``of``) and a bit that
+    tells if it has more than one customer; counts, tables and the sum of scores are kept
+    for these dishes alone. A dish with one customer has one table, and its score follows
+    from the totals of its word and context."""
+
+    COLUMNS = ("names", "sizes", "contexts", "of", "more", "counts", "tables", "score", "parent")
     SCHEMA = ("bucket int, " + ", ".join(f"{c} binary" for c in COLUMNS)
               + ", totals array<double>")
 
-    def __init__(self, bucket, *arrays):
-        self.bucket = bucket
-        (self.names, self.sizes, self.contexts, self.counts, self.tables, self.score,
-         self.parent) = arrays
+    def __init__(self, bucket, names, sizes, seen, of, counts, tables, score, parent):
+        self.bucket, self.names, self.sizes, self.seen, self.at = bucket, names, sizes, seen, of
+        self.counts, self.tables, self.score, self.parent = counts, tables, score, parent
+
+    @property
+    def contexts(self) -> np.ndarray:
+        return self.seen[self.at]
 
     @classmethod
     def of(cls, row: dict) -> "_State":
-        x = [np.frombuffer(row[c], dtype=k) for c, k in zip(cls.COLUMNS, cls.KINDS)]
-        x[6] = x[6].reshape(len(x[0]), -1)
-        return cls(row["bucket"], *x)
+        names, sizes, seen, at = (np.frombuffer(row[c], dtype=k) for c, k in (
+            ("names", np.uint64), ("sizes", np.int32), ("contexts", np.uint64), ("of", np.int32)))
+        more = _bits(row["more"], len(at))
+        counts, tables = (np.ones(len(at), np.int64) for _ in range(2))
+        score = np.zeros(len(at))
+        counts[more], tables[more], score[more] = (np.frombuffer(row[c], dtype=k) for c, k in (
+            ("counts", np.int64), ("tables", np.int64), ("score", np.float64)))
+        parent = np.frombuffer(row["parent"]).reshape(len(names), -1)
+        return cls(row["bucket"], names, sizes, seen, at, counts, tables, score, parent)
 
     def row(self, totals) -> pa.RecordBatch:
-        arrays = (self.names, self.sizes, self.contexts, self.counts, self.tables,
-                  self.score, self.parent)
+        more = self.counts > 1
+        packed = [_packed(x, k) for x, k in (
+            (self.names, np.uint64), (self.sizes, np.int32), (self.seen, np.uint64),
+            (self.at, np.int32), (np.packbits(more), np.uint8), (self.counts[more], np.int64),
+            (self.tables[more], np.int64), (self.score[more], np.float64),
+            (self.parent, np.float64))]
         return pa.RecordBatch.from_arrays(
-            [pa.array([self.bucket], pa.int32()),
-             *(pa.array([_packed(x, k)], pa.binary()) for x, k in zip(arrays, self.KINDS)),
+            [pa.array([self.bucket], pa.int32()), *(pa.array([x], pa.binary()) for x in packed),
              pa.array([[float(t) for t in totals]], pa.list_(pa.float64()))],
             names=["bucket", *self.COLUMNS, "totals"])
 
@@ -242,16 +259,33 @@ class _State:
         """The words or contexts of the bucket, and which of them each dish has."""
         if kind == WORD:
             return self.names, np.repeat(np.arange(len(self.names)), self.sizes)
-        return np.unique(self.contexts, return_inverse=True)
+        return self.seen, self.at
+
+
+def _bits(packed: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(packed, np.uint8), count=n).astype(bool)
+
+
+def _pair(name: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """64-bit names of pairs, as questions carry them."""
+    return rc.mix(name ^ rc.mix(context + rc.K1))
+
+
+def _chances(keys: np.ndarray, turn: int) -> np.ndarray:
+    """Uniform numbers that depend on key and turn alone."""
+    x = rc.mix(keys + np.uint64(turn * int(rc.K0) & 0xFFFFFFFFFFFFFFFF))
+    return (x >> np.uint64(11)).astype(np.float64) * 2.0 ** -53
 
 
 def seat(customers: np.ndarray, fresh: np.ndarray, discount: float,
-         rng: np.random.Generator) -> np.ndarray:
+         rng: np.random.Generator, keys: np.ndarray | None = None) -> np.ndarray:
     """Tables of dishes after seating their customers; ``fresh`` is the weight of a new
     table, (strength + discount * tables of the restaurant) * parent probability.
 
     The first customers sit down one by one; later ones in parties of an eighth of those
-    seated, which all see the tables there are when the party comes in.
+    seated, which all see the tables there are when the party comes in. With ``keys`` (64-bit
+    names of the dishes in this sweep) single customers draw by key and turn, so a dish is
+    seated alike in whatever bucket it lies.
     """
     tables = np.ones(len(customers), dtype=np.int64)
     live = np.flatnonzero(customers > 1)
@@ -263,7 +297,8 @@ def seat(customers: np.ndarray, fresh: np.ndarray, discount: float,
         p = fresh[live] / (fresh[live] + seated - discount * tables[live])
         p = np.clip(p, 0.0, 1.0)
         if party == 1:
-            tables[live] += rng.random(len(live)) < p
+            draw = rng.random(len(live)) if keys is None else _chances(keys[live], seated)
+            tables[live] += draw < p
         else:
             tables[live] += rng.binomial(size, p)
         seated += party
@@ -321,7 +356,8 @@ def _owned(m: dict):
             samples = _unpacked(old.column("samples"), np.float64).reshape(len(names), -1)
             if kind == WORD:
                 rng = np.random.default_rng([SEED, sweep, owner, 1])
-                top = seat(tables, (s1 + d1 * (above - top)) * base, d1, rng)
+                top = seat(tables, (s1 + d1 * (above - top)) * base, d1, rng,
+                           rc.mix(names + np.uint64(SEED + sweep)))
         if keep:
             samples = np.column_stack([samples, tables - d1 * top if kind == WORD else tables])
         totals = [0.0] * 5 if kind == CONTEXT else [float(x) for x in (
@@ -372,7 +408,8 @@ def _sweep(m: dict, owners: int):
         if m["reseat"]:
             rng = np.random.default_rng([SEED, m["sweep"], s.bucket])
             fresh = (s2 + d2 * (tables_of[ctx] - s.tables)) * p1[word]
-            s.tables = seat(s.counts, fresh, d2, rng)
+            dishes = _pair(s.names.repeat(s.sizes), s.contexts)
+            s.tables = seat(s.counts, fresh, d2, rng, rc.mix(dishes + np.uint64(SEED + m["sweep"])))
         return pa.Table.from_batches([s.row([])])
     return run
 
@@ -471,20 +508,14 @@ def _asked(deal: Deal, owners: int):
 
     def run(batches):
         for of, name, context in _combined(parts(batches), _once):
-            for kind, places, place, of_, x, y in (
-                    (PAIR, deal.buckets, deal(name, context), of, name, context),
-                    *((kind, owners, _owner(k, owners), c, k, k[:0])
+            for kind, places, place, of_, x in (
+                    (PAIR, deal.buckets, deal(name, context), of, _pair(name, context)),
+                    *((kind, owners, _owner(k, owners), c, k)
                       for kind, (c, k) in ((WORD, _once(of, name)),
                                            (CONTEXT, _once(of, context))))):
-                columns = [(of_, np.int32), (x, np.uint64)]
-                if kind == PAIR:
-                    columns.append((y, np.uint64))
-                out = _by_place(places, place, columns)
-                if kind != PAIR:
-                    out.append(pa.nulls(len(out[0]), pa.binary()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([kind] * len(out[0]), pa.int32()), *out],
-                    names=["kind", "place", "chunks", "names", "contexts"])
+                out = _by_place(places, place, [(of_, np.int32), (x, np.uint64)])
+                yield pa.RecordBatch.from_arrays([pa.array([kind] * len(out[0]), pa.int32()), *out],
+                                                 names=["kind", "place", "chunks", "names"])
     return run
 
 
@@ -493,95 +524,118 @@ def _once(*keys: np.ndarray):
     return tuple(k[order][head] for k in keys)
 
 
+def _found(keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``x`` in the sorted keys, and whether they are there."""
+    if not len(keys):
+        return np.zeros(len(x), dtype=np.int64), np.zeros(len(x), dtype=bool)
+    at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
+    return at, keys[at] == x
+
+
+UNKNOWN, ONCE, MORE = 0, 1, 2
+
+
 def _known(model: dict):
-    """Answers, one row per chunk that asked: of the keys that are known, a pair's score, a
-    word's count and unigram probabilities, a context's weights of the parent."""
+    """Answers, one row per chunk that asked: of the words and contexts that are known, the
+    customers and per sample the unigram probabilities or the parent's weights; of all pairs
+    asked for, in the order of their names, whether they were seen never, once or more, and the
+    scores of the latter (in single precision)."""
     d2, s2 = model["d2"], model["s2"]
     norms, unseen = np.array(model["norms"]), model["unseen"]
 
+    def pairs(row, of, x):
+        word = np.frombuffer(row["names"], np.uint64).repeat(np.frombuffer(row["sizes"], np.int32))
+        at = np.frombuffer(row["ranks"], np.int32)
+        dish = _pair(word, np.frombuffer(row["contexts"], np.uint64)[at])
+        more = _bits(row["more"], len(at))
+        score = np.zeros(len(at))
+        score[more] = np.frombuffer(row["values"], np.float64)
+        order = np.argsort(dish)
+        i, hit = _found(dish[order], x)
+        i = order[i]
+        state = np.where(hit, np.where(more[i], MORE, ONCE), UNKNOWN).astype(np.uint8)
+        for lo, hi in _runs(of):
+            told = state[lo:hi]
+            yield int(of[lo]), None, _packed(told, np.uint8), _packed(
+                score[i[lo:hi]][told == MORE], np.float32)
+
+    def keys(row, of, x, kind):
+        have, n = np.frombuffer(row["names"], np.uint64), np.frombuffer(row["counts"], np.int64)
+        values = np.frombuffer(row["values"], np.float64).reshape(len(n), -1)
+        values = values / norms + unseen if kind == WORD else (s2 + d2 * values) / (s2 + n[:, None])
+        i, hit = _found(have, x)
+        of, x, i = of[hit], x[hit], i[hit]
+        for lo, hi in _runs(of):
+            yield (int(of[lo]), _packed(x[lo:hi], np.uint64), _packed(n[i[lo:hi]], np.int64),
+                   _packed(values[i[lo:hi]], np.float64))
+
     def run(questions: pa.Table, known: pa.Table) -> pa.Table:
-        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
-        out = []
+        out, kind, place = [], None, None
         if len(questions) and len(known):
-            kind = questions.column("kind")[0].as_py()
+            kind, place = (questions.column(c)[0].as_py() for c in ("kind", "place"))
+            asked = _once(_unpacked(questions.column("chunks"), np.int32),
+                          _unpacked(questions.column("names"), np.uint64))
             row = known.to_pylist()[0]
-            have = np.frombuffer(row["names"], np.uint64)
-            n = np.frombuffer(row["counts"], np.int64)
-            values = np.frombuffer(row["values"], np.float64).reshape(len(n), -1)
-            asked = [_unpacked(questions.column("chunks"), np.int32),
-                     _unpacked(questions.column("names"), np.uint64)]
-            if kind == PAIR:
-                asked.append(_unpacked(questions.column("contexts"), np.uint64))
-            of, name, *context = _once(*asked)
-            if kind == PAIR:            # words and their contexts are sorted in a bucket
-                ctx = np.frombuffer(row["contexts"], np.uint64)
-                seen, rank = np.unique(ctx, return_inverse=True)
-                word = np.repeat(np.arange(len(have)), np.frombuffer(row["sizes"], np.int32))
-                dish = word * len(seen) + rank
-                i = np.minimum(np.searchsorted(have, name), len(have) - 1)
-                j = np.minimum(np.searchsorted(seen, context[0]), len(seen) - 1)
-                want = i * len(seen) + j
-                at = np.minimum(np.searchsorted(dish, want), len(dish) - 1)
-                hit = (have[i] == name) & (seen[j] == context[0]) & (dish[at] == want)
-            else:
-                at = np.minimum(np.searchsorted(have, name), len(have) - 1)
-                hit = have[at] == name
-            of, name, at = of[hit], name[hit], at[hit]
-            values = values[at]
-            if kind == WORD:
-                values = values / norms + unseen
-            elif kind == CONTEXT:
-                values = (s2 + d2 * values) / (s2 + n[at, None])
-            chunks, cut = np.unique(of, return_index=True)
-            for c, lo, hi in zip(chunks, cut, np.append(cut[1:], len(of))):
-                out.append((int(c), kind, _packed(name[lo:hi], np.uint64),
-                            _packed(context[0][hit][lo:hi], np.uint64) if context else None,
-                            _packed(n[at[lo:hi]], np.int64) if kind == WORD else None,
-                            _packed(values[lo:hi], np.float64)))
-        return pa.table([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)],
-                        names=["chunk", "kind", "names", "contexts", "n", "values"])
+            out = list(pairs(row, *asked) if kind == PAIR else keys(row, *asked, kind))
+        n = len(out)
+        return pa.table([pa.array([r[0] for r in out], pa.int32()),
+                         pa.array([kind] * n, pa.int32()), pa.array([place] * n, pa.int32()),
+                         *(pa.array([r[i] for r in out], pa.binary()) for i in range(1, 4))],
+                        names=["chunk", "kind", "place", "names", "n", "values"])
     return run
 
 
-def _scored(tokens: int, types: int, unseen: np.ndarray):
+def _runs(x: np.ndarray):
+    """(first, end) of the runs of equal values."""
+    cut = np.flatnonzero(x[1:] != x[:-1]) + 1
+    return zip(np.append(0, cut), np.append(cut, len(x))) if len(x) else ()
+
+
+def _scored(model: dict, deal: Deal):
     """Scores of the texts of one chunk from the answers it got."""
+    tokens, types, unseen = model["tokens"], model["types"], model["unseen"]
+    d2, s2 = model["d2"], model["s2"]
+
+    def keyed(answers, kind, unknown):
+        """Sorted keys, customers and values, the last entries those of an unknown key."""
+        rows = answers.filter(pa.compute.equal(answers.column("kind"), kind))
+        names, n = (_unpacked(rows.column(c), k) for c, k in (("names", np.uint64),
+                                                              ("n", np.int64)))
+        values = _unpacked(rows.column("values"), np.float64).reshape(len(names), -1)
+        order = np.argsort(names)
+        return (names[order], np.append(n[order], 0),
+                np.vstack([values[order].reshape(-1, len(unseen)), unknown]))
+
+    def rank(keys, x):
+        at, hit = _found(keys, x)
+        return np.where(hit, at, len(keys))
+
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        def got(kind, column, dtype):
-            mine = pa.compute.equal(answers.column("kind"), kind)
-            return _unpacked(answers.filter(mine).column(column), dtype)
-
-        def keyed(kind, unknown):
-            """Sorted keys, their values, and last the values of an unknown key."""
-            names = got(kind, "names", np.uint64)
-            order = np.argsort(names)
-            values = got(kind, "values", np.float64).reshape(len(names), -1)
-            return names[order], np.vstack([values[order].reshape(-1, len(unseen)), unknown]), order
-
-        def rank(keys, x):
-            """Places of ``x`` in the sorted keys; their number if it is not there."""
-            if not len(keys):
-                return np.zeros(len(x), dtype=np.int64)
-            i = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
-            return np.where(keys[i] == x, i, len(keys))
-
-        names, parent, order = keyed(WORD, unseen)
-        n = np.append(got(WORD, "n", np.int64)[order], 0)
-        contexts, weight, _ = keyed(CONTEXT, np.ones(len(unseen)))
-        wide = len(contexts) + 1
-        pair = (rank(names, got(PAIR, "names", np.uint64)) * wide
-                + rank(contexts, got(PAIR, "contexts", np.uint64)))
-        order = np.argsort(pair)
-        pair, score = pair[order], got(PAIR, "values", np.float64)[order]
+        words, n, parent = keyed(answers, WORD, unseen)
+        contexts, customers, weight = keyed(answers, CONTEXT, np.ones(len(unseen)))
+        cutter, rows = rc.WordCutter(), _bytes(texts)
+        cut = [(lo, hi, *_tokens(cutter, rows[lo:hi])) for lo, hi in _slices(rows)]
+        # the pairs this chunk asked every bucket for, in the order of the answers
+        place, pair = _once(*(np.concatenate(x) for x in zip(*(
+            _once(deal(name, context), _pair(name, context)) for _, _, name, context, _ in cut))))
+        told = {r["place"]: r for r in answers.filter(
+            pa.compute.equal(answers.column("kind"), PAIR)).to_pylist()}
+        state, score = np.zeros(len(pair), np.uint8), np.zeros(len(pair))
+        for lo, hi in _runs(place):
+            r = told.get(int(place[lo]))
+            if r is not None:
+                state[lo:hi] = np.frombuffer(r["n"], np.uint8)
+                score[lo:hi][state[lo:hi] == MORE] = np.frombuffer(r["values"], np.float32)
         base = np.log10((n + 0.5) / (tokens + 0.5 * (types + 1)))
-        cutter, out = rc.WordCutter(), []
-        rows = _bytes(texts)
-        for lo, hi in _slices(rows):
-            name, context, doc = _tokens(cutter, rows[lo:hi])
-            i, j = rank(names, name), rank(contexts, context)
-            at = rank(pair, i * wide + j)
-            seen = at < len(pair)
+        by_pair = np.argsort(pair)
+        out = []
+        for lo, hi, name, context, doc in cut:
+            i, j = rank(words, name), rank(contexts, context)
+            at = by_pair[np.searchsorted(pair, _pair(name, context), sorter=by_pair)]
             p = (weight[j] * parent[i]).sum(1)
-            p[seen] = score[at[seen]]
+            once, more = state[at] == ONCE, state[at] == MORE
+            p[once] += len(unseen) * (1 - d2) / (s2 + customers[j[once]])
+            p[more] = score[at[more]]
             log = np.log10(p / len(unseen))
             add = lambda x: np.bincount(doc, x, hi - lo)
             out.append((add(np.ones(len(doc))), add(n[i] > 0), add(base[i]), add(log)))
@@ -602,8 +656,10 @@ def score_texts(docs: DataFrame, parts: int = 5, part: int = 1) -> DataFrame:
 
     Defined cases: a null or empty text is just its end token; a null doc_id is not held
     out; repeated rows are learnt and scored each; without training rows the counts are
-    zero and all types alike; extra columns are ignored; an empty table gives no rows.
-    Words count as the same when their 64-bit names agree.
+    zero and all types alike; very long texts are read whole (one text is never cut, so a
+    chunk is at least as large as its longest text); extra columns are ignored; an empty
+    table gives no rows. Words, and pairs of words, count as the same when their 64-bit
+    names agree.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     held = held_out(F.col("doc_id"), parts, part)
@@ -616,21 +672,20 @@ def score_texts(docs: DataFrame, parts: int = 5, part: int = 1) -> DataFrame:
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks))
                             .cast("int"))
     asked = map_arrow(dealt.select("chunk", "text"), _asked(deal, model["owners"]),
-                      "kind int, place int, chunks binary, names binary, contexts binary")
-    none = F.lit(None).cast("binary")
+                      "kind int, place int, chunks binary, names binary")
     known = pairs.select(F.lit(PAIR).alias("kind"), F.col("bucket").alias("place"), "names",
-                         "sizes", "contexts", "counts", F.col("score").alias("values")).unionByName(
-        model["owned"].select("kind", F.col("owner").alias("place"), "names",
-                              none.alias("sizes"), none.alias("contexts"), "counts",
-                              F.col("samples").alias("values")))
+                         "sizes", "contexts", F.col("of").alias("ranks"), "more",
+                         F.col("score").alias("values")).unionByName(
+        model["owned"].select("kind", F.col("owner").alias("place"), "names", "counts",
+                              F.col("samples").alias("values")), allowMissingColumns=True)
     place = ["kind", "place"]
     answers = stored(asked.groupBy(*place).cogroup(known.groupBy(*place)).applyInArrow(
-        _known(model), "chunk int, kind int, names binary, contexts binary, n binary,"
-                       " values binary"), "lm-answers")
+        _known(model), "chunk int, kind int, place int, names binary, n binary, values binary"),
+        "lm-answers")
     drop_stored(pairs)
     drop_stored(model["owned"])
     scored = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        _scored(model["tokens"], model["types"], model["unseen"]),
+        _scored(model, deal),
         "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known",
                          F.lit(model["tokens"]).cast("long").alias("train_tokens"),
