@@ -396,6 +396,11 @@ SELECT concat_ws(',', order_id, customer_id, product_id,
 FROM fx_orders WHERE order_id % 50 IN (0, 1, 2)
 UNION ALL SELECT 'rows that fit', count(*), CAST(sum(amount) AS DECIMAL(38,2))
 FROM fx_orders WHERE order_id % 50 NOT IN (0, 1, 2)""",
+    "truncate_keeps_schema": """
+SELECT 'loaded' AS step, count(*) AS n, CAST(sum(amount) AS DECIMAL(38,2)) AS amount,
+  CAST(8 AS BIGINT) AS n_columns FROM fx_orders
+UNION ALL SELECT 'emptied', CAST(0 AS BIGINT), NULL, 8
+UNION ALL SELECT 'loaded again', count(*), CAST(sum(amount) AS DECIMAL(38,2)), 8 FROM a_stream""",
     "scd2_stored_history": "SELECT * FROM scd2_result",
     "orders_landed_again": """
 SELECT order_id, CASE WHEN order_id % 3 = 0 THEN CAST(amount + 1 AS DECIMAL(18,2)) ELSE amount END AS amount,
@@ -453,6 +458,7 @@ FROM (SELECT o.*, CAST(round(o.amount * COALESCE(r.exchange_rate, CAST(0.012 AS
       FROM c_stream o LEFT JOIN usd r ON o.order_date = r.rate_date) t""",
     "stream_parse_append": "SELECT * FROM q_stream",
     "stream_restart_exactly_once": "SELECT * FROM q_stream",
+    "stream_processing_time": "SELECT * FROM q_stream",
     "stream_first_message_wins": """
 SELECT c.cut, t.* FROM (VALUES ('one'), ('many')) AS c(cut), (
   SELECT order_id, customer_id, amount, city, order_time, source,

@@ -21,7 +21,7 @@ from ..schemas import BRONZE_ORDERS, SOURCE_BATCH, TOTAL
 from ..session import ensure_conf, run_dir, saved
 from ..sources.files import csv_scan, csv_scan_checked, write_csv
 from ..sources.history import merge_history, read_history
-from ..sources.tables import merge_partitions
+from ..sources.tables import merge_partitions, read_table, truncate, write_version
 from . import reports as rp
 from .fixtures import LandedFixtures
 from .oracle import AS_OF_DATE, AS_OF_TS, KPI_DAY, SCD2_START
@@ -382,6 +382,24 @@ def q_orders_landed_again(spark, sf_dir):
         "order_id", "amount", "order_time", "source", "message_partition", flows.MONTH)
 
 
+def q_truncate_keeps_schema(spark, sf_dir):
+    """A stored table before and after it is emptied, and after the next load into it."""
+    lake = Lake.of(spark, sf_dir)
+    root, out = f"{lake.root}/orders", None
+    steps = (("loaded", lambda: write_version(lake.fx.orders, root)),
+             ("emptied", lambda: truncate(spark, root)),
+             ("loaded again", lambda: write_version(read_table(spark, root).unionByName(
+                 lake.stream_aligned), root)))
+    for step, act in steps:
+        act()
+        rows = read_table(spark, root)
+        part = rows.agg(F.lit(step).alias("step"), F.count(F.lit(1)).alias("n"),
+                        F.sum("amount").cast(TOTAL).alias("amount"),
+                        F.lit(len(rows.columns)).cast("long").alias("n_columns"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def q_lakehouse_end_to_end(spark, sf_dir):
     """CSV files -> bronze -> enrichment run -> silver -> gold -> revenue by category."""
     from . import flows
@@ -438,6 +456,7 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_incomplete_customers": q_dedup_incomplete_customers,
     "live_kpi_refresh": _lake(lambda l: rp.kpi_refresh(l.live)),
     "csv_rejects": q_csv_rejects,
+    "truncate_keeps_schema": q_truncate_keeps_schema,
     "scd2_stored_history": q_scd2_stored_history,
     "orders_landed_again": q_orders_landed_again,
     "live_totals_on_day": _lake(lambda l: rp.live_totals(l.live, as_of=KPI_DAY)),

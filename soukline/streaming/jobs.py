@@ -76,6 +76,20 @@ def q_stream_restart_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame
     return spark.read.parquet(path).select(*BUFFER_COLUMNS)
 
 
+def q_stream_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The always-on form of the landing job: a processing-time trigger, stopped when the
+    source has nothing more, then a restart on the same checkpoint."""
+    root = run_dir(ensure_conf(spark), "stream-trigger")
+    fx = Fixtures(spark, sf_dir)
+    path = f"{root}/bronze_stream"
+    for _ in range(2):
+        q = start_append(parse_orders(order_messages(fx)), path, f"{root}/_checkpoints/bronze",
+                         {"processingTime": "1 second"}, name=f"landing-{uuid4().hex[:8]}")
+        q.processAllAvailable()
+        q.stop()
+    return spark.read.parquet(path).select(*BUFFER_COLUMNS)
+
+
 def q_stream_enrich_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = run_dir(ensure_conf(spark), "stream-silver")
     fx = LandedFixtures(spark, sf_dir)
@@ -291,6 +305,7 @@ STREAM_QUERIES = {
     "stream_merge_then_drain": q_stream_merge_then_drain,
     "stream_live_by_hour": q_stream_live_by_hour,
     "stream_upsert_batches": q_stream_upsert_batches,
+    "stream_processing_time": q_stream_processing_time,
     "stream_rejects": q_stream_rejects,
     "stream_first_message_wins": q_stream_first_message_wins,
     "lake_stream_end_to_end": q_lake_stream_end_to_end,
