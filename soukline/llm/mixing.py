@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from soukline.llm.common import stored, word_count
 
 SLOT_CHUNK = 4096       # slots made from one row; only spreads the work over tasks
+SLOT_TASK = 1 << 18     # slots made in one task, on average
 
 
 def _before(value: str, by: list[str], order: list) -> Column:
@@ -72,7 +73,10 @@ def schedule(targets: DataFrame, block_words: int) -> DataFrame:
     chunk = F.sequence(F.lit(0).cast("long"), F.col("slots") - 1,
                        F.lit(SLOT_CHUNK).cast("long"))
     cell = F.sequence(F.col("lo"), F.least(F.col("lo") + SLOT_CHUNK, F.col("slots")) - 1)
-    cells = (need.withColumn("lo", F.explode(chunk)).repartition("ord", "lo")
+    # a given number: by their bytes, the few rows to explode would all go to one task
+    total = need.agg(F.sum("slots")).first()[0] or 0
+    cells = (need.withColumn("lo", F.explode(chunk))
+             .repartition(-(-total // SLOT_TASK) or 1, "ord", "lo")
              .withColumn("cell", F.explode(cell)))
     slots = (cells.withColumn("slot", _reversed_bits(F.col("first") + F.col("cell"),
                                                      F.col("bits")))
