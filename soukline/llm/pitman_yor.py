@@ -15,8 +15,8 @@ reports the tables of its contexts and words, each combined to one number, and t
 send the sums back. Only sums over all restaurants pass through the driver.
 
 For scoring, texts are dealt into chunks of about ``CHUNK_BYTES``. A chunk asks the buckets
-for its distinct pairs and the owners for its distinct words and contexts: the model is
-never sent whole to any task. Questions are combined in each batch before they are sent.
+for its distinct pairs and the owners for its distinct words and contexts, each once: the
+model is never sent whole to any task. Answers on pairs come in the order of the questions.
 """
 
 from __future__ import annotations
@@ -147,6 +147,25 @@ def _summed(name: np.ndarray, context: np.ndarray, n: np.ndarray):
     return name[order][head], context[order][head], np.add.reduceat(n[order], head)
 
 
+def _pair(name: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """64-bit names of pairs, as counts and questions carry them."""
+    return rc.mix(name ^ rc.mix(context + rc.K1))
+
+
+def _by_pair(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order that sorts pairs by name, and the first place of each pair in it."""
+    order = np.argsort(pair)
+    pair = pair[order]
+    return order, np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
+
+
+def _counted_pairs(name: np.ndarray, context: np.ndarray, n: np.ndarray):
+    """Sums of ``n`` per pair, in the order of the pairs' names."""
+    order, head = _by_pair(_pair(name, context))
+    at = order[head]
+    return name[at], context[at], np.add.reduceat(n[order], head)
+
+
 def _word_counts(batches):
     """Counts of words, combined over many texts."""
     def parts():
@@ -187,10 +206,10 @@ def _counted(deal: Deal):
             texts = _bytes(b)
             for lo, hi in _slices(texts):
                 name, context, _ = _tokens(cutter, texts[lo:hi])
-                yield _summed(name, context, np.ones(len(name), np.int64))
+                yield _counted_pairs(name, context, np.ones(len(name), np.int64))
 
     def run(batches):
-        for name, context, n in _combined(parts(batches), _summed):
+        for name, context, n in _combined(parts(batches), _counted_pairs):
             yield pa.RecordBatch.from_arrays(
                 _by_place(deal.buckets, deal(name, context),
                           [(name, np.uint64), (context, np.uint64), (n, np.int64)]),
@@ -266,11 +285,6 @@ def _bits(packed: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(packed, np.uint8), count=n).astype(bool)
 
 
-def _pair(name: np.ndarray, context: np.ndarray) -> np.ndarray:
-    """64-bit names of pairs, as questions carry them."""
-    return rc.mix(name ^ rc.mix(context + rc.K1))
-
-
 def _chances(keys: np.ndarray, turn: int) -> np.ndarray:
     """Uniform numbers that depend on key and turn alone."""
     x = rc.mix(keys + np.uint64(turn * int(rc.K0) & 0xFFFFFFFFFFFFFFFF))
@@ -496,32 +510,38 @@ def train(docs: DataFrame, buckets: int, deal: Deal | None = None) -> tuple[Data
                    "weights": Weights(owned, owners, m["d2"], m["s2"], SAMPLES)}
 
 
-def _asked(deal: Deal, owners: int):
-    """Questions of many texts: every pair, word and context of a chunk once."""
-    def parts(batches):
-        cutter = rc.WordCutter()
-        for b in batches:
-            texts, chunk = _bytes(b), np.asarray(b.column("chunk"))
-            for lo, hi in _slices(texts):
-                name, context, doc = _tokens(cutter, texts[lo:hi])
-                yield _once(chunk[lo:hi][doc], name, context)
+def _pairs_of(deal: Deal, pair: np.ndarray, name: np.ndarray, context: np.ndarray):
+    """Distinct pairs in the order of questions (bucket, then name): the order of the tokens
+    by pair, the first token of each pair in it, and the places and ranks of the pairs."""
+    order, head = _by_pair(pair)
+    first = order[head]
+    place = deal(name[first], context[first])
+    by_place = np.argsort(place, kind="stable")
+    return order, head, place[by_place], by_place
 
-    def run(batches):
-        for of, name, context in _combined(parts(batches), _once):
-            for kind, places, place, of_, x in (
-                    (PAIR, deal.buckets, deal(name, context), of, _pair(name, context)),
-                    *((kind, owners, _owner(k, owners), c, k)
-                      for kind, (c, k) in ((WORD, _once(of, name)),
-                                           (CONTEXT, _once(of, context))))):
-                out = _by_place(places, place, [(of_, np.int32), (x, np.uint64)])
-                yield pa.RecordBatch.from_arrays([pa.array([kind] * len(out[0]), pa.int32()), *out],
-                                                 names=["kind", "place", "chunks", "names"])
-    return run
 
-
-def _once(*keys: np.ndarray):
-    order, head = _grouped(*keys)
-    return tuple(k[order][head] for k in keys)
+def _asked(deal: Deal, owners: int):
+    """Questions of a chunk of texts: every pair, word and context once."""
+    def run(texts: pa.Table) -> pa.Table:
+        chunk = texts.column("chunk")[0].as_py()
+        cutter, rows = rc.WordCutter(), _bytes(texts)
+        name, context = (np.concatenate(x) for x in zip(*(
+            _tokens(cutter, rows[lo:hi])[:2] for lo, hi in _slices(rows))))
+        pair = _pair(name, context)
+        order, head, place, by_place = _pairs_of(deal, pair, name, context)
+        parts = [(PAIR, place, pair[order[head]][by_place])]
+        for kind, key in ((WORD, name), (CONTEXT, context)):
+            key = np.unique(key)
+            by = np.argsort(_owner(key, owners), kind="stable")
+            parts.append((kind, _owner(key, owners)[by], key[by]))
+        out = [(kind, int(place[lo]), _packed(x[lo:hi], np.uint64))
+               for kind, place, x in parts for lo, hi in _runs(place)]
+        return pa.table([pa.array([r[0] for r in out], pa.int32()),
+                         pa.array([r[1] for r in out], pa.int32()),
+                         pa.array([chunk] * len(out), pa.int32()),
+                         pa.array([r[2] for r in out], pa.binary())],
+                        names=["kind", "place", "chunk", "names"])
+    return run
 
 
 def _found(keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -543,7 +563,7 @@ def _known(model: dict):
     d2, s2 = model["d2"], model["s2"]
     norms, unseen = np.array(model["norms"]), model["unseen"]
 
-    def pairs(row, of, x):
+    def pairs(row):
         word = np.frombuffer(row["names"], np.uint64).repeat(np.frombuffer(row["sizes"], np.int32))
         at = np.frombuffer(row["ranks"], np.int32)
         dish = _pair(word, np.frombuffer(row["contexts"], np.uint64)[at])
@@ -551,32 +571,34 @@ def _known(model: dict):
         score = np.zeros(len(at))
         score[more] = np.frombuffer(row["values"], np.float64)
         order = np.argsort(dish)
-        i, hit = _found(dish[order], x)
-        i = order[i]
-        state = np.where(hit, np.where(more[i], MORE, ONCE), UNKNOWN).astype(np.uint8)
-        for lo, hi in _runs(of):
-            told = state[lo:hi]
-            yield int(of[lo]), None, _packed(told, np.uint8), _packed(
-                score[i[lo:hi]][told == MORE], np.float32)
-
-    def keys(row, of, x, kind):
+        dish, more, score = dish[order], more[order], score[order]
+
+        def answer(x):
+            i, hit = _found(dish, x)
+            told = np.where(hit, np.where(more[i], MORE, ONCE), UNKNOWN).astype(np.uint8)
+            return None, _packed(told, np.uint8), _packed(score[i[told == MORE]], np.float32)
+        return answer
+
+    def keys(row, kind):
         have, n = np.frombuffer(row["names"], np.uint64), np.frombuffer(row["counts"], np.int64)
         values = np.frombuffer(row["values"], np.float64).reshape(len(n), -1)
         values = values / norms + unseen if kind == WORD else (s2 + d2 * values) / (s2 + n[:, None])
-        i, hit = _found(have, x)
-        of, x, i = of[hit], x[hit], i[hit]
-        for lo, hi in _runs(of):
-            yield (int(of[lo]), _packed(x[lo:hi], np.uint64), _packed(n[i[lo:hi]], np.int64),
-                   _packed(values[i[lo:hi]], np.float64))
+
+        def answer(x):
+            i, hit = _found(have, x)
+            i = i[hit]
+            return (_packed(x[hit], np.uint64), _packed(n[i], np.int64),
+                    _packed(values[i], np.float64))
+        return answer
 
     def run(questions: pa.Table, known: pa.Table) -> pa.Table:
         out, kind, place = [], None, None
         if len(questions) and len(known):
             kind, place = (questions.column(c)[0].as_py() for c in ("kind", "place"))
-            asked = _once(_unpacked(questions.column("chunks"), np.int32),
-                          _unpacked(questions.column("names"), np.uint64))
             row = known.to_pylist()[0]
-            out = list(pairs(row, *asked) if kind == PAIR else keys(row, *asked, kind))
+            answer = pairs(row) if kind == PAIR else keys(row, kind)
+            out = [(q["chunk"], *answer(np.frombuffer(q["names"], np.uint64)))
+                   for q in questions.select(["chunk", "names"]).to_pylist()]
         n = len(out)
         return pa.table([pa.array([r[0] for r in out], pa.int32()),
                          pa.array([kind] * n, pa.int32()), pa.array([place] * n, pa.int32()),
@@ -614,45 +636,49 @@ def _scored(model: dict, deal: Deal):
         words, n, parent = keyed(answers, WORD, unseen)
         contexts, customers, weight = keyed(answers, CONTEXT, np.ones(len(unseen)))
         cutter, rows = rc.WordCutter(), _bytes(texts)
-        cut = [(lo, hi, *_tokens(cutter, rows[lo:hi])) for lo, hi in _slices(rows)]
-        # the pairs this chunk asked every bucket for, in the order of the answers
-        place, pair = _once(*(np.concatenate(x) for x in zip(*(
-            _once(deal(name, context), _pair(name, context)) for _, _, name, context, _ in cut))))
+        cut = [(lo, *_tokens(cutter, rows[lo:hi])) for lo, hi in _slices(rows)]
+        name, context = (np.concatenate([c[i] for c in cut]) for i in (1, 2))
+        doc = np.concatenate([lo + d for lo, _, _, d in cut])
+        # what is known of every distinct pair, in the order of the questions
+        order, head, place, by_place = _pairs_of(deal, _pair(name, context), name, context)
         told = {r["place"]: r for r in answers.filter(
             pa.compute.equal(answers.column("kind"), PAIR)).to_pylist()}
-        state, score = np.zeros(len(pair), np.uint8), np.zeros(len(pair))
+        state, score = np.zeros(len(place), np.uint8), np.zeros(len(place))
         for lo, hi in _runs(place):
             r = told.get(int(place[lo]))
             if r is not None:
                 state[lo:hi] = np.frombuffer(r["n"], np.uint8)
                 score[lo:hi][state[lo:hi] == MORE] = np.frombuffer(r["values"], np.float32)
+        first = order[head][by_place]
+        i, j = rank(words, name[first]), rank(contexts, context[first])
+        p = (weight[j] * parent[i]).sum(1)
+        once, more = state == ONCE, state == MORE
+        p[once] += len(unseen) * (1 - d2) / (s2 + customers[j[once]])
+        p[more] = score[more]
         base = np.log10((n + 0.5) / (tokens + 0.5 * (types + 1)))
-        by_pair = np.argsort(pair)
-        out = []
-        for lo, hi, name, context, doc in cut:
-            i, j = rank(words, name), rank(contexts, context)
-            at = by_pair[np.searchsorted(pair, _pair(name, context), sorter=by_pair)]
-            p = (weight[j] * parent[i]).sum(1)
-            once, more = state[at] == ONCE, state[at] == MORE
-            p[once] += len(unseen) * (1 - d2) / (s2 + customers[j[once]])
-            p[more] = score[at[more]]
-            log = np.log10(p / len(unseen))
-            add = lambda x: np.bincount(doc, x, hi - lo)
-            out.append((add(np.ones(len(doc))), add(n[i] > 0), add(base[i]), add(log)))
-        total = [np.concatenate(x) for x in zip(*out)]
+        times = np.diff(np.append(head, len(order)))
+
+        def add(x):
+            """Sums per text of a number that every distinct pair has."""
+            by_pair = np.empty(len(x))
+            by_pair[by_place] = x
+            return np.bincount(doc[order], by_pair.repeat(times), len(rows))
+
         return pa.table({
             "doc_id": texts.column("doc_id"),
-            "n_tokens": pa.array(total[0].astype(np.int64)),
-            "n_known": pa.array(total[1].astype(np.int64)),
-            "base_score": pa.array(total[2]), "score": pa.array(total[3])})
+            "n_tokens": pa.array(np.bincount(doc, minlength=len(rows)).astype(np.int64)),
+            "n_known": pa.array(add(n[i] > 0).astype(np.int64)),
+            "base_score": pa.array(add(base[i])),
+            "score": pa.array(add(np.log10(p / len(unseen))))})
     return run
 
 
-def score_texts(docs: DataFrame, parts: int = 5, part: int = 1) -> DataFrame:
+def score_texts(docs: DataFrame, parts: int = 5, part: int = 1, rounds: int = 4) -> DataFrame:
     """Log10 probability of every text: ``doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score``.
 
-    Learns from the rows outside the fold ``crc32(doc_id) % parts == part`` and scores all.
+    Learns from the rows outside the fold ``crc32(doc_id) % parts == part`` and scores all,
+    in ``rounds`` shares of the chunks, which bounds what is on disk at a time.
 
     Defined cases: a null or empty text is just its end token; a null doc_id is not held
     out; repeated rows are learnt and scored each; without training rows the counts are
@@ -671,22 +697,28 @@ def score_texts(docs: DataFrame, parts: int = 5, part: int = 1) -> DataFrame:
     pairs, model = train(training, buckets, deal)
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks))
                             .cast("int"))
-    asked = map_arrow(dealt.select("chunk", "text"), _asked(deal, model["owners"]),
-                      "kind int, place int, chunks binary, names binary")
     known = pairs.select(F.lit(PAIR).alias("kind"), F.col("bucket").alias("place"), "names",
                          "sizes", "contexts", F.col("of").alias("ranks"), "more",
                          F.col("score").alias("values")).unionByName(
         model["owned"].select("kind", F.col("owner").alias("place"), "names", "counts",
                               F.col("samples").alias("values")), allowMissingColumns=True)
-    place = ["kind", "place"]
-    answers = stored(asked.groupBy(*place).cogroup(known.groupBy(*place)).applyInArrow(
-        _known(model), "chunk int, kind int, place int, names binary, n binary, values binary"),
-        "lm-answers")
+    place, scored = ["kind", "place"], None
+    # a share of the chunks at a time: their questions and answers take most of the disk
+    for share in range(min(rounds, chunks)):
+        mine = dealt.filter(F.col("chunk") % rounds == share)
+        asked = mine.select("chunk", "text").groupBy("chunk").applyInArrow(
+            _asked(deal, model["owners"]), "kind int, place int, chunk int, names binary")
+        answers = stored(asked.groupBy(*place).cogroup(known.groupBy(*place)).applyInArrow(
+            _known(model), "chunk int, kind int, place int, names binary, n binary,"
+                           " values binary"), "lm-answers")
+        part = stored(mine.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+            _scored(model, deal),
+            "doc_id long, n_tokens long, n_known long, base_score double, score double"),
+            "lm-scores")
+        drop_stored(answers)
+        scored = part if scored is None else scored.unionByName(part)
     drop_stored(pairs)
     drop_stored(model["owned"])
-    scored = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        _scored(model, deal),
-        "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known",
                          F.lit(model["tokens"]).cast("long").alias("train_tokens"),
                          "base_score", "score")
