@@ -81,3 +81,25 @@ def test_events_as_a_folder_of_files(spark, tmp_path):
     fx = Fixtures(spark, str(tmp_path))
     path = land_buffer(fx, str(tmp_path / "out"))
     assert spark.read.parquet(path).count() == fx.stream_orders.count() > 0
+
+
+def test_queue_place_rides_along(spark):
+    from pyspark.sql import functions as F
+    from soukline.plans.fixtures import Fixtures
+    from soukline.streaming.source import as_messages
+    from conftest import SF_SMALL
+    sent = as_messages(Fixtures(spark, SF_SMALL).stream_orders)
+    out = parse_orders(sent)
+    assert out.filter(F.col("enqueued_at").isNull() | F.col("message_offset").isNull()).isEmpty()
+    assert out.select("message_partition").distinct().count() == 4
+    place = out.groupBy("message_partition", "message_offset").count()
+    assert place.filter("count > 1").isEmpty()
+    # a source without these columns gives NULLs
+    assert parse_orders(sent.select("body")).filter("message_offset IS NOT NULL").isEmpty()
+
+
+def test_kafka_source_says_what_is_missing(spark):
+    import pytest
+    from soukline.streaming.source import kafka_messages
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        kafka_messages(spark, "localhost:1", "orders")
