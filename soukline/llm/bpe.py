@@ -6,8 +6,8 @@ its ids are the words' ids in order. Each task keeps a table of the distinct wor
 has met: a word is encoded once, and the ids are joined back by position. Decoding is the
 lookup of every id in the id-to-piece table (one row per vocabulary entry, a fixed size).
 
-The word table is kept per task, not shared by all: a shared table has to be joined to
-every position, which moves each word of the corpus through a shuffle (see README).
+The word table is kept per task here; ``bpe_table`` has one table for the corpus, whose words
+are joined back chunk by chunk.
 """
 
 from __future__ import annotations
