@@ -252,8 +252,9 @@ class _State:
 
     @classmethod
     def of(cls, row: dict) -> "_State":
-        names, sizes, seen, at = (np.frombuffer(row[c], dtype=k) for c, k in (
-            ("names", np.uint64), ("sizes", np.int32), ("contexts", np.uint64), ("of", np.int32)))
+        names, sizes, seen = (np.frombuffer(row[c], dtype=k) for c, k in (
+            ("names", np.uint64), ("sizes", np.int32), ("contexts", np.uint64)))
+        at = _ranks(row["of"])
         more = _bits(row["more"], len(at))
         counts, tables = (np.ones(len(at), np.int64) for _ in range(2))
         score = np.zeros(len(at))
@@ -266,7 +267,8 @@ class _State:
         more = self.counts > 1
         packed = [_packed(x, k) for x, k in (
             (self.names, np.uint64), (self.sizes, np.int32), (self.seen, np.uint64),
-            (self.at, np.int32), (np.packbits(more), np.uint8), (self.counts[more], np.int64),
+            (_halves(self.at), np.uint16), (np.packbits(more), np.uint8),
+            (self.counts[more], np.int64),
             (self.tables[more], np.int64), (self.score[more], np.float64),
             (self.parent, np.float64))]
         return pa.RecordBatch.from_arrays(
@@ -281,6 +283,16 @@ class _State:
         return self.seen, self.at
 
 
+def _halves(ranks: np.ndarray) -> np.ndarray:
+    """The low halves of 32-bit ranks, then the high ones, which are mostly alike."""
+    return np.concatenate([ranks & 0xFFFF, ranks >> 16])
+
+
+def _ranks(packed: bytes) -> np.ndarray:
+    low, high = np.frombuffer(packed, np.uint16).reshape(2, -1).astype(np.int64)
+    return low + (high << 16)
+
+
 def _bits(packed: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(packed, np.uint8), count=n).astype(bool)
 
@@ -503,7 +515,8 @@ def train(docs: DataFrame, buckets: int, deal: Deal | None = None) -> tuple[Data
             _sweep(m, owners), _State.SCHEMA), "lm-state")
         drop_stored(state)
         state = new
-    kept = stored(owned, "lm-keys")          # without the replies
+    # without the replies and the tables of the last sweep
+    kept = stored(owned.select("kind", "owner", "names", "counts", "samples"), "lm-keys")
     drop_stored(told)
     owned = kept
     return state, {**m, "unseen": np.array(unseen), "owned": owned, "owners": owners,
@@ -565,7 +578,7 @@ def _known(model: dict):
 
     def pairs(row):
         word = np.frombuffer(row["names"], np.uint64).repeat(np.frombuffer(row["sizes"], np.int32))
-        at = np.frombuffer(row["ranks"], np.int32)
+        at = _ranks(row["ranks"])
         dish = _pair(word, np.frombuffer(row["contexts"], np.uint64)[at])
         more = _bits(row["more"], len(at))
         score = np.zeros(len(at))
@@ -673,7 +686,7 @@ def _scored(model: dict, deal: Deal):
     return run
 
 
-def score_texts(docs: DataFrame, parts: int = 5, part: int = 1, rounds: int = 4) -> DataFrame:
+def score_texts(docs: DataFrame, parts: int = 5, part: int = 1, rounds: int = 6) -> DataFrame:
     """Log10 probability of every text: ``doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score``.
 
