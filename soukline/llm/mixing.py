@@ -164,26 +164,25 @@ def mixed_documents(docs: DataFrame, **params) -> DataFrame:
     once, however small a part of it is read.
 
     Every row has its own count, also where rows share a doc_id or have none: rows are
-    told apart by a 128-bit hash of all their columns, and rows that are equal throughout
-    share their counts out among themselves. Null and empty texts are never taken; very
+    told apart by a 128-bit hash of all their columns, and of rows that are equal throughout
+    one is repeated as often as all are read. Null and empty texts are never taken; very
     long texts are repeated or left whole; an empty table stays empty.
     """
     cols = [F.col(c) for c in docs.columns]
     key = ["__p", "__q"]
     rows = docs.withColumns({"__p": F.xxhash64(*cols), "__q": F.xxhash64(F.lit(1), *cols)})
     times = F.round(F.sum("words") / F.col("size")).cast("long")
-    reads = (mix(rows, carry=tuple(key), **params).filter("words > 0")
-             .groupBy(*key, "size", "ord", "start").agg(times.alias("n"))
-             .withColumn("n", F.when(F.col("start") == 0, F.greatest("n", F.lit(1)))
-                         .otherwise(F.col("n")))
-             .groupBy(*key).agg(F.sum("n").alias("__n")).filter("__n > 0"))
-    alike = Window.partitionBy(*key)
-    place = F.row_number().over(alike.orderBy("__n"))
-    copies = (F.floor(F.col("__n") / F.col("__rows"))
-              + F.when(F.col("__place") <= F.col("__n") % F.col("__rows"), 1).otherwise(0))
-    return (rows.join(reads, key)
-            .withColumns({"__rows": F.count(F.lit(1)).over(alike), "__place": place})
-            .withColumn("__n", copies.cast("int")).filter("__n > 0")
+    first = (F.col("start") == 0) & (F.col("taken") > 0)
+    reads = stored(
+        mix(rows, carry=tuple(key), **params).filter("size > 0")
+        .groupBy(*key, "size", "ord", "start").agg(times.alias("n"), F.sum("words").alias("taken"))
+        .withColumn("n", F.when(first, F.greatest("n", F.lit(1))).otherwise(F.col("n")))
+        .groupBy(*key).agg(F.sum("n").cast("int").alias("__n"), F.count(F.lit(1)).alias("__rows"))
+        .filter("__n > 0"), "mix-reads")
+    once = rows.join(reads.filter("__rows = 1"), key)
+    # of rows that are equal throughout, one is repeated for all
+    alike = rows.join(reads.filter("__rows > 1"), key).dropDuplicates(key)
+    return (once.unionByName(alike)
             .withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__n"))))
             .select(*docs.columns))
 
