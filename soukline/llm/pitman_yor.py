@@ -686,7 +686,7 @@ def _scored(model: dict, deal: Deal):
     return run
 
 
-def score_texts(docs: DataFrame, parts: int = 5, part: int = 1, rounds: int = 6) -> DataFrame:
+def score_texts(docs: DataFrame, parts: int = 5, part: int = 1, rounds: int = 3) -> DataFrame:
     """Log10 probability of every text: ``doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score``.
 
