@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from soukline.llm import (
-    bpe_table,
+    bpe,
     chat,
     exact_dedup,
     gam,
@@ -65,7 +65,7 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_table.table_digests(table(spark, sf_dir, "documents"))
+    return bpe.digests(table(spark, sf_dir, "documents"))
 
 
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
