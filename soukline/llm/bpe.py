@@ -167,12 +167,15 @@ def encode(docs: DataFrame, vocabulary: str | None = None, text: str = "text",
     add_special_tokens=False; a special token's string in a text is that token. Null
     counts as empty and has no ids; all other columns and all rows are kept.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(vocabulary_text(vocabulary))
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary_text(vocabulary))
     rest = [c for c in docs.columns if c not in (text, out)]
     src = docs.select(*rest, text_or_empty(text).alias("__text"))
     schema = src.select(*rest).schema.add(out, T.ArrayType(T.IntegerType()))
+    return map_arrow(src, _encoding(shared, rest, out), schema)
 
+
+def _encoding(shared, rest: list[str], out: str):
+    """Batches with ``__text`` -> batches with the ids in its place."""
     def run(batches):
         words = WordTable(shared.value)
         for b in batches:
@@ -184,8 +187,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None, text: str = "text",
                 kept = b.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
                     [kept.column(c) for c in rest] + [col], names=[*rest, out])
-
-    return map_arrow(src, run, schema)
+    return run
 
 
 def _parts(sizes: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
@@ -223,7 +225,11 @@ def decode(encoded: DataFrame, vocabulary: str | None = None, ids: str = "ids",
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary_text(vocabulary))
     rest = [c for c in encoded.columns if c != out]
     schema = encoded.select(*rest).schema.add(out, T.StringType())
+    return map_arrow(encoded.select(*rest), _decoding(shared, rest, ids, out), schema)
+
 
+def _decoding(shared, rest: list[str], ids: str, out: str):
+    """Batches with ids -> the same batches with their text besides."""
     def run(batches):
         table = pieces(shared.value)
         data = np.frombuffer(b"".join(table), dtype=np.uint8)
@@ -243,14 +249,26 @@ def decode(encoded: DataFrame, vocabulary: str | None = None, ids: str = "ids",
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in rest] + [pa.array(out_, pa.string())],
                     names=[*rest, out])
+    return run
 
-    return map_arrow(encoded.select(*rest), run, schema)
+
+def round_trip(docs: DataFrame, vocabulary: str | None = None, text: str = "text",
+               ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """``encode``, then ``decode``, batch after batch in one Python worker per task: chained
+    as two plans they hold two workers, and the ids go through the executor in between."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary_text(vocabulary))
+    rest = [c for c in docs.columns if c not in (text, ids, out)]
+    src = docs.select(*rest, text_or_empty(text).alias("__text"))
+    schema = src.select(*rest).schema.add(ids, T.ArrayType(T.IntegerType())).add(
+        out, T.StringType())
+    encoding, decoding = _encoding(shared, rest, ids), _decoding(shared, [*rest, ids], ids, out)
+    return map_arrow(src, lambda batches: decoding(encoding(batches)), schema)
 
 
 def digests(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """Per row: ``doc_id, n_tokens, ids_sha256, decoded_sha256`` (null ids and empty texts
     have no tokens and the digest of the empty string)."""
-    rows = decode(encode(docs.select("doc_id", "text"), vocabulary), vocabulary)
+    rows = round_trip(docs.select("doc_id", "text"), vocabulary)
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -356,3 +356,14 @@ def test_empty_tables(spark):
     assert pitman_yor.score_texts(docs).count() == 0
     assert gam.classify(docs, labels).count() == 0
     assert bpe.digests(docs).count() == 0
+
+
+def test_bpe_encodes_and_decodes_in_one_worker_per_task(spark):
+    docs = spark.createDataFrame([(1, "a b  c", 7), (1, "a b  c", 7), (None, None, 8), (3, "", 9)],
+                                 "doc_id long, text string, extra int")
+    plan = bpe.digests(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1        # two hold twice the memory of an executor
+    two = bpe.decode(bpe.encode(docs))
+    one = bpe.round_trip(docs)
+    assert one.schema == two.schema
+    assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
