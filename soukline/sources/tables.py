@@ -179,6 +179,21 @@ def finish_pending(spark: SparkSession, root: str, keys: list[str], partition_co
     return sealed
 
 
+def _create(source: DataFrame, root: str, keys: list[str], partition_col: str) -> int:
+    """The first write of a table: nothing is merged, so the source goes straight into it.
+    A source without rows, or a write that fails, leaves no folder."""
+    spark = source.sparkSession
+    try:
+        _sorted_write(source, keys, partition_col).parquet(root)
+        empty = spark.read.schema(source.schema).parquet(root).isEmpty()
+    except Exception:
+        drop_dir(spark, root)
+        raise
+    if empty:
+        drop_dir(spark, root)
+    return 0 if empty else 1
+
+
 def merge_partitions(source: DataFrame, root: str, keys: list[str], partition_col: str,
                      merge, stable_keys: bool = False) -> int:
     """Keyed merge into a partitioned table that reads and rewrites only what it must.
@@ -188,7 +203,7 @@ def merge_partitions(source: DataFrame, root: str, keys: list[str], partition_co
     that hold a source key now (found in the key and partition columns of the files whose
     key range meets the source's, see :func:`near_keys`; skipped with ``stable_keys=True``
     when a key can never change partition). Only they are read (:func:`in_partitions`) and
-    merged with ``merge(target_part, source, keys)``. The source is computed once. An
+    merged with ``merge(target_part, source, keys)``. The source is computed once: kept in a file, or, where there is no table yet, written straight into it. An
     empty source writes nothing; returns 1 if it wrote.
 
     The result is first kept whole beside the table, then put in place partition by
@@ -199,12 +214,11 @@ def merge_partitions(source: DataFrame, root: str, keys: list[str], partition_co
     work = run_dir(spark, "merge")
     try:
         finish_pending(spark, root, keys, partition_col)
+        if not path_exists(spark, root):
+            return _create(source, root, keys, partition_col)
         source = saved(source, f"{work}/source")
         if source.isEmpty():
             return 0
-        if not path_exists(spark, root):
-            _sorted_write(source, keys, partition_col).parquet(root)
-            return 1
         table = spark.read.schema(source.schema).parquet(root)
         touched = saved(touched_partitions(table, source, keys, partition_col, stable_keys),
                         f"{work}/touched")
@@ -217,21 +231,23 @@ def merge_partitions(source: DataFrame, root: str, keys: list[str], partition_co
 
 
 def append_new_keys(source: DataFrame, root: str, keys: list[str],
-                    partition_col: str | None = None, stable_keys: bool = False) -> int:
+                    partition_col: str | None = None, stable_keys: bool = False,
+                    stored: bool = False) -> int:
     """Insert-only merge by appending: rows whose key the table lacks are appended.
 
     Existing rows are never rewritten. The existence check reads the key columns of the
     files whose key range meets the source's, in any partition; with ``stable_keys=True``
     (a key never changes partition) only in the partitions of the source rows. A replay
     after a committed append finds the keys and appends nothing, so the operation is
-    idempotent. An empty source writes nothing; returns 1 if it wrote.
+    idempotent. An empty source writes nothing; returns 1 if it wrote. ``stored``: the
+    source is a read of files already, and is not kept once more.
     """
     spark = source.sparkSession
     work = run_dir(spark, "append")
     try:
         new = source
         if path_exists(spark, root):
-            source = saved(source, f"{work}/source")
+            source = source if stored else saved(source, f"{work}/source")
             table = near_keys(spark.read.schema(source.schema).parquet(root), source, keys)
             if stable_keys and partition_col:
                 table = in_partitions(table, partition_col,
@@ -283,9 +299,13 @@ def apply_first(changes: DataFrame, root: str, keys: list[str], partition_col: s
     """Put the rows of :func:`first_changes` (stored ones) into the table: new keys are
     appended, unless an earlier try has; rows that give way are replaced."""
     rows = changes.drop("_old")
-    wrote = append_new_keys(rows.filter(changes["_old"].isNull()), root, keys, partition_col)
-    return wrote | merge_partitions(rows.filter(changes["_old"].isNotNull()), root, keys,
-                                    partition_col, replace_keys)
+    new = rows.filter(changes["_old"].isNull())
+    wrote = append_new_keys(new, root, keys, partition_col, stored=True)
+    given_way = changes.filter(changes["_old"].isNotNull()).drop("_old")
+    # mostly there are none, and then no merge begins
+    if given_way.isEmpty():
+        return wrote
+    return wrote | merge_partitions(given_way, root, keys, partition_col, replace_keys)
 
 
 def insert_first_keys(source: DataFrame, root: str, keys: list[str], partition_col: str,

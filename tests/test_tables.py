@@ -1,8 +1,11 @@
 """Copy-on-write versions, partition-scoped upsert, append-only insert."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from soukline.operators import upsert
 from soukline.session import run_dir
-from soukline.sources.tables import (append_new_keys, merge_partitions, read_table,
+from soukline.sources.tables import (append_new_keys, merge_partitions, path_exists, read_table,
                                      truncate, versions, write_version)
 
 S = "k int, v string, p string"
@@ -229,3 +232,22 @@ def test_stored_history_writes_only_what_changes(spark):
     assert read_current(spark, root).count() == 201
     plan = _plan(read_current(spark, root))
     assert "StartsWith" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+
+
+def test_first_write_goes_straight_into_the_table(spark, monkeypatch):
+    root = f"{run_dir(spark, 't')}/new"
+
+    def kept(df, path):
+        raise AssertionError("the source of a new table needs no copy")
+
+    monkeypatch.setattr("soukline.sources.tables.saved", kept)
+    rows = spark.createDataFrame([(1, "a", "2024-01"), (2, "b", None), (2, "b", None)], S)
+    assert merge_partitions(rows.limit(0), root, ["k"], "p", upsert) == 0
+    assert not path_exists(spark, root)
+    broken = rows.withColumn("k", F.when(F.col("k") == 2, F.raise_error(F.lit("broken")))
+                             .otherwise(F.col("k")).cast("bigint"))
+    with pytest.raises(Exception, match="broken"):
+        merge_partitions(broken, root, ["k"], "p", upsert)
+    assert not path_exists(spark, root)
+    assert merge_partitions(rows, root, ["k"], "p", upsert) == 1
+    assert spark.read.schema(rows.schema).parquet(root).count() == 3
