@@ -203,8 +203,9 @@ def merge_partitions(source: DataFrame, root: str, keys: list[str], partition_co
     that hold a source key now (found in the key and partition columns of the files whose
     key range meets the source's, see :func:`near_keys`; skipped with ``stable_keys=True``
     when a key can never change partition). Only they are read (:func:`in_partitions`) and
-    merged with ``merge(target_part, source, keys)``. The source is computed once: kept in a file, or, where there is no table yet, written straight into it. An
-    empty source writes nothing; returns 1 if it wrote.
+    merged with ``merge(target_part, source, keys)``. The source is computed
+    once: kept in a file or, where there is no table yet, written straight into it. An empty
+    source writes nothing; returns 1 if it wrote.
 
     The result is first kept whole beside the table, then put in place partition by
     partition. A reader in between sees some old and some new partitions; after a crash
