@@ -46,10 +46,15 @@ def drop_stored(df: DataFrame) -> None:
 ARROW_ROWS = 1000
 
 
+def arrow_rows(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
+    """Batches that Python gets have at most ``rows`` rows, which bounds the memory of the
+    workers; the setting holds for every execution of the session from here on."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def map_arrow(df: DataFrame, run, schema, rows: int = ARROW_ROWS) -> DataFrame:
-    """``df.mapInArrow`` in batches of at most ``rows`` rows, which bounds the memory of
-    the workers (the setting holds for the session from here on)."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    """``df.mapInArrow`` in batches of at most ``rows`` rows (see :func:`arrow_rows`)."""
+    arrow_rows(df.sparkSession, rows)
     return df.mapInArrow(run, schema)
 
 

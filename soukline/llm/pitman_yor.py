@@ -28,14 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from soukline.llm import recompress as rc
-from soukline.llm.common import drop_stored, map_arrow, stored, text_or_empty
+from soukline.llm.common import arrow_rows, drop_stored, map_arrow, stored, text_or_empty
 from soukline.llm.gam import held_out
 
 START, END = 0, 1           # the names of the start of a text (a context) and of its end
 BURN, SAMPLES = 1, 2
 CHUNK_BYTES = 8 << 20
 SLICE_BYTES = 1 << 20
-COMBINE = 1_500_000         # rows that a task combines before it sends them
+COMBINE = 1_900_000         # tokens that a task combines before it sends them
 SAMPLE = 16                 # one text of so many is read to find the frequent words
 PART = 100_000              # tokens above which a word's pairs are dealt to several buckets
 WORD, CONTEXT, PAIR = 0, 1, 2
@@ -75,14 +75,34 @@ def _bytes(batch) -> list[bytes]:
     return [t.encode("utf-8", "surrogatepass").lower() for t in batch.column("text").to_pylist()]
 
 
-def _grouped(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order that sorts by the keys (the first counts most), and the group heads in it."""
-    order = np.lexsort(keys[::-1])
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = False
-    for k in keys:
-        new[1:] |= k[order[1:]] != k[order[:-1]]
-    return order, np.flatnonzero(new)
+def _heads(x: np.ndarray) -> np.ndarray:
+    """Marks the first of each run of equal values."""
+    new = np.ones(len(x), dtype=bool)
+    new[1:] = x[1:] != x[:-1]
+    return new
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[_heads(x)]
+
+
+def _ranked(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, sorted, and the rank of each value among them."""
+    order = np.argsort(x)
+    x = x[order]
+    new = _heads(x)
+    rank = np.empty(len(x), dtype=np.int64)
+    rank[order] = np.cumsum(new) - 1
+    return x[new], rank
+
+
+def _place_order(place: np.ndarray, places: int) -> np.ndarray:
+    """Stable order by place, 16 bits at a time (numpy sorts these by counting)."""
+    order = np.argsort((place & 0xFFFF).astype(np.uint16), kind="stable")
+    if places > 1 << 16:
+        order = order[np.argsort((place[order] >> 16).astype(np.uint16), kind="stable")]
+    return order
 
 
 def _packed(x: np.ndarray, kind) -> bytes:
@@ -98,7 +118,7 @@ def _unpacked(column, kind) -> np.ndarray:
 
 def _by_place(places: int, place: np.ndarray, columns: list[tuple[np.ndarray, object]]):
     """Rows (place, packed columns): one per place that has an entry."""
-    order = np.argsort(place, kind="stable")
+    order = _place_order(place, places)
     cut = np.searchsorted(place[order], np.arange(places + 1))
     used = np.flatnonzero(np.diff(cut))
     parts = [(c[order], kind) for c, kind in columns]
@@ -119,8 +139,8 @@ class Deal:
     def __call__(self, name: np.ndarray, context: np.ndarray) -> np.ndarray:
         out, n = name % np.uint64(self.buckets), np.uint64(self.buckets)
         if len(self.frequent):
-            i = np.minimum(np.searchsorted(self.frequent, name), len(self.frequent) - 1)
-            hot = self.frequent[i] == name
+            i = _looked_up(self.frequent, name)
+            hot = np.flatnonzero(i < len(self.frequent))
             out[hot] = (out[hot] + rc.mix(context[hot]) % self.parts[i[hot]]) % n
         return out.astype(np.int32)
 
@@ -142,11 +162,6 @@ def _combined(parts, merge):
         yield merge(*map(np.concatenate, zip(*found)))
 
 
-def _summed(name: np.ndarray, context: np.ndarray, n: np.ndarray):
-    order, head = _grouped(name, context)
-    return name[order][head], context[order][head], np.add.reduceat(n[order], head)
-
-
 def _pair(name: np.ndarray, context: np.ndarray) -> np.ndarray:
     """64-bit names of pairs, as counts and questions carry them."""
     return rc.mix(name ^ rc.mix(context + rc.K1))
@@ -155,15 +170,14 @@ def _pair(name: np.ndarray, context: np.ndarray) -> np.ndarray:
 def _by_pair(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order that sorts pairs by name, and the first place of each pair in it."""
     order = np.argsort(pair)
-    pair = pair[order]
-    return order, np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
+    return order, np.flatnonzero(_heads(pair[order]))
 
 
-def _counted_pairs(name: np.ndarray, context: np.ndarray, n: np.ndarray):
-    """Sums of ``n`` per pair, in the order of the pairs' names."""
+def _counted_pairs(name: np.ndarray, context: np.ndarray):
+    """How often each pair occurs, in the order of the pairs' names."""
     order, head = _by_pair(_pair(name, context))
     at = order[head]
-    return name[at], context[at], np.add.reduceat(n[order], head)
+    return name[at], context[at], np.diff(np.append(head, len(order)))
 
 
 def _word_counts(batches):
@@ -205,28 +219,28 @@ def _counted(deal: Deal):
         for b in batches:
             texts = _bytes(b)
             for lo, hi in _slices(texts):
-                name, context, _ = _tokens(cutter, texts[lo:hi])
-                yield _counted_pairs(name, context, np.ones(len(name), np.int64))
+                yield _tokens(cutter, texts[lo:hi])[:2]
 
     def run(batches):
         for name, context, n in _combined(parts(batches), _counted_pairs):
             yield pa.RecordBatch.from_arrays(
                 _by_place(deal.buckets, deal(name, context),
-                          [(name, np.uint64), (context, np.uint64), (n, np.int64)]),
+                          [(name, np.uint64), (context, np.uint64), (n, np.int32)]),
                 names=["bucket", "names", "contexts", "counts"])
     return run
 
 
 def _bucket(table: pa.Table) -> pa.Table:
     """The first state of a bucket: one table per dish."""
-    name, context, n = _summed(_unpacked(table.column("names"), np.uint64),
-                               _unpacked(table.column("contexts"), np.uint64),
-                               _unpacked(table.column("counts"), np.int64))
-    first = np.flatnonzero(np.append(True, name[1:] != name[:-1]))
-    sizes = np.diff(np.append(first, len(name)))
-    state = _State(table.column("bucket")[0].as_py(), name[first], sizes,
-                   *np.unique(context, return_inverse=True), n, np.ones(len(n), np.int64),
-                   np.zeros(len(n)), np.empty((len(first), 0)))
+    names, word = _ranked(_unpacked(table.column("names"), np.uint64))
+    seen, of = _ranked(_unpacked(table.column("contexts"), np.uint64))
+    dish = word * len(seen) + of
+    order, head = _by_pair(dish)
+    at = order[head]
+    n = np.add.reduceat(_unpacked(table.column("counts"), np.int32)[order], head, dtype=np.int64)
+    state = _State(table.column("bucket")[0].as_py(), names,
+                   np.bincount(word[at], minlength=len(names)), seen, of[at], n,
+                   np.ones(len(n), np.int64), np.zeros(len(n)), np.empty((len(names), 0)))
     return pa.Table.from_batches([state.row([n.sum(), (n == 1).sum(), (n == 2).sum()])])
 
 
@@ -418,7 +432,7 @@ def _sweep(m: dict, owners: int):
         of_dish, sums = [], []
         for kind in (WORD, CONTEXT):
             key, at = s.keys(kind)
-            order = np.argsort(_owner(key, owners), kind="stable")
+            order = _place_order(_owner(key, owners), owners)
             of_dish.append(at)
             for c in ("tables", "counts"):
                 x = np.empty(len(key), dtype=np.int64)
@@ -529,7 +543,7 @@ def _pairs_of(deal: Deal, pair: np.ndarray, name: np.ndarray, context: np.ndarra
     order, head = _by_pair(pair)
     first = order[head]
     place = deal(name[first], context[first])
-    by_place = np.argsort(place, kind="stable")
+    by_place = _place_order(place, deal.buckets)
     return order, head, place[by_place], by_place
 
 
@@ -543,10 +557,11 @@ def _asked(deal: Deal, owners: int):
         pair = _pair(name, context)
         order, head, place, by_place = _pairs_of(deal, pair, name, context)
         parts = [(PAIR, place, pair[order[head]][by_place])]
-        for kind, key in ((WORD, name), (CONTEXT, context)):
-            key = np.unique(key)
-            by = np.argsort(_owner(key, owners), kind="stable")
-            parts.append((kind, _owner(key, owners)[by], key[by]))
+        words = _distinct(name)         # each is a context too, but for the end
+        for kind, key in ((WORD, words), (CONTEXT, np.append(np.uint64(START), words))):
+            owner = _owner(key, owners)
+            by = _place_order(owner, owners)
+            parts.append((kind, owner[by], key[by]))
         out = [(kind, int(place[lo]), _packed(x[lo:hi], np.uint64))
                for kind, place, x in parts for lo, hi in _runs(place)]
         return pa.table([pa.array([r[0] for r in out], pa.int32()),
@@ -557,6 +572,21 @@ def _asked(deal: Deal, owners: int):
     return run
 
 
+def _looked_up(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Places of ``x`` in the sorted keys, ``len(keys)`` if it is not there. Names are spread
+    evenly: their first bits tell the place but for a few steps."""
+    shift = np.uint64(63 - len(keys).bit_length())
+    starts = np.searchsorted(keys, np.arange(1 << int(64 - shift), dtype=np.uint64) << shift)
+    last = np.append(keys, np.uint64(0xFFFFFFFFFFFFFFFF))
+    at = starts.astype(np.int32)[x >> shift]
+    late = np.flatnonzero(last[at] < x)
+    while len(late):
+        at[late] += 1
+        late = late[last[at[late]] < x[late]]
+    at[last[at] != x] = len(keys)
+    return at
+
+
 def _found(keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of ``x`` in the sorted keys, and whether they are there."""
     if not len(keys):
@@ -652,6 +682,15 @@ def _scored(model: dict, deal: Deal):
         cut = [(lo, *_tokens(cutter, rows[lo:hi])) for lo, hi in _slices(rows)]
         name, context = (np.concatenate([c[i] for c in cut]) for i in (1, 2))
         doc = np.concatenate([lo + d for lo, _, _, d in cut])
+        # words by their place among the known ones; a context is the word before or, at the
+        # first of a text, the start. Only words that are known were seen as a context.
+        word = _looked_up(words, name)
+        before = np.append(word[:1], word[:-1])
+        before[_heads(doc)] = len(words) + 1
+        j = np.append(rank(contexts, words), [len(contexts), *rank(contexts, np.array(
+            [START], np.uint64))])
+        parent, customers, weight = parent.T.copy(), customers[j], weight[j].T.copy()
+        base = np.log10((n + 0.5) / (tokens + 0.5 * (types + 1)))
         # what is known of every distinct pair, in the order of the questions
         order, head, place, by_place = _pairs_of(deal, _pair(name, context), name, context)
         told = {r["place"]: r for r in answers.filter(
@@ -663,26 +702,24 @@ def _scored(model: dict, deal: Deal):
                 state[lo:hi] = np.frombuffer(r["n"], np.uint8)
                 score[lo:hi][state[lo:hi] == MORE] = np.frombuffer(r["values"], np.float32)
         first = order[head][by_place]
-        i, j = rank(words, name[first]), rank(contexts, context[first])
-        p = (weight[j] * parent[i]).sum(1)
+        i, j = word[first], before[first]
+        p = sum(w[j] * u[i] for w, u in zip(weight, parent))
         once, more = state == ONCE, state == MORE
-        p[once] += len(unseen) * (1 - d2) / (s2 + customers[j[once]])
+        p[once] += (len(unseen) * (1 - d2) / (s2 + customers))[j[once]]
         p[more] = score[more]
-        base = np.log10((n + 0.5) / (tokens + 0.5 * (types + 1)))
-        times = np.diff(np.append(head, len(order)))
+        by_pair = np.empty(len(p))
+        by_pair[by_place] = np.log10(p / len(unseen))
+        by_pair = by_pair.repeat(np.diff(np.append(head, len(order))))
 
-        def add(x):
-            """Sums per text of a number that every distinct pair has."""
-            by_pair = np.empty(len(x))
-            by_pair[by_place] = x
-            return np.bincount(doc[order], by_pair.repeat(times), len(rows))
+        def add(doc, x):
+            return np.bincount(doc, x, len(rows))
 
         return pa.table({
             "doc_id": texts.column("doc_id"),
             "n_tokens": pa.array(np.bincount(doc, minlength=len(rows)).astype(np.int64)),
-            "n_known": pa.array(add(n[i] > 0).astype(np.int64)),
-            "base_score": pa.array(add(base[i])),
-            "score": pa.array(add(np.log10(p / len(unseen))))})
+            "n_known": pa.array(add(doc, (n > 0)[word]).astype(np.int64)),
+            "base_score": pa.array(add(doc, base[word])),
+            "score": pa.array(add(doc[order], by_pair))})
     return run
 
 
@@ -716,6 +753,7 @@ def score_texts(docs: DataFrame, parts: int = 5, part: int = 1, rounds: int = 3)
         model["owned"].select("kind", F.col("owner").alias("place"), "names", "counts",
                               F.col("samples").alias("values")), allowMissingColumns=True)
     place, scored = ["kind", "place"], None
+    arrow_rows(docs.sparkSession)       # the buckets came by twos, chunks have many short rows
     # a share of the chunks at a time: their questions and answers take most of the disk
     for share in range(min(rounds, chunks)):
         mine = dealt.filter(F.col("chunk") % rounds == share)

@@ -57,6 +57,7 @@ class Powers:
 
 
 PIECE = 256
+FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)    # n bytes of a block
 
 
 def word_names(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -82,13 +83,12 @@ def word_names(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarr
         return name
     blocks = np.ndarray((len(data) - 7,), dtype="<u8", buffer=data, strides=(1,))
     size = end - begin
-    name = mix(size.astype(np.uint64) * K0 + K1)
-    open_ = np.arange(len(begin))
+    name = mix(np.arange(PIECE + 1, dtype=np.uint64) * K0 + K1)[size]
+    open_ = slice(None) if size.all() else np.flatnonzero(size)
     for at in range(0, int(size.max(initial=0)), 8):
-        open_ = open_[size[open_] > at]
-        part = blocks[begin[open_] + at]
-        left = np.minimum(size[open_] - at, 8).astype(np.uint64)
-        part &= np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * left)
+        if at:
+            open_ = np.flatnonzero(size > 8) if at == 8 else open_[size[open_] > at]
+        part = blocks[begin[open_] + at] & FIRST[np.minimum(size[open_] - at, 8)]
         name[open_] = mix(name[open_] ^ part) + K0
     return name
 
@@ -98,18 +98,20 @@ class WordCutter:
     time."""
 
     def __init__(self):
-        self.space = np.zeros(256, dtype=bool)
-        self.space[[0x20, *range(0x09, 0x0E)]] = True
+        self.word = np.ones(256, dtype=bool)
+        self.word[[0x20, *range(0x09, 0x0E)]] = False
 
     def cut(self, texts: list[bytes]) -> Words:
         padded = np.frombuffer(b"\n".join(texts) + b"\n" * 9, dtype=np.uint8)
         data = padded[:-8]
-        word = ~self.space[data]
-        edge = np.diff(word.astype(np.int8), prepend=0)
-        begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        stops = np.cumsum([len(t) + 1 for t in texts])
-        return Words(data, begin, end, np.searchsorted(stops, begin, side="right"),
-                     word_names(padded, begin, end))
+        word = self.word[data]
+        edge = np.flatnonzero(word[1:] != word[:-1]) + 1
+        if word[0]:
+            edge = np.append(0, edge)
+        begin, end = edge[::2].copy(), edge[1::2].copy()     # the last byte is a line feed
+        stops = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
+        doc = np.arange(len(texts)).repeat(np.diff(np.searchsorted(begin, stops), prepend=0))
+        return Words(data, begin, end, doc, word_names(padded, begin, end))
 
 
 @dataclass
