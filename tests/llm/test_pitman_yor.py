@@ -65,3 +65,15 @@ def test_words_are_cut_as_the_contracts_say():
                        for x in re.findall(r"[^\x20\x09-\x0D]+", t)]
         alone = [recompress.WordCutter().cut([x]).name[0] for _, x in got]
         assert w.name.tolist() == [int(n) for n in alone]
+
+
+def test_order_sorts_names_that_share_their_high_bits():
+    rng = np.random.default_rng(5)
+    spread = rng.integers(0, 2 ** 64 - 1, 3000, dtype=np.uint64)
+    for x in (spread, spread[rng.integers(0, 50, 3000)], spread >> np.uint64(50), spread[:1],
+              spread[:0], (spread & ~np.uint64(3)) | rng.integers(0, 4, 3000).astype(np.uint64)):
+        order, inorder = pitman_yor._order(x)
+        assert sorted(order.tolist()) == list(range(len(x)))
+        assert (x[order] == inorder).all() and (inorder == np.sort(x)).all()
+        keys, rank = pitman_yor._ranked(x)
+        assert (keys == np.unique(x)).all() and (keys[rank] == x).all()
