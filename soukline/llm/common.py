@@ -19,13 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, tag: str) -> DataFrame:
+def stored(df: DataFrame, tag: str, files: int | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs a reread of the files, not a recomputation,
-    and every later use reads the same rows.
+    and every later use reads the same rows. ``files``: see :func:`file_count`.
     """
     path = run_dir(df.sparkSession, tag)
+    if files:
+        df = df.coalesce(files)
     # the rows are stored, so the shuffle files of this execution are not needed after it
     df.sparkSession.conf.set(SHUFFLE_CLEANUP, "true")
     df.write.parquet(path)
@@ -58,6 +60,24 @@ def map_arrow(df: DataFrame, run, schema, rows: int = ARROW_ROWS) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+TEXT_A_FILE = 16 << 20  # bytes of text
+ROW_BYTES = 512         # what a document brings besides its text: ids, names, keys
+
+
+def file_count(docs: DataFrame) -> int:
+    """How many files a table made from the texts of ``docs`` is worth: one for every
+    ``TEXT_A_FILE`` bytes, one a core at least.
+
+    Tables with more partitions are coalesced to it before they are written: on a plain file
+    system the executor starts two processes for every file that it opens for writing (Hadoop
+    sets the permissions of the file and of its checksums with ``chmod``), and a join whose
+    skewed partitions are split can leave thousands of files of a few kilobytes. No row moves
+    for it, and the number grows with the texts."""
+    size = docs.agg(F.sum(F.octet_length(text_or_empty()) + F.lit(ROW_BYTES).cast("long"))
+                    ).first()[0] or 0
+    return max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // TEXT_A_FILE))
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

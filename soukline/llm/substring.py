@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from soukline.llm import recompress as rc
-from soukline.llm.common import drop_stored, map_arrow, stored, text_or_empty
+from soukline.llm.common import drop_stored, file_count, map_arrow, stored, text_or_empty
 
 WINDOW = 20
 HIGH, MID = 11, 4
@@ -305,14 +305,14 @@ def _finished(batches):
                 names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
-def _later(rows: DataFrame, names: list[str], values: list[str]) -> DataFrame:
+def _later(rows: DataFrame, names: list[str], values: list[str], files: int) -> DataFrame:
     """Occurrences that are not the first of their name: ``values`` and ``first``.
 
     The first occurrences are stored, so that the join has a plain shuffle on both sides,
     which adaptive execution can split where one name has very many occurrences."""
     first = stored(rows.groupBy(*names)
                    .agg(F.min("code").alias("first"), F.max("code").alias("end"))
-                   .filter("first != end").select(*names, "first"), "substring-first")
+                   .filter("first != end").select(*names, "first"), "substring-first", files)
     return rows.join(first, names).filter("code != first").select(*values, "first")
 
 
@@ -328,37 +328,39 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     an empty table gives no rows.
     """
     key = ["did", "print"]
+    files = file_count(docs)
     text = text_or_empty()
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("did"),
                         F.xxhash64(text).alias("print"), text.alias("text"))
     named = "n0 long, n1 long, code decimal(38,0), did long, print long, at int"
-    high = stored(map_arrow(keyed, _high_symbols, f"{named}, span int"), "substring-high")
-    repeats = stored(_later(high, ["n0", "n1"], [*key, "at", "span"]).groupBy(*key).agg(
-        F.collect_list(F.struct("at", "span", "first")).alias("repeats")), "substring-repeats")
+    high = stored(map_arrow(keyed, _high_symbols, f"{named}, span int"), "substring-high", files)
+    repeats = stored(_later(high, ["n0", "n1"], [*key, "at", "span"], files).groupBy(*key).agg(
+        F.collect_list(F.struct("at", "span", "first")).alias("repeats")), "substring-repeats",
+        files)
     drop_stored(high)
     marked = keyed.join(repeats, key, "left")
-    mid = stored(map_arrow(marked, _mid_symbols,
+    mid = stored(map_arrow(marked.coalesce(files), _mid_symbols,
                            "n0 long, did long, print long, twice boolean"), "substring-mid")
     again = stored(mid.groupBy("n0")
                    .agg(F.sum(F.when(F.col("twice"), 2).otherwise(1)).alias("n"))
-                   .filter("n > 1").select("n0"), "substring-again")
+                   .filter("n > 1").select("n0"), "substring-again", files)
     shared = stored(mid.join(again, "n0").groupBy(*key).agg(
-        F.collect_list("n0").alias("shared")), "substring-shared")
+        F.collect_list("n0").alias("shared")), "substring-shared", files)
     drop_stored(mid)
     rows = stored(map_arrow(
-        marked.join(shared, key, "left"), _candidates,
+        marked.join(shared, key, "left").coalesce(files), _candidates,
         "doc_id long, did long, print long, n_words long, n_removed long, kept_sha256 string,"
         " words binary, gone binary, starts binary, names binary"), "substring-rows")
     drop_stored(shared)
     drop_stored(repeats)
     open_ = rows.filter("starts IS NOT NULL")
     windows = stored(map_arrow(open_.select(*key, "starts", "names"), _flat_windows, named),
-                     "substring-windows")
-    later = stored(_later(windows, ["n0", "n1"], [*key, "at"]).groupBy(*key).agg(
-        F.collect_set("at").alias("later")), "substring-later")
+                     "substring-windows", files)
+    later = stored(_later(windows, ["n0", "n1"], [*key, "at"], files).groupBy(*key).agg(
+        F.collect_set("at").alias("later")), "substring-later", files)
     drop_stored(windows)
     out = ["doc_id", "n_words", "n_removed", "kept_sha256"]
-    ends = map_arrow(open_.join(later, key, "left"), _finished,
+    ends = map_arrow(open_.join(later, key, "left").coalesce(files), _finished,
                      "doc_id long, n_words long, n_removed long, kept_sha256 string")
     return rows.filter("starts IS NULL").select(*out).unionByName(ends)
