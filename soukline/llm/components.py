@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from soukline.llm.common import drop_stored, stored
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+EDGES_A_FILE = 20_000
+
+
+def _large_star(edges: DataFrame, files: int | None) -> DataFrame:
     """Connect every larger neighbour of a vertex to the vertex's smallest neighbour."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     # stored: a vertex with very many neighbours can then be split in the join
     least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select(
-        "u", F.least("u", "m").alias("m")), "components-least")
+        "u", F.least("u", "m").alias("m")), "components-least", files)
     return (both.filter("v > u").join(least, "u")
             .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct())
 
@@ -31,21 +34,24 @@ def _print(edges: DataFrame) -> tuple[int, int]:
     return row[0], row[1]
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, files: int | None = None) -> DataFrame:
     """``vertex, component``: the smallest vertex reachable, for every vertex of an edge.
 
     ``edges`` has the columns ``u, v`` (of one ordered type, not null). Each round is two aggregations
     and joins over the edges, so a vertex with many edges is never gathered; the edges
     become stars after a number of rounds logarithmic in the component size, however long
-    its paths. Only an edge count and a checksum reach the driver.
+    its paths. Only an edge count and a checksum reach the driver. ``files``: the most that a
+    round's table is written in (see ``file_count``).
     """
     now = stored(edges.filter("u != v").select(F.greatest("u", "v").alias("u"),
                                                F.least("u", "v").alias("v")).distinct(),
-                 "components")
+                 "components", files)
     before = None
     while (mark := _print(now)) != before and mark[0]:
         before = mark
-        new = stored(_small_star(_large_star(now)), "components")
+        # a round makes no edges: its tables need no more files than those it reads
+        files = min(files or mark[0], -(-mark[0] // EDGES_A_FILE))
+        new = stored(_small_star(_large_star(now, files)), "components", files)
         drop_stored(now)
         now = new
     stars = now.select(F.col("u").alias("vertex"), F.col("v").alias("component"))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from soukline.llm.common import SPACES, text_or_empty
+from soukline.llm.common import SPACES, file_count, text_or_empty
 
 KEY = ["digest", "print", "body_chars"]
 BASE = 1 << 65
@@ -93,7 +93,7 @@ def keep_exact(docs: DataFrame, salts: int = 16) -> DataFrame:
     cols = [F.col(c) for c in docs.columns]
     first = F.min_by(F.struct(*cols), F.struct(-F.length(text), F.xxhash64(*cols)))
     return (rows.join(kept, same, "left_semi").groupBy("__key").agg(first.alias("__row"))
-            .select("__row.*"))
+            .select("__row.*").coalesce(file_count(docs)))
 
 
 ORACLE = r"""

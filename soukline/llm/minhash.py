@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from soukline.llm.common import map_arrow, stored, text_or_empty
+from soukline.llm.common import file_count, map_arrow, stored, text_or_empty
 from soukline.llm.components import components
 
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -149,14 +149,14 @@ def signatures(docs: DataFrame) -> DataFrame:
                           " sha string")
 
 
-def candidate_clusters(reps: DataFrame) -> DataFrame:
+def candidate_clusters(reps: DataFrame, files: int | None = None) -> DataFrame:
     """``vertex, component`` over representatives that share a band key."""
     keyed = reps.select("vertex", F.explode("bands").alias("key"))
     # stored: the join then has a plain shuffle on both sides, which can be split
     first = stored(keyed.groupBy("key")
                    .agg(F.min("vertex").alias("v"), F.max("vertex").alias("w"))
-                   .filter("v != w").select("key", "v"), "minhash-buckets")
-    return components(keyed.join(first, "key").select(F.col("vertex").alias("u"), "v"))
+                   .filter("v != w").select("key", "v"), "minhash-buckets", files)
+    return components(keyed.join(first, "key").select(F.col("vertex").alias("u"), "v"), files)
 
 
 def _links(table: pa.Table) -> pa.Table:
@@ -241,7 +241,7 @@ def confirmed_links(docs: DataFrame, reps: DataFrame, clusters: DataFrame) -> Da
             .groupBy("component", "low", "high").applyInArrow(_links, f"u {VERTEX}, v {VERTEX}"))
 
 
-def classified(docs: DataFrame) -> DataFrame:
+def classified(docs: DataFrame, files: int | None = None) -> DataFrame:
     """Class of every row: ``doc_id, n_shingles, component_id, kept, sha``.
 
     A document's set are its distinct 5-word shingles (A-Z lower-cased), with fewer words
@@ -254,8 +254,10 @@ def classified(docs: DataFrame) -> DataFrame:
     after all others. A component none of whose rows has an id gets a null ``component_id``
     and exactly one kept row, a row without id and without shingles is kept. Extra columns
     are ignored. Classes without an id count as the same when 64 bits of their digests agree.
+    ``files``: the ``file_count`` of ``docs``, if the caller has it.
     """
-    rows = stored(signatures(docs), "minhash-signatures")
+    files = files or file_count(docs)
+    rows = stored(signatures(docs), "minhash-signatures", files)
     full = rows.filter("n_shingles > 0")
     beyond = (F.col("d1").cast(VERTEX) + F.expr("18446744073709551616BD")).cast(VERTEX)
     classes = (full.groupBy(*SET).agg(F.min("doc_id").alias("rep"))
@@ -266,11 +268,11 @@ def classified(docs: DataFrame) -> DataFrame:
             .unionByName(full.filter("doc_id is null").join(
                 classes.filter("rep is null").select(*SET, "vertex"), SET)
                 .dropDuplicates(["vertex"])))
-    reps = stored(reps, "minhash-reps")
-    clusters = stored(candidate_clusters(reps), "minhash-clusters")
-    links = stored(confirmed_links(docs, reps, clusters), "minhash-links")
+    reps = stored(reps, "minhash-reps", files)
+    clusters = stored(candidate_clusters(reps, files), "minhash-clusters", files)
+    links = stored(confirmed_links(docs, reps, clusters), "minhash-links", files)
     least = F.coalesce("component", "vertex")
-    named = classes.join(components(links), "vertex", "left").select(
+    named = classes.join(components(links, files), "vertex", "left").select(
         *SET, F.when(least < F.expr("9223372036854775808BD"), least).cast("long").alias("component_id"),
         (least == F.col("vertex")).alias("leads"))
     out = ["doc_id", "n_shingles", "component_id", "kept"]
@@ -299,7 +301,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_distinct(docs: DataFrame) -> DataFrame:
     """One document of each component, with all its columns, also when it has no id."""
-    kept = stored(classified(docs).filter("kept"), "minhash-kept")
+    files = file_count(docs)
+    kept = stored(classified(docs, files).filter("kept"), "minhash-kept", files)
     ids = kept.select(F.col("doc_id").alias("__id"))
     named = docs.join(ids, docs["doc_id"] == ids["__id"], "left_semi")
     nameless = docs.filter(F.col("doc_id").cast("long").isNull()).withColumn("__sha", _sha())
@@ -308,4 +311,5 @@ def keep_distinct(docs: DataFrame) -> DataFrame:
     return (named
             .unionByName(nameless.join(one, "__sha", "left_semi").dropDuplicates(["__sha"])
                          .select(*docs.columns))
-            .unionByName(nameless.join(blank, "__sha", "left_semi").select(*docs.columns)))
+            .unionByName(nameless.join(blank, "__sha", "left_semi").select(*docs.columns))
+            .coalesce(files))

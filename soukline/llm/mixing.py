@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from soukline.llm.common import stored, word_count
+from soukline.llm.common import file_count, stored, word_count
 
 SLOT_CHUNK = 4096       # slots made from one row; only spreads the work over tasks
 SLOT_TASK = 1 << 18     # slots made in one task, on average
@@ -170,6 +170,7 @@ def mixed_documents(docs: DataFrame, **params) -> DataFrame:
     """
     cols = [F.col(c) for c in docs.columns]
     key = ["__p", "__q"]
+    files = file_count(docs)
     rows = docs.withColumns({"__p": F.xxhash64(*cols), "__q": F.xxhash64(F.lit(1), *cols)})
     times = F.round(F.sum("words") / F.col("size")).cast("long")
     first = (F.col("start") == 0) & (F.col("taken") > 0)
@@ -178,13 +179,13 @@ def mixed_documents(docs: DataFrame, **params) -> DataFrame:
         .groupBy(*key, "size", "ord", "start").agg(times.alias("n"), F.sum("words").alias("taken"))
         .withColumn("n", F.when(first, F.greatest("n", F.lit(1))).otherwise(F.col("n")))
         .groupBy(*key).agg(F.sum("n").cast("int").alias("__n"), F.count(F.lit(1)).alias("__rows"))
-        .filter("__n > 0"), "mix-reads")
+        .filter("__n > 0"), "mix-reads", files)
     once = rows.join(reads.filter("__rows = 1"), key)
     # of rows that are equal throughout, one is repeated for all
     alike = rows.join(reads.filter("__rows > 1"), key).dropDuplicates(key)
     return (once.unionByName(alike)
             .withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__n"))))
-            .select(*docs.columns))
+            .select(*docs.columns).coalesce(files))
 
 
 ORACLE = r"""

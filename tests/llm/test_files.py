@@ -1,7 +1,8 @@
 """Tables between two steps have no more files than their texts are worth."""
 
+import brute
 import pytest
-from soukline.llm import common, substring
+from soukline.llm import common, components, exact_dedup, minhash, mixing, substring
 
 DOCS = "doc_id long, text string, source string"
 MANY = {"spark.sql.shuffle.partitions": "40",
@@ -28,7 +29,8 @@ def files(monkeypatch):
         seen.append((tag, len(out.inputFiles())))
         return out
 
-    monkeypatch.setattr(substring, "stored", recorded)
+    for module in (components, minhash, mixing, substring):
+        monkeypatch.setattr(module, "stored", recorded)
     return seen
 
 
@@ -56,3 +58,26 @@ def test_substring_dedup_stores_few_files(many_partitions, files):
     assert len(files) == 10 and max(n for _, n in files) <= most < 40, files
     assert got.rdd.getNumPartitions() <= 2 * most       # finished rows, and the others
     assert got.count() == len(rows)
+
+
+def test_near_duplicates_store_few_files(many_partitions, files):
+    rows, spark = docs(), many_partitions
+    df = spark.createDataFrame(rows, DOCS).repartition(16)
+    most = common.file_count(df)
+    got = minhash.keep_distinct(df)
+    near = brute.near([(i, t) for i, t, _ in rows if i is not None])
+    assert ({r.doc_id for r in got.collect()} - {None}
+            == {i for i, (_, c) in near.items() if i == c})
+    assert got.rdd.getNumPartitions() <= most
+    assert {t for t, _ in files} >= {"components", "components-least", "minhash-reps"}
+    assert max(n for _, n in files) <= most < 40, files
+
+
+def test_stages_return_few_partitions(many_partitions, files):
+    rows, spark = docs(), many_partitions
+    df = spark.createDataFrame(rows, DOCS).repartition(16)
+    most = common.file_count(df)
+    for stage in (exact_dedup.keep_exact, mixing.mixed_documents):
+        got = stage(df)
+        assert 0 < got.count() and got.rdd.getNumPartitions() <= most < 40
+    assert dict(files)["mix-reads"] <= most
